@@ -6,17 +6,65 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waitlens.constants import IO_EVENT_NAMES
 from waitlens.sources import conform
 
 # ids 1 + x % 3 for whole numbers x: the databases every derivation yields
-DBIDS = (1, 2, 3)
+ALL_DBIDS = "array(1L, 2L, 3L)"
 BIG = "bigint"
 
+SAMPLE_COLUMNS = (
+    "1 + user_id % 3 as dbid",
+    "1 + (event_id % 4) % 2 as inst_id",
+    "event_id as sample_id",
+    "date_trunc('second', ts) as sample_time",
+    "user_id as session_id",
+    "user_id % 20 as user_id",
+    "case when event_type = 'purchase' then 'ON CPU' else 'WAITING' end as session_state",
+    "case user_id % 10 when 0 then 17L when 1 then 2L when 2 then 4L else 1L end as session_type",
+    "event_id % 26 as event_no",
+    "case when event_id % 11 = 0 then null when event_id % 13 = 0 then '0'"
+    " else concat('q', cast(cast(floor(value) as bigint) % 40 as string)) end as sql_id",
+    "event_id % 3 as sql_plan_hash_value",
+    "event_id % 8 as sql_opcode",
+    "event_id % 100 as p1",
+    "event_id % 7 as p2",
+    "user_id as p3",
+    "cast(floor(value * 1000) as bigint) as time_waited",
+    "user_id as current_obj",
+    "1 + event_id % 4 as current_file",
+    "(event_id * 37) % 4096 as current_block",
+    "concat('prog', cast(user_id % 5 as string)) as program",
+    "event_type as module",
+    "case when event_id % 17 = 0 then user_id end as qc",
+    "case event_id % 8 when 0 then 4294967295 when 1 then 4294967292 when 2 then 4294967291"
+    " else 65536 * (1 + user_id % 2) + event_id % 150 end as ksuseblocker",
+)
+RAW_COLUMNS = (
+    "event_id % 2 as ksspaflg",
+    "event_id % 16 as ksuseidl",
+    "event_id % 5 as ksusetim",
+    "case when event_id % 9 = 0 then 4294967293 else 262144 * (1 + event_id % 3) + event_id % 500 end as ksusefblocker",
+    "(event_id % 4) * 1024 as ksusstmbv",
+    "case when event_id % 9 = 0 then 65535L else event_id % 4 end as sql_child_number",
+    "event_id % 6 as sql_exec_id",
+    "event_id % 5 as plsql_entry_object_id",
+    "event_id % 3 as plsql_entry_subprogram_id",
+    "event_id % 7 as plsql_object_id",
+    "event_id % 4 as plsql_subprogram_id",
+)
+
+_SCHEMAS: dict[str, T.StructType] = {}
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the files once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _dbid(key: str) -> Column:
@@ -51,97 +99,31 @@ class Tables:
             rows = rows.where(F.col("ts") < F.lit(end.isoformat(sep=" ")).cast(kind))
         return conform(rows)
 
-    def _session_columns(self) -> list[Column]:
-        event, user = F.col("event_id"), F.col("user_id")
-        blocker = (
-            F.when(event % 8 == 0, F.lit(4294967295))
-            .when(event % 8 == 1, F.lit(4294967292))
-            .when(event % 8 == 2, F.lit(4294967291))
-            .otherwise(65536 * (1 + user % 2) + event % 150)
-        )
-        return [
-            _dbid("user_id"),
-            (1 + (event % 4) % 2).alias("inst_id"),
-            event.alias("sample_id"),
-            F.date_trunc("second", "ts").alias("sample_time"),
-            user.alias("session_id"),
-            (user % 20).alias("user_id"),
-            F.when(F.col("event_type") == "purchase", "ON CPU").otherwise("WAITING").alias("session_state"),
-            F.when(user % 10 == 0, F.lit(17))
-            .when(user % 10 == 1, F.lit(2))
-            .when(user % 10 == 2, F.lit(4))
-            .otherwise(F.lit(1))
-            .cast(BIG)
-            .alias("session_type"),
-            (event % 26).alias("event_no"),
-            F.when(event % 11 == 0, F.lit(None))
-            .when(event % 13 == 0, "0")
-            .otherwise(F.concat(F.lit("q"), (F.floor("value").cast(BIG) % 40).cast("string")))
-            .alias("sql_id"),
-            (event % 3).alias("sql_plan_hash_value"),
-            (event % 8).alias("sql_opcode"),
-            (event % 100).alias("p1"),
-            (event % 7).alias("p2"),
-            user.alias("p3"),
-            F.floor(F.col("value") * 1000).cast(BIG).alias("time_waited"),
-            user.alias("current_obj"),
-            (1 + event % 4).alias("current_file"),
-            ((event * 37) % 4096).alias("current_block"),
-            F.concat(F.lit("prog"), (user % 5).cast("string")).alias("program"),
-            F.col("event_type").alias("module"),
-            F.when(event % 17 == 0, user).alias("qc"),
-            blocker.cast(BIG).alias("ksuseblocker"),
-        ]
-
     def samples(self, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
-        return self.events(since, until).select(*self._session_columns())
+        return self.events(since, until).selectExpr(*SAMPLE_COLUMNS)
 
     def sample_stream(self, max_files: int | None = None) -> DataFrame:
         """The samples as a stream of the event files."""
         reader = self.spark.readStream.schema(self.load("events").schema)
         if max_files is not None:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        return conform(reader.parquet(f"{self.dir}/events*.parquet")).select(*self._session_columns())
+        return conform(reader.parquet(f"{self.dir}/events*.parquet")).selectExpr(*SAMPLE_COLUMNS)
 
     def raw_sessions(self) -> DataFrame:
         """Session rows as the host shows them, before filtering and decoding."""
-        event = F.col("event_id")
-        final = F.when(event % 9 == 0, F.lit(4294967293)).otherwise(262144 * (1 + event % 3) + event % 500)
-        raw = self.events().select(
-            *self._session_columns(),
-            (event % 2).alias("ksspaflg"),
-            (event % 16).alias("ksuseidl"),
-            (event % 5).alias("ksusetim"),
-            final.cast(BIG).alias("ksusefblocker"),
-            ((event % 4) * 1024).alias("ksusstmbv"),
-            F.when(event % 9 == 0, F.lit(65535)).otherwise(event % 4).cast(BIG).alias("sql_child_number"),
-            (event % 6).alias("sql_exec_id"),
-            (event % 5).alias("plsql_entry_object_id"),
-            (event % 3).alias("plsql_entry_subprogram_id"),
-            (event % 7).alias("plsql_object_id"),
-            (event % 4).alias("plsql_subprogram_id"),
-        )
+        raw = self.events().selectExpr(*SAMPLE_COLUMNS, *RAW_COLUMNS)
         renamed = {"session_type": "ksuseflg", "event_no": "ksuseopc"}
         return raw.drop("session_state", "sample_id").withColumnsRenamed(renamed)
 
     def event_names(self) -> DataFrame:
-        region = F.col("n_regionkey")
-        wait_class = (
-            F.when(F.col("n_nationkey") == 24, F.lit(None))
-            .when(region == 0, "User I/O")
-            .when(region == 1, "System I/O")
-            .when(region == 2, "Concurrency")
-            .when(region == 3, "Application")
-            .otherwise("Idle")
-        )
-        known = self.load("nation").join(self.load("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
-        return known.select(
-            F.explode(F.array(*[F.lit(d).cast(BIG) for d in DBIDS])).alias("dbid"),
-            F.col("n_nationkey").cast(BIG).alias("event_no"),
-            (F.col("n_nationkey") + 5000).cast(BIG).alias("event_id"),
-            F.col("n_name").alias("name"),
-            wait_class.alias("wait_class"),
-            (1000 + region).cast(BIG).alias("wait_class_id"),
+        return self.load("nation").selectExpr(
+            f"explode({ALL_DBIDS}) as dbid",
+            "cast(n_nationkey as bigint) as event_no",
+            "cast(n_nationkey + 5000 as bigint) as event_id",
+            "n_name as name",
+            "case when n_nationkey = 24 then null when n_regionkey = 0 then 'User I/O' when n_regionkey = 1 then 'System I/O'"
+            " when n_regionkey = 2 then 'Concurrency' when n_regionkey = 3 then 'Application' else 'Idle' end as wait_class",
+            "cast(1000 + n_regionkey as bigint) as wait_class_id",
         )
 
     def wait_groups(self) -> DataFrame:
@@ -203,7 +185,7 @@ class Tables:
 
     def metric_names(self) -> DataFrame:
         return self.load("region").select(
-            F.explode(F.array(*[F.lit(d).cast(BIG) for d in DBIDS])).alias("dbid"),
+            F.expr(f"explode({ALL_DBIDS}) as dbid"),
             F.col("r_regionkey").cast(BIG).alias("metric_id"),
             F.col("r_name").alias("metric_name"),
             F.lit("Per Second").alias("metric_unit"),
@@ -269,7 +251,7 @@ class Tables:
     def stat_names(self) -> DataFrame:
         """Names of statistics 0..4, even ones to be collected."""
         return self.load("region").select(
-            F.explode(F.array(*[F.lit(d).cast(BIG) for d in DBIDS])).alias("dbid"),
+            F.expr(f"explode({ALL_DBIDS}) as dbid"),
             F.col("r_regionkey").cast(BIG).alias("statistic"),
             F.col("r_name").alias("name"),
             (1 - F.col("r_regionkey") % 2).cast(BIG).alias("collect"),

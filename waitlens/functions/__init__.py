@@ -8,6 +8,7 @@ from waitlens.functions.columns import (
     session_type_name,
     share_percent,
     timestamp_lit,
+    timestamp_text,
 )
 
 __all__ = [
@@ -20,4 +21,5 @@ __all__ = [
     "session_type_name",
     "share_percent",
     "timestamp_lit",
+    "timestamp_text",
 ]

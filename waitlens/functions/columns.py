@@ -1,7 +1,11 @@
-"""Column expressions shared by the operators; all are built-in, so they stay in generated code."""
+"""Column expressions shared by the operators; all are built-in, so they stay in generated code.
+
+Arguments are column names or SQL expressions as text.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -17,19 +21,27 @@ from waitlens.constants import (
 )
 
 
-def timestamp_lit(moment: datetime) -> Column:
+def timestamp_text(moment: datetime) -> str:
     """A literal in the session time zone (a Python datetime would use the driver's own zone)."""
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+    return f"timestamp_ltz'{moment.isoformat(sep=' ')}'"
+
+
+def timestamp_lit(moment: datetime) -> Column:
+    return F.expr(timestamp_text(moment))
+
+
+def has_bits(flags: str, mask: int, value: int | None = None) -> str:
+    """Condition: ``flags & mask`` equals ``value``; without ``value``, any of the bits is set."""
+    return f"({flags} & {mask}) <> 0" if value is None else f"({flags} & {mask}) = {value}"
 
 
-def has_bits(col: Column, mask: int, value: int | None = None) -> Column:
-    """``col & mask`` equals ``value``; without ``value``, any of the bits is set."""
-    bits = col.cast("bigint").bitwiseAND(F.lit(mask).cast("bigint"))
-    return bits != 0 if value is None else bits == value
+def null_if(value: str, sentinel: int) -> Column:
+    return F.expr(f"nullif({value}, {sentinel})")
 
 
-def null_if(col: Column, sentinel: int) -> Column:
-    return F.when(col == sentinel, F.lit(None)).otherwise(col)
+def _case(value: str, results: Mapping[int, str], otherwise: str) -> Column:
+    branches = " ".join(f"when {code} then '{text}'" for code, text in results.items())
+    return F.expr(f"case {value} {branches} else '{otherwise}' end")
 
 
 def _layout(layout: int) -> tuple[int, int]:
@@ -38,43 +50,36 @@ def _layout(layout: int) -> tuple[int, int]:
     return BLOCKER_LAYOUTS[layout]
 
 
-def _decoded(blocker: Column, value: Column) -> Column:
-    return F.when(~blocker.isin(list(BLOCKER_STATUS)), value)
+def _decoded(code: str, value: str) -> Column:
+    codes = ", ".join(str(c) for c in BLOCKER_STATUS)
+    return F.expr(f"case when {code} not in ({codes}) then {value} end")
 
 
-def blocker_session(blocker: Column, layout: int = 16) -> Column:
+def blocker_session(code: str, layout: int = 16) -> Column:
     bits, _ = _layout(layout)
-    low = F.lit((1 << bits) - 1).cast("bigint")
-    return _decoded(blocker, blocker.bitwiseAND(low))
+    return _decoded(code, f"{code} & {(1 << bits) - 1}L")
 
 
-def blocker_instance(blocker: Column, layout: int = 16) -> Column:
+def blocker_instance(code: str, layout: int = 16) -> Column:
     bits, mask = _layout(layout)
-    return _decoded(blocker, F.shiftright(blocker.bitwiseAND(F.lit(mask).cast("bigint")), bits))
+    return _decoded(code, f"shiftright({code} & {mask}L, {bits})")
 
 
-def blocker_status(blocker: Column) -> Column:
+def blocker_status(code: str) -> Column:
     """``VALID`` also for a null code."""
-    status = F.lit(BLOCKER_VALID)
-    for code, text in BLOCKER_STATUS.items():
-        status = F.when(blocker == code, text).otherwise(status)
-    return status
+    return _case(code, BLOCKER_STATUS, BLOCKER_VALID)
 
 
-def session_type_name(flags: Column) -> Column:
-    code = flags.cast("bigint").bitwiseAND(F.lit(SESSION_TYPE_MASK).cast("bigint"))
-    name = F.lit(SESSION_TYPE_UNKNOWN)
-    for value, text in SESSION_TYPES.items():
-        name = F.when(code == value, text).otherwise(name)
-    return name
+def session_type_name(flags: str) -> Column:
+    return _case(f"{flags} & {SESSION_TYPE_MASK}", SESSION_TYPES, SESSION_TYPE_UNKNOWN)
 
 
-def bucket_start(moment: Column, seconds: int) -> Column:
+def bucket_start(moment: str, seconds: int) -> Column:
     """Start of the bucket of ``seconds`` that holds ``moment``."""
-    epoch = F.unix_timestamp(moment)
-    return F.timestamp_seconds(epoch - F.pmod(epoch, F.lit(seconds)))
+    epoch = f"unix_timestamp({moment})"
+    return F.expr(f"timestamp_seconds({epoch} - pmod({epoch}, {seconds}))")
 
 
-def share_percent(part: Column, total: Column) -> Column:
+def share_percent(part: str, total: Column) -> Column:
     """``part`` in percent of ``total``, two digits, half up; decimal arithmetic keeps ties exact."""
-    return F.round(part.cast("decimal(20,0)") * 100 / total.cast("decimal(20,0)"), 2).cast("double")
+    return F.round(F.expr(f"cast({part} as decimal(20,0)) * 100") / total.cast("decimal(20,0)"), 2).cast("double")

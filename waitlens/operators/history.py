@@ -107,27 +107,22 @@ def session_history(
     salt = [c for c in _SAMPLE_SALT if c in have]
     rows = lookup(of_target(samples, target), names, ["dbid", "event_no"], "inner", salt)
 
-    waiting = F.col("session_state") == "WAITING"
-    columns = [F.col(c) for c in COPIED if c in have]
+    columns = [c for c in COPIED if c in have]
     columns += [
-        session_type_name(F.col("session_type")).alias("session_type"),
-        F.when(waiting, F.col("event_no")).alias("event_no"),
-        F.when(waiting, F.col("event_no")).alias("event_id"),
-        F.when(waiting, F.col("name")).alias("event"),
-        F.coalesce("wait_class", F.lit("Other")).alias("wait_class"),
-        F.col("wait_class_id"),
+        session_type_name("session_type").alias("session_type"),
+        F.expr("case when session_state = 'WAITING' then event_no end as event_no"),
+        F.expr("case when session_state = 'WAITING' then event_no end as event_id"),
+        F.expr("case when session_state = 'WAITING' then name end as event"),
+        F.expr("coalesce(wait_class, 'Other') as wait_class"),
+        "wait_class_id",
     ]
     if "qc" in have:
-        columns += [
-            F.when(F.col("qc").isNotNull(), F.col("inst_id")).alias("qc_instance_id"),
-            F.col("qc").alias("qc_session_id"),
-        ]
-    columns += [F.col(p).alias(f"{p}text") for p in ("p1", "p2", "p3") if p in have]
+        columns += [F.expr("case when qc is not null then inst_id end as qc_instance_id"), F.expr("qc as qc_session_id")]
+    columns += [F.expr(f"{p} as {p}text") for p in ("p1", "p2", "p3") if p in have]
     if "ksuseblocker" in have:
-        code = F.col("ksuseblocker")
         columns += [
-            blocker_session(code, layout).alias("blocking_session"),
-            blocker_status(code).alias("blocking_session_status"),
+            blocker_session("ksuseblocker", layout).alias("blocking_session"),
+            blocker_status("ksuseblocker").alias("blocking_session_status"),
         ]
     if compat:
         columns += [F.lit(None).cast(t).alias(c) for c, t in ALWAYS_NULL.items()]

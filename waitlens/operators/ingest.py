@@ -31,11 +31,10 @@ def _salt_columns(df: DataFrame, wanted: Sequence[str] = _SESSION_SALT) -> list[
 
 def decode_blocker(df: DataFrame, column: str, layout: int = 16, prefix: str = "") -> DataFrame:
     """Add the blocking instance and session held in a blocker code."""
-    code = F.col(column).cast("bigint")
     return df.withColumns(
         {
-            f"{prefix}blocking_instance": blocker_instance(code, layout),
-            f"{prefix}blocking_session": blocker_session(code, layout),
+            f"{prefix}blocking_instance": blocker_instance(column, layout),
+            f"{prefix}blocking_session": blocker_session(column, layout),
         }
     )
 
@@ -55,8 +54,8 @@ def active_sessions(
     if mode not in ("v19", "v10", "v9"):
         raise ValueError(f"unknown mode {mode}")
     layout = layout or (18 if mode == "v19" else 16)
-    rows = raw.where(has_bits(F.col("ksspaflg"), 1) & has_bits(F.col("ksuseflg"), 1))
-    running = F.col("ksusetim") != 0
+    rows = raw.where(has_bits("ksspaflg", 1)).where(has_bits("ksuseflg", 1))
+    running = f"ksusetim <> 0 and {has_bits('ksuseidl', 11, 1)}"
     if isinstance(exclude_session, DataFrame):
         rows = lookup(rows, exclude_session, ["dbid", "inst_id", "session_id"], "left_anti", ["sample_time"])
     elif exclude_session is not None:
@@ -71,13 +70,10 @@ def active_sessions(
 
     if mode == "v9":
         marked = lookup(rows, idle.distinct().withColumn("is_idle", F.lit(True)), ["dbid", "ksuseopc"], "left", salt)
-        busy_wait = F.col("ksuseopc").isNotNull() & F.col("is_idle").isNull()
-        rows = marked.where((running & has_bits(F.col("ksuseidl"), 11, 1)) | busy_wait).drop("is_idle")
+        rows = marked.where(f"({running}) or (ksuseopc is not null and is_idle is null)").drop("is_idle")
     else:
-        active = has_bits(F.col("ksuseidl"), 9, 1)
-        if mode == "v10":
-            active = running & has_bits(F.col("ksuseidl"), 11, 1)
-        rows = lookup(rows.where(active & F.col("ksuseopc").isNotNull()), idle, ["dbid", "ksuseopc"], "left_anti", salt)
+        active = running if mode == "v10" else has_bits("ksuseidl", 9, 1)
+        rows = lookup(rows.where(active).where("ksuseopc is not null"), idle, ["dbid", "ksuseopc"], "left_anti", salt)
     return _decode_session(rows, layout)
 
 
@@ -90,15 +86,15 @@ def _decode_session(rows: DataFrame, layout: int) -> DataFrame:
         "wait_time": F.col("ksusetim"),
     }
     if "sql_child_number" in have:
-        decoded["sql_child_number"] = null_if(F.col("sql_child_number"), 65535)
+        decoded["sql_child_number"] = null_if("sql_child_number", 65535)
     if "sql_exec_id" in have:
-        decoded["sql_exec_id"] = null_if(F.col("sql_exec_id"), 0)
+        decoded["sql_exec_id"] = null_if("sql_exec_id", 0)
     if {"plsql_entry_object_id", "plsql_entry_subprogram_id"} <= have:
         entry = F.col("plsql_entry_object_id")
         decoded["plsql_entry_subprogram_id"] = F.when(entry.isNull() | (entry != 0), F.col("plsql_entry_subprogram_id"))
-        decoded["plsql_entry_object_id"] = null_if(entry, 0)
+        decoded["plsql_entry_object_id"] = null_if("plsql_entry_object_id", 0)
     if "ksusstmbv" in have:
-        visible = has_bits(F.col("ksusstmbv"), _PLSQL_VISIBLE, _PLSQL_VISIBLE)
+        visible = F.expr(has_bits("ksusstmbv", _PLSQL_VISIBLE, _PLSQL_VISIBLE))
         for name in {"plsql_object_id", "plsql_subprogram_id"} & have:
             decoded[name] = F.when(visible & (F.col(name) != 0), F.col(name))
     rows = decode_blocker(rows, "ksuseblocker", layout)

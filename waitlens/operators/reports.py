@@ -16,29 +16,27 @@ from waitlens.constants import (
     REPORT_WAIT_CLASSES,
     TOP_SQL_ROWS,
 )
-from waitlens.functions import bucket_start, share_percent, timestamp_lit
+from waitlens.functions import bucket_start, share_percent, timestamp_text
 from waitlens.operators.hot import recent
 
 HOUR = timedelta(hours=1)
 THREE_HOURS = timedelta(hours=3)
 
 
-def _count_if(condition: Column) -> Column:
+def _count_if(condition: str) -> Column:
     """Number of rows that meet the condition, null if none does."""
-    return F.sum(F.when(condition, F.lit(1).cast("bigint")))
+    return F.expr(f"sum(case when {condition} then 1L end)")
 
 
 def top_sql_by_wait_class(history: DataFrame, start: datetime, stop: datetime, n: int = TOP_SQL_ROWS) -> DataFrame:
     """Samples per statement, split by wait class and CPU; ``Total`` counts every class. Both ends of the range count."""
-    on_cpu = F.col("session_state") == "ON CPU"
-    waiting = F.col("session_state") == "WAITING"
     rows = history.where(
-        F.col("sample_time").between(timestamp_lit(start), timestamp_lit(stop))
-        & F.col("sql_id").isNotNull()
-        & (on_cpu | waiting)
+        f"sample_time between {timestamp_text(start)} and {timestamp_text(stop)}"
+        " and sql_id is not null and session_state in ('ON CPU', 'WAITING')"
     )
-    classes = [_count_if(waiting & (F.col("wait_class") == c)).alias(c) for c in REPORT_WAIT_CLASSES]
-    totals = rows.groupBy("sql_id").agg(_count_if(on_cpu).alias("CPU"), *classes, F.count("*").alias("Total"))
+    on_cpu = _count_if("session_state = 'ON CPU'").alias("CPU")
+    classes = [_count_if(f"session_state = 'WAITING' and wait_class = '{c}'").alias(c) for c in REPORT_WAIT_CLASSES]
+    totals = rows.groupBy("sql_id").agg(on_cpu, *classes, F.count("*").alias("Total"))
     return totals.orderBy(F.desc("Total"), F.asc("sql_id")).limit(n)
 
 
@@ -51,7 +49,7 @@ def load_by(history: DataFrame, keys: Mapping[str, Column] | Sequence[str]) -> D
         keys = {k: F.col(k) for k in keys}
     counts = history.groupBy(*[c.alias(k) for k, c in keys.items()]).agg(F.count("*").alias("cnt"))
     total = counts.agg(F.sum("cnt")).scalar()
-    return counts.withColumn("pctload", share_percent(F.col("cnt"), total))
+    return counts.withColumn("pctload", share_percent("cnt", total))
 
 
 def _heaviest_first(load: DataFrame) -> DataFrame:
@@ -59,7 +57,11 @@ def _heaviest_first(load: DataFrame) -> DataFrame:
 
 
 def _event_or_cpu() -> Column:
-    return F.when(F.col("session_state") == "ON CPU", "ON CPU").otherwise(F.col("event"))
+    return F.expr("case when session_state = 'ON CPU' then 'ON CPU' else event end")
+
+
+def class_or_cpu() -> Column:
+    return F.expr("case when session_state = 'WAITING' then wait_class when session_state = 'ON CPU' then 'ON CPU' end")
 
 
 def _foreground(history: DataFrame) -> DataFrame:
@@ -141,24 +143,21 @@ def activity_graph(
     """
     spark = history.sparkSession
     rows = recent(history, as_of, timedelta(minutes=minutes))
-    state = F.col("session_state")
-    shown = F.when(state == "WAITING", F.col("wait_class")).when(state == "ON CPU", "ON CPU")
     per_bucket = bucket_s / sample_interval_s
-    active = rows.groupBy(bucket_start(F.col("sample_time"), bucket_s).alias("bucket_time"), shown.alias("wait_class")).agg(
-        F.count("*").alias("n")
-    )
-    active = active.select("bucket_time", "wait_class", (F.col("n") / per_bucket).alias("cnt"))
+    active = rows.groupBy(
+        bucket_start("sample_time", bucket_s).alias("bucket_time"), class_or_cpu().alias("wait_class")
+    ).agg((F.count("*") / per_bucket).alias("cnt"))
 
     steps = spark.range(1, minutes * 60 // bucket_s + 1)
-    back = F.timestamp_seconds(F.unix_timestamp(timestamp_lit(as_of)) - F.col("id") * bucket_s)
+    back = f"timestamp_seconds(unix_timestamp({timestamp_text(as_of)}) - id * {bucket_s})"
     spine = steps.select(bucket_start(back, bucket_s).alias("bucket_time"), F.lit("null").alias("wait_class"))
 
-    edge_time = bucket_start(timestamp_lit(as_of - timedelta(minutes=minutes + 1)), bucket_s)
-    classes = event_names.where(F.col("wait_class") != "Idle").select("wait_class").distinct()
-    fixed = spark.range(2).select(F.when(F.col("id") == 0, "null").otherwise("ON CPU").alias("wait_class"))
-    order = F.array_position(F.array(*[F.lit(c) for c in GRAPH_CLASS_ORDER]), F.col("wait_class")).cast("int")
+    edge_time = bucket_start(timestamp_text(as_of - timedelta(minutes=minutes + 1)), bucket_s)
+    classes = event_names.where("wait_class <> 'Idle'").select("wait_class").distinct()
+    fixed = spark.range(2).selectExpr("case when id = 0 then 'null' else 'ON CPU' end as wait_class")
+    order = " ".join(f"when '{c}' then {i}" for i, c in enumerate(GRAPH_CLASS_ORDER))
     edge = classes.unionByName(fixed).select(
-        edge_time.alias("bucket_time"), "wait_class", F.when(order > 0, order - 1).alias("wait_order")
+        edge_time.alias("bucket_time"), "wait_class", F.expr(f"case wait_class {order} end as wait_order")
     )
     fillers = edge.unionByName(spine, allowMissingColumns=True).withColumn("cnt", F.lit(GRAPH_FILLER))
     points = fillers.unionByName(active, allowMissingColumns=True)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from waitlens.operators.history import session_history
+from waitlens.operators.reports import class_or_cpu
 from waitlens.schemas import SAMPLES
 from waitlens.sources.store import PARTITIONS, with_sample_date
 from waitlens.sources.tables import conform
@@ -62,8 +63,7 @@ def ingest_samples(
 
 def activity_by_window(history: DataFrame, seconds: int = 15, delay: str = "10 minutes", sample_interval_s: int = 1) -> DataFrame:
     """Average active sessions per window and wait class; a window is given out once the watermark has passed it."""
-    state = F.col("session_state")
-    shown = F.when(state == "WAITING", F.col("wait_class")).when(state == "ON CPU", "ON CPU")
+    shown = class_or_cpu()
     windows = F.window("sample_time", f"{seconds} seconds")
     counts = history.withWatermark("sample_time", delay).groupBy(windows, shown.alias("wait_class")).agg(F.count("*").alias("n"))
     return counts.select(
