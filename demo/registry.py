@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from demo.fixtures import Tables
 from waitlens import jobs, plans, sources, streaming
-from waitlens.operators import delta, dims, history, hot, ingest, quality, reports, retention
+from waitlens.operators import delta, dims, history, hot, ingest, quality, reports, retention, times
 from waitlens.views import register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,7 +187,7 @@ def metric_history(t: Tables) -> DataFrame:
 @query
 def metric_recent(t: Tables) -> DataFrame:
     named = history.metric_history(t.metric_history(), t.metric_names(), target=(1, 1))
-    return hot.recent(named, METRIC_AS_OF, MONTH, "begin_time")
+    return times.recent(named, METRIC_AS_OF, MONTH, "begin_time")
 
 
 @query

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waitlens.constants import SNAPSHOT_MINUTES
+from waitlens.constants import SNAPSHOT_MINUTES, SQLSTAT_DELTAS
 from waitlens.functions import blocker_session, blocker_status, session_type_name
 from waitlens.operators.delta import counter_delta
 from waitlens.operators.joins import lookup, range_lookup
@@ -50,6 +50,7 @@ COPIED = (
     "plsql_object_id",
     "plsql_subprogram_id",
     "time_waited",
+    "sample_date",
 )
 
 ALWAYS_NULL = {
@@ -98,7 +99,7 @@ def session_history(
     """Samples with event, wait class, session type, coordinator and blocker decoded.
 
     Samples of unknown events drop out; a null class becomes ``Other``. ``compat`` adds the columns that are always
-    null. Only columns the samples have are copied.
+    null. Only columns the samples have are copied; a ``sample_date`` partition column stays for the time filters.
     """
     names = event_names.select("dbid", "event_no", "name", "wait_class", "wait_class_id")
     if target is not None:
@@ -216,11 +217,14 @@ def sqlstat_history(
     dbid: int | None = None,
     columns: Mapping[str, str] | Sequence[str] | None = None,
 ) -> DataFrame:
-    """Stored SQL counters with their deltas, one database or all."""
+    """SQL counters with their deltas, one database or all; deltas that are stored already are not computed again."""
     rows = of_target(sqlstats, target, "instance_number")
     if dbid is not None:
         rows = rows.where(F.col("dbid") == dbid)
-    return counter_delta(rows, columns=columns)
+    if columns is None:
+        columns = {c: d for c, d in SQLSTAT_DELTAS.items() if c in rows.columns}
+    names = columns.values() if isinstance(columns, Mapping) else [f"{c}_delta" for c in columns]
+    return rows if set(names) <= set(rows.columns) else counter_delta(rows, columns=columns)
 
 
 def latest_snapshot(

@@ -9,19 +9,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waitlens.constants import HOT_OBJECT_ROWS, HOT_SQL_ROWS, SNAPSHOT_MINUTES, SQLSTAT_DELTAS, SQLSTAT_OTHER
-from waitlens.functions import timestamp_text
 from waitlens.operators.joins import lookup
+from waitlens.operators.times import recent
 
 Target = tuple[int, int]
 
 SQLSTAT_KEYS = ("dbid", "instance_number", "sql_id", "plan_hash_value")
 
 
-def recent(df: DataFrame, as_of: datetime, span: timedelta, column: str = "sample_time") -> DataFrame:
-    """Rows of the last ``span`` before ``as_of``; the early end is left out."""
-    return df.where(f"{column} > {timestamp_text(as_of - span)} and {column} <= {timestamp_text(as_of)}")
-
-
 def hot_sql(
     samples: DataFrame,
     as_of: datetime,

@@ -17,7 +17,7 @@ from waitlens.constants import (
     TOP_SQL_ROWS,
 )
 from waitlens.functions import bucket_start, share_percent, timestamp_text
-from waitlens.operators.hot import recent
+from waitlens.operators.times import in_range, recent
 
 HOUR = timedelta(hours=1)
 THREE_HOURS = timedelta(hours=3)
@@ -30,10 +30,7 @@ def _count_if(condition: str) -> Column:
 
 def top_sql_by_wait_class(history: DataFrame, start: datetime, stop: datetime, n: int = TOP_SQL_ROWS) -> DataFrame:
     """Samples per statement, split by wait class and CPU; ``Total`` counts every class. Both ends of the range count."""
-    rows = history.where(
-        f"sample_time between {timestamp_text(start)} and {timestamp_text(stop)}"
-        " and sql_id is not null and session_state in ('ON CPU', 'WAITING')"
-    )
+    rows = in_range(history, start, stop).where("sql_id is not null and session_state in ('ON CPU', 'WAITING')")
     on_cpu = _count_if("session_state = 'ON CPU'").alias("CPU")
     classes = [_count_if(f"session_state = 'WAITING' and wait_class = '{c}'").alias(c) for c in REPORT_WAIT_CLASSES]
     totals = rows.groupBy("sql_id").agg(on_cpu, *classes, F.count("*").alias("Total"))

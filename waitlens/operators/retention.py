@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from waitlens.constants import SAMPLE_RETENTION, SNAPSHOT_RETENTION_DAYS
 from waitlens.functions import timestamp_lit
 from waitlens.operators.joins import lookup
+from waitlens.operators.times import in_range
 
 
 def cutoff(mode: str, as_of: datetime) -> datetime:
@@ -21,11 +22,7 @@ def cutoff(mode: str, as_of: datetime) -> datetime:
 
 def expire(df: DataFrame, mode: str, as_of: datetime, column: str = "sample_time") -> DataFrame:
     """Rows not older than the mode keeps; with a ``sample_date`` partition column, older partitions are not read."""
-    limit = cutoff(mode, as_of)
-    kept = df.where(F.col(column) >= timestamp_lit(limit))
-    if "sample_date" in df.columns:
-        kept = kept.where(F.col("sample_date") >= F.lit(limit.date().isoformat()).cast("date"))
-    return kept
+    return in_range(df, start=cutoff(mode, as_of), column=column)
 
 
 def expire_by_snapshot(
@@ -35,11 +32,15 @@ def expire_by_snapshot(
     as_of: datetime,
     inst_col: str = "inst_id",
     salt_on: Sequence[str] | None = None,
+    keep: timedelta | None = None,
 ) -> DataFrame:
-    """Rows whose snapshot is not among the expired ones; rows of unregistered snapshots are kept."""
+    """Rows whose snapshot is not among the expired ones; rows of unregistered snapshots are kept.
+
+    SQL statistics and event histograms live as long as samples do: give ``keep=SAMPLE_RETENTION[mode]`` for them.
+    """
     if mode not in SNAPSHOT_RETENTION_DAYS:
         raise ValueError(f"retention mode must be one of {sorted(SNAPSHOT_RETENTION_DAYS)}, not {mode!r}")
-    limit = timestamp_lit(as_of - timedelta(days=SNAPSHOT_RETENTION_DAYS[mode]))
+    limit = timestamp_lit(as_of - (keep or timedelta(days=SNAPSHOT_RETENTION_DAYS[mode])))
     expired = snapshots.where(F.col("hist_date") < limit).select(
         F.col("hist_sample_id").alias("snap_id"), "dbid", F.col("instance_number").alias(inst_col)
     )

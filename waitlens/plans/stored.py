@@ -36,6 +36,18 @@ PLAN_COLUMNS = (
     "access_predicates",
     "filter_predicates",
 )
+ALWAYS_NULL = (
+    "address",
+    "hash_value",
+    "child_number",
+    "object_no",
+    "object_alias",
+    "search_columns",
+    "projection",
+    "time",
+    "qblock_name",
+    "remarks",
+)
 RULE = "-" * 40
 BLANK = " " * 40
 
@@ -50,9 +62,11 @@ def _of(lines: DataFrame, dbid: int | None, inst_id: int | None) -> DataFrame:
     return lines
 
 
-def plan_rows(plan_lines: DataFrame, dbid: int | None = None) -> DataFrame:
-    """Plan lines of one database, or of all, in the host's column order."""
-    return _of(plan_lines, dbid, None).select("dbid", *[c for c in PLAN_COLUMNS if c in plan_lines.columns])
+def plan_rows(plan_lines: DataFrame, dbid: int | None = None, compat: bool = False) -> DataFrame:
+    """Plan lines of one database, or of all, in the host's column order; ``compat`` adds its columns that are null."""
+    columns = [c for c in PLAN_COLUMNS if c in plan_lines.columns]
+    nulls = [F.lit(None).cast("string").alias(c) for c in ALWAYS_NULL] if compat else []
+    return _of(plan_lines, dbid, None).select("dbid", *columns, *nulls)
 
 
 def plan_table(plan_lines: DataFrame, dbid: int | None = None, inst_id: int | None = None) -> DataFrame:

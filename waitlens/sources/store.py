@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.functions import timestamp_lit
 from waitlens.operators.retention import cutoff
+from waitlens.operators.times import in_range
 
 PARTITIONS = ("dbid", "sample_date")
 
@@ -41,12 +41,7 @@ def read_samples(
     target: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Samples of a time range (both ends count) and target; only the partitions needed are read."""
-    rows = spark.read.parquet(path)
-    day = F.col("sample_date")
-    if start is not None:
-        rows = rows.where((day >= F.lit(start.date().isoformat()).cast("date")) & (F.col("sample_time") >= timestamp_lit(start)))
-    if stop is not None:
-        rows = rows.where((day <= F.lit(stop.date().isoformat()).cast("date")) & (F.col("sample_time") <= timestamp_lit(stop)))
+    rows = in_range(spark.read.parquet(path), start, stop)
     if target is not None:
         rows = rows.where((F.col("dbid") == target[0]) & (F.col("inst_id") == target[1]))
     return rows.withColumn("dbid", F.col("dbid").cast("bigint"))

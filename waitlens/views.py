@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitlens.operators import dims, history
-from waitlens.operators.hot import recent
+from waitlens.operators.times import recent
 from waitlens.plans import plan_rows
 
 Target = tuple[int, int]
@@ -53,7 +53,7 @@ def build_views(
         views["v$sqltext_with_newlines"] = texts.select("dbid", "sql_id", "sql_text")
         views["v$sql"] = dims.sql_list(tables["sqltext"], dbid)
     if "plan_lines" in have:
-        views["v$sql_plan"] = plan_rows(tables["plan_lines"], dbid)
+        views["v$sql_plan"] = plan_rows(tables["plan_lines"], dbid, compat=True)
     plain = {"v$parameter": "params", "dba_users": "users", "dba_data_files": "data_files", "all_objects": "objects"}
     for view, name in plain.items():
         if name in have:
