@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from demo import registry
 from demo.fixtures import Tables
-from waitlens.operators import history, reports
+from waitlens.operators import reports
 
 HEADLINE = (
     "top_sql_by_wait_class",
@@ -51,13 +51,13 @@ def session(cpus: str) -> SparkSession:
 def top_sql_on_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship report on every sample taken a hundred times, to show how it scales."""
     tables = Tables(spark, sf_dir)
-    span = registry.TOP_STOP - registry.TOP_START
-    samples = tables.samples(registry.TOP_STOP - span, registry.TOP_STOP)
+    samples = tables.samples(registry.TOP_START, registry.TOP_STOP)
     copies = samples.repartition(spark.sparkContext.defaultParallelism).withColumn(
         "copy", F.explode(F.sequence(F.lit(1), F.lit(COPIES)))
     )
-    rows = history.session_history(copies, tables.event_names())
-    return reports.top_sql_by_wait_class(rows, registry.TOP_START, registry.TOP_STOP)
+    return reports.top_sql_by_wait_class(
+        copies, registry.TOP_START, registry.TOP_STOP, event_names=tables.event_names()
+    )
 
 
 def measure(run) -> float:

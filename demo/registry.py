@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -44,16 +42,6 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared folder; a local one only where no cluster is."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="waitlens-")
-    return f"{base.rstrip('/')}/waitlens-{uuid.uuid4().hex}"
-
-
 def _history(t: Tables, as_of: datetime | None = None, span: timedelta | None = None, **options) -> DataFrame:
     since = None if as_of is None or span is None else as_of - span
     return history.session_history(t.samples(since, as_of), t.event_names(), **options)
@@ -69,12 +57,12 @@ def session_history(t: Tables) -> DataFrame:
 
 @query
 def top_sql_by_wait_class(t: Tables) -> DataFrame:
-    return reports.top_sql_by_wait_class(_history(t, TOP_STOP, TOP_STOP - TOP_START), TOP_START, TOP_STOP)
+    return reports.top_sql_by_wait_class(t.samples(TOP_START, TOP_STOP), TOP_START, TOP_STOP, event_names=t.event_names())
 
 
 @query
 def db_time_by_sql(t: Tables) -> DataFrame:
-    return reports.db_time_by_sql(_history(t, AS_OF, WEEK), AS_OF, WEEK, "hour")
+    return reports.db_time_by_sql(t.samples(AS_OF - WEEK, AS_OF), AS_OF, WEEK, "hour", t.event_names())
 
 
 @query
@@ -114,8 +102,8 @@ def session_sql_events(t: Tables) -> DataFrame:
 
 @query
 def activity_graph(t: Tables) -> DataFrame:
-    rows = _history(t, GRAPH_AS_OF, timedelta(minutes=DAY_MINUTES))
-    return reports.activity_graph(rows, t.event_names(), GRAPH_AS_OF, DAY_MINUTES, 900)
+    rows = t.samples(GRAPH_AS_OF - timedelta(minutes=DAY_MINUTES), GRAPH_AS_OF)
+    return reports.activity_graph(rows, t.event_names(), GRAPH_AS_OF, DAY_MINUTES, 900, stored=True)
 
 
 # snapshots of counters and metrics
@@ -192,7 +180,7 @@ def metric_recent(t: Tables) -> DataFrame:
 
 @query
 def metric_summary(t: Tables) -> DataFrame:
-    summary = history.metric_summary(history.metric_history(t.metric_history(), t.metric_names()))
+    summary = history.metric_summary(t.metric_history(), t.metric_names())
     rounded = {c: F.round(c, 6) for c in ("average", "standard_deviation")}
     return summary.withColumns(rounded)
 
@@ -406,7 +394,7 @@ def plan_render_first(t: Tables) -> DataFrame:
 
 @query
 def partitioned_roundtrip(t: Tables) -> DataFrame:
-    path = work_folder(t.spark)
+    path = sources.work_folder(t.spark)
     sources.write_samples(t.samples(), path)
     return sources.read_samples(t.spark, path, TOP_START, TOP_STOP)
 
@@ -439,14 +427,14 @@ def duplicate_keys(t: Tables) -> DataFrame:
 
 @query
 def stream_ingest(t: Tables) -> DataFrame:
-    path = work_folder(t.spark)
+    path = sources.work_folder(t.spark)
     streaming.ingest_samples(t.sample_stream(), f"{path}/samples", f"{path}/checkpoint").awaitTermination()
     return sources.read_samples(t.spark, f"{path}/samples")
 
 
 @query
 def stream_activity(t: Tables) -> DataFrame:
-    path = work_folder(t.spark)
+    path = sources.work_folder(t.spark)
     activity = streaming.activity_by_window(streaming.enrich(t.sample_stream(), t.event_names()), 3600, "1 hour")
     writer = activity.writeStream.format("parquet").outputMode("append").option("path", f"{path}/activity")
     writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()

@@ -21,6 +21,8 @@ def spark(tmp_path_factory) -> SparkSession:
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "4g",
+        # literal test frames count as small, as stored tables of their size would
+        "spark.sql.defaultSizeInBytes": "2000",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
     }
     builder = SparkSession.builder.master("local[8]").appName("waitlens-tests")

@@ -102,7 +102,7 @@ def test_metric_end_time_and_single_value_deviation(either):
     names = either.createDataFrame([(1, 1, "a", "u"), (1, 2, "b", "u"), (2, 9, "c", "u")], NAMES)
     named = history.metric_history(metrics, names)
     assert rows(named.where("metric_id = 1"), "end_time") == [(at("1 00:01:00").replace(microsecond=10000),)]
-    summary = history.metric_summary(named)
+    summary = history.metric_summary(metrics, names)
     assert rows(summary, "metric_name", "num_interval", "minval", "maxval", "average", "standard_deviation") == [
         ("a", 1, 5.0, 5.0, 5.0, None),
         ("b", 2, 1.0, 3.0, 2.0, 2**0.5),

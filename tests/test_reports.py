@@ -31,6 +31,24 @@ def test_top_sql_classes_and_ties(either):
     assert rows(wider.where("sql_id = 'c'"), "Other", "Total") == [(1, 2)]
 
 
+def test_reports_over_samples_equal_those_over_the_history(either):
+    given = [
+        sample(f"1 10:{m:02d}:00", session_id=m % 3, event_no=e, sql_id=q, session_state=s, session_type=t)
+        for m in range(0, 60, 7)
+        for e in (1, 2, 3, 4, 99)
+        for q, t in (("a", 1), (None, 2), ("b", 17))
+        for s in ("WAITING", "ON CPU", "?")
+    ]
+    stored, names = samples(either, *given), event_names(either)
+    named = history.session_history(stored, names)
+    start, stop = at("1 10:00:00"), at("1 11:00:00")
+    assert rows(reports.top_sql_by_wait_class(stored, start, stop, event_names=names)) == rows(
+        reports.top_sql_by_wait_class(named, start, stop)
+    )
+    assert rows(reports.db_time_by_sql(stored, stop, event_names=names)) == rows(reports.db_time_by_sql(named, stop))
+    assert rows(reports.activity_graph(stored, names, stop, stored=True)) == rows(reports.activity_graph(named, names, stop))
+
+
 def test_empty_window(spark):
     rows_ = seen(spark, sample("1 00:00:00"))
     assert reports.top_sql_by_wait_class(rows_, at("2 00:00:00"), at("3 00:00:00")).count() == 0

@@ -3,6 +3,7 @@ from waitlens.functions.columns import (
     blocker_session,
     blocker_status,
     bucket_start,
+    bucket_text,
     has_bits,
     null_if,
     session_type_name,
@@ -16,6 +17,7 @@ __all__ = [
     "blocker_session",
     "blocker_status",
     "bucket_start",
+    "bucket_text",
     "has_bits",
     "null_if",
     "session_type_name",

@@ -74,10 +74,14 @@ def session_type_name(flags: str) -> Column:
     return _case(f"{flags} & {SESSION_TYPE_MASK}", SESSION_TYPES, SESSION_TYPE_UNKNOWN)
 
 
-def bucket_start(moment: str, seconds: int) -> Column:
+def bucket_text(moment: str, seconds: int) -> str:
     """Start of the bucket of ``seconds`` that holds ``moment``."""
     epoch = f"unix_timestamp({moment})"
-    return F.expr(f"timestamp_seconds({epoch} - pmod({epoch}, {seconds}))")
+    return f"timestamp_seconds({epoch} - pmod({epoch}, {seconds}))"
+
+
+def bucket_start(moment: str, seconds: int) -> Column:
+    return F.expr(bucket_text(moment, seconds))
 
 
 def share_percent(part: str, total: Column) -> Column:

@@ -14,7 +14,7 @@ from waitlens.operators import hot as hot_sets
 from waitlens.operators import ingest
 from waitlens.operators.delta import counter_delta
 from waitlens.operators.history import latest_snapshot
-from waitlens.sources.store import replace_partitions
+from waitlens.sources.store import materialise, replace_partitions
 
 Tables = Mapping[str, DataFrame]
 Target = tuple[int, int]
@@ -87,9 +87,10 @@ def snapshot(
     """One snapshot of the whole fleet.
 
     ``sources`` holds the host's present rows (with dbid and instance), ``stored`` the repository. Parts whose source is
-    missing are left out. All results are new rows, but ``data_files``, which is the merged table.
+    missing are left out. All results are new rows, but ``data_files``, which is the merged table. The set of hot SQL is
+    computed here and now, once; of ``sqlstats`` only the time that holds the previous snapshots need be given.
     """
-    hot = hot_sets.hot_sql(stored["samples"], as_of, span, n_sql)
+    hot = materialise(hot_sets.hot_sql(stored["samples"], as_of, span, n_sql))
     out: dict[str, DataFrame] = {}
     if "users" in sources:
         out["users"] = ingest.append_new(sources["users"], stored["users"], ["dbid", "user_id"])
@@ -128,7 +129,7 @@ def snapshot_one(
     columns: Sequence[str] = COUNTERS,
 ) -> dict[str, DataFrame]:
     """A snapshot of one statement: its text, counters and plan lines, for every plan it was sampled with."""
-    variants = hot_sets.sql_variants(stored["samples"], sql_id, target)
+    variants = materialise(hot_sets.sql_variants(stored["samples"], sql_id, target))
     targets = variants.select("dbid", F.col("inst_id").alias("inst_num")).distinct()
     return {
         "sqltext": hot_sets.new_sql_text(variants, sources["sqltext"], stored["sqltext"]),

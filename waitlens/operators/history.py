@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from waitlens.constants import SNAPSHOT_MINUTES, SQLSTAT_DELTAS
 from waitlens.functions import blocker_session, blocker_status, session_type_name
 from waitlens.operators.delta import counter_delta
-from waitlens.operators.joins import lookup, range_lookup
+from waitlens.operators.joins import fits_broadcast, lookup, range_lookup
 
 Target = tuple[int, int]
 
@@ -82,6 +82,11 @@ ALWAYS_NULL = {
 
 _SAMPLE_SALT = ("session_id", "sample_id", "sample_time")
 
+# hundredths of a second to whole microseconds, so that the sum with the timestamp is exact
+_METRIC_END = "timestamp_micros(unix_micros(begin_time) + intsize_csec * 10000)"
+_EVENT = "case when session_state = 'WAITING' then name end as event"
+_WAIT_CLASS = "coalesce(wait_class, 'Other') as wait_class"
+
 
 def of_target(df: DataFrame, target: Target | None, inst_col: str = "inst_id") -> DataFrame:
     if target is None:
@@ -113,8 +118,8 @@ def session_history(
         session_type_name("session_type").alias("session_type"),
         F.expr("case when session_state = 'WAITING' then event_no end as event_no"),
         F.expr("case when session_state = 'WAITING' then event_no end as event_id"),
-        F.expr("case when session_state = 'WAITING' then name end as event"),
-        F.expr("coalesce(wait_class, 'Other') as wait_class"),
+        F.expr(_EVENT),
+        F.expr(_WAIT_CLASS),
         "wait_class_id",
     ]
     if "qc" in have:
@@ -130,6 +135,22 @@ def session_history(
     return rows.select(*columns)
 
 
+def named_counts(
+    samples: DataFrame, event_names: DataFrame, keys: Mapping[str, str], salt_on: Sequence[str] | None = None
+) -> DataFrame:
+    """Samples with a count ``n`` per key, state, event and wait class; keys are SQL expressions over the samples.
+
+    Names that can be broadcast are joined to the single samples (``n`` is 1); otherwise the samples are counted first,
+    so that only the counts move for the join.
+    """
+    names = event_names.select("dbid", "event_no", "name", "wait_class")
+    counts = samples.selectExpr("dbid", "event_no", "session_state", *[f"{e} as {k}" for k, e in keys.items()], "1L as n")
+    if not fits_broadcast(names):
+        counts = counts.groupBy("dbid", "event_no", "session_state", *keys).agg(F.sum("n").alias("n"))
+    named = lookup(counts, names, ["dbid", "event_no"], "inner", salt_on or list(keys))
+    return named.selectExpr(*keys, "session_state", _EVENT, _WAIT_CLASS, "n")
+
+
 def sampled_by_snapshot(
     history: DataFrame, snapshots: DataFrame, minutes: int = SNAPSHOT_MINUTES, match_target: bool = True
 ) -> DataFrame:
@@ -179,14 +200,12 @@ def metric_history(metrics: DataFrame, names: DataFrame, target: Target | None =
     named = lookup(
         rows, names.select("dbid", "metric_id", "metric_name", "metric_unit"), ["dbid", "metric_id"], "inner", ["inst_id", "begin_time"]
     )
-    # hundredths of a second to whole microseconds, so that the sum with the timestamp is exact
-    micros = F.unix_micros("begin_time") + F.col("intsize_csec") * 10000
     return named.select(
         "snap_id",
         "dbid",
         F.col("inst_id").alias("instance_number"),
         "begin_time",
-        F.timestamp_micros(micros).alias("end_time"),
+        F.expr(_METRIC_END).alias("end_time"),
         F.col("intsize_csec").alias("intsize"),
         "group_id",
         "metric_id",
@@ -196,19 +215,27 @@ def metric_history(metrics: DataFrame, names: DataFrame, target: Target | None =
     )
 
 
-def metric_summary(history: DataFrame) -> DataFrame:
-    """Per snapshot and metric: span, number of intervals, min, max, mean and sample standard deviation."""
-    keys = ["snap_id", "dbid", "instance_number", "group_id", "metric_id", "metric_name", "metric_unit"]
-    return history.groupBy(*keys).agg(
+def metric_summary(metrics: DataFrame, names: DataFrame, target: Target | None = None, dbid: int | None = None) -> DataFrame:
+    """Per snapshot and metric: span, number of intervals, min, max, mean and sample standard deviation.
+
+    Ids are summarised first and named afterwards, which moves neither names nor single values.
+    """
+    rows = of_target(metrics, target)
+    if dbid is not None:
+        rows = rows.where(F.col("dbid") == dbid)
+    keys = ["snap_id", "dbid", F.col("inst_id").alias("instance_number"), "group_id", "metric_id"]
+    summary = rows.groupBy(*keys).agg(
         F.min("begin_time").alias("begin_time"),
-        F.max("end_time").alias("end_time"),
-        F.max("intsize").alias("intsize"),
+        F.max(F.expr(_METRIC_END)).alias("end_time"),
+        F.max("intsize_csec").alias("intsize"),
         F.count("*").alias("num_interval"),
         F.min("value").alias("minval"),
         F.max("value").alias("maxval"),
         F.avg("value").alias("average"),
         F.stddev_samp("value").alias("standard_deviation"),
     )
+    named = names.select("dbid", "metric_id", "metric_name", "metric_unit")
+    return lookup(summary, named, ["dbid", "metric_id"], "inner", ["snap_id", "instance_number"])
 
 
 def sqlstat_history(

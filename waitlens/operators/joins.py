@@ -2,7 +2,9 @@
 
 A right side is broadcast only when the optimizer's estimate of its size is under a limit. Beyond it the join is
 shuffled, and rows that share one key are spread over several tasks by a salt taken from the row itself (a hash, not a
-random number, so a retried task makes the same choice). Both ways give the same rows.
+random number, so a retried task makes the same choice). A salt copies the right side, so it is used only as far as the
+copies stay small next to the left side; skew that is left then is split by adaptive execution. All ways give the same
+rows.
 """
 
 from __future__ import annotations
@@ -24,9 +26,9 @@ _STOP = "__stop"
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, or None where the session does not give it."""
+    """The optimizer's size estimate, or None for a stream or where the session does not give it."""
     plan = getattr(df, "_jdf", None)
-    if plan is None:
+    if plan is None or df.isStreaming:
         return None
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
@@ -41,11 +43,23 @@ def fits_broadcast(df: DataFrame, copies: int = 1) -> bool:
     return size is not None and size * copies <= limit
 
 
-def _salted(left: DataFrame, right: DataFrame, salt_on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    salts = int(left.sparkSession.conf.get(SALTS_SETTING, str(DEFAULT_SALTS)))
+def salt_count(left: DataFrame, right: DataFrame) -> int:
+    """How many salts to use: as many as allowed while all copies of ``right`` take at most a quarter of ``left``."""
+    allowed = int(left.sparkSession.conf.get(SALTS_SETTING, str(DEFAULT_SALTS)))
+    left_size, right_size = estimated_bytes(left), estimated_bytes(right)
+    if left_size is None or not right_size:
+        return allowed
+    return max(1, min(allowed, left_size // (4 * right_size)))
+
+
+def _shuffle_join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, salts: int, salt_on: Sequence[str] | None
+) -> DataFrame:
+    if not salt_on or salts <= 1:
+        return left.join(right, keys, how)
     left = left.withColumn(_SALT, F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int"))
     right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left, right
+    return left.join(right, [*keys, _SALT], how).drop(_SALT)
 
 
 def lookup(
@@ -69,10 +83,7 @@ def lookup(
         return facts.join(F.broadcast(side), on, how)
     if how in ("left_semi", "left_anti"):
         side = side.distinct()
-    if not salt_on:
-        return facts.join(side, on, how)
-    left, right = _salted(facts, side, salt_on)
-    return left.join(right, [*on, _SALT], how).drop(_SALT)
+    return _shuffle_join(facts, side, on, how, salt_count(facts, side), salt_on)
 
 
 def range_lookup(
@@ -98,6 +109,7 @@ def range_lookup(
         *on, *interval_columns, start.cast("bigint").alias(_START), stop.cast("bigint").alias(_STOP)
     ).where(F.col(_START) <= F.col(_STOP))
     small = max_buckets is not None and fits_broadcast(spans, copies=max_buckets)
+    salts = salt_count(facts, spans)
     first = F.floor(F.col(_START) / width)
     last = F.floor(F.col(_STOP) / width)
     spans = spans.withColumn(_BUCKET, F.explode(F.sequence(first, last)))
@@ -106,10 +118,7 @@ def range_lookup(
     keys = [*on, _BUCKET]
     if small:
         joined = keyed.join(F.broadcast(spans), keys)
-    elif salt_on:
-        left, right = _salted(keyed, spans, salt_on)
-        joined = left.join(right, [*keys, _SALT]).drop(_SALT)
     else:
-        joined = keyed.join(spans, keys)
+        joined = _shuffle_join(keyed, spans, keys, "inner", salts, salt_on)
     inside = F.col("__point").between(F.col(_START), F.col(_STOP))
     return joined.where(inside).drop(_BUCKET, _START, _STOP, "__point")

@@ -1,13 +1,23 @@
-from waitlens.sources.store import drop_expired, read_samples, replace_partitions, write_new, write_samples
+from waitlens.sources.store import (
+    drop_expired,
+    materialise,
+    read_samples,
+    replace_partitions,
+    work_folder,
+    write_new,
+    write_samples,
+)
 from waitlens.sources.tables import conform, read_table, read_wait_groups
 
 __all__ = [
     "conform",
     "drop_expired",
+    "materialise",
     "read_samples",
     "read_table",
     "read_wait_groups",
     "replace_partitions",
+    "work_folder",
     "write_new",
     "write_samples",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -70,6 +72,27 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str], orde
     writer.partitionBy(*partitions).parquet(path)
 
 
+def work_folder(spark: SparkSession) -> str:
+    """Name of a new folder in the cluster's shared folder; a local one only where there is no cluster."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="waitlens-")
+    return f"{base.rstrip('/')}/waitlens-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """The rows written to a new work folder and read back.
+
+    For a small set that several results need: it is computed once, survives lost executors, and its size is known to
+    the optimizer from then on.
+    """
+    path = f"{work_folder(df.sparkSession)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_new(df: DataFrame, path: str) -> None:
     """Write a whole dimension to a folder that does not exist yet (a table is never written over while read)."""
     df.write.mode("errorifexists").parquet(path)

@@ -32,7 +32,7 @@ def build_views(
     if {"metric_history", "metric_names"} <= have:
         named = history.metric_history(tables["metric_history"], tables["metric_names"], dbid=dbid)
         views["dba_hist_sysmetric_history"] = named
-        views["dba_hist_sysmetric_summary"] = history.metric_summary(named)
+        views["dba_hist_sysmetric_summary"] = history.metric_summary(tables["metric_history"], tables["metric_names"], dbid=dbid)
         if as_of is not None:
             of_instance = history.metric_history(tables["metric_history"], tables["metric_names"], target)
             views["v$sysmetric_history"] = recent(of_instance, as_of, timedelta(hours=2), "begin_time")
