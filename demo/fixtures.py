@@ -248,6 +248,17 @@ class Tables:
             .select("dbid", F.lit(1).cast(BIG).alias("inst_id"), "statistic", "value")
         )
 
+    def instance_stat_stream(self) -> DataFrame:
+        """Single counter readings, as a stream of the order files."""
+        orders = self.spark.readStream.schema(self.load("orders").schema).parquet(f"{self.dir}/orders*.parquet")
+        return conform(orders).selectExpr(
+            "1 + o_custkey % 3 as dbid",
+            "1L as inst_id",
+            "o_orderdate as sample_time",
+            "o_custkey % 7 as statistic",
+            "o_orderkey as value",
+        )
+
     def stat_names(self) -> DataFrame:
         """Names of statistics 0..4, even ones to be collected."""
         return self.load("region").select(

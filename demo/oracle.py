@@ -511,6 +511,21 @@ def oracle_sql() -> dict[str, str]:
            from ash where date_trunc('hour', sample_time) + interval 1 hour <= (select max(sample_time) - interval 1 hour from ash)
            group by 1, 2""",
     )
+    q["stream_db_time"] = _sql(
+        "ash",
+        f"""select date_trunc('day', sample_time) as bucket_time, {_EVENT_OR_CPU} as event, sql_id, count(*) as n
+            from ash where session_type <> 'BACKGROUND'
+              and date_trunc('day', sample_time) + interval 1 day
+                  <= (select max(sample_time) - interval 1 hour from ash where session_type <> 'BACKGROUND')
+            group by 1, 2, 3""",
+    )
+    q["stream_flagged_stats"] = _sql(
+        "stat_names",
+        """select 1 + o_custkey % 3 as dbid, cast(1 as bigint) as inst_id, o_orderdate as sample_time, o_custkey % 7 as statistic,
+                  o_orderkey as value
+           from orders where exists (select 1 from stat_names n where n.dbid = 1 + o_custkey % 3 and n.statistic = o_custkey % 7
+                and n.collect = 1)""",
+    )
     snapshot_parts = {
         "users": _APPEND_200,
         "data_files": "select * from data_files",

@@ -441,6 +441,28 @@ def stream_activity(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{path}/activity")
 
 
+@query
+def stream_db_time(t: Tables) -> DataFrame:
+    path = sources.work_folder(t.spark)
+    rows = streaming.enrich(t.sample_stream(), t.event_names()).where("session_type <> 'BACKGROUND'")
+    keys = {"event": "case when session_state = 'ON CPU' then 'ON CPU' else event end", "sql_id": "sql_id"}
+    counts = streaming.counts_by_window(rows, keys, 86400, "1 hour")
+    writer = counts.writeStream.format("parquet").outputMode("append").option("path", f"{path}/counts")
+    writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(f"{path}/counts")
+
+
+@query
+def stream_flagged_stats(t: Tables) -> DataFrame:
+    path = sources.work_folder(t.spark)
+    # six years of days arrive at once here, so by database only
+    query = streaming.ingest_counters(
+        t.instance_stat_stream(), f"{path}/stats", f"{path}/checkpoint", t.stat_names(), partitions=["dbid"]
+    )
+    query.awaitTermination()
+    return t.spark.read.parquet(f"{path}/stats").drop("sample_date")
+
+
 # composed jobs
 
 

@@ -1,3 +1,19 @@
-from waitlens.streaming.samples import activity_by_window, deduplicate, enrich, ingest_samples, read_sample_stream
+from waitlens.streaming.samples import (
+    activity_by_window,
+    counts_by_window,
+    deduplicate,
+    enrich,
+    ingest_counters,
+    ingest_samples,
+    read_sample_stream,
+)
 
-__all__ = ["activity_by_window", "deduplicate", "enrich", "ingest_samples", "read_sample_stream"]
+__all__ = [
+    "activity_by_window",
+    "counts_by_window",
+    "deduplicate",
+    "enrich",
+    "ingest_counters",
+    "ingest_samples",
+    "read_sample_stream",
+]

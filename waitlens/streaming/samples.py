@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from waitlens.operators.history import session_history
+from waitlens.operators.ingest import flagged_stats
 from waitlens.operators.reports import class_or_cpu
 from waitlens.schemas import SAMPLES
 from waitlens.sources.store import PARTITIONS, with_sample_date
@@ -38,6 +39,15 @@ def enrich(stream: DataFrame, event_names: DataFrame, **options) -> DataFrame:
     return session_history(stream, event_names, **options)
 
 
+def _append(
+    rows: DataFrame, path: str, checkpoint: str, every: str | None, partitions: Sequence[str] = PARTITIONS
+) -> StreamingQuery:
+    writer = rows.writeStream.format("parquet").outputMode("append").partitionBy(*partitions)
+    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.trigger(**trigger).start()
+
+
 def ingest_samples(
     stream: DataFrame,
     path: str,
@@ -55,19 +65,39 @@ def ingest_samples(
     rows = with_sample_date(deduplicate(stream, delay))
     spread = F.pmod(F.xxhash64("session_id", "sample_id"), F.lit(files_per_partition))
     rows = rows.repartition(*[F.col(c) for c in PARTITIONS], spread)
-    writer = rows.writeStream.format("parquet").outputMode("append").partitionBy(*PARTITIONS)
-    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    return _append(rows, path, checkpoint, every)
 
 
-def activity_by_window(history: DataFrame, seconds: int = 15, delay: str = "10 minutes", sample_interval_s: int = 1) -> DataFrame:
-    """Average active sessions per window and wait class; a window is given out once the watermark has passed it."""
-    shown = class_or_cpu()
+def ingest_counters(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    stat_names: DataFrame | None = None,
+    io_events: Sequence[str] | None = None,
+    every: str | None = None,
+    partitions: Sequence[str] = PARTITIONS,
+) -> StreamingQuery:
+    """Append instance counters as they arrive, by database and day of ``sample_time`` unless told otherwise.
+
+    ``stat_names`` keeps the statistics flagged for collection, ``io_events`` the events of that list.
+    """
+    rows = stream
+    if stat_names is not None:
+        rows = flagged_stats(rows, stat_names)
+    if io_events is not None:
+        rows = rows.where(F.col("event").isin(list(io_events)))
+    return _append(with_sample_date(rows), path, checkpoint, every, partitions)
+
+
+def counts_by_window(history: DataFrame, keys: Mapping[str, Column | str], seconds: int, delay: str = "10 minutes") -> DataFrame:
+    """Number of samples ``n`` per window and key; a window is given out once the watermark has passed it."""
+    grouping = [(F.expr(e) if isinstance(e, str) else e).alias(k) for k, e in keys.items()]
     windows = F.window("sample_time", f"{seconds} seconds")
-    counts = history.withWatermark("sample_time", delay).groupBy(windows, shown.alias("wait_class")).agg(F.count("*").alias("n"))
-    return counts.select(
-        F.col("window.start").alias("bucket_time"),
-        "wait_class",
-        (F.col("n") / (seconds / sample_interval_s)).alias("cnt"),
-    )
+    counts = history.withWatermark("sample_time", delay).groupBy(windows, *grouping).agg(F.count("*").alias("n"))
+    return counts.select(F.col("window.start").alias("bucket_time"), *keys, "n")
+
+
+def activity_by_window(history: DataFrame, seconds: int = 15, delay: str = "10 minutes", sample_interval_s: int = 1) -> DataFrame:
+    """Average active sessions per window and wait class."""
+    counts = counts_by_window(history, {"wait_class": class_or_cpu()}, seconds, delay)
+    return counts.select("bucket_time", "wait_class", (F.col("n") / (seconds / sample_interval_s)).alias("cnt"))
