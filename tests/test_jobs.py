@@ -18,6 +18,8 @@ def inputs(spark):
         "sqlstats": spark.createDataFrame([(1, 1, "a", 0, 9), (1, 1, "b", 0, 4), (2, 1, "a", 0, 3)], STATS),
         "sqltext": spark.createDataFrame([(1, "a", "select a"), (1, "b", "select b")], TEXT),
         "plan_lines": spark.createDataFrame([(1, 1, "a", 0, 0), (1, 1, "a", 0, 1), (1, 1, "b", 0, 0)], LINES),
+        "system_events": spark.createDataFrame([(1, 1, "log file sync", 3), (1, 1, "latch free", 4)], "dbid long, inst_id long, event string, total_waits long"),
+        "instance_stats": spark.createDataFrame([(1, 1, 5, 50), (1, 1, 6, 60)], "dbid long, inst_id long, statistic long, value long"),
         "event_histogram": spark.createDataFrame([(1, 1, 1, 4, 2)], "dbid long, inst_id long, event_no long, wait_time_milli long, wait_count long"),
     }
     stored = {
@@ -27,6 +29,7 @@ def inputs(spark):
         ),
         "sqltext": spark.createDataFrame([(2, "a", "select a")], TEXT),
         "plan_lines": spark.createDataFrame([], LINES),
+        "stat_names": spark.createDataFrame([(1, 5, 1), (1, 6, 0)], "dbid long, statistic long, collect long"),
         "targets": spark.createDataFrame([(1, 1), (2, 1)], "dbid long, inst_num long"),
     }
     return sources, stored
@@ -37,9 +40,11 @@ def test_snapshot_of_the_fleet(either):
     out = jobs.snapshot(sources, stored, 3, at("1 10:10:00"), columns=["executions"])
     # database 2 lacked the statement at its previous snapshot
     assert rows(out["sqlstats"], "snap_id", "dbid", "sql_id", "executions", "executions_delta") == [(3, 1, "a", 9, 4), (3, 2, "a", 3, None)]
-    assert rows(out["sqltext"]) == [(1, "a", "select a")]
+    assert rows(out["sqltext"]) == [(1, "a", "select a", 1)]
     assert rows(out["plan_lines"], "sql_id", "id") == [("a", 0), ("a", 1)]
     assert rows(out["event_histogram"], "snap_id", "wait_count") == [(3, 2)]
+    assert rows(out["io_events"], "snap_id", "event", "sample_time") == [(3, "log file sync", at("1 10:10:00"))]
+    assert rows(out["instance_stats"], "statistic", "value", "sample_time") == [(5, 50, at("1 10:10:00"))]
     assert rows(out["snapshots"]) == [(3, 1, 1, at("1 10:10:00")), (3, 2, 1, at("1 10:10:00"))]
 
 
@@ -47,7 +52,7 @@ def test_snapshot_of_one_statement(either):
     sources, stored = inputs(either)
     out = jobs.snapshot_one(sources, stored, "b", 3, at("1 10:10:00"), columns=["executions"])
     assert rows(out["sqlstats"], "dbid", "sql_id", "executions", "executions_delta") == [(1, "b", 4, None)]
-    assert rows(out["sqltext"]) == [(1, "b", "select b")]
+    assert rows(out["sqltext"]) == [(1, "b", "select b", 1)]
     assert rows(out["snapshots"], "dbid") == [(1,)]
 
 

@@ -49,6 +49,20 @@ def test_append_adds_and_overwrite_replaces_its_days(spark, stored):
     assert sources.read_samples(spark, stored).count() == 20
 
 
+def test_a_busy_day_is_written_by_many_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        busy = spark.range(200_000).selectExpr(
+            "1L as dbid", "1L as inst_id", "id as sample_id", "timestamp_seconds(1704103200 + id div 100) as sample_time", "id as session_id"
+        )
+        sources.write_samples(busy, str(tmp_path / "busy"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = list((tmp_path / "busy" / "dbid=1").glob("*/*.parquet"))
+    assert len(files) > 2
+    assert sources.read_samples(spark, str(tmp_path / "busy")).count() == 200_000
+
+
 def test_drop_expired_days(spark, stored):
     as_of = at("10 13:00:00")
     dropped = sources.drop_expired(spark, stored, "d", as_of)

@@ -178,4 +178,5 @@ METRIC_FIRST_LOAD_DAYS = 30
 GRAPH_MINUTES = 30
 GRAPH_BUCKET_SECONDS = 15
 SQL_COMMAND_TYPE = 100
+STORED_COMMAND_TYPE = 1
 PLAN_TEXT_CHARS = 300

@@ -8,7 +8,14 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waitlens.constants import HOT_OBJECT_ROWS, HOT_SQL_ROWS, SNAPSHOT_MINUTES, SQLSTAT_DELTAS, SQLSTAT_OTHER
+from waitlens.constants import (
+    HOT_OBJECT_ROWS,
+    HOT_SQL_ROWS,
+    SNAPSHOT_MINUTES,
+    SQLSTAT_DELTAS,
+    SQLSTAT_OTHER,
+    STORED_COMMAND_TYPE,
+)
 from waitlens.functions import timestamp_lit
 from waitlens.operators import hot as hot_sets
 from waitlens.operators import ingest
@@ -53,6 +60,11 @@ def load_dimensions(sources: Tables, stored: Tables) -> dict[str, DataFrame]:
     return loads
 
 
+def _new_text(hot: DataFrame, sources: Tables, stored: Tables) -> DataFrame:
+    texts = hot_sets.new_sql_text(hot, sources["sqltext"], stored["sqltext"])
+    return texts.withColumn("command_type", F.lit(STORED_COMMAND_TYPE).cast("bigint"))
+
+
 def _sqlstats_with_delta(hot: DataFrame, sources: Tables, stored: Tables, snap_id: int, columns: Sequence[str]) -> DataFrame:
     """Counters of hot SQL at this snapshot, with deltas against the target's previous one."""
     now = ingest.snapshot_stamp(hot_sets.hot_sqlstats(hot, sources["sqlstats"].drop("snap_id"), columns), snap_id)
@@ -97,7 +109,7 @@ def snapshot(
     if "data_files" in sources:
         out["data_files"] = ingest.upsert(stored["data_files"], sources["data_files"], ["dbid", "file_id"], ["file_name"])
     if "sqltext" in sources:
-        out["sqltext"] = hot_sets.new_sql_text(hot, sources["sqltext"], stored["sqltext"])
+        out["sqltext"] = _new_text(hot, sources, stored)
     if "sqlstats" in sources:
         out["sqlstats"] = _sqlstats_with_delta(hot, sources, stored, snap_id, columns)
     if "plan_lines" in sources:
@@ -110,7 +122,9 @@ def snapshot(
         rows = ingest.metric_increment(sources["metric_history"], stored["metric_history"], stored["metric_names"], as_of)
         out["metric_history"] = ingest.snapshot_stamp(rows, snap_id)
     if "system_events" in sources:
-        out["io_events"] = ingest.io_event_snapshot(sources["system_events"], snap_id)
+        out["io_events"] = ingest.io_event_snapshot(sources["system_events"], snap_id, as_of=as_of)
+    if "instance_stats" in sources:
+        out["instance_stats"] = ingest.flagged_stats(sources["instance_stats"], stored["stat_names"], as_of)
     for name in STAMPED:
         if name in sources:
             out[name] = ingest.snapshot_stamp(sources[name], snap_id)
@@ -132,7 +146,7 @@ def snapshot_one(
     variants = materialise(hot_sets.sql_variants(stored["samples"], sql_id, target))
     targets = variants.select("dbid", F.col("inst_id").alias("inst_num")).distinct()
     return {
-        "sqltext": hot_sets.new_sql_text(variants, sources["sqltext"], stored["sqltext"]),
+        "sqltext": _new_text(variants, sources, stored),
         "sqlstats": _sqlstats_with_delta(variants, sources, stored, snap_id, columns),
         "plan_lines": hot_sets.new_plan_lines(variants, sources["plan_lines"], stored["plan_lines"]),
         "snapshots": _registry(targets, snap_id, as_of),

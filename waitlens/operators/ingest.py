@@ -161,16 +161,26 @@ def snapshot_stamp(df: DataFrame, snap_id: int | Column, target: Target | None =
     return df.withColumns(stamp)
 
 
+def _timed(df: DataFrame, as_of: datetime | None) -> DataFrame:
+    return df if as_of is None else df.withColumn("sample_time", timestamp_lit(as_of))
+
+
 def io_event_snapshot(
-    system_events: DataFrame, snap_id: int | Column, target: Target | None = None, names: Sequence[str] = IO_EVENT_NAMES
+    system_events: DataFrame,
+    snap_id: int | Column,
+    target: Target | None = None,
+    names: Sequence[str] = IO_EVENT_NAMES,
+    as_of: datetime | None = None,
 ) -> DataFrame:
-    """Counters of the I/O events only, tagged with the snapshot."""
-    return snapshot_stamp(system_events.where(F.col("event").isin(list(names))), snap_id, target)
+    """Counters of the I/O events only, tagged with the snapshot and, if given, its time."""
+    rows = system_events.where(F.col("event").isin(list(names)))
+    return snapshot_stamp(_timed(rows, as_of), snap_id, target)
 
 
-def flagged_stats(stats: DataFrame, stat_names: DataFrame) -> DataFrame:
-    """Instance statistics whose name row has ``collect = 1``."""
-    return lookup(stats, stat_names.where("collect = 1"), ["dbid", "statistic"], "left_semi", _salt_columns(stats))
+def flagged_stats(stats: DataFrame, stat_names: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """Instance statistics whose name row has ``collect = 1``, with the time of the reading if given."""
+    flagged = stat_names.where("collect = 1")
+    return _timed(lookup(stats, flagged, ["dbid", "statistic"], "left_semi", _salt_columns(stats)), as_of)
 
 
 def metric_increment(

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 BROADCAST_SETTING = "spark.waitlens.broadcastBytes"
 SALTS_SETTING = "spark.waitlens.joinSalts"
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# the estimate counts compressed file bytes; in memory the rows may take some twenty times as much
+DEFAULT_BROADCAST_BYTES = 16 * 1024 * 1024
 DEFAULT_SALTS = 16
 
 _SALT = "__salt"
