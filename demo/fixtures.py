@@ -127,9 +127,9 @@ class Tables:
         )
 
     def wait_groups(self) -> DataFrame:
-        """Class by event name; a fifth of the names is missing and some classes carry a line end."""
+        """Class by event name; the names of one region are missing and some classes carry a line end."""
         classes = F.array(*[F.lit(c) for c in ("Network", "Commit", "Configuration\n", "Other")])
-        rows = self.load("nation").where(F.col("n_nationkey") % 5 != 4)
+        rows = self.load("nation").where("n_regionkey <> 4")
         return rows.select(
             F.col("n_name").alias("name"), F.element_at(classes, (F.col("n_nationkey") % 4 + 1).cast("int")).alias("wait_class")
         )
@@ -308,29 +308,26 @@ class Tables:
             )
         )
 
-    def customers(self) -> DataFrame:
-        """All customers as users of the monitored databases."""
-        return self.load("customer").select(
+    def customers(self, condition: str = "true") -> DataFrame:
+        """Customers, as users of the monitored databases."""
+        return self.load("customer").where(condition).select(
             _dbid("c_custkey"), F.col("c_custkey").alias("user_id"), F.col("c_name").alias("username")
         )
 
     def users(self) -> DataFrame:
-        return self.customers().where(F.col("user_id") < 100)
+        """The users that are stored already: customers that owe nothing."""
+        return self.customers("c_acctbal >= 0")
 
     def objects(self) -> DataFrame:
-        return (
-            self.load("part")
-            .select(
-                _dbid("p_partkey"),
-                F.col("p_partkey").alias("object_id"),
-                F.col("p_name").alias("object_name"),
-                F.col("p_type").alias("object_type"),
-            )
-            .where(F.col("object_id") < 75)
+        return self.load("part").select(
+            _dbid("p_partkey"),
+            F.col("p_partkey").alias("object_id"),
+            F.col("p_name").alias("object_name"),
+            F.col("p_type").alias("object_type"),
         )
 
-    def data_files(self) -> DataFrame:
-        return self.load("supplier").select(
+    def data_files(self, condition: str = "true") -> DataFrame:
+        return self.load("supplier").where(condition).select(
             _dbid("s_suppkey"),
             F.col("s_suppkey").alias("file_id"),
             F.col("s_name").alias("file_name"),

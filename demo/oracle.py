@@ -107,9 +107,12 @@ select concat('q', cast(l_orderkey % 40 as string)) as sql_id, l_orderkey % 3 as
        1 + l_orderkey % 3 as dbid, 1 + l_orderkey % 2 as inst_id
 from lineitem group by 1, 2, 3, 4, 5, 8, 9""",
     "customers": "select 1 + c_custkey % 3 as dbid, c_custkey as user_id, c_name as username from customer",
-    "users": "select * from customers where user_id < 100",
+    "users": "select 1 + c_custkey % 3 as dbid, c_custkey as user_id, c_name as username from customer where c_acctbal >= 0",
+    "new_users": "select 1 + c_custkey % 3 as dbid, c_custkey as user_id, c_name as username from customer where c_acctbal < 0",
+    "renamed_users": """
+select 1 + c_custkey % 3 as dbid, c_custkey as user_id, c_name as username from customer where c_mktsegment = 'BUILDING'""",
     "objects": """
-select 1 + p_partkey % 3 as dbid, p_partkey as object_id, p_name as object_name, p_type as object_type from part where p_partkey < 75""",
+select 1 + p_partkey % 3 as dbid, p_partkey as object_id, p_name as object_name, p_type as object_type from part""",
     "data_files": """
 select 1 + s_suppkey % 3 as dbid, s_suppkey as file_id, s_name as file_name, concat('ts', cast(s_nationkey as string)) as tablespace_name
 from supplier""",
@@ -163,7 +166,6 @@ _NEEDS = {
     "metric_named": ["metric_rows", "metric_names"],
     "iofuncstats": ["event_histogram"],
     "time_model": ["event_histogram"],
-    "users": ["customers"],
     "ash": ["samples", "event_names"],
     "hot_counts": ["samples"],
     "hot": ["hot_counts"],
@@ -303,8 +305,8 @@ select m.* from metric_rows m
 where intsize_csec > 2000 and exists (select 1 from metric_names n where n.dbid = m.dbid and n.metric_id = m.metric_id)
   and begin_time > coalesce((select max(begin_time) from metric_rows l where l.dbid = m.dbid and l.inst_id = m.inst_id
                              and l.begin_time < timestamp '2000-01-01 00:00:00'), timestamp '2001-10-06 00:00:00')"""
-_APPEND_200 = """
-select * from customers c where user_id < 200 and not exists (select 1 from users u where u.dbid = c.dbid and u.user_id = c.user_id)"""
+_NEW_CUSTOMERS = """
+select * from customers c where not exists (select 1 from users u where u.dbid = c.dbid and u.user_id = c.user_id)"""
 _IO_EVENTS = "select * from system_events where event not in ('latch free', 'buffer busy waits')"
 
 
@@ -418,15 +420,16 @@ def oracle_sql() -> dict[str, str]:
         """select dbid, inst_id, sample_time, session_id, session_state, event_no, sql_id, cast(epoch(sample_time) as bigint) as sample_id
            from samples""",
     )
-    q["dim_append_new"] = _sql("customers users", _APPEND_200)
-    q["dim_append_strict"] = _sql("customers", "select * from customers where user_id >= 100 and user_id < 200")
+    q["dim_append_new"] = _sql("customers users", _NEW_CUSTOMERS)
+    q["dim_append_strict"] = _sql("new_users", "select * from new_users")
     q["dim_append_strict_clash"] = _sql("customers", "select * from customers where 1 = 0")
     q["dim_upsert"] = _sql(
-        "customers users",
-        """select dbid, user_id, case when user_id >= 50 then concat(username, '*') else username end as username from users
+        "users renamed_users",
+        """select u.dbid, u.user_id, case when r.user_id is null then u.username else concat(r.username, '*') end as username
+           from users u left join renamed_users r on r.dbid = u.dbid and r.user_id = u.user_id
            union all
-           select dbid, user_id, concat(username, '*') from customers c where user_id >= 50 and user_id < 200
-             and not exists (select 1 from users u where u.dbid = c.dbid and u.user_id = c.user_id)""",
+           select dbid, user_id, concat(username, '*') from renamed_users c
+           where not exists (select 1 from users u where u.dbid = c.dbid and u.user_id = c.user_id)""",
     )
     q["metric_name_filter"] = _sql(
         "metric_named",
@@ -434,7 +437,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["wait_class_remap"] = _sql(
         "event_names",
-        """select dbid, event_no, event_id, name, case when event_no % 5 = 4 then null when event_no % 4 = 0 then 'Network'
+        """select dbid, event_no, event_id, name, case when wait_class_id = 1004 then null when event_no % 4 = 0 then 'Network'
                   when event_no % 4 = 1 then 'Commit' when event_no % 4 = 2 then 'Configuration' else 'Other' end as wait_class, wait_class_id
            from event_names""",
     )
@@ -497,9 +500,9 @@ def oracle_sql() -> dict[str, str]:
            from targets t left join samples s on s.dbid = t.dbid and s.inst_id = t.inst_num group by 1, 2, 3, 4, 5""",
     )
     q["duplicate_keys"] = _sql(
-        "customers users",
-        """select dbid, user_id, count(*) as cnt from (select * from users union all
-           select * from customers where user_id >= 50 and user_id < 200) x group by 1, 2 having count(*) > 1""",
+        "users renamed_users",
+        """select dbid, user_id, count(*) as cnt from (select * from users union all select * from renamed_users) x
+           group by 1, 2 having count(*) > 1""",
     )
 
     q["stream_ingest"] = _sql("samples", "select *, cast(sample_time as date) as sample_date from samples")
@@ -527,7 +530,7 @@ def oracle_sql() -> dict[str, str]:
                 and n.collect = 1)""",
     )
     snapshot_parts = {
-        "users": _APPEND_200,
+        "users": _NEW_CUSTOMERS,
         "data_files": "select * from data_files",
         "sqltext": _NEW_TEXT.format(hot="hot"),
         "sqlstats": one_sql.format(hot="hot"),
@@ -541,19 +544,19 @@ def oracle_sql() -> dict[str, str]:
         "snapshots": "select * from targets",
     }
     q["snapshot_job"] = _sql(
-        "hot users data_files sqltext sqltext_by_plan sqlstat_deltas plan_lines objects metric_rows metric_names system_events"
+        "hot customers users data_files sqltext sqltext_by_plan sqlstat_deltas plan_lines objects metric_rows metric_names system_events"
         " iofuncstats time_model targets",
         f"{_HOT_MONTH} {_counts(snapshot_parts)}",
     )
     q["load_dimensions"] = _sql(
-        "event_names users stat_names extents data_files",
+        "event_names customers users stat_names extents data_files",
         _counts(
             {
                 "event_names": "select * from event_names where dbid <> 1",
-                "users": _APPEND_200,
+                "users": _NEW_CUSTOMERS,
                 "stat_names": "select * from stat_names where dbid <> 1",
-                "time_model_names": "select * from event_names where event_no >= 10",
-                "extents": "select * from extents where file_id <> 1",
+                "time_model_names": "select * from event_names where dbid <> 1",
+                "extents": "select * from extents where segment_type <> 'ECONOMY'",
                 "data_files": "select * from data_files",
             }
         ),

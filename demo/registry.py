@@ -242,28 +242,28 @@ def stamp_samples(t: Tables) -> DataFrame:
     return ingest.stamp_samples(t.samples().select(*columns))
 
 
-def _user_source(t: Tables, low: int, high: int) -> DataFrame:
-    return t.customers().where((F.col("user_id") >= low) & (F.col("user_id") < high))
+NEW_USERS, RENAMED_USERS = "c_acctbal < 0", "c_mktsegment = 'BUILDING'"
+STORED_FILES = "s_acctbal >= 5000"
 
 
 @query
 def dim_append_new(t: Tables) -> DataFrame:
-    return ingest.append_new(_user_source(t, 0, 200), t.users(), ["dbid", "user_id"])
+    return ingest.append_new(t.customers(), t.users(), ["dbid", "user_id"])
 
 
 @query
 def dim_append_strict(t: Tables) -> DataFrame:
-    return ingest.append_strict(_user_source(t, 100, 200), t.users(), ["dbid", "user_id"])
+    return ingest.append_strict(t.customers(NEW_USERS), t.users(), ["dbid", "user_id"])
 
 
 @query
 def dim_append_strict_clash(t: Tables) -> DataFrame:
-    return ingest.append_strict(_user_source(t, 99, 200), t.users(), ["dbid", "user_id"])
+    return ingest.append_strict(t.customers(), t.users(), ["dbid", "user_id"])
 
 
 @query
 def dim_upsert(t: Tables) -> DataFrame:
-    renamed = _user_source(t, 50, 200).withColumn("username", F.concat("username", F.lit("*")))
+    renamed = t.customers(RENAMED_USERS).withColumn("username", F.concat("username", F.lit("*")))
     return ingest.upsert(t.users(), renamed, ["dbid", "user_id"], ["username"])
 
 
@@ -419,7 +419,7 @@ def target_coverage(t: Tables) -> DataFrame:
 
 @query
 def duplicate_keys(t: Tables) -> DataFrame:
-    return quality.duplicate_keys(t.users().unionByName(_user_source(t, 50, 200)), ["dbid", "user_id"])
+    return quality.duplicate_keys(t.users().unionByName(t.customers(RENAMED_USERS)), ["dbid", "user_id"])
 
 
 # streams, run until the files there are taken
@@ -481,7 +481,7 @@ def snapshot_job(t: Tables) -> DataFrame:
     early = F.col("begin_time") < F.lit(METRIC_LOADED.isoformat(sep=" ")).cast("timestamp")
     outputs = jobs.snapshot(
         {
-            "users": _user_source(t, 0, 200),
+            "users": t.customers(),
             "data_files": t.data_files(),
             "sqltext": t.sqltext_by_plan(),
             "sqlstats": stats.where(F.col("snap_id") == last),
@@ -496,7 +496,7 @@ def snapshot_job(t: Tables) -> DataFrame:
         {
             "samples": t.samples(AS_OF - MONTH, AS_OF),
             "users": t.users(),
-            "data_files": t.data_files().where(F.col("file_id") % 2 == 0),
+            "data_files": t.data_files(STORED_FILES),
             "sqltext": t.sqltext().where(F.col("dbid") == 1),
             "sqlstats": stats.where(F.col("snap_id") < last),
             "plan_lines": t.plan_lines().where(F.col("inst_id") == 1),
@@ -520,7 +520,7 @@ def load_dimensions(t: Tables) -> DataFrame:
     outputs = jobs.load_dimensions(
         {
             "event_names": names,
-            "users": _user_source(t, 0, 200),
+            "users": t.customers(),
             "stat_names": t.stat_names().drop("collect"),
             "time_model_names": t.time_model_names(),
             "extents": t.extents(),
@@ -530,9 +530,9 @@ def load_dimensions(t: Tables) -> DataFrame:
             "event_names": names.where(F.col("dbid") == 1),
             "users": t.users(),
             "stat_names": t.stat_names().where(F.col("dbid") == 1),
-            "time_model_names": t.time_model_names().where(F.col("stat_id") < 10),
-            "extents": t.extents().where(F.col("file_id") == 1),
-            "data_files": t.data_files().where(F.col("file_id") % 2 == 0),
+            "time_model_names": t.time_model_names().where(F.col("dbid") == 1),
+            "extents": t.extents().where(F.col("segment_type") == "ECONOMY"),
+            "data_files": t.data_files(STORED_FILES),
         },
     )
     return _row_counts(outputs)

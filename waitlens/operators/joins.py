@@ -24,6 +24,7 @@ _SALT = "__salt"
 _BUCKET = "__bucket"
 _START = "__start"
 _STOP = "__stop"
+_POINT = "__point"
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -109,17 +110,12 @@ def range_lookup(
     spans = intervals.select(
         *on, *interval_columns, start.cast("bigint").alias(_START), stop.cast("bigint").alias(_STOP)
     ).where(F.col(_START) <= F.col(_STOP))
-    small = max_buckets is not None and fits_broadcast(spans, copies=max_buckets)
-    salts = salt_count(facts, spans)
-    first = F.floor(F.col(_START) / width)
-    last = F.floor(F.col(_STOP) / width)
-    spans = spans.withColumn(_BUCKET, F.explode(F.sequence(first, last)))
-    keyed = facts.withColumn("__point", point.cast("bigint"))
-    keyed = keyed.withColumn(_BUCKET, F.floor(F.col("__point") / width))
+    buckets = F.expr(f"explode(sequence(floor({_START} / {width}), floor({_STOP} / {width})))")
+    bucketed = spans.withColumn(_BUCKET, buckets)
+    keyed = facts.withColumn(_POINT, point.cast("bigint")).withColumn(_BUCKET, F.expr(f"floor({_POINT} / {width})"))
     keys = [*on, _BUCKET]
-    if small:
-        joined = keyed.join(F.broadcast(spans), keys)
+    if max_buckets is not None and fits_broadcast(spans, copies=max_buckets):
+        joined = keyed.join(F.broadcast(bucketed), keys)
     else:
-        joined = _shuffle_join(keyed, spans, keys, "inner", salts, salt_on)
-    inside = F.col("__point").between(F.col(_START), F.col(_STOP))
-    return joined.where(inside).drop(_BUCKET, _START, _STOP, "__point")
+        joined = _shuffle_join(keyed, bucketed, keys, "inner", salt_count(facts, spans), salt_on)
+    return joined.where(f"{_POINT} between {_START} and {_STOP}").drop(_BUCKET, _START, _STOP, _POINT)
