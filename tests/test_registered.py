@@ -7,9 +7,10 @@ from conftest import SF_DIR
 
 import __spark_entry__ as entry_module
 import oracle_check
+from demo import oracle, registry
 
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
