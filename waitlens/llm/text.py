@@ -70,12 +70,13 @@ class Chunk(NamedTuple):
         """The row in the chunk of each word."""
         return np.repeat(np.arange(self.stop - self.start), self.counts)
 
-    def hashes(self) -> np.ndarray:
-        """A hash of each word."""
+    def hashes(self, head: int | None = None) -> np.ndarray:
+        """A hash of each word, or of its first `head` bytes."""
+        ends = self.ends if head is None else np.minimum(self.ends, self.starts + head)
         with np.errstate(over="ignore"):
             sums = np.concatenate([np.zeros(1, _U), np.cumsum(_OF_BYTE[self.data] * powers(len(self.data)))])
-            own = (sums[self.ends] - sums[self.starts]) * powers(len(self.data) + 1, _UNBASE)[self.starts]
-            return mix(own + (self.ends - self.starts).astype(_U))
+            own = (sums[ends] - sums[self.starts]) * powers(len(self.data) + 1, _UNBASE)[self.starts]
+            return mix(own + (ends - self.starts).astype(_U), head or 0)
 
     def bytes_of(self, row: int) -> bytes:
         return self.data[self.offsets[row] : self.offsets[row + 1]].tobytes()
@@ -96,7 +97,8 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(column: pa.Array, lower: bool = False, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
+def chunks(column: pa.Array, lower: bool = False, limit: int = CHUNK_BYTES, inside: np.ndarray = _IN_WORD) -> Iterator[Chunk]:
+    """inside: for each byte whether it belongs to words."""
     data, offsets = utf8(column)
     start, rows = 0, len(offsets) - 1
     while start < rows:
@@ -104,12 +106,12 @@ def chunks(column: pa.Array, lower: bool = False, limit: int = CHUNK_BYTES) -> I
         stop = min(max(stop, start + 1), rows)
         own = offsets[start : stop + 1] - offsets[start]
         part = data[offsets[start] : offsets[stop]]
-        yield _cut(start, stop, _LOWER[part] if lower else part, own)
+        yield _cut(start, stop, _LOWER[part] if lower else part, own, inside)
         start = stop
 
 
-def _cut(start: int, stop: int, data: np.ndarray, offsets: np.ndarray) -> Chunk:
-    inside = _IN_WORD[data]
+def _cut(start: int, stop: int, data: np.ndarray, offsets: np.ndarray, of_word: np.ndarray) -> Chunk:
+    inside = of_word[data]
     before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]
     edges = offsets[:-1][np.diff(offsets) > 0]
