@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat_format, ngram_join, packing, quality_rules, sharding, substring_dedup, toxicity
+from waitlens.llm import chat_format, ngram_join, packing, pitman_yor, quality_rules, sharding, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(_table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
@@ -72,7 +76,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_quality_rules, op3_chat_formatting, op4_substring_dedup, op6_toxicity, op7_packing, op10_sharding)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_quality_rules, op3_chat_formatting, op4_substring_dedup, op5_lm_scoring, op6_toxicity, op7_packing, op10_sharding)}
 
 
 _CHATS_SQL = """
