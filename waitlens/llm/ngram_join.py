@@ -38,7 +38,8 @@ PERCENT = 85
 #: Coordinates of the points in a tree, entries of a node, and shingles of a block of sets.
 GROUPS = 64
 FAN = 8
-BLOCK_SHINGLES = 600_000
+BLOCK_SHINGLES = 250_000
+_SLICE = 1 << 14
 _SPARE = 3  # groups that may be empty, besides one in 32
 
 _U = np.uint64
@@ -190,27 +191,32 @@ def _pack_order(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return order[np.lexsort((points[order, 0], points[order, : GROUPS // 2].sum(axis=1), slabs))]
 
 
-def candidate_pairs(points: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of points whose bound on the overlap reaches what their sizes need, found by descending the tree."""
+def candidate_pairs(points: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of points whose bound on the overlap reaches what their sizes need, found by descending the tree.
+
+    Pairs of nodes are followed down a slice at a time, so that few are held at once.
+    """
     order = _pack_order(points, sizes)
     levels = _packed(points[order], sizes[order])
-    a = b = np.zeros(1, np.int64)
-    for depth in range(len(levels) - 1, -1, -1):
+    kids = np.arange(FAN)
+    waiting = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    while waiting:
+        depth, a, b = waiting.pop()
+        if len(a) > _SLICE:
+            waiting += [(depth, a[_SLICE:], b[_SLICE:]), (depth, a[:_SLICE], b[:_SLICE])]
+            continue
         top, least, _ = levels[depth]
-        keep = np.zeros(len(a), bool)
-        for i in range(0, len(a), 1 << 15):
-            x, y = a[i : i + (1 << 15)], b[i : i + (1 << 15)]
-            keep[i : i + len(x)] = np.minimum(top[x], top[y]).sum(axis=1) >= _needed(least[x] + least[y], percent)
+        keep = np.minimum(top[a], top[b]).sum(axis=1) >= _needed(least[a] + least[b], percent)
         a, b = a[keep], b[keep]
-        if depth:
+        if not depth:
+            apart = a != b
+            yield order[a[apart]], order[b[apart]]
+        elif len(a):
             n = len(levels[depth - 1][1])
-            kids = np.arange(FAN)
             x = (a[:, None, None] * FAN + kids[:, None] + 0 * kids).reshape(-1)
             y = (b[:, None, None] * FAN + kids + 0 * kids[:, None]).reshape(-1)
             fine = (x < n) & (y < n) & (x <= y)
-            a, b = x[fine], y[fine]
-    apart = a != b
-    return order[a[apart]], order[b[apart]]
+            waiting.append((depth - 1, x[fine], y[fine]))
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -232,6 +238,12 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def _between(a: np.ndarray, b: np.ndarray, own: np.ndarray, one: int, two: int) -> Iterator[tuple[int, int]]:
+    """The pairs of a set of one block and a set of the other."""
+    apart = (own[a] == one) & (own[b] == two) | (own[a] == two) & (own[b] == one)
+    return zip(a[apart].tolist(), b[apart].tolist(), strict=True)
+
+
 def _verify(percent: int):
     """Of each task's sets (near, one, two, own, set, copies, shingles): rows (a, b, null) that span its links, and (a, null, links)."""
 
@@ -245,11 +257,10 @@ def _verify(percent: int):
             rows = np.repeat(np.arange(len(ids)), sizes)
             cells = rows * GROUPS + (np.concatenate(found) >> _U(58)).astype(np.int64)
             points = np.bincount(cells, minlength=len(ids) * GROUPS).reshape(-1, GROUPS)
-            a, b = candidate_pairs(points.astype(np.int32), sizes, percent)
-            apart = (own[a] == one) & (own[b] == two) | (own[a] == two) & (own[b] == one)
             links, parent, spanning = np.zeros(len(ids), np.int64), list(range(len(ids))), []
             sets: dict[int, frozenset] = {}
-            for x, y in zip(a[apart].tolist(), b[apart].tolist(), strict=True):
+            found_pairs = candidate_pairs(points.astype(np.int32), sizes, percent)
+            for x, y in (pair for a, b in found_pairs for pair in _between(a, b, own, one, two)):
                 for i in (x, y):
                     if i not in sets:
                         sets[i] = frozenset(found[i].tolist())
