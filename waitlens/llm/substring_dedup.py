@@ -17,7 +17,6 @@ Columns of the input named like a result are replaced.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +30,6 @@ WORDS = 13
 RESULTS = ("n_words", "n_removed", "kept_text")
 
 
-def _checksum(text: bytes) -> int:
-    return crc32(text) & 0x7FFFFFFF
-
-
 def _starts(chunk, size: int) -> np.ndarray:
     """The words of a chunk at which a window lies in one row."""
     ends = np.repeat(chunk.first[1:], chunk.counts)
@@ -58,7 +53,7 @@ def _names(size: int):
 
 
 def _windows(size: int, key: int, text: int, shared: int):
-    """Hashes of the windows whose anchors are shared; `at` holds the text's checksum and the first word's place."""
+    """Hashes of the windows whose anchors are shared, each once for a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,27 +66,27 @@ def _windows(size: int, key: int, text: int, shared: int):
                 hashes = signed(window_hashes(words, size))
                 for i in range(chunk.stop - chunk.start):
                     a, b = edges[i], edges[i + 1]
-                    own = starts[a:b][np.isin(names[a:b], known[chunk.start + i].values.to_numpy())]
-                    places = (_checksum(chunk.bytes_of(i)) << 32) | (own - chunk.first[i])
+                    own = np.unique(hashes[starts[a:b][np.isin(names[a:b], known[chunk.start + i].values.to_numpy())]])
                     same = np.full(len(own), ids[chunk.start + i])
-                    yield pa.RecordBatch.from_arrays([pa.array(same), pa.array(hashes[own]), pa.array(places)], ["id", "hash", "at"])
+                    yield pa.RecordBatch.from_arrays([pa.array(same), pa.array(own)], ["id", "hash"])
 
     return run
 
 
 def _remove(size: int, text: int, at: int):
-    """The columns of the input, then the results; `at` is the column of the places of windows, null where nothing goes."""
+    """The columns of the input, then the results; `at` is the column of hashes of windows to remove, null where nothing goes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts = batch.column(at)
+            repeated = batch.column(at)
             n_words, n_removed, kept = [], [], []
             for chunk in chunks(batch.column(text)):
                 words, gone = chunk.words(), np.zeros(len(chunk.starts) + size + 1, np.int64)
+                hashes = signed(window_hashes(chunk.hashes(), size)) if repeated.null_count < len(repeated) else None
                 for i in range(chunk.stop - chunk.start):
-                    if starts[chunk.start + i].is_valid:
-                        own = np.unique(starts[chunk.start + i].values.to_numpy())
-                        own = (own[own >> 32 == _checksum(chunk.bytes_of(i))] & 0xFFFFFFFF) + chunk.first[i]
+                    a, b = chunk.first[i], chunk.first[i + 1] - size + 1
+                    if repeated[chunk.start + i].is_valid and a < b:
+                        own = a + np.flatnonzero(np.isin(hashes[a:b], repeated[chunk.start + i].values.to_numpy()))
                         gone[own] += 1
                         gone[own + size] -= 1
                 stays = np.cumsum(gone)[: len(words)] == 0
@@ -130,11 +125,11 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     # both joins are outer ones over all columns, so that they share one exchange of the texts
     suspects = base.join(shared.hint("shuffle_merge"), F.col(id_column) == F.col("wl_id"), "left").drop("wl_id")
     later = (
-        suspects.mapInArrow(_windows(words, columns.index(id_column), columns.index(text), len(columns)), "id long, hash long, at long")
-        .select("id", "at", F.min("id").over(Window.partitionBy("hash")).alias("least"))
+        suspects.mapInArrow(_windows(words, columns.index(id_column), columns.index(text), len(columns)), "id long, hash long")
+        .select("id", "hash", F.min("id").over(Window.partitionBy("hash")).alias("least"))
         .where("id > least")
         .groupBy(F.col("id").alias("wl_id"))
-        .agg(F.collect_list("at").alias("wl_places"))
+        .agg(F.collect_list("hash").alias("wl_hashes"))
     )
     joined = base.join(later.hint("shuffle_merge"), F.col(id_column) == F.col("wl_id"), "left").drop("wl_id")
     schema = base.schema
