@@ -27,31 +27,59 @@ from waitlens.llm.work import stored
 SEQUENCE = 4096
 END = 2
 CACHED_WORDS = 400_000
+_SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 _PIECES = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def _encoder(tokenizer: str):
-    """Token ids of a text as bytes of unsigned 16-bit (or 32-bit) numbers.
+class _Encoder:
+    """Token ids of words as bytes, from the tokenizer or from a worker's memory of the words of late.
 
-    The tokenizer drops white space and never joins over it, so words are encoded one by one and kept for the next text.
+    The tokenizer drops white space, never joins over it, and ignores case, so a text's tokens are those of its words in lower
+    case. It never joins letters and signs either, so signs at a word's end are a word of their own.
     """
-    from tokenizers import Tokenizer
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    model = Tokenizer.from_file(tokenizer)
-    model.encode_special_tokens = True
-    known: dict[bytes, bytes] = {}
-
-    def encode(words: list[bytes]) -> list[bytes]:
-        new = list({w for w in words if w not in known})
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list(set(words))
-        for word, tokens in zip(new, model.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            known[word] = np.array(tokens.ids, np.uint32).tobytes()
-        return [known[w] for w in words]
-
-    return encode
+    def __init__(self, tokenizer: str):
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.model = Tokenizer.from_file(tokenizer)
+        self.model.encode_special_tokens = True
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        coded = self.model.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [np.array(c.ids, np.uint32).tobytes() for c in coded]
+
+    def __call__(self, words: list[bytes]) -> list[bytes]:
+        different = set(words)
+        fresh = different - self.young.keys()
+        for word in fresh & self.old.keys():
+            self.young[word] = self.old[word]
+        fresh = fresh - self.old.keys()
+        parts: dict[bytes, tuple[bytes, bytes]] = {}
+        for word in fresh:
+            core = word.rstrip(_SIGNS)
+            parts[word] = (core.lower(), word[len(core) :]) if core and core[-1] in _PLAIN else (word.lower(), b"")
+        cores = [c for c in {p for pair in parts.values() for p in pair if p} if c not in self.young]
+        self.young.update(zip(cores, self._encoded(cores), strict=True))
+        for word, (core, signs) in parts.items():
+            self.young[word] = self.young[core] + (self.young[signs] if signs else b"")
+        known = self.young
+        coded = [known[w] for w in words]
+        if len(known) > CACHED_WORDS:
+            self.old, self.young = known, {}
+        return coded
+
+
+_encoders: dict[str, _Encoder] = {}  # of a worker, for its next tasks
+
+
+def _encoder(tokenizer: str) -> _Encoder:
+    if tokenizer not in _encoders:
+        _encoders[tokenizer] = _Encoder(tokenizer)
+    return _encoders[tokenizer]
 
 
 def _tokens(tokenizer: str, end: int):
@@ -61,8 +89,8 @@ def _tokens(tokenizer: str, end: int):
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             data, offsets = data.tobytes(), offsets.tolist()
-            for low in range(0, batch.num_rows, 64):
-                texts = [data[a:b].split() for a, b in zip(offsets[low : low + 64], offsets[low + 1 : low + 65], strict=False)]
+            for low in range(0, batch.num_rows, 256):
+                texts = [data[a:b].split() for a, b in zip(offsets[low : min(low + 256, batch.num_rows)], offsets[low + 1 : low + 257], strict=True)]
                 coded, ids, done = encode([w for words in texts for w in words]), [], 0
                 for words in texts:
                     ids.append(b"".join(coded[done : done + len(words)]) + last)
