@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat_format, ngram_join, packing, pitman_yor, quality_rules, sharding, substring_dedup, toxicity
+from waitlens.llm import chat_format, nbest, ngram_join, packing, pitman_yor, quality_rules, sharding, substring_dedup, toxicity, vector_search
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,12 +71,52 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each document the best segmentations: pieces and checksum of the best, all scores, whether each decodes to the text."""
+    import public_tokenizers
+
+    model = str(public_tokenizers.path("piece_bpe_32k.model"))
+    read = nbest.decoded(nbest.encode(_table(spark, sf_dir, "documents"), model), model)
+    return read.select(
+        F.col("id").alias("doc_id"),
+        F.size(F.col("ids")[0]).cast("long").alias("n_pieces"),
+        F.crc32(F.array_join(F.col("ids")[0], ",")).alias("ids_crc32"),
+        "scores",
+        F.forall("decoded", lambda x: x == F.coalesce("text", F.lit(""))).alias("decodes"),
+    )
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.byte_shards(_table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_quality_rules, op3_chat_formatting, op4_substring_dedup, op5_lm_scoring, op6_toxicity, op7_packing, op10_sharding)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_ngram_jaccard_join,
+            op2_quality_rules,
+            op3_chat_formatting,
+            op4_substring_dedup,
+            op5_lm_scoring,
+            op6_toxicity,
+            op7_packing,
+            op8_nearest_neighbours,
+            op9_sentencepiece,
+            op10_sharding,
+            pipeline,
+        )
+    }
 
 
 _CHATS_SQL = """
