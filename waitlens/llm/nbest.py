@@ -184,4 +184,4 @@ def encode(docs: DataFrame, model: str, n: int = BEST, id_column: str = "doc_id"
 
 def decoded(encoded: DataFrame, model: str) -> DataFrame:
     """The rows of `encode` with `decoded`, the texts of the segmentations."""
-    return encoded.mapInArrow(_decode(model), encoded.schema.add("decoded", T.ArrayType(T.StringType())))
+    return encoded.mapInArrow(_decode(model), T.StructType([*encoded.schema.fields, T.StructField("decoded", T.ArrayType(T.StringType()))]))

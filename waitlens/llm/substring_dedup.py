@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waitlens.llm import recompression
 from waitlens.llm.text import chunks, signed, window_hashes
@@ -132,7 +133,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
         .agg(F.collect_list("hash").alias("wl_hashes"))
     )
     joined = base.join(later.hint("shuffle_merge"), F.col(id_column) == F.col("wl_id"), "left").drop("wl_id")
-    schema = base.schema
+    schema = T.StructType(list(base.schema.fields))
     for name, kind in zip(RESULTS, ("long", "long", "string"), strict=True):
         schema = schema.add(name, kind)
     return joined.mapInArrow(_remove(words, columns.index(text), len(columns)), schema)
