@@ -26,7 +26,7 @@ from waitlens.llm.work import stored
 
 SEQUENCE = 4096
 END = 2
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 _SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 _PIECES = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
