@@ -215,16 +215,19 @@ _SQL_KEYS = {"sql_id": "sql_id", "sql_plan_hash_value": "sql_plan_hash_value"}
 _SESSION = f"session_id = 7 and {_LAST_MONTH}"
 _EVENT = f"{_LAST_WEEK} and session_type <> 'BACKGROUND' and event = 'NATION_0'"
 
+_CLASS_TITLES = {
+    "User I/O": "User I/O", "System I/O": "System I/O", "Administrative": "Administration", "Other": "Other",
+    "Configuration": "Configuration", "Application": "Application", "Concurrency": "Concurrency", "Network": "Network",
+}
+_WAITS = ", ".join(
+    f"""nullif(count(*) filter (where session_state = 'WAITING' and wait_class = '{c}'), 0) as "{title}\""""
+    for c, title in _CLASS_TITLES.items()
+)
+
 _TOP_SQL = f"""
-select sql_id, max(case when wait_class = 'ON CPU' then wt end) as "CPU",
-       {", ".join(f"max(case when wait_class = '{c}' then wt end) as {chr(34)}{c}{chr(34)}" for c in (
-           "User I/O", "System I/O", "Administrative", "Other", "Configuration", "Application", "Concurrency", "Network"))},
-       cast(max(r) as bigint) as "Total"
-from (select sql_id, wait_class, wt, sum(wt) over (partition by sql_id) as r
-      from (select sql_id, wait_class, count(*) as wt from ash where {_TOP_RANGE} and session_state = 'WAITING' group by 1, 2
-            union
-            select sql_id, 'ON CPU', count(*) from ash where {_TOP_RANGE} and session_state = 'ON CPU' group by 1) u
-      where sql_id is not null) w
+select sql_id, nullif(count(*) filter (where session_state = 'ON CPU'), 0) as "CPU", {_WAITS}, count(*) as "Total"
+from ash
+where {_TOP_RANGE} and session_state in ('WAITING', 'ON CPU') and sql_id is not null
 group by sql_id order by "Total" desc, sql_id limit 9"""
 
 _GRAPH = f"""
@@ -467,7 +470,7 @@ def oracle_sql() -> dict[str, str]:
     plan_columns = "dbid, sql_id, plan_hash_value, operation, options, id, parent_id, depth"
     q["plan_rows"] = _sql("plan_lines", f"select {plan_columns} from plan_lines where dbid = 1")
     q["plan_table"] = _sql("plan_lines", f"select distinct {plan_columns} from plan_lines")
-    texts = "select distinct substr(sql_text, 1, 300) as text from sqltext where sql_id = 'q7'"
+    texts = "select distinct sql_text as text from sqltext where sql_id = 'q7'"
     q["plan_render"] = _sql(
         "plan_text sqltext",
         _render("select distinct plan_hash_value from plan_text", f"select min(text) as text from ({texts}) m", "select * from plan_text"),

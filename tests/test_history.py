@@ -73,16 +73,6 @@ def test_history_by_snapshot_ends_count(either):
         (2, 1, at("1 00:15:00")),
         (3, 1, at("1 00:45:00")),
     ]
-    # by time alone, the other database's snapshot matches as well and gives its dbid
-    loose = history.sampled_by_snapshot(seen, snaps, 15, match_target=False).where("snap_id in (2, 7)")
-    assert rows(loose, "snap_id", "dbid", "instance_number", "sample_time") == [
-        (2, 1, 1, at("1 00:15:00")),
-        (2, 1, 2, at("1 00:15:00")),
-        (7, 2, 1, at("1 00:00:00")),
-        (7, 2, 1, at("1 00:14:50")),
-        (7, 2, 1, at("1 00:15:00")),
-        (7, 2, 2, at("1 00:15:00")),
-    ]
 
 
 METRICS = "dbid long, inst_id long, snap_id long, begin_time timestamp, intsize_csec long, group_id long, metric_id long, value double"

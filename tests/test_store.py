@@ -172,7 +172,9 @@ def test_render(spark):
         "   1 |  TABLE ACCESS FULL | T | cost=5",
     ]
     one = [r.text for r in render(lines(spark), texts, "a", plan=7).collect()]
-    assert one[2:4] == ["select", "y" * 300] and one[5] == "Plan hash value is :7" and len(one) == 8
+    assert one[2:4] == ["select", "y" * 400] and one[5] == "Plan hash value is :7" and len(one) == 8
+    short = [r.text for r in render(lines(spark), texts, "a", plan=7, text_chars=300).collect()]
+    assert short[2:4] == ["select", "y" * 300]
     assert [r.text for r in render_first(lines(spark), "a").collect()] == ["Plan hash value is :3", "   0 | SELECT"]
     assert [r.text for r in render(lines(spark), texts, "none").collect()] == ["SQL ID none", "-" * 40]
     assert render_first(lines(spark), "none").count() == 0

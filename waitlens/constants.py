@@ -179,4 +179,6 @@ GRAPH_MINUTES = 30
 GRAPH_BUCKET_SECONDS = 15
 SQL_COMMAND_TYPE = 100
 STORED_COMMAND_TYPE = 1
-PLAN_TEXT_CHARS = 300
+
+#: Fixed value: the report titles one class by another word.
+REPORT_TITLES = {"Administrative": "Administration"}

@@ -152,36 +152,33 @@ def named_counts(
 
 
 def sampled_by_snapshot(
-    history: DataFrame, snapshots: DataFrame, minutes: int = SNAPSHOT_MINUTES, match_target: bool = True
+    history: DataFrame, snapshots: DataFrame, minutes: int = SNAPSHOT_MINUTES
 ) -> DataFrame:
     """One in ten history rows (seconds ending in 0) with the snapshots whose interval holds them.
 
-    Both ends of an interval count, so a row on a shared end has two snapshots. Without ``match_target`` a row meets the
-    snapshots of every target and takes the snapshot's dbid.
+    Both ends of an interval count, so a row on a shared end has two snapshots.
     """
     seconds = minutes * 60
     thinned = history.where(F.second("sample_time") % 10 == 0)
     begin = F.unix_timestamp("hist_date")
     intervals = snapshots.select(
         F.col("hist_sample_id").alias("snap_id"),
-        F.col("dbid").alias("dbid" if match_target else "__dbid"),
-        F.col("instance_number").alias("inst_id" if match_target else "__inst"),
+        F.col("dbid").alias("dbid"),
+        F.col("instance_number").alias("inst_id"),
         begin.alias("__begin"),
     )
     joined = range_lookup(
         thinned,
         intervals,
-        ["dbid", "inst_id"] if match_target else [],
+        ["dbid", "inst_id"],
         point=F.unix_timestamp("sample_time"),
         start=F.col("__begin"),
         stop=F.col("__begin") + seconds,
         width=seconds,
         max_buckets=2,
         salt_on=[c for c in _SAMPLE_SALT if c in history.columns],
-        interval_columns=["snap_id"] if match_target else ["snap_id", "__dbid"],
+        interval_columns=["snap_id"],
     )
-    if not match_target:
-        joined = joined.withColumn("dbid", F.col("__dbid"))
     rest = [c for c in history.columns if c not in ("dbid", "inst_id")]
     return joined.select("snap_id", "dbid", F.col("inst_id").alias("instance_number"), *rest)
 

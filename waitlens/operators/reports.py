@@ -13,7 +13,7 @@ from waitlens.constants import (
     GRAPH_CLASS_ORDER,
     GRAPH_FILLER,
     GRAPH_MINUTES,
-    REPORT_WAIT_CLASSES,
+    REPORT_TITLES, REPORT_WAIT_CLASSES,
     TOP_SQL_ROWS,
 )
 from waitlens.functions import bucket_start, bucket_text, session_type_name, share_percent, timestamp_text
@@ -49,7 +49,7 @@ def top_sql_by_wait_class(
     rows = in_range(history, start, stop).where("sql_id is not null and session_state in ('ON CPU', 'WAITING')")
     counts = _counted(rows, event_names, {"sql_id": "sql_id"})
     on_cpu = _sum_if("session_state = 'ON CPU'").alias("CPU")
-    classes = [_sum_if(f"session_state = 'WAITING' and wait_class = '{c}'").alias(c) for c in REPORT_WAIT_CLASSES]
+    classes = [_sum_if(f"session_state = 'WAITING' and wait_class = '{c}'").alias(REPORT_TITLES.get(c, c)) for c in REPORT_WAIT_CLASSES]
     totals = counts.groupBy("sql_id").agg(on_cpu, *classes, F.sum("n").alias("Total"))
     return totals.orderBy(F.desc("Total"), F.asc("sql_id")).limit(n)
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waitlens.constants import PLAN_TEXT_CHARS
 
 PLAN_COLUMNS = (
     "sql_id",
@@ -112,18 +111,20 @@ def _plan_lines(lines: DataFrame) -> DataFrame:
 
 
 def render(
-    plan_lines: DataFrame, sqltext: DataFrame, sql_id: str, plan: int | None = None, dbid: int | None = None
+    plan_lines: DataFrame, sqltext: DataFrame, sql_id: str, plan: int | None = None, dbid: int | None = None,
+    text_chars: int | None = None,
 ) -> DataFrame:
     """Text of one statement and its plans, one row per line, ordered by section, plan and line.
 
     Without ``plan`` every stored plan is shown and one text; with it, that plan and every stored text.
+    ``text_chars`` shortens the texts shown; which texts there are is judged on the whole ones.
     """
     spark = plan_lines.sparkSession
     lines = plan_table(plan_lines, dbid).where(F.col("sql_id") == sql_id)
     texts = sqltext.where(F.col("sql_id") == sql_id)
     if dbid is not None:
         texts = texts.where(F.col("dbid") == dbid)
-    shown = texts.select(F.substring("sql_text", 1, PLAN_TEXT_CHARS).alias("text")).distinct()
+    shown = texts.select(F.col("sql_text").alias("text")).distinct()
     head = spark.range(1)
     if plan is None:
         plans = lines.select("plan_hash_value").distinct()
@@ -131,6 +132,8 @@ def render(
     else:
         lines = lines.where(F.col("plan_hash_value") == plan)
         plans = head.select(F.lit(plan).alias("plan_hash_value"))
+    if text_chars is not None:
+        shown = shown.select(F.substring("text", 1, text_chars).alias("text"))
     hash_value, no_plan = F.col("plan_hash_value"), F.lit(None)
     parts = [
         head.select(*_row(_HEADER, no_plan, F.lit(0), F.lit(f"SQL ID {sql_id}"))),
