@@ -38,7 +38,7 @@ PERCENT = 85
 #: Coordinates of the points in a tree, entries of a node, and shingles of a block of sets.
 GROUPS = 64
 FAN = 8
-BLOCK_SHINGLES = 250_000
+BLOCK_SHINGLES = 500_000
 _SLICE = 1 << 14
 _SPARE = 3  # groups that may be empty, besides one in 32
 
@@ -315,13 +315,15 @@ def jaccard_components(
     rank = F.row_number().over(Window.partitionBy("near").orderBy("size", "set"))
     blocks = F.least("sets", F.ceil(F.col("total") / BLOCK_SHINGLES))
     members = members.join(sums, "near").withColumns({"blocks": blocks, "own": F.floor((rank - 1) * blocks / F.col("sets"))})
-    members = members.select("near", "set", "copies", "own", "blocks", "at.*", "size")
+    members = members.select("near", "set", "copies", "own", "at.*", "size")
     chosen = bodies.join(members.hint("shuffle_merge"), (bodies["body"] == members["body"]) & bodies["doc"].eqNullSafe(members["doc"]))
     sets = chosen.select("text", "set").mapInArrow(_sets(words), "set long, shingles binary").join(members.drop("doc", "body"), "set")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    paired = sets.select("near", "set", "copies", "own", "shingles", other).select(
-        "near", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "set", "copies", "shingles"
-    )
+    # blocks are in order of size: two of them meet if the largest set of the lower one may link with the least of the upper
+    bounds = members.groupBy("near", "own").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+    upper = bounds.select("near", F.col("own").alias("two"), F.col("low").alias("least"))
+    meet = bounds.join(upper, "near").where((F.col("own") <= F.col("two")) & (100 * F.col("high") >= percent * F.col("least")))
+    both = meet.select("near", F.explode(F.array_distinct(F.array("own", "two"))).alias("own"), F.col("own").alias("one"), "two")
+    paired = sets.join(both, ["near", "own"]).select("near", "one", "two", "own", "set", "copies", "shingles")
     tasks = paired.repartition("near", "one", "two").sortWithinPartitions("near", "one", "two")
     links = stored(tasks.mapInArrow(_verify(percent), "a long, b long, links long"))
 
