@@ -15,12 +15,15 @@ Null or repeated ids and extra columns do not matter.
 from __future__ import annotations
 
 import heapq
+import re
+from array import array
 from collections.abc import Iterator
 from itertools import product
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +31,9 @@ from pyspark.sql import types as T
 MARK = "▁"
 BEST = 3
 CACHED_WORDS = 200_000
+SENT_BYTES = 1 << 24
+
+_WORD = re.compile(f"{MARK}+[^{MARK}]*")
 
 
 class Vocabulary(NamedTuple):
@@ -35,7 +41,7 @@ class Vocabulary(NamedTuple):
     bytes_: dict[int, int]
     text_of: list[str]
     byte_of: dict[int, int]
-    longest: int
+    prefixes: dict[str, tuple[int, float] | None]
     unknown: float
 
 
@@ -54,62 +60,86 @@ def read_vocabulary(model: str) -> Vocabulary:
             if MARK in piece.lstrip(MARK):
                 raise ValueError(f"piece {piece!r} reaches over the start of a word")
     least = min((s for _, s in pieces.values() if s > -1e6), default=0.0)
-    return Vocabulary(pieces, bytes_, text_of, {v: k for k, v in bytes_.items()}, max(map(len, pieces), default=1), least - 10)
+    prefixes = {p[:i]: None for p in pieces for i in range(1, len(p))} | pieces
+    return Vocabulary(pieces, bytes_, text_of, {v: k for k, v in bytes_.items()}, prefixes, least - 10)
 
 
 def word_nbest(vocabulary: Vocabulary, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """The n best segmentations of a word: scores and piece ids, best first."""
-    pieces, longest = vocabulary.pieces, vocabulary.longest
+    """The n best segmentations of a word: scores and piece ids, best first.
+
+    As the forward scores are exact, a path taken from the queue loses nothing when it follows the best edges to the start;
+    only the ways that leave it wait in the queue, and of them no more than results are still wanted.
+    """
+    pieces, prefixes = vocabulary.pieces, vocabulary.prefixes
     size = len(word)
     best = [0.0] + [-np.inf] * size
-    edges: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
-    for end in range(1, size + 1):
-        for start in range(max(0, end - longest), end):
-            if (found := pieces.get(word[start:end])) is not None:
-                edges[end].append((start, found[1], (found[0],)))
-        if word[end - 1] not in pieces:
-            coded = tuple(vocabulary.bytes_[b] for b in word[end - 1].encode()) if vocabulary.bytes_ else (0,)
-            edges[end].append((end - 1, vocabulary.unknown, coded))
-        best[end] = max(best[start] + score for start, score, _ in edges[end])
+    edges: list[list[tuple[float, int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
+    chosen: list[tuple[float, int, float, tuple[int, ...]]] = [(0.0, 0, 0.0, ())] * (size + 1)
+    for start in range(size):
+        before, char = best[start], word[start]
+        if char not in pieces:
+            coded = tuple(vocabulary.bytes_[b] for b in char.encode()) if vocabulary.bytes_ else (0,)
+            edge = (before + vocabulary.unknown, start, vocabulary.unknown, coded)
+            edges[start + 1].append(edge)
+            if edge[0] > best[start + 1]:
+                best[start + 1], chosen[start + 1] = edge[0], edge
+        for end in range(start + 1, size + 1):
+            part = word[start:end]
+            if part not in prefixes:
+                break
+            if (found := prefixes[part]) is not None:
+                edge = (before + found[1], start, found[1], (found[0],))
+                edges[end].append(edge)
+                if edge[0] > best[end]:
+                    best[end], chosen[end] = edge[0], edge
     queue: list[tuple[float, int, int, float, tuple]] = [(-best[size], 0, size, 0.0, ())]
     out, number = [], 0
-    while queue and len(out) < n:
+    while queue:
         _, _, at, score, tail = heapq.heappop(queue)
-        if at == 0:
-            ids = []
-            while tail:
-                ids += tail[0]
-                tail = tail[1]
-            out.append((score, tuple(ids)))
-            continue
-        for start, gain, coded in edges[at]:
-            number += 1
-            heapq.heappush(queue, (-(score + gain + best[start]), number, start, score + gain, (coded, tail)))
+        leaving, last = [], len(out) + 1 == n
+        while at:
+            top = chosen[at]
+            if not last and len(edges[at]) > 1:
+                for edge in edges[at]:
+                    if edge is not top:
+                        number += 1
+                        leaving.append((-(score + edge[0]), number, edge[1], score + edge[2], (edge[3], tail)))
+            _, at, gain, coded = top
+            score, tail = score + gain, (coded, tail)
+        ids: list[int] = []
+        while tail:
+            ids += tail[0]
+            tail = tail[1]
+        out.append((score, tuple(ids)))
+        if last:
+            break
+        leaving.sort()
+        for path in leaving[: n - len(out)]:
+            heapq.heappush(queue, path)
     return out
 
 
 def words_of(text: str) -> list[str]:
     """The text's words as the lattice sees them: marks, then all up to the next mark."""
-    out, start, marked = [], 0, MARK + text.replace(" ", MARK)
-    if not text:
-        return []
-    at = marked.find(MARK, 1)
-    while at > 0:
-        if marked[at - 1] != MARK:
-            out.append(marked[start:at])
-            start = at
-        at = marked.find(MARK, at + 1)
-    return [*out, marked[start:]]
-
-
-def text_nbest(found: list[list[tuple[float, tuple[int, ...]]]], n: int) -> list[tuple[float, dict[int, int]]]:
+    return _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
+
+
+def loss(ways: list[tuple]) -> float:
+    """What a word's second best segmentation loses; infinite where there is none."""
+    return ways[0][0] - ways[1][0] if len(ways) > 1 else np.inf
+
+
+def text_nbest(found: list[list[tuple]], n: int, losses: list[float] | None = None) -> list[tuple[float, dict[int, int]]]:
     """Of words with their n best each the n best of the text: the score, and the words that take another than their best."""
-    total = sum(w[0][0] for w in found)
-    losing = heapq.nsmallest(n - 1, ((w[0][0] - w[1][0], i) for i, w in enumerate(found) if len(w) > 1))
-    at = sorted(i for _, i in losing)
+    total = sum([w[0][0] for w in found])
+    lost = np.array([loss(w) for w in found] if losses is None else losses, np.float64)
+    other = np.flatnonzero(lost < np.inf) if n > 1 else np.zeros(0, np.int64)
+    if len(other) > n - 1:
+        other = other[lost[other] <= np.partition(lost[other], n - 2)[n - 2]]
+    at = sorted(other[np.argsort(lost[other], kind="stable")[: n - 1]].tolist())
     ways = product(*(range(len(found[i])) for i in at))
     ranked = sorted((sum(found[i][0][0] - found[i][k][0] for i, k in zip(at, way, strict=True)), way) for way in ways)
-    return [(total - loss, {i: k for i, k in zip(at, way, strict=True) if k}) for loss, way in ranked[:n]]
+    return [(total - lost_, {i: k for i, k in zip(at, way, strict=True) if k}) for lost_, way in ranked[:n]]
 
 
 def decode(vocabulary: Vocabulary, ids) -> str:
@@ -126,50 +156,106 @@ def decode(vocabulary: Vocabulary, ids) -> str:
     return "".join(out).replace(MARK, " ")[1:]
 
 
-class _Encoder:
-    def __init__(self, model: str, n: int):
-        self.vocabulary, self.n = read_vocabulary(model), n
-        self.young: dict[str, list] = {}
-        self.old: dict[str, list] = {}
+class _Words(dict):
+    """Words of late: the n best segmentations, with ids as bytes, and the loss of the second best."""
+
+    def __init__(self, vocabulary: Vocabulary, n: int, old: dict | None = None):
+        super().__init__()
+        self.vocabulary, self.n, self.old = vocabulary, n, old or {}
 
-    def word(self, word: str) -> list[tuple[float, tuple[int, ...]]]:
-        found = self.young.get(word)
-        if found is None:
-            found = self.young[word] = self.old.get(word) or word_nbest(self.vocabulary, word, self.n)
-            if len(self.young) > CACHED_WORDS:
-                self.old, self.young = self.young, {}
-        return found
+    def __missing__(self, word: str) -> tuple[list[tuple[float, bytes]], float]:
+        known = self.old.get(word)
+        if known is None:
+            ways = [(score, array("i", ids).tobytes()) for score, ids in word_nbest(self.vocabulary, word, self.n)]
+            known = ways, loss(ways)
+        self[word] = known
+        return known
 
 
-_encoders: dict[tuple[str, int], _Encoder] = {}  # of a worker, for its next tasks
+_words: dict[tuple[str, int], _Words] = {}  # of a worker, for its next tasks
+
+
+def _ways(words: _Words, text: str, n: int) -> tuple[list[float], list[bytes]]:
+    """Scores and ids of a text's n best segmentations."""
+    known = list(map(words.__getitem__, words_of(text)))
+    if not known:
+        return [0.0], [b""]
+    found = [k[0] for k in known]
+    best, scores, ids = [w[0][1] for w in found], [], []
+    for score, other in text_nbest(found, n, [k[1] for k in known]):
+        own = best.copy() if other else best
+        for i, k in other.items():
+            own[i] = found[i][k][1]
+        scores.append(score)
+        ids.append(b"".join(own))
+    return scores, ids
+
+
+def _lists(parts: list[list], values: pa.Array | list) -> pa.Array:
+    """One list of `values` for each part, as long as it."""
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), values)
 
 
 def _encode(model: str, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (model, n) not in _encoders:
-            _encoders[model, n] = _Encoder(model, n)
-        encoder = _encoders[model, n]
+        if (model, n) not in _words:
+            _words[model, n] = _Words(read_vocabulary(model), n)
+        words = _words[model, n]
+
+        def batch_of(rows: pa.RecordBatch) -> pa.RecordBatch:
+            flat = [x for way in ids for x in way]
+            ends = pa.array(np.cumsum([0, *map(len, flat)]) // 4, pa.int32())
+            segmentations = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(flat), np.int32)))
+            totals = pa.array([x for way in scores for x in way], pa.float64())
+            return pa.RecordBatch.from_arrays([*rows.columns, _lists(scores, totals), _lists(ids, segmentations)], ["id", "text", "scores", "ids"])
+
         for batch in batches:
-            for low in range(0, batch.num_rows, 64):
-                part = batch.slice(low, 64)
-                ids, scores = [], []
-                for text in part.column(1).to_pylist():
-                    found = [encoder.word(w) for w in words_of(text or "")]
-                    ranked = text_nbest(found, n) if found else [(0.0, {})]
-                    scores.append([s for s, _ in ranked])
-                    ids.append([[i for j, w in enumerate(found) for i in w[other.get(j, 0)][1]] for _, other in ranked])
-                kinds = pa.list_(pa.float64()), pa.list_(pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(scores, kinds[0]), pa.array(ids, kinds[1])], ["id", "text", "scores", "ids"])
+            low, held, scores, ids = 0, 0, [], []
+            for row, text in enumerate(batch.column(1)):
+                totals, coded = _ways(words, text.as_py() or "", n)
+                scores.append(totals)
+                ids.append(coded)
+                held += sum(map(len, coded))
+                if held > SENT_BYTES:
+                    yield batch_of(batch.slice(low, row + 1 - low))
+                    low, held, scores, ids = row + 1, 0, [], []
+                if len(words) > CACHED_WORDS:
+                    words = _words[model, n] = _Words(words.vocabulary, n, dict(words))
+            if ids:
+                yield batch_of(batch.slice(low))
 
     return run
 
 
+def _texts(vocabulary: Vocabulary, table: pa.Array, ways: pa.ListArray) -> pa.Array:
+    """The texts of lists of ids; table: the bytes that each id stands for."""
+    taken = table.take(ways.flatten())
+    ends = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset : taken.offset + len(taken) + 1] if len(taken) else np.zeros(1, np.int64)
+    edges = ends[ways.offsets.to_numpy() - ways.offsets[0].as_py()]
+    texts = pa.Array.from_buffers(pa.large_binary(), len(ways), [None, pa.py_buffer(np.ascontiguousarray(edges)), taken.buffers()[2]])
+    first = pc.unique(pc.binary_slice(texts, 0, 1)).to_pylist()
+    if {*first} <= {b" ", b""}:
+        try:
+            return pc.binary_slice(texts, 1).cast(pa.string())
+        except pa.ArrowInvalid:  # bytes that are no UTF-8: replaced, as the piece model's own decoder does
+            pass
+    return pa.array([decode(vocabulary, way) for way in ways.to_pylist()], pa.string())
+
+
 def _decode(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = read_vocabulary(model)
+        of = [bytes([vocabulary.byte_of[i]]) if i in vocabulary.byte_of else x.replace(MARK, " ").encode() for i, x in enumerate(vocabulary.text_of)]
+        table = pa.array(of, pa.large_binary())
         for batch in batches:
-            texts = [[decode(vocabulary, way) for way in ways] for ways in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.list_(pa.string()))], [*batch.schema.names, "decoded"])
+            held = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False)) // SENT_BYTES
+            edges = [0, *(np.flatnonzero(np.diff(held)) + 1).tolist(), batch.num_rows]
+            for low, high in zip(edges[:-1], edges[1:], strict=True):
+                if high > low:
+                    part = batch.slice(low, high - low)
+                    ways = part.column(3)
+                    texts = pa.ListArray.from_arrays(pc.subtract(ways.offsets, ways.offsets[0]), _texts(vocabulary, table, ways.flatten()))
+                    yield pa.RecordBatch.from_arrays([*part.columns, texts], [*batch.schema.names, "decoded"])
 
     return run
 

@@ -27,6 +27,7 @@ from waitlens.llm.work import stored
 SEQUENCE = 4096
 END = 2
 CACHED_WORDS = 600_000
+JOINED = 64
 _SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 _PIECES = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -36,7 +37,8 @@ class _Encoder:
     """Token ids of words as bytes, from the tokenizer or from a worker's memory of the words of late.
 
     The tokenizer drops white space, never joins over it, and ignores case, so a text's tokens are those of its words in lower
-    case. It never joins letters and signs either, so signs at a word's end are a word of their own.
+    case. It never joins letters and signs either, so signs at a word's end are a word of their own. Words of letters alone go to
+    it several at once and are told apart by the tokens that close a word; where these are not one a word, each goes alone.
     """
 
     def __init__(self, tokenizer: str):
@@ -45,12 +47,32 @@ class _Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model = Tokenizer.from_file(tokenizer)
         self.model.encode_special_tokens = True
+        vocabulary = self.model.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def _encoded(self, words: list[bytes]) -> list[bytes]:
-        coded = self.model.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(c.ids, np.uint32).tobytes() for c in coded]
+        texts = [w.decode() for w in words]
+        out, alone, letters = [b""] * len(texts), [], []
+        for i, text in enumerate(texts):
+            (letters if text.isalpha() else alone).append(i)
+        groups = [letters[i : i + JOINED] for i in range(0, len(letters), JOINED)]
+        coded = self.model.encode_batch_fast([" ".join([texts[i] for i in g]) for g in groups], add_special_tokens=False)
+        for group, c in zip(groups, coded, strict=True):
+            ids = np.array(c.ids, np.uint32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(group) or ends[-1] != len(ids):
+                alone += group
+                continue
+            raw, start = ids.tobytes(), 0
+            for i, end in zip(group, (4 * ends).tolist(), strict=True):
+                out[i], start = raw[start:end], end
+        coded = self.model.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False)
+        for i, c in zip(alone, coded, strict=True):
+            out[i] = np.array(c.ids, np.uint32).tobytes()
+        return out
 
     def __call__(self, words: list[bytes]) -> list[bytes]:
         different = set(words)
