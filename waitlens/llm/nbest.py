@@ -17,7 +17,7 @@ from __future__ import annotations
 import heapq
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import product
 from typing import NamedTuple
 
@@ -41,7 +41,7 @@ class Vocabulary(NamedTuple):
     bytes_: dict[int, int]
     text_of: list[str]
     byte_of: dict[int, int]
-    prefixes: dict[str, tuple[int, float] | None]
+    prefixes: dict[str, tuple[float, tuple[int, ...]] | None]
     unknown: float
 
 
@@ -60,7 +60,7 @@ def read_vocabulary(model: str) -> Vocabulary:
             if MARK in piece.lstrip(MARK):
                 raise ValueError(f"piece {piece!r} reaches over the start of a word")
     least = min((s for _, s in pieces.values() if s > -1e6), default=0.0)
-    prefixes = {p[:i]: None for p in pieces for i in range(1, len(p))} | pieces
+    prefixes = {p[:i]: None for p in pieces for i in range(1, len(p))} | {p: (score, (i,)) for p, (i, score) in pieces.items()}
     return Vocabulary(pieces, bytes_, text_of, {v: k for k, v in bytes_.items()}, prefixes, least - 10)
 
 
@@ -70,53 +70,56 @@ def word_nbest(vocabulary: Vocabulary, word: str, n: int) -> list[tuple[float, t
     As the forward scores are exact, a path taken from the queue loses nothing when it follows the best edges to the start;
     only the ways that leave it wait in the queue, and of them no more than results are still wanted.
     """
-    pieces, prefixes = vocabulary.pieces, vocabulary.prefixes
+    follow = vocabulary.prefixes.get
     size = len(word)
     best = [0.0] + [-np.inf] * size
-    edges: list[list[tuple[float, int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
-    chosen: list[tuple[float, int, float, tuple[int, ...]]] = [(0.0, 0, 0.0, ())] * (size + 1)
+    chosen: list[tuple] = [()] * (size + 1)
+    edges: list[list[tuple[float, int, tuple[float, tuple[int, ...]]]]] = [[] for _ in range(size + 1)]
     for start in range(size):
-        before, char = best[start], word[start]
-        if char not in pieces:
-            coded = tuple(vocabulary.bytes_[b] for b in char.encode()) if vocabulary.bytes_ else (0,)
-            edge = (before + vocabulary.unknown, start, vocabulary.unknown, coded)
+        before = best[start]
+        if word[start] not in vocabulary.pieces:
+            coded = tuple(vocabulary.bytes_[b] for b in word[start].encode()) if vocabulary.bytes_ else (0,)
+            edge = (before + vocabulary.unknown, start, (vocabulary.unknown, coded))
             edges[start + 1].append(edge)
             if edge[0] > best[start + 1]:
                 best[start + 1], chosen[start + 1] = edge[0], edge
         for end in range(start + 1, size + 1):
-            part = word[start:end]
-            if part not in prefixes:
-                break
-            if (found := prefixes[part]) is not None:
-                edge = (before + found[1], start, found[1], (found[0],))
+            piece = follow(word[start:end], False)
+            if piece:
+                total = before + piece[0]
+                edge = (total, start, piece)
                 edges[end].append(edge)
-                if edge[0] > best[end]:
-                    best[end], chosen[end] = edge[0], edge
-    queue: list[tuple[float, int, int, float, tuple]] = [(-best[size], 0, size, 0.0, ())]
-    out, number = [], 0
-    while queue:
-        _, _, at, score, tail = heapq.heappop(queue)
-        leaving, last = [], len(out) + 1 == n
+                if total > best[end]:
+                    best[end], chosen[end] = total, edge
+            elif piece is False:
+                break
+    queue: list[tuple[float, int, tuple, float, tuple]] = []
+    out: list[tuple[float, tuple[int, ...]]] = []
+    number, at, score, tail = 0, size, 0.0, ()
+    while True:
+        leaving = []
         while at:
             top = chosen[at]
-            if not last and len(edges[at]) > 1:
+            if len(edges[at]) > 1 and len(out) + 1 < n:
                 for edge in edges[at]:
                     if edge is not top:
                         number += 1
-                        leaving.append((-(score + edge[0]), number, edge[1], score + edge[2], (edge[3], tail)))
-            _, at, gain, coded = top
+                        leaving.append((-(score + edge[0]), number, edge, score, tail))
+            _, at, (gain, coded) = top
             score, tail = score + gain, (coded, tail)
         ids: list[int] = []
         while tail:
             ids += tail[0]
             tail = tail[1]
         out.append((score, tuple(ids)))
-        if last:
-            break
-        leaving.sort()
-        for path in leaving[: n - len(out)]:
+        if len(leaving) > n - len(out):
+            leaving = heapq.nsmallest(n - len(out), leaving)
+        for path in leaving:
             heapq.heappush(queue, path)
-    return out
+        if len(out) == n or not queue:
+            return out
+        _, _, (_, at, (gain, coded)), score, tail = heapq.heappop(queue)
+        score, tail = score + gain, (coded, tail)
 
 
 def words_of(text: str) -> list[str]:
@@ -129,17 +132,23 @@ def loss(ways: list[tuple]) -> float:
     return ways[0][0] - ways[1][0] if len(ways) > 1 else np.inf
 
 
-def text_nbest(found: list[list[tuple]], n: int, losses: list[float] | None = None) -> list[tuple[float, dict[int, int]]]:
-    """Of words with their n best each the n best of the text: the score, and the words that take another than their best."""
-    total = sum([w[0][0] for w in found])
-    lost = np.array([loss(w) for w in found] if losses is None else losses, np.float64)
+def _changes(total: float, lost: np.ndarray, ways: Callable[[int], list[tuple]], n: int) -> list[tuple[float, dict[int, int]]]:
+    """Of a text's n best the score, and the words that take another way than their best.
+
+    total: the best score; lost: what each word's second way loses; ways: those of a word, by its place.
+    """
     other = np.flatnonzero(lost < np.inf) if n > 1 else np.zeros(0, np.int64)
     if len(other) > n - 1:
         other = other[lost[other] <= np.partition(lost[other], n - 2)[n - 2]]
     at = sorted(other[np.argsort(lost[other], kind="stable")[: n - 1]].tolist())
-    ways = product(*(range(len(found[i])) for i in at))
-    ranked = sorted((sum(found[i][0][0] - found[i][k][0] for i, k in zip(at, way, strict=True)), way) for way in ways)
-    return [(total - lost_, {i: k for i, k in zip(at, way, strict=True) if k}) for lost_, way in ranked[:n]]
+    losses = [[ways(i)[0][0] - score for score, _ in ways(i)] for i in at]
+    ranked = sorted((sum(x[k] for x, k in zip(losses, way, strict=True)), way) for way in product(*(range(len(x)) for x in losses)))
+    return [(total - less, {i: k for i, k in zip(at, way, strict=True) if k}) for less, way in ranked[:n]]
+
+
+def text_nbest(found: list[list[tuple]], n: int) -> list[tuple[float, dict[int, int]]]:
+    """`_changes` of words given with their n best each."""
+    return _changes(sum(w[0][0] for w in found), np.array([loss(w) for w in found]), found.__getitem__, n)
 
 
 def decode(vocabulary: Vocabulary, ids) -> str:
@@ -157,19 +166,32 @@ def decode(vocabulary: Vocabulary, ids) -> str:
 
 
 class _Words(dict):
-    """Words of late: the n best segmentations, with ids as bytes, and the loss of the second best."""
+    """Numbers of the words of late; by number their ways (score and ids as bytes), and of the best way score, loss and ids."""
 
-    def __init__(self, vocabulary: Vocabulary, n: int, old: dict | None = None):
+    def __init__(self, vocabulary: Vocabulary, n: int, old: _Words | None = None):
         super().__init__()
-        self.vocabulary, self.n, self.old = vocabulary, n, old or {}
-
-    def __missing__(self, word: str) -> tuple[list[tuple[float, bytes]], float]:
-        known = self.old.get(word)
-        if known is None:
+        self.vocabulary, self.n, self.old = vocabulary, n, old
+        self.ways: list[list[tuple[float, bytes]]] = []
+        self.score, self.loss, self.ids, self.ends = array("d"), array("d"), array("i"), array("q", [0])
+
+    def __missing__(self, word: str) -> int:
+        known = None if self.old is None else self.old.get(word)
+        if known is not None:
+            ways = self.old.ways[known]
+        else:
             ways = [(score, array("i", ids).tobytes()) for score, ids in word_nbest(self.vocabulary, word, self.n)]
-            known = ways, loss(ways)
-        self[word] = known
-        return known
+        self.ways.append(ways)
+        self.score.append(ways[0][0])
+        self.loss.append(loss(ways))
+        self.ids.frombytes(ways[0][1])
+        self.ends.append(len(self.ids))
+        self[word] = len(self.ways) - 1
+        return len(self.ways) - 1
+
+    def renewed(self) -> _Words:
+        """An empty one that remembers the words of this one, but no older ones."""
+        self.old = None
+        return _Words(self.vocabulary, self.n, self)
 
 
 _words: dict[tuple[str, int], _Words] = {}  # of a worker, for its next tasks
@@ -177,17 +199,21 @@ _words: dict[tuple[str, int], _Words] = {}  # of a worker, for its next tasks
 
 def _ways(words: _Words, text: str, n: int) -> tuple[list[float], list[bytes]]:
     """Scores and ids of a text's n best segmentations."""
-    known = list(map(words.__getitem__, words_of(text)))
-    if not known:
+    number = np.array(list(map(words.__getitem__, words_of(text))), np.int64)
+    if not len(number):
         return [0.0], [b""]
-    found = [k[0] for k in known]
-    best, scores, ids = [w[0][1] for w in found], [], []
-    for score, other in text_nbest(found, n, [k[1] for k in known]):
-        own = best.copy() if other else best
+    score, lost, ends = np.frombuffer(words.score)[number], np.frombuffer(words.loss)[number], np.frombuffer(words.ends, np.int64)
+    first, size = ends[number], ends[number + 1] - ends[number]
+    stops = np.cumsum(size)
+    best = np.frombuffer(words.ids, np.int32)[np.arange(stops[-1]) + np.repeat(first - (stops - size), size)].tobytes()
+    scores, ids = [], []
+    for total, other in _changes(float(score.sum()), lost, lambda i: words.ways[number[i]], n):
+        parts, done = [], 0
         for i, k in other.items():
-            own[i] = found[i][k][1]
-        scores.append(score)
-        ids.append(b"".join(own))
+            parts += [best[done : 4 * (stops[i] - size[i])], words.ways[number[i]][k][1]]
+            done = 4 * stops[i]
+        scores.append(total)
+        ids.append(b"".join([*parts, best[done:]]))
     return scores, ids
 
 
@@ -220,7 +246,7 @@ def _encode(model: str, n: int):
                     yield batch_of(batch.slice(low, row + 1 - low))
                     low, held, scores, ids = row + 1, 0, [], []
                 if len(words) > CACHED_WORDS:
-                    words = _words[model, n] = _Words(words.vocabulary, n, dict(words))
+                    words = _words[model, n] = words.renewed()
             if ids:
                 yield batch_of(batch.slice(low))
 
