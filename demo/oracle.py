@@ -509,21 +509,21 @@ def oracle_sql() -> dict[str, str]:
     )
 
     q["stream_ingest"] = _sql("samples", "select *, cast(sample_time as date) as sample_date from samples")
+    q["store_lifecycle"] = _sql(
+        "samples",
+        "select *, cast(sample_time as date) as sample_date from samples where sample_time >= timestamp '2024-01-24 00:00:00'",
+    )
     q["stream_activity"] = _sql(
         "ash",
         """select date_trunc('hour', sample_time) as bucket_time,
                   case when session_state = 'WAITING' then wait_class when session_state = 'ON CPU' then 'ON CPU' end as wait_class,
                   count(*) / 3600.0 as cnt
-           from ash where date_trunc('hour', sample_time) + interval 1 hour <= (select max(sample_time) - interval 1 hour from ash)
-           group by 1, 2""",
+           from ash group by 1, 2""",
     )
     q["stream_db_time"] = _sql(
         "ash",
         f"""select date_trunc('day', sample_time) as bucket_time, {_EVENT_OR_CPU} as event, sql_id, count(*) as n
-            from ash where session_type <> 'BACKGROUND'
-              and date_trunc('day', sample_time) + interval 1 day
-                  <= (select max(sample_time) - interval 1 hour from ash where session_type <> 'BACKGROUND')
-            group by 1, 2, 3""",
+            from ash where session_type <> 'BACKGROUND' group by 1, 2, 3""",
     )
     q["stream_flagged_stats"] = _sql(
         "stat_names",

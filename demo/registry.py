@@ -432,13 +432,30 @@ def stream_ingest(t: Tables) -> DataFrame:
     return sources.read_samples(t.spark, f"{path}/samples")
 
 
+@query
+def store_lifecycle(t: Tables) -> DataFrame:
+    """Three streamed parts of the samples, the second with rows of the first again and the last one late, then retention.
+
+    A tenth is appended as a batch.
+    """
+    path = sources.work_folder(t.spark)
+    part = F.pmod(F.xxhash64("session_id", "sample_time"), F.lit(10))
+    steps = [part.between(6, 8), part.between(4, 7), part < 4]
+    for number, step in enumerate(steps):
+        t.samples().where(step).write.parquet(f"{path}/in/{number}")
+        stream = streaming.read_sample_stream(t.spark, f"{path}/in/*", t.samples().schema)
+        streaming.ingest_samples(stream, f"{path}/samples", f"{path}/checkpoint").awaitTermination()
+    sources.write_samples(t.samples().where(part == 9), f"{path}/samples")
+    sources.drop_expired(t.spark, f"{path}/samples", "d", AS_OF)
+    return retention.expire(sources.read_samples(t.spark, f"{path}/samples"), "d", AS_OF)
+
+
 @query
 def stream_activity(t: Tables) -> DataFrame:
     path = sources.work_folder(t.spark)
     activity = streaming.activity_by_window(streaming.enrich(t.sample_stream(), t.event_names()), 3600, "1 hour")
-    writer = activity.writeStream.format("parquet").outputMode("append").option("path", f"{path}/activity")
-    writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.parquet(f"{path}/activity")
+    streaming.write_windows(activity, f"{path}/activity", f"{path}/checkpoint").awaitTermination()
+    return streaming.read_windows(t.spark, f"{path}/activity", ["wait_class"])
 
 
 @query
@@ -447,9 +464,8 @@ def stream_db_time(t: Tables) -> DataFrame:
     rows = streaming.enrich(t.sample_stream(), t.event_names()).where("session_type <> 'BACKGROUND'")
     keys = {"event": "case when session_state = 'ON CPU' then 'ON CPU' else event end", "sql_id": "sql_id"}
     counts = streaming.counts_by_window(rows, keys, 86400, "1 hour")
-    writer = counts.writeStream.format("parquet").outputMode("append").option("path", f"{path}/counts")
-    writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.parquet(f"{path}/counts")
+    streaming.write_windows(counts, f"{path}/counts", f"{path}/checkpoint").awaitTermination()
+    return streaming.read_windows(t.spark, f"{path}/counts", list(keys))
 
 
 @query

@@ -37,15 +37,14 @@ def test_stream_equals_batch_with_replayed_rows(spark, tmp_path):
     assert sources.read_samples(spark, out).count() == expected.count()
 
 
-def test_late_rows_are_refused(spark, tmp_path):
+def test_late_rows_are_kept(spark, tmp_path):
     first = [sample("1 10:00:00", sample_id=1), sample("1 11:00:00", sample_id=2)]
-    # a watermark refuses rows one batch after it was reached
     between = [sample("1 11:00:01", sample_id=5)]
     late = [sample("1 10:30:00", sample_id=3), sample("1 10:55:00", sample_id=4)]
     source = write_files(spark, str(tmp_path / "in"), first, between, late)
     stream = streaming.read_sample_stream(spark, source, STREAM_SCHEMA, max_files=1)
-    streaming.ingest_samples(stream, str(tmp_path / "out"), str(tmp_path / "check"), delay="10 minutes").awaitTermination()
-    assert rows(sources.read_samples(spark, str(tmp_path / "out")), "sample_id") == [(1,), (2,), (4,), (5,)]
+    streaming.ingest_samples(stream, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    assert rows(sources.read_samples(spark, str(tmp_path / "out")), "sample_id") == [(1,), (2,), (3,), (4,), (5,)]
 
 
 def test_activity_windows(spark, tmp_path):
@@ -54,6 +53,20 @@ def test_activity_windows(spark, tmp_path):
     stream = streaming.enrich(streaming.read_sample_stream(spark, source, STREAM_SCHEMA), event_names(spark))
     activity = streaming.activity_by_window(stream, 15, "1 minute")
     out = str(tmp_path / "out")
-    writer = activity.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "c"))
-    writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    assert rows(spark.read.parquet(out)) == [(at("1 10:00:00"), "User I/O", 2.0), (at("1 10:00:15"), "ON CPU", 1.0)]
+    streaming.write_windows(activity, out, str(tmp_path / "c")).awaitTermination()
+    assert rows(streaming.read_windows(spark, out, ["wait_class"])) == [
+        (at("1 10:00:00"), "User I/O", 2.0),
+        (at("1 10:00:15"), "ON CPU", 1.0),
+        (at("1 10:10:00"), "User I/O", 1 / 15),
+    ]
+
+
+def test_windows_grow_over_batches(spark, tmp_path):
+    source = write_files(spark, str(tmp_path / "in"), [sample("1 10:00:01")] * 3, [sample("1 10:00:02")] * 4, [sample("1 10:00:20")])
+    stream = streaming.enrich(streaming.read_sample_stream(spark, source, STREAM_SCHEMA, max_files=1), event_names(spark))
+    counts = streaming.counts_by_window(stream, {"wait_class": "wait_class"}, 15)
+    streaming.write_windows(counts, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    assert rows(streaming.read_windows(spark, str(tmp_path / "out"), ["wait_class"])) == [
+        (at("1 10:00:00"), "User I/O", 7),
+        (at("1 10:00:15"), "User I/O", 1),
+    ]

@@ -57,11 +57,12 @@ def salt_count(left: DataFrame, right: DataFrame) -> int:
 def _shuffle_join(
     left: DataFrame, right: DataFrame, keys: list[str], how: str, salts: int, salt_on: Sequence[str] | None
 ) -> DataFrame:
+    """A join that Spark does not turn into a broadcast by an estimate that leaves out explodes."""
     if not salt_on or salts <= 1:
-        return left.join(right, keys, how)
+        return left.join(right.hint("merge"), keys, how)
     left = left.withColumn(_SALT, F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int"))
     right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, _SALT], how).drop(_SALT)
+    return left.join(right.hint("merge"), [*keys, _SALT], how).drop(_SALT)
 
 
 def lookup(

@@ -1,4 +1,5 @@
 from waitlens.sources.store import (
+    append_missing,
     drop_expired,
     materialise,
     read_samples,
@@ -10,6 +11,7 @@ from waitlens.sources.store import (
 from waitlens.sources.tables import conform, read_table, read_wait_groups
 
 __all__ = [
+    "append_missing",
     "conform",
     "drop_expired",
     "materialise",

@@ -35,6 +35,32 @@ def write_samples(samples: DataFrame, path: str, mode: str = "append") -> None:
     writer.partitionBy(*PARTITIONS).parquet(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def append_missing(rows: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[str] = PARTITIONS) -> None:
+    """Append the rows whose keys, with ``sample_time``, are not stored yet; however late a row is, it is stored.
+
+    A repeated batch therefore adds nothing. Only the keys of the days and the time span of ``rows`` are read.
+    """
+    keys = list(dict.fromkeys([*keys, "sample_time"]))
+    rows = with_sample_date(rows).dropDuplicates(keys).persist()
+    try:
+        new = rows
+        if _exists(rows.sparkSession, path):
+            span = rows.agg(F.min("sample_time"), F.max("sample_time"), F.collect_set("sample_date")).first()
+            near = F.col("sample_date").isin(span[2]) & F.col("sample_time").between(span[0], span[1])
+            stored = rows.sparkSession.read.schema(rows.schema).parquet(path).where(near | F.col("sample_date").isNull())
+            stored = stored.select(*[F.col(k).alias(f"__{k}") for k in keys])
+            same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+            new = rows.join(stored, same, "left_anti")
+        _balanced(new, partitions, ["sample_time"]).write.mode("append").partitionBy(*partitions).parquet(path)
+    finally:
+        rows.unpersist()
+
+
 def read_samples(
     spark: SparkSession,
     path: str,

@@ -6,6 +6,8 @@ from waitlens.streaming.samples import (
     ingest_counters,
     ingest_samples,
     read_sample_stream,
+    read_windows,
+    write_windows,
 )
 
 __all__ = [
@@ -16,4 +18,6 @@ __all__ = [
     "ingest_counters",
     "ingest_samples",
     "read_sample_stream",
+    "read_windows",
+    "write_windows",
 ]

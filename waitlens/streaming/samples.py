@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from waitlens.operators.history import session_history
 from waitlens.operators.ingest import flagged_stats
 from waitlens.operators.reports import class_or_cpu
 from waitlens.schemas import SAMPLES
-from waitlens.sources.store import PARTITIONS, with_sample_date
+from waitlens.sources.store import PARTITIONS, append_missing
 from waitlens.sources.tables import conform
 
 SAMPLE_KEY = ("dbid", "inst_id", "sample_id", "session_id")
@@ -30,7 +30,7 @@ def read_sample_stream(
 
 
 def deduplicate(stream: DataFrame, delay: str = "10 minutes", keys: Sequence[str] = SAMPLE_KEY) -> DataFrame:
-    """Drop replayed samples; state is kept for ``delay`` only, and samples later than it are refused."""
+    """Drop replayed samples of a stream that is only looked at: rows later than ``delay`` go, so it is not for stores."""
     return stream.withWatermark("sample_time", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -39,33 +39,22 @@ def enrich(stream: DataFrame, event_names: DataFrame, **options) -> DataFrame:
     return session_history(stream, event_names, **options)
 
 
-def _append(
-    rows: DataFrame, path: str, checkpoint: str, every: str | None, partitions: Sequence[str] = PARTITIONS
-) -> StreamingQuery:
-    writer = rows.writeStream.format("parquet").outputMode("append").partitionBy(*partitions)
-    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
+def _each_batch(rows: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str, every: str | None, mode: str = "append") -> StreamingQuery:
     trigger = {"processingTime": every} if every else {"availableNow": True}
+    writer = rows.writeStream.outputMode(mode).foreachBatch(store).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start()
 
 
 def ingest_samples(
-    stream: DataFrame,
-    path: str,
-    checkpoint: str,
-    delay: str = "10 minutes",
-    files_per_partition: int = 4,
-    every: str | None = None,
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = SAMPLE_KEY, every: str | None = None
 ) -> StreamingQuery:
-    """Append de-duplicated samples to a store that ``store.read_samples`` reads.
+    """Add samples to the store that ``store.write_samples``, ``read_samples`` and ``drop_expired`` share.
 
-    The file sink commits each batch once, so a restart neither loses nor repeats rows. A busy target's rows are written
-    by ``files_per_partition`` tasks, not one. ``every`` is the batch interval; without it, what has arrived is taken
-    and the query ends.
+    Each batch appends what is not stored yet, so replayed files and repeated batches add nothing, and late samples are
+    stored like others. No state is kept. A busy target's rows are written by as many tasks as they need. ``every`` is
+    the batch interval; without it, what has arrived is taken and the query ends.
     """
-    rows = with_sample_date(deduplicate(stream, delay))
-    spread = F.pmod(F.xxhash64("session_id", "sample_id"), F.lit(files_per_partition))
-    rows = rows.repartition(*[F.col(c) for c in PARTITIONS], spread)
-    return _append(rows, path, checkpoint, every)
+    return _each_batch(stream, lambda batch, _: append_missing(batch, path, keys), checkpoint, every)
 
 
 def ingest_counters(
@@ -76,21 +65,46 @@ def ingest_counters(
     io_events: Sequence[str] | None = None,
     every: str | None = None,
     partitions: Sequence[str] = PARTITIONS,
+    keys: Sequence[str] | None = None,
 ) -> StreamingQuery:
     """Append instance counters as they arrive, by database and day of ``sample_time`` unless told otherwise.
 
-    ``stat_names`` keeps the statistics flagged for collection, ``io_events`` the events of that list.
+    ``stat_names`` keeps the statistics flagged for collection, ``io_events`` the events of that list. Replayed rows, alike
+    in ``keys`` or, without these, in all columns, add nothing.
     """
     rows = stream
     if stat_names is not None:
         rows = flagged_stats(rows, stat_names)
     if io_events is not None:
         rows = rows.where(F.col("event").isin(list(io_events)))
-    return _append(with_sample_date(rows), path, checkpoint, every, partitions)
+    own = list(keys or rows.columns)
+    return _each_batch(rows, lambda batch, _: append_missing(batch, path, own, partitions), checkpoint, every)
+
+
+def write_windows(counts: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Write the windows that each batch changed, the open ones as well, as they stand then; ``read_windows`` reads them.
+
+    A repeated batch replaces its own rows.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        rows = batch.withColumn("batch", F.lit(number).cast("bigint"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+    return _each_batch(counts, store, checkpoint, every, "update")
+
+
+def read_windows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Of each window and key the row of the last batch that changed it."""
+    rows = spark.read.parquet(path)
+    by = ["bucket_time", *keys]
+    values = [c for c in rows.columns if c not in (*by, "batch")]
+    last = rows.groupBy(*by).agg(F.max_by(F.struct(*values), F.col("batch")).alias("last"))
+    return last.select(*by, "last.*")
 
 
 def counts_by_window(history: DataFrame, keys: Mapping[str, Column | str], seconds: int, delay: str = "10 minutes") -> DataFrame:
-    """Number of samples ``n`` per window and key; a window is given out once the watermark has passed it."""
+    """Number of samples ``n`` per window and key; in update mode (``write_windows``) open windows are given as well."""
     grouping = [(F.expr(e) if isinstance(e, str) else e).alias(k) for k, e in keys.items()]
     windows = F.window("sample_time", f"{seconds} seconds")
     counts = history.withWatermark("sample_time", delay).groupBy(windows, *grouping).agg(F.count("*").alias("n"))
