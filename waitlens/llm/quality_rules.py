@@ -125,7 +125,7 @@ def calibrate(measured: DataFrame, labels: DataFrame, stratum: str = "lang", id_
         )
     )
     strata = by_stratum.agg(F.count("*").alias("strata"))
-    each = by_stratum.crossJoin(F.broadcast(strata)).select("stratum", "strata", "n", F.inline(tried))  # strata: one row
+    each = by_stratum.select("stratum", strata.scalar().alias("strata"), "n", F.inline(tried))
     safe = _tail(F.col("n"), F.col("k"), limit / len(RULES)) <= error / len(RULES) / F.col("strata")
     ended = F.coalesce(F.max(F.when(~F.col("safe"), F.col("cut"))).over(Window.partitionBy("stratum", "rule")), F.lit(float("-inf")))
     passed = each.withColumn("safe", safe).withColumn("ended", ended).where("cut > ended and bad > k")
