@@ -369,8 +369,34 @@ def test_nbest(spark, docs):
         wanted = sorted(segmentations(vocabulary, nbest.MARK + x.replace(" ", nbest.MARK)), reverse=True)[:3]
         found = nbest.text_nbest([nbest.word_nbest(vocabulary, w, 3) for w in nbest.words_of(x)], 3)
         assert [s for s, _ in found] == pytest.approx(wanted)
-    for r in nbest.decoded(nbest.encode(docs, model), model).collect():
+    read = nbest.decoded(nbest.encode(docs, model), model).collect()
+    for r in read:
         assert set(r.decoded) == {r.text or ""}
+    assert Counter(map(repr, nbest.round_trip(docs, model).collect())) == Counter(map(repr, read))
+    assert {len(r.ids) for r in nbest.encode(docs, model, 1).collect()} == {1}
+
+
+def test_nbest_words_outlive_a_change_of_memory():
+    import public_tokenizers
+
+    vocabulary = nbest.read_vocabulary(str(public_tokenizers.path("piece_bpe_32k.model")))
+    words, texts = nbest._Words(vocabulary, 3), ["some words twice words", "", "a", "words of  another kind \U0001f600"]
+    first = [nbest._ways(words, x, 3) for x in texts]
+    again = words.renewed()
+    assert [nbest._ways(again, x, 3) for x in texts] == first
+    for x, (scores, ids) in zip(texts, first, strict=True):
+        found = nbest.text_nbest([nbest.word_nbest(vocabulary, w, 3) for w in nbest.words_of(x)], 3) if x else [(0.0, {})]
+        assert scores == pytest.approx([s for s, _ in found]) and len(set(ids)) == len(ids)
+
+
+def test_decoded_bytes_that_are_no_text(spark):
+    import public_tokenizers
+
+    model = str(public_tokenizers.path("piece_bpe_32k.model"))
+    vocabulary = nbest.read_vocabulary(model)
+    odd = [vocabulary.pieces["▁a"][0], vocabulary.bytes_[0xE4]]
+    rows = spark.createDataFrame([(1, "x", [0.0], [odd, odd[:1]]), (2, None, [0.0], [[]])], "id long, text string, scores array<double>, ids array<array<int>>")
+    assert [r.decoded for r in nbest.decoded(rows, model).orderBy("id").collect()] == [["a\ufffd", "a"], [""]]
 
 
 def test_shards(docs):

@@ -166,27 +166,30 @@ def decode(vocabulary: Vocabulary, ids) -> str:
 
 
 class _Words(dict):
-    """Numbers of the words of late; by number their ways (score and ids as bytes), and of the best way score, loss and ids."""
+    """Numbers of the words of late; by number, in flat arrays, the scores and ids of n ways each, missing ways at -inf."""
 
     def __init__(self, vocabulary: Vocabulary, n: int, old: _Words | None = None):
         super().__init__()
         self.vocabulary, self.n, self.old = vocabulary, n, old
-        self.ways: list[list[tuple[float, bytes]]] = []
-        self.score, self.loss, self.ids, self.ends = array("d"), array("d"), array("i"), array("q", [0])
+        self.score, self.ids, self.ends = array("d"), array("i"), array("q", [0])
+
+    def ways(self, number: int) -> list[tuple[float, array]]:
+        """The ways of a word, with their ids."""
+        at = range(self.n * number, self.n * number + self.n)
+        return [(self.score[i], self.ids[self.ends[i] : self.ends[i + 1]]) for i in at if self.score[i] > -np.inf]
 
     def __missing__(self, word: str) -> int:
         known = None if self.old is None else self.old.get(word)
-        if known is not None:
-            ways = self.old.ways[known]
-        else:
-            ways = [(score, array("i", ids).tobytes()) for score, ids in word_nbest(self.vocabulary, word, self.n)]
-        self.ways.append(ways)
-        self.score.append(ways[0][0])
-        self.loss.append(loss(ways))
-        self.ids.frombytes(ways[0][1])
-        self.ends.append(len(self.ids))
-        self[word] = len(self.ways) - 1
-        return len(self.ways) - 1
+        ways = word_nbest(self.vocabulary, word, self.n) if known is None else self.old.ways(known)
+        for score, ids in ways:
+            self.score.append(score)
+            self.ids.extend(ids)
+            self.ends.append(len(self.ids))
+        for _ in range(self.n - len(ways)):
+            self.score.append(-np.inf)
+            self.ends.append(len(self.ids))
+        self[word] = number = len(self)
+        return number
 
     def renewed(self) -> _Words:
         """An empty one that remembers the words of this one, but no older ones."""
@@ -202,15 +205,17 @@ def _ways(words: _Words, text: str, n: int) -> tuple[list[float], list[bytes]]:
     number = np.array(list(map(words.__getitem__, words_of(text))), np.int64)
     if not len(number):
         return [0.0], [b""]
-    score, lost, ends = np.frombuffer(words.score)[number], np.frombuffer(words.loss)[number], np.frombuffer(words.ends, np.int64)
-    first, size = ends[number], ends[number + 1] - ends[number]
+    scores_of, ends = np.frombuffer(words.score), np.frombuffer(words.ends, np.int64)
+    score, first = scores_of[n * number], ends[n * number]
+    lost = score - scores_of[n * number + 1] if n > 1 else score
+    size = ends[n * number + 1] - first
     stops = np.cumsum(size)
     best = np.frombuffer(words.ids, np.int32)[np.arange(stops[-1]) + np.repeat(first - (stops - size), size)].tobytes()
     scores, ids = [], []
-    for total, other in _changes(float(score.sum()), lost, lambda i: words.ways[number[i]], n):
+    for total, other in _changes(float(score.sum()), lost, lambda i: words.ways(number[i]), n):
         parts, done = [], 0
         for i, k in other.items():
-            parts += [best[done : 4 * (stops[i] - size[i])], words.ways[number[i]][k][1]]
+            parts += [best[done : 4 * (stops[i] - size[i])], words.ways(number[i])[k][1].tobytes()]
             done = 4 * stops[i]
         scores.append(total)
         ids.append(b"".join([*parts, best[done:]]))
@@ -286,14 +291,25 @@ def _decode(model: str):
     return run
 
 
+_COLUMNS = "text string, scores array<double>, ids array<array<int>>"
+
+
+def _on_texts(docs: DataFrame, id_column: str, text: str, run: Callable, columns: str) -> DataFrame:
+    kind = docs.schema[id_column].dataType.simpleString()
+    return docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {kind}, {columns}")
+
+
 def encode(docs: DataFrame, model: str, n: int = BEST, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """id, text, scores and ids (of the n best segmentations, best first). model: a file that every executor can read."""
-    kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).mapInArrow(
-        _encode(model, n), f"id {kind}, text string, scores array<double>, ids array<array<int>>"
-    )
+    return _on_texts(docs, id_column, text, _encode(model, n), _COLUMNS)
 
 
 def decoded(encoded: DataFrame, model: str) -> DataFrame:
     """The rows of `encode` with `decoded`, the texts of the segmentations."""
     return encoded.mapInArrow(_decode(model), T.StructType([*encoded.schema.fields, T.StructField("decoded", T.ArrayType(T.StringType()))]))
+
+
+def round_trip(docs: DataFrame, model: str, n: int = BEST, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """`decoded` of `encode` in one pass over the texts."""
+    encode_, decode_ = _encode(model, n), _decode(model)
+    return _on_texts(docs, id_column, text, lambda batches: decode_(encode_(batches)), f"{_COLUMNS}, decoded array<string>")

@@ -80,7 +80,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = str(public_tokenizers.path("piece_bpe_32k.model"))
-    read = nbest.decoded(nbest.encode(_table(spark, sf_dir, "documents"), model), model)
+    read = nbest.round_trip(_table(spark, sf_dir, "documents"), model)
     return read.select(
         F.col("id").alias("doc_id"),
         F.size(F.col("ids")[0]).cast("long").alias("n_pieces"),
