@@ -112,15 +112,16 @@ def _plan_lines(lines: DataFrame) -> DataFrame:
 
 def render(
     plan_lines: DataFrame, sqltext: DataFrame, sql_id: str, plan: int | None = None, dbid: int | None = None,
-    text_chars: int | None = None,
+    text_chars: int | None = None, inst_id: int | None = None,
 ) -> DataFrame:
     """Text of one statement and its plans, one row per line, ordered by section, plan and line.
 
     Without ``plan`` every stored plan is shown and one text; with it, that plan and every stored text.
-    ``text_chars`` shortens the texts shown; which texts there are is judged on the whole ones.
+    ``text_chars`` shortens the texts shown; which texts there are is judged on the whole ones. ``dbid`` and ``inst_id``
+    keep the plan lines of one target.
     """
     spark = plan_lines.sparkSession
-    lines = plan_table(plan_lines, dbid).where(F.col("sql_id") == sql_id)
+    lines = plan_table(plan_lines, dbid, inst_id).where(F.col("sql_id") == sql_id)
     texts = sqltext.where(F.col("sql_id") == sql_id)
     if dbid is not None:
         texts = texts.where(F.col("dbid") == dbid)
@@ -149,9 +150,9 @@ def render(
     return text.orderBy("section", "plan_hash_value", "line", "text")
 
 
-def render_first(plan_lines: DataFrame, sql_id: str, dbid: int | None = None) -> DataFrame:
+def render_first(plan_lines: DataFrame, sql_id: str, dbid: int | None = None, inst_id: int | None = None) -> DataFrame:
     """Title and lines of the statement's plan with the smallest hash value."""
-    lines = plan_table(plan_lines, dbid).where(F.col("sql_id") == sql_id)
+    lines = plan_table(plan_lines, dbid, inst_id).where(F.col("sql_id") == sql_id)
     first = lines.agg(F.min("plan_hash_value").alias("plan_hash_value"))
     hash_value = F.col("plan_hash_value")
     title = first.where(hash_value.isNotNull()).select(*_row(_PLAN, hash_value, F.lit(-1), _title(hash_value)))
