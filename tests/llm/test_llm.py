@@ -375,6 +375,29 @@ def test_nbest(spark, docs):
     assert Counter(map(repr, nbest.round_trip(docs, model).collect())) == Counter(map(repr, read))
     assert {len(r.ids) for r in nbest.encode(docs, model, 1).collect()} == {1}
 
+def test_nearest_with_tiny_leaves(spark):
+    rng = np.random.default_rng(11)
+    alone = rng.normal(size=(24, 16)) * 5
+    hot = rng.normal(size=(4, 16))[rng.integers(0, 4, 1976)] + 0.01 * rng.normal(size=(1976, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([alone, hot]))]
+    rows += [(0, (alone[0] + 0.1 * x).tolist()) for x in rng.normal(size=(6, 16))]  # an id with several vectors
+    found = vector_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), (F.col("id") < 24) | (F.col("id") % 5 == 0), recall=0.3).collect()
+    counts = Counter(r.query_id for r in found)
+    assert set(counts) == {*range(24), *range(25, 2000, 5)} and set(counts.values()) == {5}
+    assert all(r.query_id != r.vec_id for r in found)
+
+
+def test_visits_go_on_until_leaves_hold_enough():
+    tree = vector_search.build_tree(np.random.default_rng(5).normal(size=(2000, 8)))
+    query, held = np.eye(8)[0], np.zeros(tree.leaves, int)
+    order = vector_search.visits(tree, query, tree.leaves)
+    held[order[9]], held[order[20]] = 4, 2
+    assert vector_search.visits(tree, query, 2, held, 4) == order[:10]
+    assert vector_search.visits(tree, query, 2, held, 6) == order[:21]
+    assert vector_search.visits(tree, query, 2, held, 7) == order
+    assert vector_search.visits(tree, query, 12, held, 4) == order[:12]
+
+
 
 def test_nbest_words_outlive_a_change_of_memory():
     import public_tokenizers

@@ -6,7 +6,8 @@
 3. A query descends to the nearest leaf; branches passed by wait in a priority queue by their distance, and the nearest
    waiting branch is followed next, until enough leaves are visited.
 4. How many are enough is calibrated: for a bounded set of queries the true neighbours are found among all vectors, and the
-   visits are widened until the recall reaches the target; with all leaves it is 1.
+   visits are widened until the recall reaches the target; with all leaves it is 1. A query goes on beyond that until its
+   leaves hold as many ids as it can return, its own apart, so that small or empty leaves leave no query short.
 5. Queries meet the vectors of their leaves by (leaf, block); a leaf with many vectors is several blocks. Each block gives its
    best for each query, and the best of these are the result. Scores are exact cosines of the vectors as stored.
 
@@ -103,10 +104,10 @@ def fall(tree: Tree, x: np.ndarray) -> np.ndarray:
             node[own] = a + ((centres**2).sum(axis=1) - 2 * x[own] @ centres.T).argmin(axis=1)
 
 
-def visits(tree: Tree, query: np.ndarray, most: int) -> list[int]:
-    """Leaves in best-bin-first order, at most `most`."""
-    queue, out, number = [(0.0, 0, 0)], [], 0
-    while queue and len(out) < most:
+def visits(tree: Tree, query: np.ndarray, enough: int, held: np.ndarray | None = None, least: int = 0) -> list[int]:
+    """Leaves in best-bin-first order: `enough` of them, and more until they hold `least` ids. held: of each leaf its ids."""
+    queue, out, number, ids = [(0.0, 0, 0)], [], 0, 0
+    while queue and (len(out) < enough or ids < least):
         _, _, node = heapq.heappop(queue)
         while tree.children[node]:
             a = tree.first[node]
@@ -118,6 +119,7 @@ def visits(tree: Tree, query: np.ndarray, most: int) -> list[int]:
                     heapq.heappush(queue, (d, number, int(a + i)))
             node = int(a + best)
         out.append(int(tree.leaf[node]))
+        ids += int(held[out[-1]]) if held is not None else 0
     return out
 
 
@@ -154,11 +156,13 @@ def _placed(tree: Tree):
     return run
 
 
-def _sent(tree: Tree, most: int):
+def _sent(tree: Tree, enough: int, held: np.ndarray, k: int):
+    """Of each query (query, target, own) its leaves; own: how many vectors have its id."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                lists = [visits(tree, q, most) for q in _units(_matrix(batch.column(1)))]
+                lists = [visits(tree, q, enough, held, k + own) for q, own in zip(_units(_matrix(batch.column(1))), batch.column(2).to_pylist(), strict=True)]
                 row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
                 leaf = pa.array(np.concatenate([np.array(x, np.int64) for x in lists]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), leaf], ["query", "target", "leaf"])
@@ -258,12 +262,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "
     copies = known.distinct().withColumn("n", F.row_number().over(least)).where(F.col("n") <= k + 1)
     merged = copies.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")).select("ids", "vector")
     placed = stored(merged.mapInArrow(_placed(tree), "ids array<long>, vector array<double>, leaf long"))
-    queries = known.where(is_query).distinct().select(F.col("id").alias("query"), F.col("vector").alias("target"))
+    own = F.count("*").over(Window.partitionBy("id"))
+    queries = known.where(is_query).distinct().select(F.col("id").alias("query"), F.col("vector").alias("target"), own.alias("own"))
     most = calibrated_visits(tree, placed, queries, k, recall)
 
-    blocks = placed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))  # a row for each leaf
+    leaves = placed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.sum(F.size("ids")).alias("ids")).collect()  # a row for each leaf
+    held_ids = np.zeros(tree.leaves, np.int64)
+    held_ids[[r.leaf for r in leaves]] = [r.ids for r in leaves]
+    blocks = known.sparkSession.createDataFrame([(r.leaf, r.blocks) for r in leaves], "leaf long, blocks long")
     held = placed.join(F.broadcast(blocks), "leaf").select("ids", "vector", "leaf", F.pmod(F.xxhash64("ids"), "blocks").alias("block"))
-    sent = queries.mapInArrow(_sent(tree, most), "query long, target array<double>, leaf long").join(F.broadcast(blocks.toDF("to", "blocks")), F.col("leaf") == F.col("to"))
+    sent = queries.mapInArrow(_sent(tree, most, held_ids, k), "query long, target array<double>, leaf long").join(F.broadcast(blocks.toDF("to", "blocks")), F.col("leaf") == F.col("to"))
     sent = sent.select("query", "target", "leaf", "blocks").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     sent, held = sent.toDF(*sent.columns), held.toDF(*held.columns)
     found = sent.groupBy("leaf", "block").cogroup(held.groupBy("leaf", "block")).applyInArrow(_compare(k), _FOUND)
