@@ -193,6 +193,32 @@ def test_cutoffs_spare_the_good(spark):
     assert few.count() == 0
 
 
+def measured_docs(spark, rows):
+    """Rows (id, lang, symbols of 100 characters, repeated words of 100) measured."""
+    kind = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
+    return spark.createDataFrame([(i, lang, 100, 100, s, 0, r, False) for i, lang, s, r in rows], kind)
+
+
+def test_few_hundred_good_labels_switch_rules_on(spark):
+    langs = ["de", "en", "es", None]
+    rows = [(i, langs[i % 4], 0, 0) for i in range(4 * 290)]  # good ones
+    rows += [(5000 + i, langs[i % 4], 9, 0) for i in range(80)] + [(6000 + i, langs[i % 4], 0, 22) for i in range(40)]
+    marks = spark.createDataFrame([(i, int(i < 5000)) for i, *_ in rows], "doc_id long, quality int")
+    measured = measured_docs(spark, rows)
+    cutoffs = quality_rules.calibrate(measured, marks)
+    assert {r.stratum: r.cutoffs for r in cutoffs.collect()} == {x or "": {"symbols": 0.02, "repeats": 0.05} for x in langs}
+    assert {r.doc_id for r in quality_rules.judge(measured, cutoffs).where("kept").collect()} == set(range(4 * 290))
+    assert quality_rules.calibrate(measured.where("doc_id >= 24"), marks).count() == 0  # 284 good ones each
+
+
+def test_one_limit_for_all_rules(spark):
+    """Rules that each spare the good well enough, and together do not, are not switched on together."""
+    rows = [(i, "en", 9 * (i < 60), 22 * (60 <= i < 120)) for i in range(5000)]  # good ones: 1.2 % fail each rule
+    rows += [(7000 + i, "en", 9 * (i < 300), 22 * (i >= 300)) for i in range(500)]
+    marks = spark.createDataFrame([(i, int(i < 7000)) for i, *_ in rows], "doc_id long, quality int")
+    assert [r.cutoffs for r in quality_rules.calibrate(measured_docs(spark, rows), marks).collect()] == [{"symbols": 0.02}]
+
+
 def test_chats_equal_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view conversations as select * from '{SF_DIR}/conversations.parquet'")

@@ -1,12 +1,15 @@
 """Quality rules with risk-controlled cutoffs, on DataFrame functions only.
 
-Documents are measured natively. Base rules reject what is too short or repeats itself. Of each further rule a fixed list of
-cutoffs is tested in each stratum on labelled documents: with n good ones of which k would be rejected, a cutoff is safe if
-so few rejections are too unlikely for a false-rejection rate at the limit, by the exact binomial tail. The cutoffs of a rule
-are tested from the laxest on, up to the first that is not safe (a fixed sequence, which needs no correction of its own); the
-allowed error is divided by the number of sequences, all strata times all rules, and the limit by the number of rules. So
-with the stated confidence no stratum loses more than `limit` of its good documents. Of the safe cutoffs of a rule that meet
-more bad than good documents the strictest holds; without any, as with few labels, the rule is off in that stratum.
+Documents are measured natively. Base rules reject what is too short or repeats itself. The further rules are tested
+together, in each stratum on labelled documents: a vector has one cutoff of a fixed list for each rule, or none, and rejects
+what any of them rejects. With n good documents of which a vector rejects k, it is safe if so few rejections are too unlikely
+for a false-rejection rate at the limit, by the exact binomial tail. Vectors are tested along paths: a path takes the rules
+one after another and tightens each from its laxest cutoff to its strictest, up to the first vector that is not safe (a fixed
+sequence, which needs no correction of its own). There is one path for each rule to begin with, so that a rule that stops one
+path comes last in another; the allowed error is divided by the number of paths in all strata. So with the stated confidence
+no stratum loses more than `limit` of its good documents. Of the safe vectors the one that meets the most bad documents over
+good ones is taken, and of each of its rules the strictest cutoff, as lax or laxer, that meets more bad than good documents;
+a rule without any is off in that stratum, and all are with fewer good labels than could show safety (286 for four strata).
 
 Defined cases. Null or empty text: all measures 0, rejected as too short. Null stratum: a stratum of its own. Labels that
 repeat an id: good if any says so. Null ids have no label. Extra columns pass through; ones named like a measure are replaced.
@@ -100,37 +103,53 @@ def _tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k >= n * p, 1.0).when(k == 0, F.exp(none)).otherwise(several)
 
 
+def _paths() -> list[tuple[int, int, list[int]]]:
+    """path, step, and of each rule the place of its cutoff; a place beyond the last is no cutoff."""
+    cuts = [len(c) for _, c in RULES.values()]
+    steps = []
+    for path in range(len(cuts)):
+        places, step = list(cuts), 0
+        for rule in (*range(path, len(cuts)), *range(path)):
+            for place in reversed(range(cuts[rule])):
+                places[rule], step = place, step + 1
+                steps.append((path, step, list(places)))
+    return steps
+
+
 def calibrate(measured: DataFrame, labels: DataFrame, stratum: str = "lang", id_column: str = "doc_id", limit: float = LIMIT, error: float = ERROR) -> DataFrame:
     """stratum, cutoffs: of each stratum the cutoff by rule, for rules with a safe one."""
     known = labels.where("quality is not null").groupBy(F.col(id_column).alias("_wl_id")).agg(F.max("quality").alias("_wl_good"))
     sample = measured.where("not base_failed").join(known, F.col(id_column) == F.col("_wl_id"))
-    counts = []
-    for name, (value, cuts) in RULES.items():
-        for i, cut in enumerate(cuts):
-            fails = F.expr(f"{value} > {cut}D")
-            counts += [
-                F.count_if(fails & (F.col("_wl_good") == 1)).alias(f"{name}_{i}_good"),
-                F.count_if(fails & (F.col("_wl_good") == 0)).alias(f"{name}_{i}_bad"),
-            ]
-    by_stratum = sample.groupBy(F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum")).agg(
-        F.count_if(F.col("_wl_good") == 1).alias("n"), *counts
+    exceeded = [sum((F.expr(f"{value} > {cut}D").cast("int") for cut in cuts), F.lit(0)) for value, cuts in RULES.values()]
+    # of each stratum a row for each combination of cutoffs exceeded, whatever the number of labels
+    alike = sample.groupBy(F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.array(*exceeded).alias("over")).agg(
+        F.count_if(F.col("_wl_good") == 1).alias("good"), F.count_if(F.col("_wl_good") == 0).alias("bad")
     )
-    tried = F.array(
-        *(
-            F.struct(
-                F.lit(name).alias("rule"), F.lit(cut).alias("cut"), F.col(f"{name}_{i}_good").alias("k"), F.col(f"{name}_{i}_bad").alias("bad")
-            )
-            for name, (_, cuts) in RULES.items()
-            for i, cut in enumerate(cuts)
-        )
+    singles = [
+        (-1 - rule, place, [place if i == rule else len(c) for i, (_, c) in enumerate(RULES.values())])
+        for rule, (_, cuts) in enumerate(RULES.values())
+        for place in range(len(cuts))
+    ]
+    tried = F.array(*(F.struct(F.lit(p).alias("path"), F.lit(s).alias("step"), F.array(*map(F.lit, v)).alias("places")) for p, s, v in [*_paths(), *singles]))
+    fails = F.exists(F.arrays_zip("over", "places"), lambda x: x["over"] > x["places"])
+    by_step = (
+        alike.select("stratum", "over", "good", "bad", F.inline(tried))
+        .groupBy("stratum", "path", "step", "places")
+        .agg(F.sum("good").alias("n"), F.sum(F.when(fails, F.col("good")).otherwise(0)).alias("k"), F.sum(F.when(fails, F.col("bad")).otherwise(0)).alias("bad"))
     )
-    strata = by_stratum.agg(F.count("*").alias("strata"))
-    each = by_stratum.select("stratum", strata.scalar().alias("strata"), "n", F.inline(tried))
-    safe = _tail(F.col("n"), F.col("k"), limit / len(RULES)) <= error / len(RULES) / F.col("strata")
-    ended = F.coalesce(F.max(F.when(~F.col("safe"), F.col("cut"))).over(Window.partitionBy("stratum", "rule")), F.lit(float("-inf")))
-    passed = each.withColumn("safe", safe).withColumn("ended", ended).where("cut > ended and bad > k")
-    strictest = passed.groupBy("stratum", "rule").agg(F.min("cut").alias("cut"))
-    return strictest.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cut"))).alias("cutoffs"))
+    strata = alike.agg(F.count_distinct("stratum").alias("strata"))
+    each = by_step.where("path >= 0").withColumn("strata", strata.scalar())
+    safe = _tail(F.col("n"), F.col("k"), limit) <= error / len(RULES) / F.col("strata")
+    ended = F.coalesce(F.min(F.when(~F.col("safe"), F.col("step"))).over(Window.partitionBy("stratum", "path")), F.lit(1 << 30))
+    certified = each.withColumn("safe", safe).withColumn("ended", ended).where("step < ended")
+    order = F.struct(F.col("bad") - F.col("k"), -F.col("k"), F.col("step"), -F.col("path"))
+    taken = certified.groupBy("stratum").agg(F.max_by("places", order).alias("taken"))
+    useful = by_step.where("path < 0 and bad > k").select("stratum", (-1 - F.col("path")).alias("rule"), F.col("step").alias("place"))
+    held = useful.join(taken, "stratum").where(F.col("place") >= F.get("taken", "rule")).groupBy("stratum", "rule").agg(F.min("place").alias("place"))
+    names = F.array(*map(F.lit, RULES))
+    cutoffs = F.array(*(F.array(*map(F.lit, cuts)) for _, cuts in RULES.values()))
+    named = held.select("stratum", F.get(names, "rule").alias("rule"), F.get(F.get(cutoffs, "rule"), "place").alias("cut"))
+    return named.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cut"))).alias("cutoffs"))
 
 
 def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
@@ -139,12 +158,13 @@ def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> Dat
         F.when(F.expr(value) > F.col("_wl_cutoffs")[name], F.lit(name)) for name, (value, _) in RULES.items()
     ]
     own = cutoffs.select(F.col("stratum").alias("_wl_stratum"), F.col("cutoffs").alias("_wl_cutoffs"))
-    joined = measured.drop("failed_rules", "kept").join(own, F.coalesce(F.col(stratum).cast("string"), F.lit("")) == F.col("_wl_stratum"), "left")
+    # a stratum has a row only with some hundred labels
+    joined = measured.drop("failed_rules", "kept").join(F.broadcast(own), F.coalesce(F.col(stratum).cast("string"), F.lit("")) == F.col("_wl_stratum"), "left")
     judged = joined.withColumn("failed_rules", F.array_compact(F.array(*fails)))
     return judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("_wl_stratum", "_wl_cutoffs")
 
 
-def verdicts(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
-    """For each document: the id, stratum, measures, base_failed, failed_rules and kept."""
-    measured = stored(measure(docs.select(id_column, text, stratum), text).drop(text))
+def verdicts(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", stratum: str = "lang", keep: tuple[str, ...] = ()) -> DataFrame:
+    """For each document: the id, stratum, columns to keep, measures, base_failed, failed_rules and kept."""
+    measured = stored(measure(docs.select(id_column, text, stratum, *keep), text).drop(text))
     return judge(measured, calibrate(measured, labels, stratum, id_column), stratum)
