@@ -375,6 +375,29 @@ def test_nearest(spark):
     assert vector_search.nearest(few.limit(0), F.col("id") == 0).count() == 0
 
 
+def test_nearest_with_tiny_leaves(spark):
+    rng = np.random.default_rng(11)
+    alone = rng.normal(size=(24, 16)) * 5
+    hot = rng.normal(size=(4, 16))[rng.integers(0, 4, 1976)] + 0.01 * rng.normal(size=(1976, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([alone, hot]))]
+    rows += [(0, (alone[0] + 0.1 * x).tolist()) for x in rng.normal(size=(6, 16))]  # an id with several vectors
+    found = vector_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), (F.col("id") < 24) | (F.col("id") % 5 == 0), recall=0.3).collect()
+    counts = Counter(r.query_id for r in found)
+    assert set(counts) == {*range(24), *range(25, 2000, 5)} and set(counts.values()) == {5}
+    assert all(r.query_id != r.vec_id for r in found)
+
+
+def test_visits_go_on_until_leaves_hold_enough():
+    tree = vector_search.build_tree(np.random.default_rng(5).normal(size=(2000, 8)))
+    query, held = np.eye(8)[0], np.zeros(tree.leaves, int)
+    order = vector_search.visits(tree, query, tree.leaves)
+    held[order[9]], held[order[20]] = 4, 2
+    assert vector_search.visits(tree, query, 2, held, 4) == order[:10]
+    assert vector_search.visits(tree, query, 2, held, 6) == order[:21]
+    assert vector_search.visits(tree, query, 2, held, 7) == order
+    assert vector_search.visits(tree, query, 12, held, 4) == order[:12]
+
+
 def segmentations(vocabulary, word):
     if not word:
         yield 0.0
@@ -401,29 +424,6 @@ def test_nbest(spark, docs):
     assert Counter(map(repr, nbest.round_trip(docs, model).collect())) == Counter(map(repr, read))
     assert {len(r.ids) for r in nbest.encode(docs, model, 1).collect()} == {1}
 
-def test_nearest_with_tiny_leaves(spark):
-    rng = np.random.default_rng(11)
-    alone = rng.normal(size=(24, 16)) * 5
-    hot = rng.normal(size=(4, 16))[rng.integers(0, 4, 1976)] + 0.01 * rng.normal(size=(1976, 16))
-    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([alone, hot]))]
-    rows += [(0, (alone[0] + 0.1 * x).tolist()) for x in rng.normal(size=(6, 16))]  # an id with several vectors
-    found = vector_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), (F.col("id") < 24) | (F.col("id") % 5 == 0), recall=0.3).collect()
-    counts = Counter(r.query_id for r in found)
-    assert set(counts) == {*range(24), *range(25, 2000, 5)} and set(counts.values()) == {5}
-    assert all(r.query_id != r.vec_id for r in found)
-
-
-def test_visits_go_on_until_leaves_hold_enough():
-    tree = vector_search.build_tree(np.random.default_rng(5).normal(size=(2000, 8)))
-    query, held = np.eye(8)[0], np.zeros(tree.leaves, int)
-    order = vector_search.visits(tree, query, tree.leaves)
-    held[order[9]], held[order[20]] = 4, 2
-    assert vector_search.visits(tree, query, 2, held, 4) == order[:10]
-    assert vector_search.visits(tree, query, 2, held, 6) == order[:21]
-    assert vector_search.visits(tree, query, 2, held, 7) == order
-    assert vector_search.visits(tree, query, 12, held, 4) == order[:12]
-
-
 
 def test_nbest_words_outlive_a_change_of_memory():
     import public_tokenizers
@@ -496,3 +496,48 @@ def test_pipeline(spark):
             assert out.columns == documents.columns and 0 < out.count() <= len(rows)
         documents = out
     assert len(seen) == 5
+
+
+def test_pipeline_decides_by_row(spark, tmp_path):
+    """Repeated rows, repeated ids with other texts, and null ids in every stage."""
+    import corpus_pipeline
+
+    stages, rng = dict(corpus_pipeline.STAGES), random.Random(9)
+
+    def prose(n):
+        return " ".join(rng.choice("red green blue sky tree rain bird".split()) + str(rng.randrange(99)) for _ in range(n))
+
+    def out(stage, rows):
+        table = spark.createDataFrame([(i, x, "en", "s", len(x or "")) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+        found = stages[stage](spark, table.repartition(3), str(tmp_path))
+        assert stage == "packing" or found.columns == table.columns
+        return found
+
+    def kept(stage, rows):
+        return Counter((r.doc_id, r.text) for r in out(stage, rows).collect())
+
+    texts = [prose(60) + (" vile scum" if i % 4 == 0 else "") for i in range(400)]
+    spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(400)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    known = list(enumerate(texts))
+    clean, other, toxic = prose(60), prose(60), prose(60) + " vile scum"
+    odd = [(None, clean), (None, clean), (None, toxic), (900, other), (900, toxic), (901, clean), (901, clean)]
+    assert kept("toxicity", known + odd) == Counter([r for r in known + odd if "vile" not in r[1]])
+
+    short = [(None, "too short"), (None, clean), (900, "short"), (900, other), (900, other)]
+    assert kept("quality rules", known + short) == Counter([r for r in known + short if len(r[1]) > 20])
+
+    near = clean + " end"
+    rows = [(5, clean), (5, clean), (7, near), (None, clean), (8, other), (8, toxic), (8, other), (None, texts[1]), (None, texts[1]), (None, texts[2]), (None, ""), (9, None)]
+    wanted = [(5, clean), (8, other), (8, toxic), (None, texts[1]), (None, texts[2]), (None, ""), (9, None)]
+    assert kept("n-gram Jaccard join", rows) == Counter(wanted)
+
+    passage = prose(20)
+    same, none = [(5, f"a {passage} one"), (5, f"b {passage} two"), (6, f"c {passage}"), (5, f"a {passage} one")], [(None, f"d {passage}"), (None, f"e {passage}")]
+    found = kept("substring dedup", same + none)
+    assert sum(n for (_, x), n in found.items() if passage in x) == 1 and found.total() == 6
+    assert found[6, "c"] == found[None, "d"] == found[None, "e"] == 1
+    assert sum(n for (i, x), n in found.items() if i == 5 and passage in x) == 1
+    assert sum(passage in x for _, x in kept("substring dedup", none)) == 1
+
+    pieces = out("packing", [(5, clean), (5, clean), (None, other)]).where("start = 0")
+    assert Counter(r.doc_id for r in pieces.collect()) == {5: 2, None: 1}

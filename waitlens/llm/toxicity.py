@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waitlens.llm.text import Chunk, chunks, signed
 from waitlens.llm.work import stored
@@ -149,7 +150,8 @@ def _score(model: Model | None, odds_free: float):
                     scores.append(float(1 / (1 + np.exp(-(model.bias + model.slope * x)))) if model else odds_free)
                 own = batch.slice(chunk.start, n)
                 kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("surprise", pa.float64())]))
-                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(scores, pa.float64()), pa.array(passages, kind)], ["id", "held_out", "score", "passages"])
+                columns = [own.column(0), own.column(1), pa.array(scores, pa.float64()), pa.array(passages, kind), *own.columns[3:]]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", "score", "passages", *own.schema.names[3:]])
 
     return run
 
@@ -217,10 +219,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
     return model._replace(bias=bias, slope=slope)
 
 
-def score(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """For each document: the id, held_out, score, predicted, and its significant passages (first and end token, score, surprise)."""
-    kind = docs.schema[id_column].dataType.simpleString()
-    out = docs.select(F.col(id_column).alias("id"), held_out(id_column).alias("held_out"), F.col(text).alias("text")).mapInArrow(
-        _score(model, 0.0), f"id {kind}, held_out boolean, score double, passages array<struct<first: long, end: long, score: double, surprise: double>>"
-    )
-    return out.select(F.col("id").alias(id_column), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages")
+def score(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """For each document: the id, held_out, score, predicted, and its significant passages (first and end token, score, surprise);
+    after them the columns to keep."""
+    passage = T.StructType().add("first", "long").add("end", "long").add("score", "double").add("surprise", "double")
+    schema = T.StructType().add("id", docs.schema[id_column].dataType).add("held_out", "boolean").add("score", "double").add("passages", T.ArrayType(passage))
+    for name in keep:
+        schema = schema.add(name, docs.schema[name].dataType)
+    out = docs.select(F.col(id_column).alias("id"), held_out(id_column).alias("held_out"), F.col(text).alias("text"), *keep).mapInArrow(_score(model, 0.0), schema)
+    return out.select(F.col("id").alias(id_column), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages", *keep)
