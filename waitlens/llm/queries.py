@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat_format, nbest, ngram_join, packing, pitman_yor, quality_rules, sharding, substring_dedup, toxicity, vector_search
+from waitlens.llm import (
+    chat_format,
+    nbest,
+    ngram_join,
+    packing,
+    pitman_yor,
+    quality_rules,
+    role_repair,
+    sharding,
+    substring_dedup,
+    toxicity,
+    vector_search,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,6 +106,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.byte_shards(_table(spark, sf_dir, "documents"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return role_repair.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -114,6 +130,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_nearest_neighbours,
             op9_sentencepiece,
             op10_sharding,
+            op11_structure_repair,
             pipeline,
         )
     }
@@ -139,5 +156,95 @@ from chats
 """
 
 
+def _plus(best: str, cost: int | str, edit: str) -> str:
+    """SQL: a (cost, audit) written as five digits and the audit, with an edit more; text order is then the order of both."""
+    return f"lpad(cast(cast(left({best}, 5) as int) + {cost} as varchar), 5, '0') || substr({best}, 6) || '{edit}'"
+
+
+def _least(*bests: str) -> str:
+    return f"least({', '.join(bests)})"
+
+
+#: Before a row: e nothing yet, s after the system's turn, u after a user's, a after an assistant's; null where not possible.
+_U1 = _least("u", _plus("e", 5, "I"), _plus("s", 5, "I"), _plus("a", 5, "I"))
+_A1 = _least("a", _plus("u1", 5, "I"))
+
+
+def _kept(best: str, initial: str, rerole: bool = True) -> str:
+    """SQL: the row kept as `initial`, or reroled to it; a row that must go can be neither."""
+    other = _plus(best, "1 + late", "R") if rerole else "null"
+    return f"case when not gone then case when initial = '{initial}' then {_plus(best, 'late', 'K')} else {other} end end"
+
+
+_REPAIR_SQL = rf"""
+with recursive damaged as (
+    select *, crc % 20 as kind from (
+        select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+            xor(4294967295, list_reduce(
+                list_prepend(4294967295::bigint, list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda c: ord(c)::bigint)),
+                lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1))))) as crc
+        from conversations) c
+), rows_after as (
+    select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+        case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+    from (select * from damaged where kind <> 0 union all select * from damaged where kind = 3) d
+), numbered as (
+    select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as n from rows_after
+), judged as (
+    select *, left(role, 1) as initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as trimmed,
+        row_number() over (partition by conv_id, role, text order by n) > 1 as seen,
+        lag(left(role, 1)) over (partition by conv_id order by n) as initial_before
+    from numbered
+), faults as (
+    select *, trimmed = '' as blank, trimmed <> '' and seen as duplicate,
+        trimmed <> '' and not seen and right(trimmed, 1) not in ('.', '!', '?') as truncated
+    from judged
+), work as (
+    select conv_id, n, role, text, initial, blank or duplicate as gone, case when truncated then 5 else 0 end as late from faults
+), counts as (
+    select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+        count(*) filter (where blank) as blank, count(*) filter (where duplicate) as duplicate, count(*) filter (where truncated) as truncated,
+        count(*) filter (where n > 1 and initial_before || initial not in ('su', 'ua', 'au')) as illegal, max(n) as rows_left
+    from faults group by conv_id
+), parse as (
+    select conv_id, 0::bigint as n, '00000' as e, null::varchar as s, null::varchar as u, null::varchar as a from counts
+    union all
+    select conv_id, n, {_plus("e", 2, "D")},
+        {_least(_plus("s", 2, "D"), _kept("e", "s", rerole=False))},
+        {_least(_plus("u1", 2, "D"), _kept(_least("e", "s", "a1"), "u"))},
+        {_least(_plus("a1", 2, "D"), _kept("u1", "a"))}
+    from (select *, {_A1} as a1 from (
+        select p.conv_id, w.n, w.initial, w.gone, w.late, e, s, u, a, {_U1} as u1
+        from parse p join work w on w.conv_id is not distinct from p.conv_id and w.n = p.n + 1) p1) p2
+), best as (
+    select conv_id, n, {_least("e", _A1)} as best from (select *, {_U1} as u1 from parse) p
+), audits as (
+    select b.conv_id, left(best, 5)::bigint as cost, substr(best, 6) as audit
+    from best b join counts c on c.conv_id is not distinct from b.conv_id and c.rows_left = b.n
+), letters as (
+    select conv_id, audit, unnest(range(1, length(audit) + 1)) as place from audits
+), edits as (
+    select conv_id, place, substr(audit, place, 1) as edit,
+        count(*) filter (where substr(audit, place, 1) <> 'I') over (partition by conv_id order by place) as n
+    from letters
+), placed as (
+    select e.conv_id, e.place, e.edit, w.role, w.text, w.initial,
+        row_number() over (partition by e.conv_id order by e.place) - max(case when e.edit = 'K' and w.initial = 's' then 1 else 0 end) over (partition by e.conv_id) as turn_no
+    from edits e left join work w on w.conv_id is not distinct from e.conv_id and w.n = e.n where e.edit <> 'D'
+), said as (
+    select conv_id, string_agg(case when edit = 'K' then role when turn_no % 2 = 1 then 'user' else 'assistant' end
+        || ':' || case when edit = 'I' then '' else text end, chr(10) order by place) as lines
+    from placed group by conv_id
+)
+select o.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+    coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(cost, 0)::bigint as cost,
+    coalesce(audit, '') as audit, sha256(coalesce(lines, '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counts c on c.conv_id is not distinct from o.conv_id
+left join audits a on a.conv_id is not distinct from o.conv_id
+left join said l on l.conv_id is not distinct from o.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_formatting": _CHATS_SQL}
+    return {"op3_chat_formatting": _CHATS_SQL, "op11_structure_repair": _REPAIR_SQL}
