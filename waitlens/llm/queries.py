@@ -17,6 +17,7 @@ from waitlens.llm import (
     role_repair,
     sharding,
     substring_dedup,
+    token_files,
     toxicity,
     vector_search,
 )
@@ -110,6 +111,13 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return role_repair.repair_damaged(_table(spark, sf_dir, "conversations"))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = str(public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -131,6 +139,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_sentencepiece,
             op10_sharding,
             op11_structure_repair,
+            op13_token_files,
             pipeline,
         )
     }
