@@ -16,6 +16,7 @@ from waitlens.llm import (
     quality_rules,
     role_repair,
     sharding,
+    source_divergence,
     substring_dedup,
     token_files,
     toxicity,
@@ -111,6 +112,10 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return role_repair.repair_damaged(_table(spark, sf_dir, "conversations"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -139,6 +144,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_sentencepiece,
             op10_sharding,
             op11_structure_repair,
+            op12_source_divergence,
             op13_token_files,
             pipeline,
         )
@@ -254,6 +260,45 @@ left join audits a on a.conv_id is not distinct from o.conv_id
 left join said l on l.conv_id is not distinct from o.conv_id
 """
 
+_DIVERGENCE_SQL = r"""
+with docs as (
+    select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+    from documents
+), occurrences as (
+    select doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs
+), kept as (
+    select lang, term from occurrences group by lang, term having count(distinct doc) >= 30
+), counted as (
+    select lang, source, term, count(*) as n from occurrences group by lang, source, term
+), groups as (
+    select distinct lang, source from docs
+), dense as (
+    select g.lang, g.source, k.term, coalesce(c.n, 0) as n
+    from groups g join kept k on k.lang = g.lang left join counted c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), shares as (
+    select *, 1 + (1000000000::hugeint * (n + 5)) // (sum(n) over (partition by lang, source) + 5 * count(*) over (partition by lang, source)) as p
+    from dense
+), of_lang as (
+    select lang, term, 1 + (1000000000::hugeint * (n + 5)) // (sum(n) over (partition by lang) + 5 * count(*) over (partition by lang)) as q
+    from (select lang, term, sum(n) as n from dense group by lang, term) d
+), differences as (
+    select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+    from shares a join shares b on b.lang = a.lang and b.term = a.term and b.source <> a.source group by a.lang, a.source, b.source
+), pairs as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(d.value, 0) as value
+    from groups a join groups b on b.lang = a.lang and b.source <> a.source
+    left join differences d on d.lang = a.lang and d.source = a.source and d.item = b.source
+), terms as (
+    select s.lang, s.source, 'term' as part, s.term as item, s.p - l.q as value
+    from shares s join of_lang l on l.lang = s.lang and l.term = s.term where s.n > 0 and s.p > l.q
+)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as int) as rank
+from (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+    from (select * from pairs union all select * from terms) u) r
+where part = 'pair' or rank <= 50
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_formatting": _CHATS_SQL, "op11_structure_repair": _REPAIR_SQL}
+    return {"op3_chat_formatting": _CHATS_SQL, "op11_structure_repair": _REPAIR_SQL, "op12_source_divergence": _DIVERGENCE_SQL}
