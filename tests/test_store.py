@@ -215,3 +215,64 @@ def test_views_take_report_sql(spark):
     assert spark.sql("select snap_id from dba_hist_active_sess_history").collect() == [(1,)]
     assert spark.sql("select sql_text from `v$sql` where sql_id = 'a'").count() == 1
     assert spark.sql("select * from dba_users").count() == 1
+
+
+def files_below(path) -> dict[str, float]:
+    return {str(f): f.stat().st_mtime for f in path.rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("mode, kept", [("h", 24), ("m", 30)])
+def test_hour_and_minute_retention_shrinks_the_files(spark, tmp_path, mode, kept):
+    """The day that holds the limit is written anew, in the databases that hold older rows; the others stay as they are."""
+    step = timedelta(hours=1) if mode == "h" else timedelta(minutes=1)
+    end = at("9 12:00:00")
+    given = [sample("1 00:00:00", sample_time=end - n * step, session_id=n) for n in range(60)]
+    given += [sample("1 00:00:00", dbid=2, sample_time=end - n * timedelta(seconds=1), session_id=n) for n in range(5)]
+    path = str(tmp_path / "s")
+    sources.write_samples(samples(spark, *given), path)
+    before = files_below(tmp_path / "s")
+    sources.delete_expired(spark, path, mode, end)
+    after = files_below(tmp_path / "s")
+    left = spark.read.parquet(path)
+    assert rows(left, "dbid", "session_id") == sorted([(1, n) for n in range(kept + 1)] + [(2, n) for n in range(5)], key=lambda r: tuple(map(str, r)))
+    assert {f for f in before if "dbid=2" in f} == {f for f in after if "dbid=2" in f}
+    assert sources.delete_expired(spark, path, mode, end) == [] and files_below(tmp_path / "s") == after
+
+
+def test_a_day_without_rows_left_goes(spark, tmp_path):
+    path = str(tmp_path / "s")
+    sources.write_samples(samples(spark, sample("9 01:00:00"), sample("10 01:00:00", dbid=2)), path)
+    dropped = sources.delete_expired(spark, path, "h", at("10 12:00:00"))
+    assert [d.split("/s/")[1] for d in dropped] == ["dbid=1/sample_date=2024-01-09"]
+    assert rows(spark.read.parquet(path), "dbid") == [(2,)]
+
+
+def test_merge_touches_only_what_changes(spark, tmp_path):
+    path, schema = str(tmp_path / "files"), "dbid long, file_id long, file_name string, tablespace_name string"
+    first = spark.createDataFrame([(1, i, f"f{i}", "ts") for i in range(200)] + [(None, 1, "n", "ts")], schema)
+    assert len(sources.merge_buckets(first, path, ["dbid", "file_id"], ["file_name"], 16)) == 16
+    before = files_below(tmp_path / "files")
+    assert sources.merge_buckets(first.limit(50), path, ["dbid", "file_id"], ["file_name"], 16) == []
+    assert files_below(tmp_path / "files") == before
+    updates = spark.createDataFrame([(1, 7, "new7", "other"), (1, 8, "f8", "other"), (1, 500, "f500", "ts"), (None, 1, "n", "x")], schema)
+    touched = sources.merge_buckets(updates, path, ["dbid", "file_id"], ["file_name"], 16)
+    assert 1 <= len(touched) <= 2
+    after = files_below(tmp_path / "files")
+    kept = {f: t for f, t in before.items() if not any(f"/bucket={b}/" in f for b in touched)}
+    assert kept.items() <= after.items()
+    got = {r[1]: r for r in rows(spark.read.schema(schema).parquet(path).drop("bucket")) if r[0] == 1}
+    assert len(got) == 201 and got[7] == (1, 7, "new7", "ts") and got[8] == (1, 8, "f8", "ts") and got[500][2] == "f500"
+
+
+def test_expired_snapshots_leave_the_files(spark, tmp_path):
+    """A folder with targets of both sides of the limit keeps the rows of the younger ones."""
+    store = sources.SnapshotStore(spark, str(tmp_path))
+    run = store.begin()
+    rows_of = spark.sql("select snap_id, dbid, 1L inst_id, snap_id * 10 + dbid as value from values (1L), (2L), (3L) as s(snap_id) cross join (values (1L), (2L)) as d(dbid)")
+    run.write("io_events", rows_of)
+    run.commit(spark.createDataFrame([(s, d, 1, at(f"{s + d} 00:00:00")) for s in (1, 2, 3) for d in (1, 2)], "hist_sample_id long, dbid long, instance_number long, hist_date timestamp"))
+    before = files_below(tmp_path / "data")
+    dropped = store.expire(at("4 00:00:00"), ["io_events"])
+    assert [d.rsplit("/", 1)[1] for d in dropped] == ["snap_id=1"]
+    assert rows(spark.read.parquet(f"{tmp_path}/data/io_events"), "value") == [(22,), (31,), (32,)]
+    assert [f for f in files_below(tmp_path / "data") if "snap_id=3" in f] == [f for f in before if "snap_id=3" in f]

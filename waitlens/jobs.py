@@ -21,7 +21,8 @@ from waitlens.operators import hot as hot_sets
 from waitlens.operators import ingest
 from waitlens.operators.delta import counter_delta
 from waitlens.operators.history import latest_snapshot
-from waitlens.sources.store import materialise, replace_partitions
+from waitlens.sources.snapshots import SnapshotStore, advance
+from waitlens.sources.store import materialise, merge_buckets, replace_partitions
 
 Tables = Mapping[str, DataFrame]
 Target = tuple[int, int]
@@ -65,11 +66,21 @@ def _new_text(hot: DataFrame, sources: Tables, stored: Tables) -> DataFrame:
     return texts.withColumn("command_type", F.lit(STORED_COMMAND_TYPE).cast("bigint"))
 
 
+def _sqlstats_now(hot: DataFrame, sources: Tables, snap_id: int, columns: Sequence[str]) -> DataFrame:
+    return ingest.snapshot_stamp(hot_sets.hot_sqlstats(hot, sources["sqlstats"].drop("snap_id"), columns), snap_id)
+
+
 def _sqlstats_with_delta(hot: DataFrame, sources: Tables, stored: Tables, snap_id: int, columns: Sequence[str]) -> DataFrame:
-    """Counters of hot SQL at this snapshot, with deltas against the target's previous one."""
-    now = ingest.snapshot_stamp(hot_sets.hot_sqlstats(hot, sources["sqlstats"].drop("snap_id"), columns), snap_id)
+    """Counters of hot SQL at this snapshot, with deltas against the target's previous one.
+
+    The registry says which snapshot that was; without one in ``stored``, the counters themselves are searched for it.
+    """
+    now = _sqlstats_now(hot, sources, snap_id, columns)
     earlier = stored["sqlstats"].where(F.col("snap_id") < snap_id)
-    registry = ingest.register_snapshots(earlier, inst_col="instance_number")
+    if "snapshots" in stored:
+        registry = stored["snapshots"].where(F.col("hist_sample_id") < snap_id)
+    else:
+        registry = ingest.register_snapshots(earlier, inst_col="instance_number")
     before = latest_snapshot(earlier, registry).select(*[c for c in now.columns if c in earlier.columns])
     both = before.unionByName(now, allowMissingColumns=True)
     deltas = {c: d for c, d in SQLSTAT_DELTAS.items() if c in columns}
@@ -101,6 +112,9 @@ def snapshot(
     ``sources`` holds the host's present rows (with dbid and instance), ``stored`` the repository. Parts whose source is
     missing are left out. All results are new rows, but ``data_files``, which is the merged table. The set of hot SQL is
     computed here and now, once; of ``sqlstats`` only the time that holds the previous snapshots need be given.
+
+    State in place of history: ``stored["metric_marks"]`` says how far metrics are loaded, ``stored["sqlstats_last"]`` holds
+    the last values of counters (None before the first run); with the latter the result has ``sqlstats_last``, the next ones.
     """
     hot = materialise(hot_sets.hot_sql(stored["samples"], as_of, span, n_sql))
     out: dict[str, DataFrame] = {}
@@ -110,7 +124,12 @@ def snapshot(
         out["data_files"] = ingest.upsert(stored["data_files"], sources["data_files"], ["dbid", "file_id"], ["file_name"])
     if "sqltext" in sources:
         out["sqltext"] = _new_text(hot, sources, stored)
-    if "sqlstats" in sources:
+    if "sqlstats" in sources and "sqlstats_last" in stored:
+        targets = stored["targets"].select("dbid", F.col("inst_num").alias("instance_number"))
+        deltas = {c: d for c, d in SQLSTAT_DELTAS.items() if c in columns}
+        now = materialise(_sqlstats_now(hot, sources, snap_id, columns))
+        out["sqlstats"], out["sqlstats_last"] = advance(now, stored["sqlstats_last"], targets, deltas)
+    elif "sqlstats" in sources:
         out["sqlstats"] = _sqlstats_with_delta(hot, sources, stored, snap_id, columns)
     if "plan_lines" in sources:
         out["plan_lines"] = hot_sets.new_plan_lines(hot, sources["plan_lines"], stored["plan_lines"])
@@ -119,7 +138,9 @@ def snapshot(
             stored["samples"], sources["objects"], stored["objects"], as_of, object_span, n_objects
         )
     if "metric_history" in sources:
-        rows = ingest.metric_increment(sources["metric_history"], stored["metric_history"], stored["metric_names"], as_of)
+        rows = ingest.metric_increment(
+            sources["metric_history"], stored.get("metric_history"), stored["metric_names"], as_of, marks=stored.get("metric_marks")
+        )
         out["metric_history"] = ingest.snapshot_stamp(rows, snap_id)
     if "system_events" in sources:
         out["io_events"] = ingest.io_event_snapshot(sources["system_events"], snap_id, as_of=as_of)
@@ -133,6 +154,33 @@ def snapshot(
     return out
 
 
+def run_snapshot(
+    store: SnapshotStore, sources: Tables, stored: Tables, snap_id: int, as_of: datetime, run: str | None = None, **options
+) -> str:
+    """One snapshot of the fleet, written to ``store`` all or nothing; gives the name of its run.
+
+    How far metrics are loaded and the last values of counters come from the store; no history is read for them. ``stored``
+    needs the samples, the names, the targets and the dimensions. Every output becomes visible with the commit at the end; a
+    job that breaks off before shows nothing and is simply run again. Data files are merged after it into ``dims/data_files`` of
+    the store, in buckets; that adds nothing twice either.
+    """
+    state = {"metric_marks": store.marks("metric_history"), "sqlstats_last": store.last_values()}
+    writer = store.begin(run)
+    now = {name: rows for name, rows in sources.items() if name != "data_files"}
+    outputs = snapshot(now, {**stored, **state}, snap_id, as_of, **options)
+    registry = outputs.pop("snapshots")
+    for name, rows in outputs.items():
+        if name == "sqlstats_last":
+            writer.write_last(rows)
+        else:
+            stamped = rows if "snap_id" in rows.columns else rows.withColumn("snap_id", F.lit(snap_id).cast("bigint"))
+            writer.write(name, stamped, mark="begin_time" if name == "metric_history" else None)
+    writer.commit(registry)
+    if "data_files" in sources:
+        merge_buckets(sources["data_files"], f"{store.path}/dims/data_files", ["dbid", "file_id"], ["file_name"])
+    return writer.run
+
+
 def snapshot_one(
     sources: Tables,
     stored: Tables,

@@ -12,6 +12,7 @@ from waitlens.constants import SNAPSHOT_MINUTES, SQLSTAT_DELTAS
 from waitlens.functions import blocker_session, blocker_status, session_type_name
 from waitlens.operators.delta import counter_delta
 from waitlens.operators.joins import fits_broadcast, lookup, range_lookup
+from waitlens.operators.times import DAY
 
 Target = tuple[int, int]
 
@@ -156,10 +157,16 @@ def sampled_by_snapshot(
 ) -> DataFrame:
     """One in ten history rows (seconds ending in 0) with the snapshots whose interval holds them.
 
-    Both ends of an interval count, so a row on a shared end has two snapshots.
+    Both ends of an interval count, so a row on a shared end has two snapshots. Where the rows have a ``sample_date`` partition
+    column, only the days that the snapshots touch are read.
     """
     seconds = minutes * 60
     thinned = history.where(F.second("sample_time") % 10 == 0)
+    if DAY in history.columns:
+        later = F.explode(F.array(*[F.lit(n) for n in range(2 + minutes // 1440)])).alias("later")
+        days = snapshots.select("hist_date", later).select(F.date_add(F.to_date("hist_date"), F.col("later")).alias(DAY)).distinct()
+        if fits_broadcast(days):
+            thinned = thinned.join(F.broadcast(days), [DAY], "left_semi")
     begin = F.unix_timestamp("hist_date")
     intervals = snapshots.select(
         F.col("hist_sample_id").alias("snap_id"),

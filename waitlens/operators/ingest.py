@@ -185,15 +185,23 @@ def flagged_stats(stats: DataFrame, stat_names: DataFrame, as_of: datetime | Non
 
 def metric_increment(
     source: DataFrame,
-    loaded: DataFrame,
+    loaded: DataFrame | None,
     names: DataFrame,
     as_of: datetime,
     min_centiseconds: int = METRIC_MIN_CENTISECONDS,
     first_load_days: int = METRIC_FIRST_LOAD_DAYS,
+    marks: DataFrame | None = None,
 ) -> DataFrame:
-    """Metric rows later than the newest loaded row of their target, long intervals and named metrics only."""
+    """Metric rows later than the newest loaded row of their target, long intervals and named metrics only.
+
+    A target of which nothing is loaded yet gets the last ``first_load_days``. ``marks`` (dbid, inst_id, mark), one row a target,
+    says how far targets are loaded; then ``loaded`` is not read and may be None.
+    """
     target = ["dbid", "inst_id"]
-    mark = loaded.groupBy(*target).agg(F.max("begin_time").alias("__mark"))
+    if marks is None:
+        mark = loaded.groupBy(*target).agg(F.max("begin_time").alias("__mark"))
+    else:
+        mark = marks.select(*target, F.col("mark").alias("__mark"))
     salt = ["metric_id", "begin_time"]
     rows = source.where(F.col("intsize_csec") > min_centiseconds)
     rows = lookup(rows, names, ["dbid", "metric_id"], "left_semi", ["inst_id", "begin_time"])

@@ -10,6 +10,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waitlens.functions import timestamp_lit
+from waitlens.operators.ingest import upsert
+from waitlens.operators.joins import lookup
 from waitlens.operators.retention import cutoff
 from waitlens.operators.times import in_range
 
@@ -35,9 +38,19 @@ def write_samples(samples: DataFrame, path: str, mode: str = "append") -> None:
     writer.partitionBy(*PARTITIONS).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _place(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _place(spark, path)
+    files.delete(place, True)
 
 
 def append_missing(rows: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[str] = PARTITIONS) -> None:
@@ -49,7 +62,7 @@ def append_missing(rows: DataFrame, path: str, keys: Sequence[str], partitions:
     rows = with_sample_date(rows).dropDuplicates(keys).persist()
     try:
         new = rows
-        if _exists(rows.sparkSession, path):
+        if exists(rows.sparkSession, path):
             span = rows.agg(F.min("sample_time"), F.max("sample_time"), F.collect_set("sample_date")).first()
             near = F.col("sample_date").isin(span[2]) & F.col("sample_time").between(span[0], span[1])
             stored = rows.sparkSession.read.schema(rows.schema).parquet(path).where(near | F.col("sample_date").isNull())
@@ -75,23 +88,85 @@ def read_samples(
     return rows.withColumn("dbid", F.col("dbid").cast("bigint"))
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    files, place = _place(spark, pattern)
+    return [status.getPath().toString() for status in files.globStatus(place) or []]
+
+
+def rewrite(rows: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str] = ()) -> None:
+    """Put ``rows`` in the place of the partitions they were read from.
+
+    They are copied to a work folder first, which a failure in between leaves whole; partitions that are left without rows are
+    not touched.
+    """
+    replace_partitions(materialise(rows), path, partitions, order)
+
+
 def drop_expired(spark: SparkSession, path: str, mode: str, as_of: datetime) -> list[str]:
     """Delete the day partitions that lie wholly before the retention limit; gives the deleted folders.
 
-    The day that holds the limit stays; ``retention.expire`` leaves its older rows out.
+    The day that holds the limit stays; ``delete_expired`` shortens it as well, ``retention.expire`` leaves its older rows out.
     """
-    first_kept = cutoff(mode, as_of).date().isoformat()
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    dropped = []
-    for status in fs.globStatus(hadoop.Path(path, "dbid=*/sample_date=*")) or []:
-        day = status.getPath().getName().split("=", 1)[1]
-        if day < first_kept:
-            fs.delete(status.getPath(), True)
-            dropped.append(status.getPath().toString())
+    first_kept, dropped = cutoff(mode, as_of).date().isoformat(), []
+    for folder in folders(spark, f"{path}/dbid=*/sample_date=*"):
+        if folder.rsplit("=", 1)[1] < first_kept:
+            remove(spark, folder)
+            dropped.append(folder)
     return sorted(dropped)
 
 
+def delete_expired(spark: SparkSession, path: str, mode: str, as_of: datetime) -> list[str]:
+    """Delete all samples that lie before the retention limit from the files; gives the deleted folders.
+
+    Days wholly before it go as folders. The day that holds the limit is written anew without its older rows, once there
+    are any, and only in the databases that have some; where none is left its folder goes too.
+    """
+    limit, dropped = cutoff(mode, as_of), drop_expired(spark, path, mode, as_of)
+    day_name = f"sample_date={limit.date().isoformat()}"
+    if not folders(spark, f"{path}/dbid=*/{day_name}"):
+        return dropped
+    day = spark.read.parquet(path).where(F.col("sample_date") == F.lit(limit.date().isoformat()).cast("date"))
+    old = F.col("sample_time") < timestamp_lit(limit)
+    holders = materialise(day.groupBy("dbid").agg(F.bool_or(old).alias("shrinks"), F.bool_and(old).alias("goes")).where("shrinks"))
+    if holders.isEmpty():
+        return dropped
+    keeping = lookup(day.where(~old), holders, ["dbid"], "left_semi", ["sample_time"]).select(day.columns)
+    rewrite(keeping, path, PARTITIONS, ["sample_time"])
+    for row in holders.where("goes").toLocalIterator():
+        folder = f"{path}/dbid={row['dbid']}/{day_name}"
+        remove(spark, folder)
+        dropped.append(folder)
+    return sorted(dropped)
+
+
+def merge_buckets(
+    updates: DataFrame, path: str, keys: Sequence[str], update_cols: Sequence[str], buckets: int = 64
+) -> list[int]:
+    """Merge ``updates`` into a dimension that is stored in hash buckets of its keys; gives the buckets written.
+
+    Matched rows take ``update_cols``, unmatched updates are added. Only buckets in which that changes something are read whole
+    and written anew, so a merge costs what it changes, and one that changes nothing writes nothing. Keys of ``updates``
+    are unique.
+    """
+    spark, keys = updates.sparkSession, list(keys)
+    updates = updates.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    if not exists(spark, path):
+        replace_partitions(updates, path, ["bucket"], keys)
+        return list(range(buckets))
+    stored = spark.read.schema(updates.schema).parquet(path)
+    known = stored.select("bucket", *[F.col(c).alias(f"__{c}") for c in (*keys, *update_cols)], F.lit(True).alias("__known"))
+    same = [known["bucket"] == updates["bucket"], *[updates[k].eqNullSafe(known[f"__{k}"]) for k in keys]]
+    differs = F.col("__known").isNull()
+    for column in update_cols:
+        differs = differs | ~updates[column].eqNullSafe(known[f"__{column}"])
+    changed = materialise(updates.join(known, same, "left").where(differs).select(*[updates[c] for c in updates.columns]))
+    touched = sorted(r["bucket"] for r in changed.select("bucket").distinct().collect())  # as many as there are buckets
+    if touched:
+        base = stored.where(F.col("bucket").isin(touched))
+        rewrite(upsert(base, changed, [*keys, "bucket"], update_cols), path, ["bucket"], keys)
+    return touched
+
+
 def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str] = ()) -> None:
     """Write snapshot rows by partition; partitions that come again are replaced, so a repeated job adds nothing twice."""
     writer = _balanced(df, partitions, order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

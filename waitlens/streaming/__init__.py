@@ -4,6 +4,7 @@ from waitlens.streaming.samples import (
     deduplicate,
     enrich,
     ingest_counters,
+    ingest_metrics,
     ingest_samples,
     read_sample_stream,
     read_windows,
@@ -16,6 +17,7 @@ __all__ = [
     "deduplicate",
     "enrich",
     "ingest_counters",
+    "ingest_metrics",
     "ingest_samples",
     "read_sample_stream",
     "read_windows",

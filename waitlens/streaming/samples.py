@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +12,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from waitlens.operators.history import session_history
-from waitlens.operators.ingest import flagged_stats
+from waitlens.operators.ingest import flagged_stats, metric_increment
 from waitlens.operators.reports import class_or_cpu
 from waitlens.schemas import SAMPLES
+from waitlens.sources.snapshots import SnapshotStore
 from waitlens.sources.store import PARTITIONS, append_missing
 from waitlens.sources.tables import conform
 
@@ -115,3 +118,32 @@ def activity_by_window(history: DataFrame, seconds: int = 15, delay: str = "10 m
     """Average active sessions per window and wait class."""
     counts = counts_by_window(history, {"wait_class": class_or_cpu()}, seconds, delay)
     return counts.select("bucket_time", "wait_class", (F.col("n") / (seconds / sample_interval_s)).alias("cnt"))
+
+
+def ingest_metrics(
+    stream: DataFrame,
+    store: SnapshotStore,
+    names: DataFrame,
+    as_of: datetime,
+    checkpoint: str,
+    table: str = "metric_history",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Add metric rows to the snapshot store, each batch as a run that also moves the load marks of its targets.
+
+    A batch takes what is later than its targets' marks, so overlapping files add nothing twice; a batch that comes again
+    after its commit is left out. Batches are numbered as snapshots, so the stream needs a store of its own.
+    """
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def load(batch: DataFrame, number: int) -> None:
+        run = f"{name}-{number}"
+        if store.committed(run):
+            return
+        rows = metric_increment(batch.distinct(), None, names, as_of, marks=store.marks(table))
+        writer = store.begin(run)
+        written = writer.write(table, rows.withColumn("snap_id", F.lit(number).cast("bigint")), mark="begin_time")
+        keys = [F.col("snap_id").alias("hist_sample_id"), "dbid", F.col("inst_id").alias("instance_number")]
+        writer.commit(written.groupBy(*keys).agg(F.max("begin_time").alias("hist_date")))
+
+    return _each_batch(stream, load, checkpoint, every)
