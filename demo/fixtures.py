@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waitlens.constants import IO_EVENT_NAMES
+from waitlens.constants import IO_EVENT_NAMES, SQLSTAT_DELTAS
 from waitlens.sources import conform
 
 # ids 1 + x % 3 for whole numbers x: the databases every derivation yields
@@ -167,6 +167,20 @@ class Tables:
             F.sum("cents").over(w).alias("elapsed_time"),
         )
 
+    def sqlstats_wide(self) -> DataFrame:
+        """All counters with a delta, of two instances; many statements are missing in some months."""
+        orders = conform(self.load("orders"))
+        amounts = [F.sum((F.col("o_orderkey") * (n + 1) + F.col("o_custkey")) % (97 + n)).alias(c) for n, c in enumerate(SQLSTAT_DELTAS)]
+        monthly = orders.groupBy(
+            _month_no("o_orderdate").alias("snap_id"),
+            _dbid("o_custkey"),
+            (F.col("o_custkey") % 2 + 1).cast(BIG).alias("instance_number"),
+            F.concat(F.lit("q"), (F.col("o_custkey") % 50).cast("string")).alias("sql_id"),
+        ).agg(*amounts)
+        w = Window.partitionBy("dbid", "instance_number", "sql_id").orderBy("snap_id")
+        sums = [F.sum(c).over(w).alias(c) for c in SQLSTAT_DELTAS]
+        return monthly.select("snap_id", "dbid", "instance_number", "sql_id", F.lit(0).cast(BIG).alias("plan_hash_value"), *sums)
+
     def sqlstat_snapshots(self) -> DataFrame:
         """Registry of the monthly SQL-stat snapshots."""
         return self.sqlstats().select(F.col("snap_id").alias("hist_sample_id"), "dbid", "instance_number").distinct()
@@ -223,6 +237,27 @@ class Tables:
             .agg(F.sum("wait_count").alias("value"))
         )
 
+    def osstat(self) -> DataFrame:
+        """Weighted waits by event, as operating-system statistics."""
+        return (
+            self.event_histogram()
+            .groupBy("snap_id", "dbid", "inst_id", F.col("event_no").alias("osstat_id"))
+            .agg(F.sum(F.col("wait_count") * F.col("wait_time_milli")).alias("value"))
+        )
+
+    def osstat_names(self) -> DataFrame:
+        return self.event_names().select("dbid", F.col("event_no").alias("osstat_id"), F.col("name").alias("stat_name"))
+
+    def latches(self) -> DataFrame:
+        return self.load("region").select(
+            F.expr(f"explode({ALL_DBIDS}) as dbid"), F.col("r_regionkey").cast(BIG).alias("latch_no"), F.col("r_name").alias("name")
+        )
+
+    def params(self) -> DataFrame:
+        return self.load("nation").select(
+            F.expr(f"explode({ALL_DBIDS}) as dbid"), F.col("n_name").alias("name"), F.col("n_regionkey").cast("string").alias("value")
+        )
+
     def time_model_names(self) -> DataFrame:
         return self.event_names().select("dbid", F.col("event_no").alias("stat_id"), F.col("name").alias("stat_name"))
 

@@ -5,6 +5,10 @@ The inputs come first, as common table expressions over the driver tables; every
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+from demo import stored_oracle
+
 _INPUTS = {
     "samples": """
 select 1 + user_id % 3 as dbid, 1 + (event_id % 4) % 2 as inst_id, event_id as sample_id,
@@ -157,7 +161,7 @@ left join sqlstats o on o.dbid = s.dbid and o.instance_number = s.instance_numbe
 select * from sqlstats s where snap_id = (select max(snap_id) from sqlstats h where h.dbid = s.dbid and h.instance_number = s.instance_number)""",
     # one statement's plan lines as text
     "plan_text": """
-select distinct plan_hash_value, id, concat(lpad(cast(id as string), 4, ' '), ' | ', repeat(' ', cast(depth as int)), operation, ' ', options) as text
+select distinct dbid, plan_hash_value, id, concat(lpad(cast(id as string), 4, ' '), ' | ', repeat(' ', cast(depth as int)), operation, ' ', options) as text
 from plan_lines where sql_id = 'q7'""",
 }
 
@@ -186,6 +190,10 @@ def _closure(names: list[str]) -> list[str]:
     return ordered
 
 
+_INPUTS |= stored_oracle.INPUTS
+_NEEDS |= stored_oracle.NEEDS
+
+
 def _sql(inputs: str, body: str) -> str:
     parts = [f"{name} as ({_INPUTS[name].strip()})" for name in _closure(inputs.split())]
     return f"with {', '.join(parts)} {body.strip()}" if parts else body.strip()
@@ -273,12 +281,12 @@ _PLAN_TITLE = "concat('Plan hash value is :', cast(plan_hash_value as string))"
 
 def _render(plans: str, texts: str, lines: str) -> str:
     return f"""
-select 0 as section, cast(null as bigint) as plan_hash_value, cast(0 as bigint) as line, 'SQL ID q7' as text
-union all select 1, null, 0, repeat('-', 40)
-union all select 2, null, 0, text from ({texts}) x where text is not null
-union all select 3, plan_hash_value, -2, repeat(' ', 40) from ({plans}) x
-union all select 3, plan_hash_value, -1, {_PLAN_TITLE} from ({plans}) x
-union all select 3, plan_hash_value, id, text from ({lines}) x"""
+select 0 as section, cast(null as bigint) as dbid, cast(null as bigint) as plan_hash_value, cast(0 as bigint) as line, 'SQL ID q7' as text
+union all select 1, null, null, 0, repeat('-', 40)
+union all select 2, null, null, 0, text from ({texts}) x where text is not null
+union all select 3, dbid, plan_hash_value, -2, repeat(' ', 40) from ({plans}) x
+union all select 3, dbid, plan_hash_value, -1, {_PLAN_TITLE} from ({plans}) x
+union all select 3, dbid, plan_hash_value, id, text from ({lines}) x"""
 
 
 def _counts(parts: dict[str, str]) -> str:
@@ -473,17 +481,21 @@ def oracle_sql() -> dict[str, str]:
     texts = "select distinct sql_text as text from sqltext where sql_id = 'q7'"
     q["plan_render"] = _sql(
         "plan_text sqltext",
-        _render("select distinct plan_hash_value from plan_text", f"select min(text) as text from ({texts}) m", "select * from plan_text"),
+        _render("select distinct dbid, plan_hash_value from plan_text", f"select min(text) as text from ({texts}) m", "select * from plan_text"),
     )
     q["plan_render_one"] = _sql(
         "plan_text sqltext",
-        _render("select cast(1 as bigint) as plan_hash_value", texts, "select * from plan_text where plan_hash_value = 1"),
+        _render(
+            "select distinct dbid, plan_hash_value from plan_text where plan_hash_value = 1",
+            texts,
+            "select * from plan_text where plan_hash_value = 1",
+        ),
     )
     q["plan_render_first"] = _sql(
         "plan_text",
-        f""", first as (select min(plan_hash_value) as plan_hash_value from plan_text)
-        select 3 as section, plan_hash_value, cast(-1 as bigint) as line, {_PLAN_TITLE} as text from first where plan_hash_value is not null
-        union all select 3, plan_hash_value, id, text from plan_text where plan_hash_value = (select plan_hash_value from first)""",
+        f""", first as (select * from plan_text where plan_hash_value = (select min(plan_hash_value) from plan_text))
+        select distinct 3 as section, dbid, plan_hash_value, cast(-1 as bigint) as line, {_PLAN_TITLE} as text from first
+        union all select 3, dbid, plan_hash_value, id, text from first""",
     )
 
     q["partitioned_roundtrip"] = _sql(
@@ -569,4 +581,8 @@ def oracle_sql() -> dict[str, str]:
         """select wait_class, session_type, count(*) as cnt from ash where dbid = 1 and inst_id = 1 and session_type <> 'BACKGROUND'
            group by 1, 2""",
     )
-    return q
+    parts = SimpleNamespace(
+        inputs=_INPUTS, render=_render, title=_PLAN_TITLE, last_snap=_LAST_SNAP, new_customers=_NEW_CUSTOMERS, new_text=_NEW_TEXT,
+        new_lines=_NEW_LINES, new_objects=_NEW_OBJECTS, hot_month=_HOT_MONTH, metric_new=_METRIC_NEW, io_events=_IO_EVENTS, one_sql=one_sql,
+    )
+    return q | stored_oracle.stored_sql(q, _sql, parts)

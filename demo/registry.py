@@ -490,12 +490,11 @@ def _row_counts(outputs: dict[str, DataFrame]) -> DataFrame:
     return total
 
 
-@query
-def snapshot_job(t: Tables) -> DataFrame:
+def _snapshot_outputs(t: Tables, more: dict[str, DataFrame] | None = None, names: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     stats, last = t.sqlstats(), 2001 * 12 + 6
     metrics = t.metric_history()
     early = F.col("begin_time") < F.lit(METRIC_LOADED.isoformat(sep=" ")).cast("timestamp")
-    outputs = jobs.snapshot(
+    return jobs.snapshot(
         {
             "users": t.customers(),
             "data_files": t.data_files(),
@@ -508,6 +507,7 @@ def snapshot_job(t: Tables) -> DataFrame:
             "event_histogram": t.event_histogram().drop("snap_id"),
             "time_model": t.time_model().drop("snap_id"),
             "iofuncstats": t.iofuncstats().drop("snap_id"),
+            **(more or {}),
         },
         {
             "samples": t.samples(AS_OF - MONTH, AS_OF),
@@ -520,6 +520,7 @@ def snapshot_job(t: Tables) -> DataFrame:
             "metric_history": metrics.where(early),
             "metric_names": t.metric_names(),
             "targets": t.targets(),
+            **(names or {}),
         },
         last,
         AS_OF,
@@ -527,13 +528,16 @@ def snapshot_job(t: Tables) -> DataFrame:
         MONTH,
         columns=COUNTERS,
     )
-    return _row_counts(outputs)
 
 
 @query
-def load_dimensions(t: Tables) -> DataFrame:
+def snapshot_job(t: Tables) -> DataFrame:
+    return _row_counts(_snapshot_outputs(t))
+
+
+def _dimension_loads(t: Tables, more: dict[str, DataFrame] | None = None, stored: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     names = t.event_names()
-    outputs = jobs.load_dimensions(
+    return jobs.load_dimensions(
         {
             "event_names": names,
             "users": t.customers(),
@@ -541,6 +545,7 @@ def load_dimensions(t: Tables) -> DataFrame:
             "time_model_names": t.time_model_names(),
             "extents": t.extents(),
             "data_files": t.data_files(),
+            **(more or {}),
         },
         {
             "event_names": names.where(F.col("dbid") == 1),
@@ -549,9 +554,14 @@ def load_dimensions(t: Tables) -> DataFrame:
             "time_model_names": t.time_model_names().where(F.col("dbid") == 1),
             "extents": t.extents().where(F.col("segment_type") == "ECONOMY"),
             "data_files": t.data_files(STORED_FILES),
+            **(stored or {}),
         },
     )
-    return _row_counts(outputs)
+
+
+@query
+def load_dimensions(t: Tables) -> DataFrame:
+    return _row_counts(_dimension_loads(t))
 
 
 @query
@@ -562,3 +572,6 @@ def report_sql_on_views(t: Tables) -> DataFrame:
         "select wait_class, session_type, count(*) as cnt from `v$active_session_history`"
         " where session_type <> 'BACKGROUND' group by wait_class, session_type"
     )
+
+
+from demo import stored  # noqa: E402, F401  registers the queries on stored tables

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from conftest import at, event_names, rows, sample, samples
 
 from waitlens.constants import SQLSTAT_DELTAS
@@ -133,3 +134,22 @@ def test_stored_deltas_are_not_computed_again(spark):
     assert rows(history.sqlstat_history(stored, dbid=1), "executions_delta") == [(98,), (99,)]
     fresh = history.sqlstat_history(stored.drop("executions_delta"), target=(1, 1))
     assert rows(fresh, "snap_id", SQLSTAT_DELTAS["executions"]) == [(1, None), (2, 4)]
+
+
+def test_moments_merge_in_any_parts(spark):
+    """Far from zero, with nulls, single values and late parts; equal to one pass over the values."""
+    given = spark.range(400).selectExpr(
+        "id % 3 as snap_id", "1L as dbid", "1L as inst_id", "timestamp'2024-01-01' as begin_time", "6000L as intsize_csec", "2L as group_id",
+        "id % 2 as metric_id", "if(id % 7 = 0, null, 1e9 + id % 13) as value", "id % 11 as part",
+    )
+    given = given.unionByName(given.limit(1).selectExpr("9L as snap_id", *[c for c in given.columns if c != "snap_id"]))
+    names = spark.sql("select 1L as dbid, id as metric_id, 'm' as metric_name, 'u' as metric_unit from range(2)")
+    whole = history.metric_summary(given, names)
+    merged = history.summary_of_moments(history.metric_moments(given, ["snap_id", "part"]), names)
+    twice = history.merge_moments(history.metric_moments(given, ["snap_id", "part"]).where("part < 5"))
+    twice = history.summary_of_moments(twice.unionByName(history.merge_moments(history.metric_moments(given, ["snap_id", "part"]).where("part >= 5"))), names)
+    for found in (merged, twice):
+        pairs = list(zip(rows(whole, *sorted(whole.columns)), rows(found, *sorted(whole.columns)), strict=True))
+        for want, got in pairs:
+            assert [w if not isinstance(w, float) else pytest.approx(w, rel=1e-9, abs=1e-6) for w in want] == list(got)
+    assert "lineitem" not in str(merged.inputFiles())

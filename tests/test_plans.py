@@ -59,3 +59,14 @@ def test_no_single_partition_below_the_aggregate(name, spark):
         if "Exchange SinglePartition" in line:
             below = lines[number + 1]
             assert "Aggregate(key=[]" in below or "Aggregate(keys=[]" in below or "LocalLimit" in below
+
+
+@pytest.mark.parametrize("name", ["stored_latest_sqlstats", "stored_metric_recent", "stored_history_by_snapshot"])
+def test_stored_reads_are_pruned_at_run_time(name, spark):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "dynamicpruning" in text
+
+
+def test_sql_functions_filter_the_scan(spark):
+    text = plan(QUERIES["plan_display_sql"](spark, SF_DIR))
+    assert "q7" in text[text.index("FileScan") :] and "Cartesian" not in text

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from conftest import SAMPLES as SCHEMA
 from conftest import at, event_names, rows, sample, samples
 
@@ -70,3 +71,37 @@ def test_windows_grow_over_batches(spark, tmp_path):
         (at("1 10:00:00"), "User I/O", 7),
         (at("1 10:00:15"), "User I/O", 1),
     ]
+
+
+def test_compaction_bounds_the_files(spark, tmp_path):
+    """A thousand batches end as a few files, at once and again, with the same windows; the newest batch is left alone."""
+    path = tmp_path / "w"
+    # window k changes in the batches k * 20 to k * 20 + 29
+    rows_in = spark.range(1000).selectExpr("id as batch", "explode(sequence(greatest(0L, (id - 29 + 19) div 20), id div 20)) as k").selectExpr(
+        "timestamp'2024-01-01' + make_dt_interval(0, int(k * 6)) as bucket_time", "'x' as wait_class", "batch * 10 as n", "batch"
+    )
+    rows_in.repartition("batch").write.partitionBy("batch").parquet(str(path))
+    want = rows(streaming.read_windows(spark, str(path), ["wait_class"]), "bucket_time", "wait_class", "n")
+    assert len(want) == 50
+    for before in ("5 00:00:00", "9 00:00:00", "9 00:00:00"):
+        streaming.compact_windows(spark, str(path), ["wait_class"], at(before))
+        assert rows(streaming.read_windows(spark, str(path), ["wait_class"]), "bucket_time", "wait_class", "n") == want
+    open_files, closed_files = list(path.rglob("*.parquet")), list((tmp_path / "w-closed").rglob("*.parquet"))
+    assert len(open_files) <= 4 and len(closed_files) <= 2 * 9
+    # a window that was closed and comes again counts with its newer batch
+    late = spark.sql("select timestamp'2024-01-02 00:00:00' as bucket_time, 'x' as wait_class, 7L as n, 1000L as batch union all select timestamp'2024-02-01', 'x', 1L, 1001L")
+    late.write.mode("append").partitionBy("batch").parquet(str(path))
+    streaming.compact_windows(spark, str(path), ["wait_class"], at("20 00:00:00"))
+    got = {r[0]: r[2] for r in rows(streaming.read_windows(spark, str(path), ["wait_class"]), "bucket_time", "wait_class", "n")}
+    assert got[at("2 00:00:00")] == 7 and len(got) == 51
+
+
+def test_a_new_checkpoint_needs_a_new_path(spark, tmp_path):
+    given = samples(spark, sample("1 10:00:00"))
+    given.write.parquet(str(tmp_path / "in"))
+    stream = streaming.read_sample_stream(spark, str(tmp_path / "in"), given.schema)
+    counts = streaming.counts_by_window(stream, {"sql_id": "sql_id"}, 60)
+    streaming.write_windows(counts, str(tmp_path / "out"), str(tmp_path / "c1")).awaitTermination()
+    streaming.write_windows(counts, str(tmp_path / "out"), str(tmp_path / "c1")).awaitTermination()
+    with pytest.raises(ValueError):
+        streaming.write_windows(counts, str(tmp_path / "out"), str(tmp_path / "c2"))

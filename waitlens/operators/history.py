@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -242,6 +242,58 @@ def metric_summary(metrics: DataFrame, names: DataFrame, target: Target | None =
     return lookup(summary, named, ["dbid", "metric_id"], "inner", ["snap_id", "instance_number"])
 
 
+MOMENT_KEYS = ("dbid", "instance_number", "group_id", "metric_id")
+
+
+def metric_moments(metrics: DataFrame, by: Sequence[str] = ("snap_id",)) -> DataFrame:
+    """Per metric and ``by``: span, number, min, max, mean and the sum of squared deviations ``m2``, to be kept and merged."""
+    keys = [*by, "dbid", F.col("inst_id").alias("instance_number"), "group_id", "metric_id"]
+    return metrics.groupBy(*keys).agg(
+        F.min("begin_time").alias("begin_time"),
+        F.max(F.expr(_METRIC_END)).alias("end_time"),
+        F.max("intsize_csec").alias("intsize"),
+        F.count("*").alias("num_interval"),
+        F.count("value").alias("n"),
+        F.min("value").alias("minval"),
+        F.max("value").alias("maxval"),
+        F.avg("value").alias("mean"),
+        (F.var_pop("value") * F.count("value")).alias("m2"),
+    )
+
+
+def merge_moments(moments: DataFrame, by: Sequence[str] = ("snap_id",)) -> DataFrame:
+    """Moments of longer spans, or of parts that came late, from those of the parts; no value is needed.
+
+    Squared deviations are taken from the common mean: those of a part, plus its number times the square of its distance.
+    Columns in ``by`` may be any of ``moments``.
+    """
+    keys = [*by, *MOMENT_KEYS]
+    whole = Window.partitionBy(*keys)
+    middle = F.sum(F.col("n") * F.col("mean")).over(whole) / F.nullif(F.sum("n").over(whole), F.lit(0))
+    parts = moments.withColumn("__middle", middle)
+    apart = F.col("mean") - F.col("__middle")
+    return parts.groupBy(*keys).agg(
+        F.min("begin_time").alias("begin_time"),
+        F.max("end_time").alias("end_time"),
+        F.max("intsize").alias("intsize"),
+        F.sum("num_interval").alias("num_interval"),
+        F.sum("n").alias("n"),
+        F.min("minval").alias("minval"),
+        F.max("maxval").alias("maxval"),
+        F.max("__middle").alias("mean"),
+        F.sum(F.col("m2") + F.col("n") * apart * apart).alias("m2"),
+    )
+
+
+def summary_of_moments(moments: DataFrame, names: DataFrame, by: Sequence[str] = ("snap_id",)) -> DataFrame:
+    """``metric_summary`` from stored moments."""
+    merged = merge_moments(moments, by)
+    deviation = F.sqrt(F.col("m2") / F.nullif(F.col("n") - 1, F.lit(0)))
+    summary = merged.withColumn("standard_deviation", deviation).withColumnRenamed("mean", "average").drop("n", "m2")
+    named = names.select("dbid", "metric_id", "metric_name", "metric_unit")
+    return lookup(summary, named, ["dbid", "metric_id"], "inner", [*by, "instance_number"])
+
+
 def sqlstat_history(
     sqlstats: DataFrame,
     target: Target | None = None,

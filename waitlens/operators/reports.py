@@ -106,7 +106,7 @@ def db_time_by_sql(
         rows = rows.withColumn("session_type", session_type_name("session_type"))
     keys = {"sample_time": f"date_trunc('{unit}', sample_time)"} | {k: k for k in _SQL_KEYS}
     load = load_by(_foreground(rows), keys, _EVENT_OR_CPU, event_names)
-    return load.select("sample_time", "event", *_SQL_KEYS, "cnt", "pctload").orderBy(F.desc("sample_time"))
+    return load.select("sample_time", "event", *_SQL_KEYS, "cnt", "pctload").orderBy(F.desc("sample_time"), F.desc("cnt"), "event", *_SQL_KEYS)
 
 
 def event_rows(history: DataFrame, event: str, as_of: datetime, span: timedelta = HOUR) -> DataFrame:
@@ -118,7 +118,8 @@ def event_details(history: DataFrame, event: str, as_of: datetime, span: timedel
     """Who waited for one event, newest first."""
     wanted = ("sample_time", "sql_opcode", "session_state", "p1text", "program", "module")
     rows = event_rows(history, event, as_of, span)
-    return rows.select(*[c for c in wanted if c in rows.columns]).orderBy(F.desc("sample_time"))
+    shown = [c for c in wanted if c in rows.columns]
+    return rows.select(*shown).orderBy(F.desc("sample_time"), *shown[1:])
 
 
 def top_sessions(history: DataFrame, as_of: datetime, span: timedelta = HOUR) -> DataFrame:
@@ -131,7 +132,8 @@ def _session(history: DataFrame, session_id: int, as_of: datetime, span: timedel
 
 def session_details(history: DataFrame, session_id: int, as_of: datetime, span: timedelta = THREE_HOURS) -> DataFrame:
     """History rows of one session, newest first."""
-    return _session(history, session_id, as_of, span).orderBy(F.desc("sample_time"))
+    rows = _session(history, session_id, as_of, span)
+    return rows.orderBy(F.desc("sample_time"), *[c for c in ("dbid", "inst_id", "sample_id", "session_serial") if c in rows.columns])
 
 
 def session_sqls(history: DataFrame, session_id: int, as_of: datetime, span: timedelta = THREE_HOURS) -> DataFrame:

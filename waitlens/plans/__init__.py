@@ -1,3 +1,3 @@
-from waitlens.plans.stored import plan_rows, plan_table, render, render_first
+from waitlens.plans.stored import plan_rows, plan_table, register_functions, render, render_first, with_tree
 
-__all__ = ["plan_rows", "plan_table", "render", "render_first"]
+__all__ = ["plan_rows", "plan_table", "register_functions", "render", "render_first", "with_tree"]

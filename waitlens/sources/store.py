@@ -9,6 +9,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waitlens.functions import timestamp_lit
 from waitlens.operators.ingest import upsert
@@ -53,13 +54,22 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def _one_of_each(rows: DataFrame, keys: list[str]) -> DataFrame:
+    others = [c for c in rows.columns if c not in keys]
+    if not others:
+        return rows.distinct()
+    least = rows.groupBy(*keys).agg(F.min(F.struct(*others)).alias("__least"))
+    return least.select(*keys, "__least.*").select(rows.columns)
+
+
 def append_missing(rows: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[str] = PARTITIONS) -> None:
     """Append the rows whose keys, with ``sample_time``, are not stored yet; however late a row is, it is stored.
 
-    A repeated batch therefore adds nothing. Only the keys of the days and the time span of ``rows`` are read.
+    A repeated batch therefore adds nothing. Only the keys of the days and the time span of ``rows`` are read. Of several rows with
+    one key the least by its other columns is stored.
     """
     keys = list(dict.fromkeys([*keys, "sample_time"]))
-    rows = with_sample_date(rows).dropDuplicates(keys).persist()
+    rows = _one_of_each(with_sample_date(rows), keys).persist()
     try:
         new = rows
         if exists(rows.sparkSession, path):
@@ -80,9 +90,17 @@ def read_samples(
     start: datetime | None = None,
     stop: datetime | None = None,
     target: tuple[int, int] | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Samples of a time range (both ends count) and target; only the partitions needed are read."""
-    rows = in_range(spark.read.parquet(path), start, stop)
+    """Samples of a time range (both ends count) and target; only the partitions needed are read.
+
+    With ``schema``, the columns of the samples, no file is opened to learn them.
+    """
+    reader = spark.read
+    if schema is not None:
+        own = [f for f in schema.fields if f.name not in PARTITIONS]
+        reader = reader.schema(T.StructType([*own, T.StructField("dbid", T.LongType()), T.StructField("sample_date", T.DateType())]))
+    rows = in_range(reader.parquet(path), start, stop)
     if target is not None:
         rows = rows.where((F.col("dbid") == target[0]) & (F.col("inst_id") == target[1]))
     return rows.withColumn("dbid", F.col("dbid").cast("bigint"))

@@ -1,5 +1,6 @@
 from waitlens.streaming.samples import (
     activity_by_window,
+    compact_windows,
     counts_by_window,
     deduplicate,
     enrich,
@@ -13,6 +14,7 @@ from waitlens.streaming.samples import (
 
 __all__ = [
     "activity_by_window",
+    "compact_windows",
     "counts_by_window",
     "deduplicate",
     "enrich",

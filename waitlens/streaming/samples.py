@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from waitlens.functions import timestamp_lit
 from waitlens.operators.history import session_history
 from waitlens.operators.ingest import flagged_stats, metric_increment
+from waitlens.operators.joins import lookup
 from waitlens.operators.reports import class_or_cpu
 from waitlens.schemas import SAMPLES
 from waitlens.sources.snapshots import SnapshotStore
-from waitlens.sources.store import PARTITIONS, append_missing
+from waitlens.sources.store import PARTITIONS, append_missing, exists, folders, materialise, remove, replace_partitions
 from waitlens.sources.tables import conform
 
 SAMPLE_KEY = ("dbid", "inst_id", "sample_id", "session_id")
@@ -87,8 +89,11 @@ def ingest_counters(
 def write_windows(counts: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Write the windows that each batch changed, the open ones as well, as they stand then; ``read_windows`` reads them.
 
-    A repeated batch replaces its own rows.
+    A repeated batch replaces its own rows. A new checkpoint counts its batches from 0, so it must not go on with an old path.
     """
+    spark = counts.sparkSession
+    if exists(spark, path) and not exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{path} holds the windows of another checkpoint")
 
     def store(batch: DataFrame, number: int) -> None:
         rows = batch.withColumn("batch", F.lit(number).cast("bigint"))
@@ -97,15 +102,53 @@ def write_windows(counts: DataFrame, path: str, checkpoint: str, every: str | No
     return _each_batch(counts, store, checkpoint, every, "update")
 
 
-def read_windows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Of each window and key the row of the last batch that changed it."""
-    rows = spark.read.parquet(path)
+def _last_of(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     by = ["bucket_time", *keys]
     values = [c for c in rows.columns if c not in (*by, "batch")]
-    last = rows.groupBy(*by).agg(F.max_by(F.struct(*values), F.col("batch")).alias("last"))
+    last = rows.groupBy(*by).agg(F.max_by(F.struct(*values, "batch"), F.col("batch")).alias("last"))
     return last.select(*by, "last.*")
 
 
+def _closed(path: str) -> str:
+    return f"{path.rstrip('/')}-closed"
+
+
+def read_windows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Of each window and key the row of the last batch that changed it."""
+    rows = spark.read.parquet(path)
+    if exists(spark, _closed(path)):
+        rows = rows.unionByName(spark.read.parquet(_closed(path)).drop("day"))
+    return _last_of(rows, keys).drop("batch")
+
+
+def compact_windows(spark: SparkSession, path: str, keys: Sequence[str], closed_before: datetime) -> None:
+    """Bring the windows that ended in batches of their own together, so that files and reads do not grow with the batches.
+
+    Windows before ``closed_before``, which the stream's watermark has passed, go to partitions by day; the others into one
+    batch. The newest batch is left alone, as it may be repeated. A reader sees the same windows at any moment, and after a
+    failure in between: rows keep their batch number, and of several the last counts.
+    """
+    batches = sorted(int(f.rsplit("=", 1)[1]) for f in folders(spark, f"{path}/batch=*"))[:-1]
+    if not batches:
+        return
+    old = _last_of(spark.read.parquet(path).where(F.col("batch") <= batches[-1]), keys)
+    old = materialise(old.withColumn("day", F.to_date("bucket_time")))
+    over = F.col("bucket_time") < timestamp_lit(closed_before)
+    closed = old.where(over)
+    if exists(spark, _closed(path)):
+        stored = spark.read.parquet(_closed(path))
+        days = closed.select("day").distinct()
+        touched = lookup(stored, days, ["day"], "left_semi", ["bucket_time"]).select(closed.columns)
+        closed = _last_of(touched.unionByName(closed), [*keys, "day"]).select(closed.columns)
+    replace_partitions(materialise(closed), _closed(path), ["day"], ["bucket_time"])
+    open_rows = old.where(~over).drop("day").withColumn("batch", F.lit(batches[-1]).cast("bigint"))
+    # an empty result replaces nothing, so the last of the old batches goes by itself then
+    replace_partitions(open_rows, path, ["batch"], ["bucket_time"])
+    gone = batches[:-1] if not open_rows.isEmpty() else batches
+    for number in gone:
+        remove(spark, f"{path}/batch={number}")
+
+
 def counts_by_window(history: DataFrame, keys: Mapping[str, Column | str], seconds: int, delay: str = "10 minutes") -> DataFrame:
     """Number of samples ``n`` per window and key; in update mode (``write_windows``) open windows are given as well."""
     grouping = [(F.expr(e) if isinstance(e, str) else e).alias(k) for k, e in keys.items()]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from waitlens.operators import dims, history
 from waitlens.operators.times import recent
 from waitlens.plans import plan_rows
+from waitlens.sources.snapshots import SnapshotStore
 
 Target = tuple[int, int]
 
@@ -39,10 +40,10 @@ def build_views(
     if "sqlstats" in have:
         views["dba_hist_sqlstat"] = history.sqlstat_history(tables["sqlstats"], dbid=dbid)
         if "snapshots" in have:
-            views["v$sqlstats"] = history.latest_snapshot(tables["sqlstats"], tables["snapshots"], target)
+            views["v$sqlstats"] = _now(history.latest_snapshot(tables["sqlstats"], tables["snapshots"], target))
     if {"iofuncstats", "snapshots"} <= have:
-        views["v$iostat_function"] = history.latest_snapshot(
-            tables["iofuncstats"], tables["snapshots"], target, salt_on=("function_id",)
+        views["v$iostat_function"] = _now(
+            history.latest_snapshot(tables["iofuncstats"], tables["snapshots"], target, salt_on=("function_id",))
         )
     if {"event_histogram", "event_names"} <= have:
         views["dba_hist_event_histogram"] = history.event_histogram(tables["event_histogram"], tables["event_names"], dbid)
@@ -60,11 +61,38 @@ def build_views(
             views[view] = dims.for_target(tables[name], dbid)
     if "targets" in have:
         of_target = history.of_target(tables["targets"], target, "inst_num")
-        views["v$instance"] = of_target.select(F.col("inst_num").alias("instance_number"), F.col("host").alias("host_name"))
-        views["v$database"] = of_target.select("dbid", F.col("host").alias("host_name"), F.col("dbname").alias("name"))
+        extra = {"version": "version", "sid": "instance_name"}
+        known = {old: F.col(old).alias(new) for old, new in extra.items() if old in of_target.columns}
+        views["v$instance"] = of_target.select(
+            *[known[c] for c in ("version",) if c in known],
+            F.col("inst_num").alias("instance_number"),
+            F.col("host").alias("host_name"),
+            *[known[c] for c in ("sid",) if c in known],
+        )
+        views["v$database"] = of_target.select(
+            "dbid", F.col("host").alias("host_name"), *[known[c] for c in ("sid",) if c in known], F.col("dbname").alias("name")
+        )
     return views
 
 
+def _now(latest: DataFrame) -> DataFrame:
+    """Present values as the host shows them: without the snapshot and the changes."""
+    return latest.select(*[c for c in latest.columns if c not in ("snap_id", "run") and not c.endswith("_delta")])
+
+
+def stored_tables(
+    store: SnapshotStore,
+    names: Sequence[str],
+    start: datetime | None = None,
+    stop: datetime | None = None,
+    target: Target | None = None,
+) -> dict[str, DataFrame]:
+    """Tables of a snapshot store for the views, with its registry: of the snapshots from ``start`` to ``stop``, nothing else is
+    read."""
+    tables = {name: store.read(name, start, stop, target) for name in names}
+    return tables | {"snapshots": store.snapshots(start, stop, target)}
+
+
 def register_views(spark: SparkSession, tables: Mapping[str, DataFrame], target: Target | None = None, **options) -> list[str]:
     """Register the views for ``spark.sql``; a name with ``$`` needs backquotes there."""
     views = build_views(tables, target, **options)
