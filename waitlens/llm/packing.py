@@ -12,7 +12,9 @@ Defined cases. Null or empty text: the end token alone. Any id may be null or re
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +28,9 @@ from waitlens.llm.work import stored
 
 SEQUENCE = 4096
 END = 2
-CACHED_WORDS = 600_000
+MEMORY = 144 << 20  # bytes of words and their ids that a worker remembers, in two halves
 JOINED = 64
+_WORD_COST = 110  # bytes of a remembered word besides its own characters and ids
 _SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 _PIECES = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -39,84 +42,90 @@ class _Encoder:
     The tokenizer drops white space, never joins over it, and ignores case, so a text's tokens are those of its words in lower
     case. It never joins letters and signs either, so signs at a word's end are a word of their own. Words of letters alone go to
     it several at once and are told apart by the tokens that close a word; where these are not one a word, each goes alone.
+    A word that spells an added token goes to it whole. Tokenizers of another kind are refused.
     """
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, memory: int = MEMORY):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model = Tokenizer.from_file(tokenizer)
-        self.model.encode_special_tokens = True
+        spec = json.loads(self.model.to_str())
+        folds = "Lowercase" in json.dumps(spec["normalizer"])
+        if not folds or spec["model"].get("end_of_word_suffix") != "</w>" or any(a["normalized"] for a in spec["added_tokens"]):
+            raise ValueError(f"{tokenizer} does not fold case and close words with </w>")
+        added = [re.escape(a["content"].encode()) for a in spec["added_tokens"]]
+        self.added = re.compile(b"|".join(added) if added else b"(?!)")
         vocabulary = self.model.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.memory, self.held = memory, 0
 
-    def _encoded(self, words: list[bytes]) -> list[bytes]:
-        texts = [w.decode() for w in words]
-        out, alone, letters = [b""] * len(texts), [], []
+    def _learn(self, fresh: set[bytes]) -> None:
+        """Words without signs at the end, the words before such signs, and the signs, each from the tokenizer."""
+        known, whole, tails = self.young, [], []
+        for word in fresh:
+            core = word.rstrip(_SIGNS)
+            if len(core) < len(word) and core and core[-1] in _PLAIN and not self.added.search(word):
+                tails.append((word, core, word[len(core) :]))
+            else:
+                whole.append(word)
+        whole += {x for _, core, signs in tails for x in (core, signs)}.difference(known, fresh)
+        texts, alone, letters = b" ".join(whole).decode().split(" ") if whole else [], [], []
         for i, text in enumerate(texts):
             (letters if text.isalpha() else alone).append(i)
         groups = [letters[i : i + JOINED] for i in range(0, len(letters), JOINED)]
         coded = self.model.encode_batch_fast([" ".join([texts[i] for i in g]) for g in groups], add_special_tokens=False)
         for group, c in zip(groups, coded, strict=True):
             ids = np.array(c.ids, np.uint32)
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) != len(group) or ends[-1] != len(ids):
+            ends = (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
+            raw = ids.tobytes()
+            if len(ends) != len(group) or ends[-1] != len(raw):
                 alone += group
                 continue
-            raw, start = ids.tobytes(), 0
-            for i, end in zip(group, (4 * ends).tolist(), strict=True):
-                out[i], start = raw[start:end], end
+            known.update(zip([whole[i] for i in group], map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
         coded = self.model.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False)
-        for i, c in zip(alone, coded, strict=True):
-            out[i] = np.array(c.ids, np.uint32).tobytes()
-        return out
-
-    def __call__(self, words: list[bytes]) -> list[bytes]:
-        different = set(words)
-        fresh = different - self.young.keys()
-        for word in fresh & self.old.keys():
-            self.young[word] = self.old[word]
-        fresh = fresh - self.old.keys()
-        parts: dict[bytes, tuple[bytes, bytes]] = {}
-        for word in fresh:
-            core = word.rstrip(_SIGNS)
-            parts[word] = (core.lower(), word[len(core) :]) if core and core[-1] in _PLAIN else (word.lower(), b"")
-        cores = [c for c in {p for pair in parts.values() for p in pair if p} if c not in self.young]
-        self.young.update(zip(cores, self._encoded(cores), strict=True))
-        for word, (core, signs) in parts.items():
-            self.young[word] = self.young[core] + (self.young[signs] if signs else b"")
+        known.update([(whole[i], np.array(c.ids, np.uint32).tobytes()) for i, c in zip(alone, coded, strict=True)])
+        known.update([(word, known[core] + known[signs]) for word, core, signs in tails])
+        self.held += 4 * sum(map(len, fresh)) + _WORD_COST * (len(whole) + len(tails))
+
+    def __call__(self, texts: list[list[bytes]]) -> list[bytes]:
+        """The ids of each text, given as its words."""
+        wanted = set().union(*texts)
+        missing = wanted.difference(self.young)
+        if missing and self.held > self.memory // 2:
+            self.old, self.young, self.held, missing = self.young, {}, 0, wanted
+        if missing:
+            old = self.old
+            again = {word: old[word] for word in missing if word in old}
+            self.young.update(again)
+            self.held += sum(map(len, again)) * 4 + _WORD_COST * len(again)
+            self._learn(missing.difference(again))
         known = self.young
-        coded = [known[w] for w in words]
-        if len(known) > CACHED_WORDS:
-            self.old, self.young = known, {}
-        return coded
+        return [b"".join(map(known.__getitem__, words)) for words in texts]
 
 
-_encoders: dict[str, _Encoder] = {}  # of a worker, for its next tasks
+_encoders: dict[tuple[str, int], _Encoder] = {}  # of a worker, for its next tasks
 
 
-def _encoder(tokenizer: str) -> _Encoder:
-    if tokenizer not in _encoders:
-        _encoders[tokenizer] = _Encoder(tokenizer)
-    return _encoders[tokenizer]
+def _encoder(tokenizer: str, memory: int) -> _Encoder:
+    if (tokenizer, memory) not in _encoders:
+        _encoders[tokenizer, memory] = _Encoder(tokenizer, memory)
+    return _encoders[tokenizer, memory]
 
 
-def _tokens(tokenizer: str, end: int):
+def _tokens(tokenizer: str, end: int, memory: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task, at = _encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encode, task, at = _encoder(tokenizer, memory), TaskContext.get().partitionId(), 0
         last = np.array([end], np.uint32).tobytes()
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             data, offsets = data.tobytes(), offsets.tolist()
             for low in range(0, batch.num_rows, 256):
                 texts = [data[a:b].split() for a, b in zip(offsets[low : min(low + 256, batch.num_rows)], offsets[low + 1 : low + 257], strict=True)]
-                coded, ids, done = encode([w for words in texts for w in words]), [], 0
-                for words in texts:
-                    ids.append(b"".join(coded[done : done + len(words)]) + last)
-                    done += len(words)
+                ids = [x + last for x in encode(texts)]
                 counts = np.array([len(x) // 4 for x in ids], np.int64)
                 places = at + np.cumsum(counts) - counts
                 at += int(counts.sum())
@@ -177,14 +186,17 @@ def _cut(sequence: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text", sequence: int = SEQUENCE, end: int = END) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text", sequence: int = SEQUENCE, end: int = END, memory: int = MEMORY
+) -> DataFrame:
     """Pieces of documents: the id, start, length, ids (unsigned 32-bit little-endian), doc_tokens, sequence_id and offset.
 
     tokenizer: a file that every executor can read. Every token lies in one piece; a sequence's pieces follow without gaps.
+    memory: bytes of words that each worker keeps between its tasks.
     """
     kind = docs.schema[id_column].dataType.simpleString()
     tokens = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).mapInArrow(
-        _tokens(tokenizer, end), f"task long, place long, id {kind}, doc_tokens long, ids binary"
+        _tokens(tokenizer, end, memory), f"task long, place long, id {kind}, doc_tokens long, ids binary"
     )
     tokens = stored(tokens)
     totals = tokens.groupBy("task").agg(F.sum("doc_tokens").alias("tokens"))  # a row for each task of the first pass
