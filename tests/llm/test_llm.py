@@ -287,6 +287,30 @@ def test_probabilities_sum_to_one():
     assert (seats[count.ravel() > 0] >= 1).all() and (seats <= count.ravel()).all()
 
 
+def test_every_context_of_a_draw_adds_up_to_one(spark):
+    """All words of all slices, the frequent ones that lie in several included, and one more for all unknown words."""
+    rows = [(i, f"the cat number{i % 7} sat on the mat{i % 3} and the dog ran " * (1 + i % 4)) for i in range(120)]
+    docs = spark.createDataFrame(rows, "number long, text string").withColumn("held_out", F.lit(False))
+    dealt, draws = pitman_yor._trained(docs)
+    parts = list(pitman_yor._slices(dealt.toArrow().to_batches()))
+    assert len(draws) == pitman_yor.SAMPLES and draws[1][1] is draws[0][2]
+    for number, before, after in draws:
+        known, mass = {}, np.zeros(pitman_yor.RESTAURANTS)
+        for part in parts:
+            tables, customers, roots = pitman_yor._seated(part, before, number)
+            at, frequent = pitman_yor._spread(part, after.frequent)
+            customers[at], roots[at] = after.frequent_customers[frequent], after.frequent_tables[frequent]
+            known |= dict(zip(part.names.tolist(), pitman_yor._root(customers, roots, after).tolist()))
+            parent = pitman_yor._root(customers, roots, after)[part.word]
+            own = pitman_yor._predicted(part, (number, before, after))
+            share = (pitman_yor.STRENGTH + after.discount * after.tables) / (pitman_yor.STRENGTH + after.customers)
+            mass += np.bincount(part.context, own - share[part.context] * parent, pitman_yor.RESTAURANTS)
+        unknown = pitman_yor._root(np.zeros(1), np.zeros(1), after)[0]
+        assert sum(known.values()) + unknown == pytest.approx(1, abs=1e-9)
+        assert np.allclose(mass + share, 1, atol=1e-9)
+        assert len(known) == after.words
+
+
 def test_model_beats_unigrams(spark):
     held = pitman_yor.score(spark.read.parquet(f"{SF_DIR}/documents.parquet")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert held[0] > held[1]
@@ -541,3 +565,72 @@ def test_pipeline_decides_by_row(spark, tmp_path):
 
     pieces = out("packing", [(5, clean), (5, clean), (None, other)]).where("start = 0")
     assert Counter(r.doc_id for r in pieces.collect()) == {5: 2, None: 1}
+
+
+def test_packing_takes_added_tokens_as_the_tokenizer_does():
+    """At the edges of words and inside, and not in another case."""
+    path, rng = queries.word_tokenizer(), random.Random(2)
+    from tokenizers import Tokenizer
+
+    model, encode = Tokenizer.from_file(path), packing._Encoder(path)
+    parts = ["a", "Word", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "É", "é", " ", "  ", "\n", "!", "...", "'s", "1", "23", "漢", "<|", "|>", "don't"]
+    texts = ["a <|endoftext|> b", "x<|startoftext|>y", "<|endoftext|>", "<|endoftext|>.", *["".join(rng.choices(parts, k=rng.randrange(1, 9))) for _ in range(3000)]]
+    for x in texts:
+        assert np.frombuffer(encode([x.encode().split()])[0], np.uint32).tolist() == model.encode(x, add_special_tokens=False).ids, x
+
+
+def test_packing_refuses_other_tokenizers_and_forgets_words():
+    import public_tokenizers
+
+    with pytest.raises(ValueError):
+        packing._Encoder(str(public_tokenizers.path("byte_bpe_50k.json")))
+    encode = packing._Encoder(queries.word_tokenizer(), memory=100_000)
+    whole = [encode([[b"word%d" % i, b"again."]])[0] for i in range(2000)]
+    assert len(encode.young) + len(encode.old) < 1000
+    assert whole == [encode([[b"word%d" % i, b"again."]])[0] for i in range(2000)]
+
+
+def test_segments_of_a_very_long_text_take_one_pass():
+    """Hits far apart fall step by step; each is a segment of its own, and none is compared with all before it."""
+    import time
+
+    n = 100_000
+    at, scores = np.arange(n) * 50, np.full(n, 1.6)
+    began = time.process_time()
+    found = toxicity.segments(at, scores, -0.05)
+    assert len(found) == n and time.process_time() - began < 3
+    assert toxicity.segments(at, scores, -0.03)[0][2] > 1.6
+
+
+@pytest.mark.parametrize("name", ["op1_ngram_jaccard_join", "op4_substring_dedup", "op10_sharding", "chat_mixed_layouts"])
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "conversations"):
+        con.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
+    assert oracle_check.difference(queries.queries()[name](spark, SF_DIR), con, queries.oracle_sql()[name]) is None
+
+
+def test_json_rows_that_cannot_be_read_are_given_back(spark):
+    """Every row is read or given back; all elements of a list tell its layout, and unknown keys do not matter."""
+    lines = {
+        1: '{"messages": [{"role": "user"}, {"role": "assistant", "content": "b", "weight": 1}], "source": "x"}',
+        2: '{"messages": []}',
+        3: '{"prompt": "p", "completion": "c", "response": "r"}',
+        4: '{"dialogue": [{"who": "a"}]}',
+        5: "no json",
+        6: None,
+        7: '{"prompt": "p", "completion": null, "unknown": {"prompt": 1}}',
+        8: '{"messages": "text"}',
+        9: '{"conversations": [{"from": "human", "value": "h"}, {"from": "gpt", "value": "g"}, {"from": "gpt"}]}',
+        10: '{"messages": [null, {"content": "c", "role": "system"}]}',
+    }
+    read, rest = chat_format.canonical_json(spark.createDataFrame(list(lines.items()), "conv_id long, j string"), "j")
+    got = {}
+    for r in read.orderBy("conv_id", "turn").collect():
+        got.setdefault(r.conv_id, []).append((r.role, r.text))
+    assert got[1] == [("user", ""), ("assistant", "b")]
+    assert got[7] == [("user", "p"), ("assistant", "")]
+    assert got[9] == [("user", "h"), ("assistant", "g"), ("assistant", "")]
+    assert got[10][-1] == ("system", "c")
+    left = {r.conv_id for r in rest.collect()}
+    assert left == {2, 3, 4, 5, 6, 8} and left | set(got) == set(lines)

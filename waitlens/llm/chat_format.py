@@ -2,7 +2,8 @@
 
 A layout is told by the fingerprint of its schema: the hash of its nested field paths, of those that any layout uses (other
 columns do not matter). The fingerprint selects a declarative mapping, SQL expressions over the fields. Rows of JSON are told
-one by one, by the fingerprint of their own keys.
+one by one, by the fingerprint of their own keys, those of all elements of a list; rows of no known layout, with an empty
+list, or that are no JSON go to a table of their own with the paths found.
 
 The template writes each turn as `<turn:ROLE>`, the text and `</turn>`, each on lines of its own. Inside roles and texts the
 characters that the template uses are written as two, each starting with a backslash, so nothing in a text can end a turn,
@@ -11,7 +12,8 @@ and unescaping gives back exactly what was there. The loss mask holds the assist
 All on DataFrame functions. A conversation is one output row, so its turns come together in one task; nothing else does.
 
 Defined cases. Null role or text: empty. Turns in order of turn, then role and text; null turns first. Repeated rows are turns
-of their own. Null id: one conversation. An unknown layout is an error that names its paths.
+of their own. Null id: one conversation. A table of an unknown layout is an error that names its paths; a row of JSON of one is
+given back as unreadable. A list element without a role or text reads as empty there.
 """
 
 from __future__ import annotations
@@ -99,24 +101,40 @@ def _json_schema(paths: tuple[str, ...]) -> str:
     return f"struct<{', '.join(fields)}>"
 
 
-def canonical_json_turns(rows: DataFrame, json: str, id_column: str = "conv_id") -> DataFrame:
-    """conv_id, turn, role, text from rows of JSON, each with a layout of its own; rows of no known layout give no turns."""
-    document = F.col(json)
+def _json_paths(document: Column) -> Column:
+    """The field paths of a JSON object that any layout uses, sorted."""
 
     def inner(key: Column) -> Column:
-        first = F.json_object_keys(F.call_function("get_json_object", document, F.concat(F.lit("$."), key, F.lit("[0]"))))
-        return F.coalesce(F.transform(first, lambda k: F.concat(key, F.lit("[]."), k)), F.array(key))
+        value = F.call_function("get_json_object", document, F.concat(F.lit("$."), key))
+        elements = F.filter(F.from_json(value, "array<map<string, string>>"), lambda m: m.isNotNull())
+        leaves = F.array_distinct(F.flatten(F.transform(elements, F.map_keys)))
+        listed = F.transform(leaves, lambda k: F.concat(key, F.lit("[]."), k))
+        return F.when(value.startswith("["), F.coalesce(listed, F.array(F.concat(key, F.lit("[]"))))).otherwise(F.array(key))
 
     paths = F.flatten(F.transform(F.json_object_keys(document), inner))
-    used = F.sort_array(F.array_intersect(paths, F.array(*map(F.lit, _PATHS))))
-    print_ = F.sha2(F.array_join(used, "\n"), 256)
+    return F.sort_array(F.array_intersect(paths, F.array(*map(F.lit, _PATHS))))
+
+
+def canonical_json(rows: DataFrame, json: str, id_column: str = "conv_id") -> tuple[DataFrame, DataFrame]:
+    """Rows of JSON, each with a layout of its own: conv_id, turn, role, text of those that are known, and conv_id, json, paths of
+    the others. Every row is in one of both."""
+    document = F.col(json)
+    told = rows.select(F.col(id_column).alias("conv_id"), document.alias("json"), _json_paths(document).alias("paths"))
+    told = told.withColumn("print", F.sha2(F.array_join("paths", "\n"), 256))
     turns = F.lit(None).cast("array<struct<role: string, text: string>>")
-    told = rows.select(F.col(id_column).alias("conv_id"), document.alias("json"), print_.alias("print"))
     for paths_of, mapping in LAYOUTS.values():
         if mapping is not None:
-            parsed = told_fields(mapping, paths_of)
-            turns = F.when(F.col("print") == fingerprint(paths_of), parsed).otherwise(turns)
-    return _numbered(told.select("conv_id", turns.alias("turns")))
+            turns = F.when(F.col("print") == fingerprint(paths_of), told_fields(mapping, paths_of)).otherwise(turns)
+    told = told.withColumn("turns", turns)
+    missing = F.col("turns").isNull() | (F.size("turns") == 0)
+    read = _numbered(told.where(~missing).select("conv_id", "turns"))
+    texts = {c: F.coalesce(c, F.lit("")) for c in ("role", "text")}
+    return read.withColumns(texts), told.where(missing).select("conv_id", "json", "paths")
+
+
+def canonical_json_turns(rows: DataFrame, json: str, id_column: str = "conv_id") -> DataFrame:
+    """The turns alone; `canonical_json` also gives the rows that it cannot read."""
+    return canonical_json(rows, json, id_column)[0]
 
 
 def told_fields(mapping: str, paths: tuple[str, ...]) -> Column:

@@ -58,6 +58,26 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chat_mixed_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as rows of JSON in four layouts, each row told by its own fingerprint; one layout of them is unknown."""
+    turns = chat_format.canonical_turns(_table(spark, sf_dir, "conversations")).where("conv_id is not null")
+    listed = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    named = "transform(t, x -> named_struct('{0}', {2}, '{1}', x.text))"
+    shared = "case x.role when 'user' then 'human' when 'assistant' then 'gpt' else x.role end"
+    kinds = {
+        "conv_id % 10 = 9": f"named_struct('dialogue', {named.format('who', 'says', 'x.role')})",
+        "size(t) = 2 and t[0].role = 'user' and t[1].role = 'assistant'": "named_struct('prompt', t[0].text, 'response', t[1].text, 'extra', 1)",
+        "conv_id % 2 = 0": f"named_struct('messages', {named.format('role', 'content', 'x.role')}, 'id', conv_id)",
+        "true": f"named_struct('conversations', {named.format('from', 'value', shared)})",
+    }
+    cases = " ".join(f"when {condition} then to_json({made}, map('ignoreNullFields', 'false'))" for condition, made in kinds.items())
+    rows = listed.select("conv_id", F.expr(f"case {cases} end").alias("json"))
+    read, unreadable = chat_format.canonical_json(rows, "json")
+    digest = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    done = read.groupBy("conv_id").agg(F.count("*").alias("n_turns"), F.sha2(digest, 256).alias("turns_sha256"))
+    return done.unionByName(unreadable.select("conv_id", F.lit(0).cast("long").alias("n_turns"), F.lit(None).cast("string").alias("turns_sha256")))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = substring_dedup.remove_repeats(docs)
@@ -146,6 +166,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op11_structure_repair,
             op12_source_divergence,
             op13_token_files,
+            chat_mixed_layouts,
             pipeline,
         )
     }
@@ -170,6 +191,17 @@ select conv_id, n_turns, sha256(digest) as turns_sha256, length(loss) as loss_ch
 from chats
 """
 
+_MIXED_SQL = """
+with turns as (
+    select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+        row_number() over (partition by conv_id order by turn nulls first, role, text) as n
+    from conversations where conv_id is not null
+)
+select conv_id, case when conv_id % 10 = 9 then 0 else count(*) end as n_turns,
+    case when conv_id % 10 <> 9 then sha256(string_agg(role || chr(10) || text || chr(10), '' order by n)) end as turns_sha256
+from turns group by conv_id
+"""
+
 
 def _plus(best: str, cost: int | str, edit: str) -> str:
     """SQL: a (cost, audit) written as five digits and the audit, with an edit more; text order is then the order of both."""
@@ -299,6 +331,84 @@ from (select *, row_number() over (partition by lang, source, part order by valu
 where part = 'pair' or rank <= 50
 """
 
+_WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+
+_JACCARD_SQL = f"""
+with recursive docs as (
+    select doc_id, {_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as words
+    from documents
+), shingles as (
+    select distinct doc_id, unnest(case when len(words) = 0 then [] when len(words) < 4 then [array_to_string(words, ' ')]
+        else list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) end) as shingle
+    from docs
+), sizes as (
+    select d.doc_id, count(s.shingle) as n from docs d left join shingles s on s.doc_id = d.doc_id group by d.doc_id
+), shared as (
+    select a.doc_id as a, b.doc_id as b, count(*) as n from shingles a join shingles b on b.shingle = a.shingle and b.doc_id > a.doc_id group by 1, 2
+), links as (
+    select a, b from shared h join sizes x on x.doc_id = h.a join sizes y on y.doc_id = h.b where 100 * h.n >= 85 * (x.n + y.n - h.n)
+), ways as (
+    select a, b from links union all select b, a from links
+), reached as (
+    select doc_id, doc_id as other from sizes
+    union
+    select r.doc_id, l.b from reached r join ways l on l.a = r.other
+)
+select r.doc_id, any_value(s.n) as n_shingles, min(r.other) as component_id
+from reached r join sizes s on s.doc_id = r.doc_id group by r.doc_id
+"""
+
+_REPEATS_SQL = f"""
+with docs as (
+    select doc_id, {_WORDS.format(text="coalesce(text, '')")} as words from documents
+), windows as (
+    select doc_id, unnest(range(1, len(words) - 11)) as place,
+        unnest(list_transform(range(1, len(words) - 11), lambda i: array_to_string(words[i:i + 12], ' '))) as said
+    from docs where len(words) >= 13
+), firsts as (
+    select said, min(doc_id) as first from windows group by said
+), removed as (
+    select distinct w.doc_id, unnest(range(w.place, w.place + 13)) as place from windows w join firsts f on f.said = w.said and f.first < w.doc_id
+), gone as (
+    select doc_id, list(place) as places, count(*) as n from removed group by doc_id
+), kept as (
+    select d.doc_id, len(words) as n_words, coalesce(n, 0) as n_removed,
+        case when n is null then words else list_transform(
+            list_filter(range(1, len(words) + 1), lambda i: list_contains(places, i) = false), lambda i: words[i]) end as words
+    from docs d left join gone g on g.doc_id = d.doc_id
+)
+select doc_id, n_words, n_removed, sha256(array_to_string(words, ' ')) as kept_sha256 from kept
+"""
+
+_CRC_TABLE = "list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1))))"
+
+_SHARDS_SQL = f"""
+with bytes as (
+    select doc_id, coalesce(text, '') as text, strlen(coalesce(text, '')) + 1 as size, unhex(md5(coalesce(text, ''))) as digest from documents
+), sums as (
+    select text, xor(4294967295, list_reduce(
+        list_prepend(4294967295::bigint, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::bigint)),
+        lambda crc, byte: xor(crc >> 8, crc_table[xor(crc & 255, byte) + 1]))) as text_crc32
+    from (select distinct text from bytes) t, (select {_CRC_TABLE} as crc_table) c
+), placed as (
+    select doc_id, size, text, sum(size) over (order by digest, doc_id nulls first rows unbounded preceding) - size as start,
+        sum(size) over () as total, row_number() over (order by digest, doc_id nulls first) as row
+    from bytes
+), cut as (
+    select *, least(((2 * start + size) * 16) // (2 * total), 15)::int as shard from placed
+)
+select doc_id, size, text_crc32, 'bytes' as law, shard, row_number() over (partition by shard order by row) - 1 as slot, null::int as grown_shard
+from cut c join sums s on s.text = c.text
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_formatting": _CHATS_SQL, "op11_structure_repair": _REPAIR_SQL, "op12_source_divergence": _DIVERGENCE_SQL}
+    return {
+        "op1_ngram_jaccard_join": _JACCARD_SQL,
+        "op3_chat_formatting": _CHATS_SQL,
+        "chat_mixed_layouts": _MIXED_SQL,
+        "op4_substring_dedup": _REPEATS_SQL,
+        "op10_sharding": _SHARDS_SQL,
+        "op11_structure_repair": _REPAIR_SQL,
+        "op12_source_divergence": _DIVERGENCE_SQL,
+    }
