@@ -45,6 +45,9 @@ SHUFFLED = [
     "plan_lines_new",
     "sqlstats_hot",
     "retention_by_snapshot",
+    "metric_summary_by_year",
+    "dim_merge_buckets",
+    "plan_tree",
 ]
 
 

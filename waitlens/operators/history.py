@@ -16,6 +16,7 @@ from waitlens.operators.times import DAY
 
 Target = tuple[int, int]
 
+# Columns that the session history takes from the samples, and those it has but never fills.
 COPIED = (
     "dbid",
     "inst_id",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
+# The host's plan columns in their order, and those that are always null.
 PLAN_COLUMNS = (
     "sql_id",
     "plan_hash_value",

@@ -17,29 +17,60 @@ def _columns(kind: T.DataType, names: str) -> dict[str, T.DataType]:
     return {name: kind for name in names.split()}
 
 
+# The columns of stored samples, in stored order.
 SAMPLES = _struct(
-    _columns(_LONG, "dbid inst_id sample_id")
-    | _columns(_TIME, "sample_time")
-    | _columns(_LONG, "session_id session_serial")
-    | _columns(_TEXT, "session_state osuser")
-    | _columns(_LONG, "session_type user_id command")
-    | _columns(_TEXT, "machine terminal")
-    | _columns(_LONG, "port")
-    | _columns(_TEXT, "sql_address sql_id")
-    | _columns(_LONG, "sql_plan_hash_value sql_child_number sql_opcode sql_exec_id")
-    | _columns(_TIME, "sql_exec_start")
-    | _columns(_LONG, "plsql_entry_object_id plsql_entry_subprogram_id plsql_object_id plsql_subprogram_id")
-    | _columns(_LONG, "event_no seq_no p1 p2 p3 wait_time time_waited")
-    | _columns(_LONG, "current_obj current_file current_block current_row")
-    | _columns(_TEXT, "program module")
-    | _columns(_LONG, "module_hash")
-    | _columns(_TEXT, "action")
-    | _columns(_LONG, "action_hash")
-    | _columns(_TIME, "logon_time")
-    | _columns(_LONG, "ksuseblocker")
-    | _columns(_TEXT, "service_name")
-    | _columns(_LONG, "fixed_table_sequence qc blocking_instance blocking_session")
-    | _columns(_LONG, "final_blocking_instance final_blocking_session")
+    {
+        "dbid": _LONG,
+        "sample_time": _TIME,
+        "session_id": _LONG,
+        "session_state": _TEXT,
+        "session_serial": _LONG,
+        "osuser": _TEXT,
+        "session_type": _LONG,
+        "user_id": _LONG,
+        "command": _LONG,
+        "machine": _TEXT,
+        "port": _LONG,
+        "sql_address": _TEXT,
+        "sql_plan_hash_value": _LONG,
+        "sql_child_number": _LONG,
+        "sql_id": _TEXT,
+        "sql_opcode": _LONG,
+        "sql_exec_start": _TIME,
+        "sql_exec_id": _LONG,
+        "plsql_entry_object_id": _LONG,
+        "plsql_entry_subprogram_id": _LONG,
+        "plsql_object_id": _LONG,
+        "plsql_subprogram_id": _LONG,
+        "event_no": _LONG,
+        "seq_no": _LONG,
+        "p1": _LONG,
+        "p2": _LONG,
+        "p3": _LONG,
+        "wait_time": _LONG,
+        "time_waited": _LONG,
+        "current_obj": _LONG,
+        "current_file": _LONG,
+        "current_block": _LONG,
+        "current_row": _LONG,
+        "program": _TEXT,
+        "module": _TEXT,
+        "module_hash": _LONG,
+        "action": _TEXT,
+        "action_hash": _LONG,
+        "logon_time": _TIME,
+        "ksuseblocker": _LONG,
+        "service_name": _TEXT,
+        "fixed_table_sequence": _LONG,
+        "qc": _LONG,
+        "blocking_instance": _LONG,
+        "blocking_session": _LONG,
+        "final_blocking_instance": _LONG,
+        "final_blocking_session": _LONG,
+        "sample_id": _LONG,
+        "terminal": _TEXT,
+        "inst_id": _LONG,
+    }
 )
 EVENT_NAMES = _struct(
     _columns(_LONG, "dbid event_no event_id") | _columns(_TEXT, "wait_class name") | _columns(_LONG, "wait_class_id")
@@ -53,17 +84,42 @@ SQLSTATS = _struct(
     | {name: _LONG for name in (*SQLSTAT_DELTAS, *SQLSTAT_OTHER, *SQLSTAT_DELTAS.values())}
 )
 SQLTEXT = _struct(_columns(_LONG, "dbid") | _columns(_TEXT, "sql_id sql_text") | _columns(_LONG, "command_type"))
+# The columns of stored plan lines, in stored order.
 PLAN_LINES = _struct(
-    _columns(_TEXT, "sql_id")
-    | _columns(_LONG, "plan_hash_value")
-    | _columns(_TEXT, "remarks operation options object_node object_owner object_name object_type optimizer")
-    | _columns(_LONG, "object_instance search_columns id parent_id depth position cost cardinality bytes")
-    | _columns(_TEXT, "other_tag partition_start partition_stop")
-    | _columns(_LONG, "partition_id")
-    | _columns(_TEXT, "other distribution")
-    | _columns(_LONG, "cpu_cost io_cost temp_space")
-    | _columns(_TEXT, "access_predicates filter_predicates")
-    | _columns(_LONG, "dbid inst_id")
+    {
+        "sql_id": _TEXT,
+        "plan_hash_value": _LONG,
+        "remarks": _TEXT,
+        "operation": _TEXT,
+        "options": _TEXT,
+        "object_node": _TEXT,
+        "object_owner": _TEXT,
+        "object_name": _TEXT,
+        "object_instance": _LONG,
+        "object_type": _TEXT,
+        "optimizer": _TEXT,
+        "search_columns": _LONG,
+        "id": _LONG,
+        "parent_id": _LONG,
+        "depth": _LONG,
+        "position": _LONG,
+        "cost": _LONG,
+        "cardinality": _LONG,
+        "bytes": _LONG,
+        "other_tag": _TEXT,
+        "partition_start": _TEXT,
+        "partition_stop": _TEXT,
+        "partition_id": _LONG,
+        "other": _TEXT,
+        "distribution": _TEXT,
+        "cpu_cost": _LONG,
+        "io_cost": _LONG,
+        "temp_space": _LONG,
+        "access_predicates": _TEXT,
+        "filter_predicates": _TEXT,
+        "dbid": _LONG,
+        "inst_id": _LONG,
+    }
 )
 METRIC_HISTORY = _struct(
     _columns(_LONG, "dbid inst_id snap_id")
