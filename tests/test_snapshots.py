@@ -68,6 +68,8 @@ def test_last_values_give_the_deltas_of_the_whole_history(spark, tmp_path, on_re
     assert rows(found, *columns) == rows(want, *columns)
     changes = found.where(f"{next(iter(SQLSTAT_DELTAS.values()))} is not null").count()
     assert 0 < changes < found.count()
+    kept = rows(store.last_values())
+    assert len(store.expire(datetime(2000, 1, 1), ["sqlstats"])) == len(by_snap) - 1 and rows(store.last_values()) == kept
 
 
 def test_only_new_rows_move(shuffled, tmp_path):
@@ -224,3 +226,21 @@ def test_whole_runs(spark, tmp_path):
     assert rows(store.read("metric_history"), "snap_id", "begin_time") == [(1 if h < 3 else 2, datetime(2024, 1, 1, h)) for h in range(6)]
     assert rows(store.read("time_model"), "snap_id", "value") == [(1, 100), (2, 200)]
     assert rows(store.snapshots(), "hist_sample_id") == [(1,), (2,)]
+
+
+def test_commits_are_compacted(spark, tmp_path):
+    """The same registry, marks and rows from one file, and from a file beside old ones that a failure left."""
+    store = sources.SnapshotStore(spark, str(tmp_path))
+    for snap in range(1, 6):
+        run = store.begin()
+        run.write("m", spark.sql(f"select {snap}L snap_id, 1L dbid, 1L inst_id, timestamp'2024-01-01 0{snap}:00:00' begin_time"), mark="begin_time")
+        run.commit(registry(spark, snap, [(1, 1)]))
+    files = list(pathlib.Path(tmp_path).glob("commits/*.parquet"))
+    before = [rows(store.snapshots()), rows(store.marks("m")), rows(store.read("m")), rows(store.latest("m"))]
+    kept = {f: f.read_bytes() for f in files[:2]}
+    assert store.compact_commits() == len(files) == 5
+    for _ in range(2):
+        assert [rows(store.snapshots()), rows(store.marks("m")), rows(store.read("m")), rows(store.latest("m"))] == before
+        for file, data in kept.items():
+            file.write_bytes(data)
+    assert store._next() == 6

@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,7 +70,22 @@ class SnapshotStore:
         rows = in_range(self.commits().where(F.col("kind") == SNAPSHOT), start, stop, "at")
         if target is not None:
             rows = rows.where((F.col("dbid") == target[0]) & (F.col("instance_number") == target[1]))
-        return rows.select("run", F.col("snap_id").alias("hist_sample_id"), "dbid", "instance_number", F.col("at").alias("hist_date"))
+        named = rows.select("run", F.col("snap_id").alias("hist_sample_id"), "dbid", "instance_number", F.col("at").alias("hist_date"))
+        return named.distinct()
+
+    def compact_commits(self) -> int:
+        """Bring the commits of all runs so far into one file; gives how many files that replaces.
+
+        The new file is there before the old ones go, and a row that is there twice counts once, so readers see no difference,
+        nor does a failure in between.
+        """
+        old = folders(self.spark, f"{self.path}/commits/*.parquet")
+        if len(old) > 1:
+            rows = self.spark.read.schema(COMMITS).parquet(*old).distinct()
+            rows.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+            for file in old:
+                remove(self.spark, file)
+        return len(old)
 
     def _next(self) -> int:
         return (self.commits().agg(F.max("seq")).first()[0] or 0) + 1
@@ -140,15 +155,18 @@ class SnapshotStore:
 
     def last_values(self, table: str = "sqlstats") -> DataFrame | None:
         """Counters as they stood at each target's newest snapshot, in buckets of the entity; None before the first run."""
+        newest = self._newest_last(table)
+        return newest and bucketed(self.spark, f"{self.path}/last/{table}/{newest['run']}", newest["buckets"])
+
+    def _newest_last(self, table: str) -> Row | None:
         kept = self.commits().where((F.col("kind") == LAST) & (F.col("table_name") == table))
         newest = kept.agg(F.max(F.struct("seq", "run", F.col("snap_id").alias("buckets"))).alias("m")).select("m.*").first()
-        if newest is None or newest["run"] is None:
-            return None
-        return bucketed(self.spark, f"{self.path}/last/{table}/{newest['run']}", newest["buckets"])
+        return newest if newest["run"] is not None else None
 
     def expire(self, keep_from: datetime, tables: Sequence[str]) -> list[str]:
-        """Delete from ``tables`` the rows of snapshots taken before ``keep_from``, and what runs left that were never committed;
-        gives the folders deleted. A folder that holds targets of both sides of the limit is written anew."""
+        """Delete from ``tables`` the rows of snapshots taken before ``keep_from``, what runs left that were never committed, and
+        last values that newer ones replace; gives the folders deleted. A folder that holds targets of both sides of the limit
+        is written anew. No run may be under way."""
         limit = timestamp_lit(keep_from)
         known = self.snapshots()
         spans = known.groupBy("run", "hist_sample_id").agg((F.max("hist_date") < limit).alias("whole"), (F.min("hist_date") < limit).alias("part"))
@@ -167,6 +185,11 @@ class SnapshotStore:
                     kept = known.where((F.col("run") == run) & (F.col("hist_sample_id") == int(snap)) & (F.col("hist_date") >= limit))
                     kept = kept.select("dbid", F.col("instance_number").alias(inst))
                     materialise(rows.join(kept, ["dbid", inst], "left_semi").select(rows.columns)).write.mode("overwrite").parquet(folder)
+            newest = self._newest_last(table)
+            for folder in folders(self.spark, f"{self.path}/last/{table}/*"):
+                if newest is None or folder.rsplit("/", 1)[1] != newest["run"]:
+                    remove(self.spark, folder)
+                    dropped.append(folder)
         return sorted(dropped)
 
 
