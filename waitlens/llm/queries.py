@@ -354,7 +354,7 @@ with recursive docs as (
     union
     select r.doc_id, l.b from reached r join ways l on l.a = r.other
 )
-select r.doc_id, any_value(s.n) as n_shingles, min(r.other) as component_id
+select r.doc_id, any_value(s.n) as n_shingles, min(r.other) as component_id, (select count(*) from ways w where w.a = r.doc_id) as n_links
 from reached r join sizes s on s.doc_id = r.doc_id group by r.doc_id
 """
 
