@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waitlens.llm.memory import tidy
 from waitlens.llm.text import Chunk, chunks, signed
 from waitlens.llm.work import stored
 
@@ -81,22 +82,22 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def segments(at: np.ndarray, scores: np.ndarray, drift: float) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (first, end, score) of a sequence that scores `scores` at the places `at` and `drift`
     elsewhere, in one pass: each new stretch is joined to the last that starts lower, if it ends higher than that."""
-    held: list[tuple[int, int, float, float]] = []  # first, end, sum before, sum after
+    held: list[tuple[int, int, float, float, int]] = []  # first, end, sum before, sum after, the last one that starts lower
     total, next_ = 0.0, 0
     for place, score in zip(at.tolist(), scores.tolist(), strict=True):
         before = total + drift * (place - next_)
         total, next_ = before + score, place + 1
-        first, low = place, before
+        first, low, j = place, before, len(held) - 1
         while True:
-            j = len(held) - 1
             while j >= 0 and held[j][2] >= low:
-                j -= 1
+                j = held[j][4]  # those between start no lower than it, so they are passed over for good
             if j < 0 or held[j][3] >= total:
-                held.append((first, next_, low, total))
+                held.append((first, next_, low, total, j))
                 break
-            first, low = held[j][0], held[j][2]
+            first, low, below = held[j][0], held[j][2], held[j][4]
             del held[j:]
-    return [(first, end, high - low) for first, end, low, high in held]
+            j = below
+    return [(first, end, high - low) for first, end, low, high, _ in held]
 
 
 def _known(model: Model, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
     known = known.orderBy(F.xxhash64("wl_id"), "wl_id").limit(sample)
     training = docs.join(F.broadcast(known), F.col(id_column) == F.col("wl_id")).select(F.col(text).alias("text"), F.col("wl_toxic").cast("long").alias("toxic"))
 
-    counts = stored(training.mapInArrow(_count, "token long, toxic long, clean long").groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+    counts = stored(training.mapInArrow(tidy(_count), "token long, toxic long, clean long").groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     totals = counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
     if not totals.toxic or not totals.clean:
         return None
@@ -207,7 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
     chances = (clean + 0.5) / (totals.clean + 0.5 * len(clean))
     model = Model(tokens, scores, float(drift), _rate(scores, chances, drift), 0.0, 0.0, 0.0)
 
-    measured = stored(training.mapInArrow(_measure(model), "toxic long, tokens long, scores array<double>"))
+    measured = stored(training.mapInArrow(tidy(_measure(model)), "toxic long, tokens long, scores array<double>"))
     best = F.coalesce(F.array_max("scores"), F.lit(0.0))
     level = measured.where("toxic = 0").agg(F.avg(best * model.rate - F.log(F.greatest("tokens", F.lit(1))))).first()[0]
     model = model._replace(log_k=float(level) - _EULER)
@@ -226,5 +227,5 @@ def score(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text:
     schema = T.StructType().add("id", docs.schema[id_column].dataType).add("held_out", "boolean").add("score", "double").add("passages", T.ArrayType(passage))
     for name in keep:
         schema = schema.add(name, docs.schema[name].dataType)
-    out = docs.select(F.col(id_column).alias("id"), held_out(id_column).alias("held_out"), F.col(text).alias("text"), *keep).mapInArrow(_score(model, 0.0), schema)
+    out = docs.select(F.col(id_column).alias("id"), held_out(id_column).alias("held_out"), F.col(text).alias("text"), *keep).mapInArrow(tidy(_score(model, 0.0)), schema)
     return out.select(F.col("id").alias(id_column), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages", *keep)
