@@ -1,7 +1,7 @@
 """Words and word hashes of whole Arrow columns at once.
 
 A word is a maximal run of bytes other than space and \\t..\\r, so it may hold any other character. A column is cut into
-chunks of rows of a few megabytes (one longer text is a chunk of its own), and each chunk is handled without a loop over
+chunks of rows of a megabyte (one longer text is a chunk of its own), and each chunk is handled without a loop over
 its texts. Hashes are 64-bit and depend on the bytes alone, so they agree between tasks and runs.
 """
 
@@ -13,7 +13,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+KEPT_POWERS = CHUNK_BYTES + 4096  # longer tables are made when a long text needs them, and not kept
 SPACES = b" \t\n\x0b\x0c\r"
 
 _U = np.uint64
@@ -41,9 +42,11 @@ _powers = {_BASE: np.ones(1, _U), _UNBASE: np.ones(1, _U)}
 def powers(n: int, base: int = _BASE) -> np.ndarray:
     known = _powers[base]
     if len(known) < n:
-        known = np.full(max(n, 2 * len(known)), base, _U)
+        known = np.full(n if n > KEPT_POWERS else min(max(n, 2 * len(known)), KEPT_POWERS), base, _U)
         known[0] = 1
-        known = _powers[base] = np.multiply.accumulate(known)
+        known = np.multiply.accumulate(known)
+        if n <= KEPT_POWERS:
+            _powers[base] = known
     return known[:n]
 
 
