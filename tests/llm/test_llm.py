@@ -311,6 +311,40 @@ def test_every_context_of_a_draw_adds_up_to_one(spark):
         assert len(known) == after.words
 
 
+def test_every_word_before_is_a_context(spark):
+    """Of one class, so in one restaurant above; each has its own totals, from all slices, and adds up to 1 in every draw."""
+    rows = [(i, f"aaaring foo{i % 9} x aaaring foo{i % 9} bbbring bar{i % 9} y{i % 5} bbbring bar{i % 9} the foo1 the bar2 ") for i in range(90)]
+    docs = spark.createDataFrame(rows, "number long, text string").withColumn("held_out", F.lit(False))
+    dealt, draws = pitman_yor._trained(docs)
+    parts = list(pitman_yor._slices(dealt.toArrow().to_batches()))
+    contexts = [None, *(w for r in rows for w in r[1].split())]
+    followed = Counter(w for r in rows for w in [None, *r[1].split()])
+    for draw in draws:
+        after, mass, seated, totals = draw[2], Counter(), Counter(), {}
+        for part in parts:
+            below, seats = part.below, pitman_yor._seats(part, draw[1], draw[0])
+            above = pitman_yor._predicted(part, draw)[below.pair]
+            own = pitman_yor._after_word(part, draw)
+            for i, at in enumerate(below.place):
+                key = int(below.contexts[at])
+                totals.setdefault(key, set()).add((int(below.customers[at]), int(below.tables[draw[0] + 1][at])))
+                customers, tables = below.customers[at], below.tables[draw[0] + 1][at]
+                mass[key] += own[i] - (1 + after.word_discount * tables) / (1 + customers) * above[i]
+                seated[key] += int(seats.own[i])
+        assert all(len(x) == 1 for x in totals.values()) and len(totals) == len(set(contexts))
+        found = {key: next(iter(x)) for key, x in totals.items()}
+        assert sorted(c for c, _ in found.values()) == sorted(followed.values())
+        assert {key: t for key, (_, t) in found.items()} == seated
+        assert all(mass[k] + (1 + after.word_discount * t) / (1 + c) == pytest.approx(1, abs=1e-9) for k, (c, t) in found.items())
+
+
+def test_words_of_one_ending_are_told_apart(spark):
+    held = [i for i in range(900, 1000) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    rows = [(i, f"aaaring foo{i % 3} bbbring bar{i % 3}") for i in range(300)] + [(held[0], "aaaring foo1"), (held[1], "bbbring foo1")]
+    found = {r.doc_id: r.score for r in pitman_yor.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[held[0]] > found[held[1]] + 1
+
+
 def test_model_beats_unigrams(spark):
     held = pitman_yor.score(spark.read.parquet(f"{SF_DIR}/documents.parquet")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert held[0] > held[1]

@@ -1,15 +1,16 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-The root restaurant holds the words; its own parent is uniform over the known words and one more for all unknown. Each context
-restaurant has the root as parent. A word's context is the ending of the word before it (short words whole), hashed into a
-fixed number of restaurants, which all contexts share; so the restaurants' totals are a small table whatever the corpus, while
-the counts in them grow with it.
+A word's context is the whole word before it; each has a restaurant of its own. Its parent is the restaurant of the class of
+that word, its ending hashed into a fixed number of classes, and theirs is the root, which holds the words; the root's own
+parent is uniform over the known words and one more for all unknown.
 
-1. Tokens go to slices by their hash (a very frequent word by its context as well, so that none fills a slice), packed by
-   chunk of texts, and each slice is written once: its words, their counts by context, and the documents of each.
+1. Tokens go to slices by their hash (a very frequent word by the class of its context as well, so that none fills a slice),
+   packed by chunk of texts, and each slice is written once: its words, their counts by context, and the documents of each.
 2. Blocked Gibbs sweeps: all customers of a (context, word) leave and are seated anew, at an old table or a new one, given the
-   tables of all other restaurants as of the last sweep. A new table is a customer of the root. Seats are drawn slice by
-   slice, from a generator seeded by slice and sweep; the sweep's table counts by context are the next one's totals.
+   tables of all other restaurants as of the last sweep. A new table is a customer of the parent. Seats are drawn slice by
+   slice, from a generator seeded by slice and sweep; the sweep's table counts by restaurant are the next one's totals.
+   Totals of classes are a small table. Those of contexts are as many as there are words, so no task holds them all: each
+   slice sends its counts to buckets of contexts, which add them up and send the totals back to the slices that asked.
 3. The predictive probabilities of several further draws of the chain are averaged. Those of a draw use its own seats, drawn
    again from the same seeds, and its own totals, so that each context's probabilities add up to 1. Each slice sums the
    logarithms up by document, and the sums of the slices meet in one aggregate.
@@ -41,16 +42,17 @@ SAMPLES = 3
 STRENGTH = 1.0
 SEED = 1
 _CHUNK = 4 << 20
+_HASH_BITS = 52  # of a context; the others are its class
 _START, _END = 0, mix(np.array([0xE5D]))[0]
 _U = np.uint64
 
 
 class Totals(NamedTuple):
-    """Of the whole model. customers, tables: by context."""
+    """Of the whole model, but for the restaurants of whole words. customers, tables: by class."""
 
     tokens: int
     words: int
-    customers: np.ndarray
+    customers: np.ndarray  # of the classes: tables of their contexts
     tables: np.ndarray
     root_tables: float
     discount: float
@@ -59,6 +61,7 @@ class Totals(NamedTuple):
     frequent_count: np.ndarray
     frequent_customers: np.ndarray
     frequent_tables: np.ndarray
+    word_discount: float = 0.5  # of the restaurants of whole words
 
 
 def held_out(id_column: str) -> Column:
@@ -66,7 +69,8 @@ def held_out(id_column: str) -> Column:
 
 
 def _tokens(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, context and row of each token, the end tokens included."""
+    """Hash, context and row of each token, the end tokens included. A context is the class of the word before, in the upper bits,
+    and its hash."""
     rows = chunk.stop - chunk.start
     at = np.arange(len(chunk.starts)) + chunk.row
     ends = chunk.first[1:] + np.arange(rows)
@@ -77,8 +81,8 @@ def _tokens(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for back in range(1, 5):
         own = chunk.data[np.maximum(chunk.ends - back, chunk.starts)].astype(_U) << _U(8 * back)
         ending |= np.where((back <= length) & ((back < 4) | (length == 4)), own, _U(0))
-    contexts = np.full(len(tokens) + 1, _START, np.int64)
-    contexts[at + 1] = (mix(ending, 21) % _U(RESTAURANTS - 1)).astype(np.int64) + 1
+    contexts = np.full(len(tokens) + 1, _START, _U)
+    contexts[at + 1] = (mix(ending, 21) % _U(RESTAURANTS - 1) + _U(1)) << _U(_HASH_BITS) | tokens[at] >> _U(64 - _HASH_BITS)
     contexts[ends + 1] = _START
     return tokens, contexts[:-1], np.repeat(np.arange(rows), chunk.counts + 1)
 
@@ -94,6 +98,13 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.append(0, signed(found[some]))), pa.array(np.append(len(tokens), counts[some]))], ["token", "n"])
 
 
+def _firsts(*columns: np.ndarray) -> np.ndarray:
+    """Places at which one of the columns changes."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in columns])
+    return np.flatnonzero(new)
+
+
 def _planes(x: np.ndarray, width: int) -> bytes:
     """The lower bytes of each number, plane by plane: high planes are mostly zero and compress."""
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
@@ -113,7 +124,7 @@ def _deal(slices: int, frequent: np.ndarray):
             numbers, training = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
             for chunk in chunks(batch.column(2), lower=True, limit=_CHUNK):
                 tokens, contexts, rows = _tokens(chunk)
-                key = np.where(np.isin(tokens, frequent), mix(tokens ^ mix(contexts, 22), 23), mix(tokens, 23))
+                key = np.where(np.isin(tokens, frequent), mix(tokens ^ mix(contexts >> _U(_HASH_BITS), 22), 23), mix(tokens, 23))
                 to = ((key >> _U(32)) * _U(slices) >> _U(32)).astype(np.int64)
                 order = np.lexsort((rows, contexts, tokens, to))
                 edges = np.searchsorted(to[order], np.arange(slices + 1))
@@ -121,25 +132,29 @@ def _deal(slices: int, frequent: np.ndarray):
                 for i in range(slices):
                     part = order[edges[i] : edges[i + 1]]
                     if len(part):
-                        words, counts = np.unique(tokens[part], return_counts=True)
+                        pairs = _firsts(tokens[part], contexts[part])
+                        words, counts = np.unique(tokens[part[pairs]], return_counts=True)
                         docs, where = np.unique(rows[part], return_inverse=True)
-                        blob = [words.tobytes(), _planes(counts, 4), _planes(contexts[part], 2), _planes(where, 4)]
+                        blob = [words.tobytes(), _planes(counts, 4), contexts[part[pairs]].tobytes()]
+                        blob += [_planes(np.diff(np.append(pairs, len(part))), 4), _planes(where, 4)]
                         blob += [own[docs].tobytes(), trains[docs].astype(np.uint8).tobytes()]
-                        sizes = [len(words), len(part), len(docs)]
+                        sizes = [len(words), len(pairs), len(part), len(docs)]
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([i]), *(pa.array([x]) for x in sizes), pa.array([b"".join(blob)], pa.binary())],
-                            ["slice", "words", "tokens", "docs", "blob"],
+                            ["slice", "words", "pairs", "tokens", "docs", "blob"],
                         )
 
     return run
 
 
-def _undealt(words: int, tokens: int, docs: int, blob: bytes):
-    ends = np.cumsum([0, 8 * words, 4 * words, 2 * tokens, 4 * tokens, 8 * docs, docs])
-    part = [blob[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+def _undealt(words: int, pairs: int, tokens: int, docs: int, blob: bytes):
+    """Of each token word, context and place of the document; the documents, and whether they are trained on."""
+    part = _cut(memoryview(blob), 8 * words, 4 * words, 8 * pairs, 4 * pairs, 4 * tokens, 8 * docs, docs)
     names = np.repeat(np.frombuffer(part[0], _U), _unplaned(part[1], words, 4).astype(np.int64))
-    where = _unplaned(part[3], tokens, 4).astype(np.int64)
-    return names, _unplaned(part[2], tokens, 2).astype(np.int16), np.frombuffer(part[4], np.int64)[where], np.frombuffer(part[5], bool)[where]
+    each = _unplaned(part[3], pairs, 4).astype(np.int64)
+    where = _unplaned(part[4], tokens, 4).astype(np.int32)
+    contexts = np.frombuffer(part[2], _U)
+    return np.repeat(names, each), np.repeat(contexts, each), where, np.frombuffer(part[5], np.int64), np.frombuffer(part[6], bool)
 
 
 _SLICE = {"slice": pa.int64(), "words": pa.int64(), "pairs": pa.int64(), "model": pa.binary(), "tokens": pa.int64(), "docs": pa.int64(), "places": pa.binary()}
@@ -152,25 +167,28 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last = None
 
     def row() -> pa.RecordBatch:
-        names, contexts, numbers, trains = (np.concatenate(x) for x in zip(*held, strict=True))
+        names, contexts, where, numbers, trains = zip(*held, strict=True)
         held.clear()
-        docs, where = np.unique(numbers, return_inverse=True)
-        del numbers
-        where = where.astype(np.int32)
+        docs, place = np.unique(np.concatenate(numbers), return_inverse=True)
+        of_doc = np.zeros(len(docs), bool)
+        of_doc[place] = np.concatenate(trains)
+        firsts = np.cumsum([0, *map(len, numbers)])
+        where = place.astype(np.int32)[np.concatenate([x + np.int32(first) for x, first in zip(where, firsts, strict=False)])]
+        names, contexts = np.concatenate(names), np.concatenate(contexts)
         order = np.lexsort((where, contexts, names)).astype(np.int32)
-        names, contexts, where, trains = names[order], contexts[order], where[order], trains[order]
-        new = np.ones(len(names), bool)
-        new[1:] = (names[1:] != names[:-1]) | (contexts[1:] != contexts[:-1])
-        pairs = np.flatnonzero(new)
+        names, contexts, where = names[order], contexts[order], where[order]
+        del order
+        trains = of_doc[where]
+        pairs = _firsts(names, contexts)
         words, per_word = np.unique(names[pairs], return_counts=True)
         trained = np.add.reduceat(trains.astype(np.int64), pairs)
-        model = [words.tobytes(), _planes(per_word, 4), _planes(contexts[pairs], 2), _planes(np.diff(np.append(pairs, len(names))), 5), _planes(trained, 5)]
+        model = [words.tobytes(), _planes(per_word, 4), contexts[pairs].tobytes(), _planes(np.diff(np.append(pairs, len(names))), 5), _planes(trained, 5)]
         places = [_planes(where, 4), docs.tobytes()]
         values = [last, len(words), len(pairs), b"".join(model), len(where), len(docs), b"".join(places)]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, _SLICE.values(), strict=True)], list(_SLICE))
 
     for batch in batches:
-        for slice_, *blob in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+        for slice_, *blob in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
             if held and slice_ != last:
                 yield row()
             last = slice_
@@ -179,16 +197,30 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
+class _Below(NamedTuple):
+    """The pairs of word and whole word before, each below one of word and class."""
+
+    pair: np.ndarray  # of each, the pair above it
+    place: np.ndarray  # of its context among `contexts`
+    tokens: np.ndarray
+    count: np.ndarray
+    contexts: np.ndarray  # of the slice, by bucket
+    edges: np.ndarray  # of the buckets in them
+    customers: np.ndarray  # of the contexts, in all slices
+    tables: dict[int, np.ndarray]  # by sweep, those that it saw
+
+
 class _Slice(NamedTuple):
     number: int
     names: np.ndarray  # of the words
-    word: np.ndarray  # of each pair, the number of its word
+    word: np.ndarray  # of each pair of word and class, the number of its word
     n_words: int
-    context: np.ndarray
+    context: np.ndarray  # the class
     tokens: np.ndarray  # of each pair, in all documents
     count: np.ndarray  # of each pair, in training documents
     where: np.ndarray | None  # of each token, ordered by pair, the place in `docs`; both only where they are read
     docs: np.ndarray | None
+    below: _Below | None = None
 
 
 def _cut(data: memoryview, *sizes: int) -> list[memoryview]:
@@ -201,22 +233,90 @@ def _narrow(x: np.ndarray) -> np.ndarray:
     return x.astype(np.int32 if not len(x) or x.max() < 1 << 31 else np.int64)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Slice]:
+def _totals_of(replies: list[dict], n: int) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Of the slice's contexts, by bucket, the customers, and by sweep the tables, which come for more than one customer alone."""
+    blobs: dict[int, list[np.ndarray]] = {}
+    for reply in replies:  # ordered by sweep and bucket
+        blobs.setdefault(reply["sweep"], []).append(_unplaned(reply["totals"], len(reply["totals"]) // 5, 5).astype(np.int64))
+    counts = [x.reshape(2, -1) for x in blobs.pop(0, [])]
+    customers, distinct = np.concatenate(counts, axis=1) if counts else np.zeros((2, n), np.int64)
+    tables = {0: distinct}
+    for sweep, values in blobs.items():
+        tables[sweep] = np.minimum(customers, 1)
+        tables[sweep][customers > 1] = np.concatenate(values)
+    return customers, tables
+
+
+def _slices(batches: Iterator[pa.RecordBatch], slices: int = 1) -> Iterator[_Slice]:
     """One slice at a time, without a copy of the others' bytes."""
     for batch in batches:
         for i in range(batch.num_rows):
-            word = context = counts = part = per_word = where = docs = None  # the last slice goes before the next is unpacked
+            word = keys = counts = part = per_word = where = docs = below = None  # the last slice goes before the next is unpacked
             own = {name: batch.column(name)[i] for name in batch.schema.names}
             number, words, pairs = (own[c].as_py() for c in ("slice", "words", "pairs"))
-            part = _cut(memoryview(own["model"].as_buffer()), 8 * words, 4 * words, 2 * pairs, 5 * pairs, 5 * pairs)
-            per_word, context, *counts = (_unplaned(part[k], n, w) for k, n, w in ((1, words, 4), (2, pairs, 2), (3, pairs, 5), (4, pairs, 5)))
-            counts = [_narrow(x) for x in counts]
+            slices = own["slices"].as_py() if "slices" in own else slices
+            part = _cut(memoryview(own["model"].as_buffer()), 8 * words, 4 * words, 8 * pairs, 5 * pairs, 5 * pairs)
+            per_word, tokens, count = (_unplaned(part[k], n, w) for k, n, w in ((1, words, 4), (3, pairs, 5), (4, pairs, 5)))
+            tokens, count, keys = _narrow(tokens), _narrow(count), np.frombuffer(part[2], _U)
             word = np.repeat(np.arange(words, dtype=np.int32), per_word.astype(np.int64))
+            context = (keys >> _U(_HASH_BITS)).astype(np.int16)
+            first = _firsts(word, context)
+            contexts, place = np.unique(keys, return_inverse=True)
+            bucket = _bucket(contexts, slices)
+            order = np.argsort(bucket, kind="stable")
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order))
+            totals = _totals_of(own["totals"].as_py() or [], len(contexts)) if "totals" in own else (np.zeros(len(contexts), np.int64), {})
+            pair = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, pairs)))
+            below = _Below(pair, rank[place], tokens, count, contexts[order], np.searchsorted(bucket[order], np.arange(slices + 1)), *totals)
             if "places" in own:
-                tokens, n_docs = own["tokens"].as_py(), own["docs"].as_py()
-                places = _cut(memoryview(own["places"].as_buffer()), 4 * tokens, 8 * n_docs)
-                where, docs = _unplaned(places[0], tokens, 4).astype(np.int32), np.frombuffer(places[1], np.int64)
-            yield _Slice(number, np.frombuffer(part[0], _U), word, words, context.astype(np.int16), *counts, where, docs)
+                n_tokens, n_docs = own["tokens"].as_py(), own["docs"].as_py()
+                places = _cut(memoryview(own["places"].as_buffer()), 4 * n_tokens, 8 * n_docs)
+                where, docs = _unplaned(places[0], n_tokens, 4).astype(np.int32), np.frombuffer(places[1], np.int64)
+            sums = [np.add.reduceat(x, first, dtype=np.int64) for x in (tokens, count)]
+            del place, bucket, order, rank, pair, totals
+            yield _Slice(number, np.frombuffer(part[0], _U), word[first], words, context[first], *sums, where, docs, below)
+
+
+def _bucket(contexts: np.ndarray, buckets: int) -> np.ndarray:
+    return ((mix(contexts, 24) >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+
+
+def _asked(part: _Slice, some: np.ndarray, *values: np.ndarray) -> pa.RecordBatch:
+    """Rows for the buckets of contexts: the slice's contexts that are `some` and its own values of them."""
+    rows = []
+    for bucket, (low, high) in enumerate(zip(part.below.edges[:-1], part.below.edges[1:], strict=True)):
+        own = np.flatnonzero(some[low:high]) + low
+        if len(own):
+            rows.append((part.number, bucket, part.below.contexts[own].tobytes(), _planes(np.concatenate([x[own] for x in values]), 5)))
+    slices, buckets, keys, sent = zip(*rows, strict=True) if rows else ((), (), (), ())
+    none = pa.nulls(len(rows), pa.int64())
+    columns = [pa.array(slices, pa.int64()), pa.array(buckets, pa.int64()), none, none, none, pa.array(keys, pa.binary()), pa.array(sent, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, _SENT_COLUMNS)
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each bucket, whose rows follow one another, the sums by context, for each slice in the order that it sent."""
+    held: list[tuple] = []
+
+    def rows() -> pa.RecordBatch:
+        keys = [np.frombuffer(k, _U) for _, _, k, _ in held]
+        sent = [_unplaned(v, len(v) // 5, 5).astype(np.int64).reshape(-1, len(k)) for k, (_, _, _, v) in zip(keys, held, strict=True)]
+        contexts, place = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = [np.bincount(place, x, len(contexts)).astype(np.int64) for x in np.concatenate(sent, axis=1)]
+        edges = np.cumsum([0, *map(len, keys)])
+        totals = [_planes(np.concatenate([x[place[a:b]] for x in sums]), 5) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        out = [pa.array([r[0] for r in held]), pa.array([r[1] for r in held]), pa.array(totals, pa.binary())]
+        held.clear()
+        return pa.RecordBatch.from_arrays(out, ["slice", "bucket", "totals"])
+
+    for batch in batches:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            if held and row[1] != held[-1][1]:
+                yield rows()
+            held.append(row)
+    if held:
+        yield rows()
 
 
 def seat(customers: np.ndarray, new_weight: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -246,19 +346,45 @@ def _with(own: np.ndarray, at: np.ndarray, values: np.ndarray) -> np.ndarray:
     return own
 
 
-def _seated(part: _Slice, totals: Totals, sweep: int):
-    """The slice's words seated: tables of each pair, and of each word its customers and tables at the root."""
+class _Seats(NamedTuple):
+    own: np.ndarray | None  # tables of each pair of word and whole word before
+    in_class: np.ndarray  # of each pair of word and class its customers, and its tables
+    tables: np.ndarray
+    customers: np.ndarray  # of each word at the root
+    roots: np.ndarray
+
+
+def _seats(part: _Slice, totals: Totals, sweep: int) -> _Seats:
+    """The slice's words seated in all restaurants."""
     rng = np.random.Generator(np.random.Philox(key=[SEED + sweep, part.number]))
     at, frequent = _spread(part, totals.frequent)
-    tables = np.minimum(part.count, 1)
+    own, below, in_class = None, part.below, part.count
+    if below is not None:
+        in_class = np.bincount(below.pair, np.minimum(below.count, 1), len(part.word)).astype(np.int64)
+    tables = np.minimum(in_class, 1)
     customers = _with(np.bincount(part.word, tables, part.n_words).astype(np.int64), at, totals.frequent_customers[frequent])
     roots = _with(np.minimum(customers, 1), at, totals.frequent_tables[frequent])
     for _ in range(2):
         parent = _root(customers, roots, totals)
-        tables = seat(part.count, (STRENGTH + totals.discount * totals.tables[part.context]) * parent[part.word], totals.discount, rng)
+        if below is not None:
+            weight = (STRENGTH + totals.word_discount * below.tables[sweep][below.place]) * _of_class(part, in_class, tables, parent, totals)[below.pair]
+            own = seat(below.count, weight, totals.word_discount, rng)
+            in_class = np.bincount(below.pair, own, len(part.word)).astype(np.int64)
+        tables = seat(in_class, (STRENGTH + totals.discount * totals.tables[part.context]) * parent[part.word], totals.discount, rng)
         customers = _with(np.bincount(part.word, tables, part.n_words).astype(np.int64), at, totals.frequent_customers[frequent])
         roots = _with(_root_seats(customers, totals, rng), at, totals.frequent_tables[frequent])
-    return tables, customers, roots
+    return _Seats(own, in_class, tables, customers, roots)
+
+
+def _seated(part: _Slice, totals: Totals, sweep: int):
+    """Of the restaurants of classes and of the root: tables of each pair, and of each word its customers and tables at the root."""
+    return tuple(_seats(part, totals, sweep)[2:])
+
+
+def _of_class(part: _Slice, in_class: np.ndarray, tables: np.ndarray, parent: np.ndarray, totals: Totals) -> np.ndarray:
+    """Of each pair of word and class the probability of the word in the class."""
+    sits = np.maximum(in_class - totals.discount * tables, 0)
+    return (sits + (STRENGTH + totals.discount * totals.tables[part.context]) * parent[part.word]) / (STRENGTH + totals.customers[part.context])
 
 
 def _root_seats(customers: np.ndarray, totals: Totals, rng: np.random.Generator) -> np.ndarray:
@@ -279,42 +405,55 @@ def _by_frequent(part: _Slice, values: np.ndarray, frequent: np.ndarray) -> np.n
     return out
 
 
-def _sums(by_context: np.ndarray, more: np.ndarray, others: list[tuple[int, int]], b: np.ndarray | None = None) -> pa.RecordBatch:
-    """Rows (context, a, b): by context, after them by frequent word, and under negative numbers the others."""
+_SENT = "slice long, bucket long, context long, a long, b long, keys binary, sent binary"
+_SENT_COLUMNS = [c.split()[0] for c in _SENT.split(", ")]
+
+
+def _sums(by_context: np.ndarray, more: np.ndarray, others: list[tuple[int, int]], b: np.ndarray) -> pa.RecordBatch:
+    """Rows (context, a, b): by class, after them by frequent word, and under negative numbers the others."""
     a = np.concatenate([by_context, more, [x for x, _ in others]]).astype(np.int64)
     second = np.zeros(len(by_context) + len(more), np.int64)
-    if b is not None:
-        second[: len(b)] = b
+    second[: len(b)] = b
     second = np.append(second, [y for _, y in others]).astype(np.int64)
     keys = np.append(np.arange(len(by_context) + len(more)), -1 - np.arange(len(others)))
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(a), pa.array(second)], ["context", "a", "b"])
+    none, no_bytes = pa.nulls(len(keys), pa.int64()), pa.nulls(len(keys), pa.binary())
+    return pa.RecordBatch.from_arrays([none, none, pa.array(keys), pa.array(a), pa.array(second), no_bytes, no_bytes], _SENT_COLUMNS)
 
 
-def _count(frequent: np.ndarray):
-    """By context customers and distinct words, by frequent word customers; then how many other words there are, and of the
-    pairs and of the contexts of words how many are there once and twice."""
+def _count(frequent: np.ndarray, slices: int):
+    """By class its contexts' distinct words and its own, by frequent word customers; then how many other words there are and
+    all tokens, and of the pairs with contexts, with classes, and of the classes of words how many are there once and twice.
+    To the buckets: the customers and distinct words of each context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches):
-            some = part.count > 0
-            context, count = part.context[some], part.count[some]
+        for part in _slices(batches, slices):
+            below, some = part.below, part.count > 0
+            in_class = np.bincount(below.pair, below.count > 0, len(part.word)).astype(np.int64)
             of_word = np.bincount(part.word[some], minlength=part.n_words)
             of_word[_spread(part, frequent)[0]] = 0
-            once, twice = ([np.count_nonzero(x == k) for x in (count, of_word)] for k in (1, 2))
-            others = [(np.count_nonzero(of_word), 0), (once[0], twice[0]), (once[1], twice[1])]
-            yield _sums(np.bincount(context, count, RESTAURANTS), _by_frequent(part, part.count, frequent), others, np.bincount(context, minlength=RESTAURANTS))
+            once, twice = ([np.count_nonzero(x == k) for x in (below.count, in_class, of_word)] for k in (1, 2))
+            others = [(np.count_nonzero(of_word), part.count.sum()), *zip(once, twice, strict=True)]
+            distinct = np.bincount(part.context[some], minlength=RESTAURANTS)
+            yield _sums(np.bincount(part.context, in_class, RESTAURANTS), _by_frequent(part, part.count, frequent), others, distinct)
+            n = len(below.contexts)
+            values = (np.bincount(below.place, x, n).astype(np.int64) for x in (below.count, below.count > 0))
+            yield _asked(part, np.ones(n, bool), *values)
 
     return run
 
 
 def _sweep(totals: Totals, sweep: int):
-    """Tables by context, by frequent word, and those of the other words at the root."""
+    """Tables and customers by class, tables by frequent word, and those of the other words at the root. To the buckets: the tables
+    of each context with more than one customer; with less, they are known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches):
-            tables, _, roots = _seated(part, totals, sweep)
-            own = roots.sum() - roots[_spread(part, totals.frequent)[0]].sum()
-            yield _sums(np.bincount(part.context, tables, RESTAURANTS), _by_frequent(part, tables, totals.frequent), [(own, 0)])
+            seats = _seats(part, totals, sweep)
+            rest = seats.roots.sum() - seats.roots[_spread(part, totals.frequent)[0]].sum()
+            by_class = (np.bincount(part.context, x, RESTAURANTS) for x in (seats.tables, seats.in_class))
+            yield _sums(next(by_class), _by_frequent(part, seats.tables, totals.frequent), [(rest, 0)], next(by_class))
+            own = np.bincount(part.below.place, seats.own, len(part.below.contexts)).astype(np.int64)
+            yield _asked(part, part.below.customers > 1, own)
 
     return run
 
@@ -322,15 +461,22 @@ def _sweep(totals: Totals, sweep: int):
 Draw = tuple[int, Totals, Totals]  # the number of a sweep, the totals it saw, and those of its own seats
 
 
-def _predicted(part: _Slice, draw: Draw) -> np.ndarray:
-    """Of each pair the probability of the word in the context, with all seats and totals of one draw."""
+def _predicted(part: _Slice, draw: Draw, seats: _Seats | None = None) -> np.ndarray:
+    """Of each pair of word and class the probability of the word in the class, with all seats and totals of one draw."""
     number, before, after = draw
-    tables, customers, roots = _seated(part, before, number)
+    _, in_class, tables, customers, roots = seats or _seats(part, before, number)
     at, frequent = _spread(part, after.frequent)
     customers, roots = _with(customers, at, after.frequent_customers[frequent]), _with(roots, at, after.frequent_tables[frequent])
-    parent = _root(customers, roots, after)[part.word]
-    sits = np.maximum(part.count - after.discount * tables, 0)
-    return (sits + (STRENGTH + after.discount * after.tables[part.context]) * parent) / (STRENGTH + after.customers[part.context])
+    return _of_class(part, in_class, tables, _root(customers, roots, after), after)
+
+
+def _after_word(part: _Slice, draw: Draw) -> np.ndarray:
+    """Of each pair of word and whole word before the probability of the word after it, as `_predicted`."""
+    number, before, after = draw
+    seats, below = _seats(part, before, number), part.below
+    parent = _predicted(part, draw, seats)[below.pair]
+    sits = np.maximum(below.count - after.word_discount * seats.own, 0)
+    return (sits + (STRENGTH + after.word_discount * below.tables[number + 1][below.place]) * parent) / (STRENGTH + below.customers[below.place])
 
 
 def _score(draws: list[Draw]):
@@ -340,13 +486,14 @@ def _score(draws: list[Draw]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches):
             at, frequent = _spread(part, totals.frequent)
-            mean = sum(_predicted(part, draw) for draw in draws) / len(draws)
+            mean = sum(_after_word(part, draw) for draw in draws) / len(draws)
             count = _with(np.bincount(part.word, part.count, part.n_words), at, totals.frequent_count[frequent])
-            base = np.log10((count + 0.5) / (totals.tokens + 0.5 * (totals.words + 1)))[part.word]
-            pair = np.repeat(np.arange(len(part.word), dtype=np.int32), part.tokens)
-            sums = [np.bincount(part.where, x[pair], len(part.docs)) for x in (np.log10(mean), base, (count > 0)[part.word].astype(np.float32))]
+            base = np.log10((count + 0.5) / (totals.tokens + 0.5 * (totals.words + 1)))[part.word[part.below.pair]]
+            known = (count > 0)[part.word[part.below.pair]].astype(np.float32)
+            pair = np.repeat(np.arange(len(mean), dtype=np.int32), part.below.tokens)
+            sums = [np.bincount(part.where, x[pair], len(part.docs)) for x in (np.log10(mean), base, known)]
             seen, docs = np.bincount(part.where, minlength=len(part.docs)), part.docs
-            del part, pair, mean, base, count
+            del part, pair, mean, base, count, known
             yield pa.RecordBatch.from_arrays(
                 [pa.array(docs), pa.array(seen), pa.array(sums[2].astype(np.int64)), pa.array(sums[1]), pa.array(sums[0])],
                 ["number", "n_tokens", "n_known", "base_score", "score"],
@@ -356,8 +503,8 @@ def _score(draws: list[Draw]):
 
 
 def _by_context(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, dict[int, tuple[int, int]]]:
-    """Sums a and b by context and frequent word, and the others: at most RESTAURANTS + FREQUENT and a few rows."""
-    found = {r.context: (r.a, r.b) for r in rows.groupBy("context").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()}
+    """Sums a and b by class and frequent word, and the others: at most RESTAURANTS + FREQUENT and a few rows."""
+    found = {r.context: (r.a, r.b) for r in rows.where("bucket is null").groupBy("context").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()}
     a, b = (np.array([found.get(i, (0, 0))[k] for i in range(size)], np.int64) for k in (0, 1))
     return a, b, {k: v for k, v in found.items() if k < 0}
 
@@ -375,30 +522,50 @@ def _trained(numbered: DataFrame) -> tuple[DataFrame, list[Draw]]:
     frequent = np.sort(np.array(frequent, np.int64).view(_U))
     slices = max(LEAST_SLICES, -(-tokens // SLICE_TOKENS))
     dealt = numbered.select("number", ~F.col("held_out"), "text").mapInArrow(
-        tidy(_deal(slices, frequent)), "slice long, words long, tokens long, docs long, blob binary"
+        tidy(_deal(slices, frequent)), "slice long, words long, pairs long, tokens long, docs long, blob binary"
     )
     gathered = dealt.repartition(slices, "slice").sortWithinPartitions("slice")
     dealt = stored(gathered.mapInArrow(tidy(_gather), "slice long, words long, pairs long, model binary, tokens long, docs long, places binary"))
     model = dealt.select(_MODEL)
 
-    counts, size = "context long, a long, b long", RESTAURANTS + len(frequent)
-    a, b, others = _by_context(model.mapInArrow(tidy(_count(frequent)), counts), size)
-    words, pairs, of_words = (others.get(i, (0, 0)) for i in (-1, -2, -3))
+    size = RESTAURANTS + len(frequent)
+
+    def answered(sent: DataFrame, sweep: int) -> DataFrame:
+        """Of the contexts' totals what each slice asked for."""
+        asked = sent.where("bucket is not null").select("slice", "bucket", "keys", "sent")
+        met = asked.repartition(slices, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_met), "slice long, bucket long, totals binary")
+        return stored(met.withColumn("sweep", F.lit(sweep)))
+
+    def informed(rows: DataFrame, *answers: DataFrame) -> DataFrame:
+        """The slices with all that was answered them, by sweep and bucket."""
+        every = answers[0]
+        for more in answers[1:]:
+            every = every.unionByName(more)
+        by_slice = every.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("sweep", "bucket", "totals"))).alias("totals"))
+        return rows.withColumn("slices", F.lit(slices)).join(by_slice, "slice", "left")
+
+    sent = stored(model.mapInArrow(tidy(_count(frequent, slices)), _SENT))
+    answers = [answered(sent, 0)]
+    a, b, others = _by_context(sent, size)
+    words, of_pairs, of_classes, of_words = (others.get(i, (0, 0)) for i in (-1, -2, -3, -4))
     n_words = words[0] + np.count_nonzero(a[RESTAURANTS:])
     of_frequent = a[RESTAURANTS:]
     totals = Totals(
-        int(a[:RESTAURANTS].sum()), int(n_words), a[:RESTAURANTS], b[:RESTAURANTS], float(n_words), _discount(*pairs), _discount(*of_words),
-        frequent, of_frequent, np.minimum(of_frequent, RESTAURANTS // 4), np.minimum(of_frequent, 1),
+        int(words[1]), int(n_words), a[:RESTAURANTS], b[:RESTAURANTS], float(n_words), _discount(*of_classes), _discount(*of_words),
+        frequent, of_frequent, np.minimum(of_frequent, RESTAURANTS // 4), np.minimum(of_frequent, 1), _discount(*of_pairs),
     )
     draws = []
     for sweep in range(SWEEPS + SAMPLES):
-        a, _, others = _by_context(model.mapInArrow(tidy(_sweep(totals, sweep)), counts), size)
-        after = totals._replace(tables=a[:RESTAURANTS], frequent_customers=a[RESTAURANTS:])
+        last = {0, sweep}  # customers come with the first
+        sent = stored(informed(model, *(answers[i] for i in last)).mapInArrow(tidy(_sweep(totals, sweep)), _SENT))
+        answers.append(answered(sent, sweep + 1))
+        a, b, others = _by_context(sent, size)
+        after = totals._replace(customers=b[:RESTAURANTS], tables=a[:RESTAURANTS], frequent_customers=a[RESTAURANTS:])
         tables = _root_seats(a[RESTAURANTS:], after, np.random.default_rng(SEED + sweep))
         after = after._replace(frequent_tables=tables, root_tables=float(others.get(-1, (0, 0))[0] + tables.sum()))
         draws.append((sweep, totals, after))
         totals = after
-    return dealt, draws[SWEEPS:]
+    return informed(dealt, answers[0], *answers[SWEEPS:]), draws[SWEEPS:]
 
 
 def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
