@@ -105,3 +105,28 @@ def test_a_new_checkpoint_needs_a_new_path(spark, tmp_path):
     streaming.write_windows(counts, str(tmp_path / "out"), str(tmp_path / "c1")).awaitTermination()
     with pytest.raises(ValueError):
         streaming.write_windows(counts, str(tmp_path / "out"), str(tmp_path / "c2"))
+
+
+def test_batches_do_not_grow_with_the_files(spark, tmp_path, monkeypatch):
+    """The parts of the input come in three batches, also where many tasks write them."""
+    from conftest import SF_DIR
+
+    from demo import registry
+
+    (tmp_path / "sf").mkdir()
+    spark.read.parquet(f"{SF_DIR}/events.parquet").repartition(7).write.parquet(str(tmp_path / "sf/events.parquet"))
+    spark.read.parquet(f"{SF_DIR}/nation.parquet").write.parquet(str(tmp_path / "sf/nation.parquet"))
+    monkeypatch.setattr(sources, "work_folder", lambda _: str(tmp_path / "work"))
+    settings = {"spark.sql.files.openCostInBytes": "1g", "spark.sql.files.maxPartitionBytes": "1m"}  # a task for each file
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = registry.queries()["stream_activity_compacted"](spark, str(tmp_path / "sf")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len([f for f in (tmp_path / "work/checkpoint/sources/0").iterdir() if f.name[0].isdigit()]) == 3  # with new files
+    monkeypatch.setattr(sources, "work_folder", lambda _: str(tmp_path / "other"))
+    plain = registry.queries()["stream_activity"](spark, SF_DIR).collect()
+    assert {(r.bucket_time, r.wait_class, r.cnt) for r in found} == {(r.bucket_time, r.wait_class, r.cnt) for r in plain}

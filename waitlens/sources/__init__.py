@@ -2,6 +2,7 @@ from waitlens.sources.snapshots import SnapshotStore, advance
 from waitlens.sources.store import (
     append_missing,
     delete_expired,
+    folders,
     drop_expired,
     materialise,
     merge_buckets,
@@ -19,6 +20,7 @@ __all__ = [
     "append_missing",
     "conform",
     "delete_expired",
+    "folders",
     "drop_expired",
     "materialise",
     "merge_buckets",
