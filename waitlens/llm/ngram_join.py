@@ -154,17 +154,13 @@ def _tiles(size: int, percent: int):
     return run
 
 
-def _sets(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in chunks(batch.column(0), lower=True):
-                rows, found = shingles(chunk, size)
-                edges = np.searchsorted(rows, np.arange(chunk.stop - chunk.start + 1))
-                bodies = [found[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-                own = batch.slice(chunk.start, chunk.stop - chunk.start)
-                yield pa.RecordBatch.from_arrays([own.column(1), pa.array(bodies, pa.binary())], ["set", "shingles"])
-
-    return run
+def _bodies(texts: pa.Array, size: int) -> list[np.ndarray]:
+    """The shingles of each text, ascending."""
+    found: list[np.ndarray] = []
+    for chunk in chunks(texts, lower=True):
+        rows, own = shingles(chunk, size)
+        found += np.split(own, np.searchsorted(rows, np.arange(1, chunk.stop - chunk.start)))
+    return found
 
 
 def _needed(sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -244,15 +240,15 @@ def _between(a: np.ndarray, b: np.ndarray, own: np.ndarray, one: int, two: int)
     return zip(a[apart].tolist(), b[apart].tolist(), strict=True)
 
 
-def _verify(percent: int):
-    """Of each task's sets (near, one, two, own, set, copies, shingles): rows (a, b, null) that span its links, and (a, null, links)."""
+def _verify(size: int, percent: int):
+    """Of each task's sets (near, one, two, own, set, copies, text), whose shingles take more room than their texts: rows (a, b, null) that span its links, and (a, null, links)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, 3):
             one, two = table["one"][0].as_py(), table["two"][0].as_py()
             ids, where = np.unique(table["set"].to_numpy(), return_index=True)
             own, copies = table["own"].to_numpy()[where], table["copies"].to_numpy()[where]
-            found = [np.frombuffer(x, _U) for x in table["shingles"].take(pa.array(where)).to_pylist()]
+            found = _bodies(pa.concat_arrays(table["text"].take(pa.array(where)).chunks), size)
             sizes = np.array([len(x) for x in found])
             rows = np.repeat(np.arange(len(ids)), sizes)
             cells = rows * GROUPS + (np.concatenate(found) >> _U(58)).astype(np.int64)
@@ -316,16 +312,18 @@ def jaccard_components(
     blocks = F.least("sets", F.ceil(F.col("total") / BLOCK_SHINGLES))
     members = members.join(sums, "near").withColumns({"blocks": blocks, "own": F.floor((rank - 1) * blocks / F.col("sets"))})
     members = members.select("near", "set", "copies", "own", "at.*", "size")
-    chosen = bodies.join(members.hint("shuffle_merge"), (bodies["body"] == members["body"]) & bodies["doc"].eqNullSafe(members["doc"]))
-    sets = chosen.select("text", "set").mapInArrow(_sets(words), "set long, shingles binary").join(members.drop("doc", "body"), "set")
     # blocks are in order of size: two of them meet if the largest set of the lower one may link with the least of the upper
     bounds = members.groupBy("near", "own").agg(F.min("size").alias("low"), F.max("size").alias("high"))
     upper = bounds.select("near", F.col("own").alias("two"), F.col("low").alias("least"))
     meet = bounds.join(upper, "near").where((F.col("own") <= F.col("two")) & (100 * F.col("high") >= percent * F.col("least")))
-    both = meet.select("near", F.explode(F.array_distinct(F.array("own", "two"))).alias("own"), F.col("own").alias("one"), "two")
-    paired = sets.join(both, ["near", "own"]).select("near", "one", "two", "own", "set", "copies", "shingles")
+    both = meet.select("near", F.explode(F.array_distinct(F.array("own", "two"))).alias("own"), F.struct(F.col("own").alias("one"), "two").alias("task"))
+    tasks_of = both.groupBy("near", "own").agg(F.collect_list("task").alias("tasks"))
+    chosen = members.join(tasks_of, ["near", "own"]).hint("shuffle_merge")
+    texts = bodies.join(chosen, (bodies["body"] == chosen["body"]) & bodies["doc"].eqNullSafe(chosen["doc"]))
+    paired = texts.select("near", F.explode("tasks").alias("task"), "own", "set", "copies", "text")
+    paired = paired.select("near", "task.one", "task.two", "own", "set", "copies", "text")
     tasks = paired.repartition("near", "one", "two").sortWithinPartitions("near", "one", "two")
-    links = stored(tasks.mapInArrow(_verify(percent), "a long, b long, links long"))
+    links = stored(tasks.mapInArrow(_verify(words, percent), "a long, b long, links long"))
 
     linked = components(links.where("b is not null").select("a", "b")).select(F.col("node").alias("set"), "component")
     counts = links.where("b is null").groupBy(F.col("a").alias("set")).agg(F.sum("links").alias("links"))
