@@ -132,6 +132,18 @@ def test_blocks_lose_no_link(docs, monkeypatch):
     assert sorted((str(r.doc_id), r.n_shingles, r.component_id, r.n_links) for r in found) == brute_components(made_docs(), 4, 85)
 
 
+def test_blocks_that_go_to_a_task_together():
+    """Each pair of blocks meets once, from the texts, which are sent once for all pairs of a task."""
+    texts = [f"{' '.join(f'w{k}' for k in range(40))} end{i % 2}" for i in range(8)]
+    rows = [{"near": 1, "one": 0, "two": 1, "own": i, "set": i, "copies": 1, "size": 38, "text": t} for i, t in enumerate(texts)]
+    kinds = pa.schema([(c, pa.int64()) for c in ("near", "one", "two", "own", "set", "copies", "size")] + [("text", pa.string())])
+    found = [r for b in ngram_join._verify(4, 85)([pa.RecordBatch.from_pylist(rows, kinds)]) for r in b.to_pylist()]
+    links = Counter()
+    for r in found:
+        links[r["a"]] += r["links"] or 0
+    assert links == Counter({i: 4 for i in range(8)}) and ngram_join.TOGETHER == 4  # those of the other four blocks
+
+
 def brute_removed(rows, size):
     first: dict[tuple, int] = {}
     for i, w in sorted((r[0], words(r[1])) for r in rows if r[0] is not None):

@@ -8,7 +8,7 @@ their points.
    must be alike, so points that agree in no group need never meet. Documents of one class of size that have a group alike
    lie in one tile; empty groups do not count, as there are as many groups more, and sets with more empty groups than that
    share a tile of their own. Tiles that share documents form a neighbourhood.
-2. Trees. Each neighbourhood (a large one in blocks by size, each pair of blocks one task) packs the points of its sets into
+2. Trees. Each neighbourhood (a large one in blocks by size, pair by pair, some in a task) packs the points of its sets into
    an R-tree. Nodes hold the greatest coordinates and the least size; two nodes are followed down only while the sum of
    lesser coordinates reaches the overlap that their least sizes need.
 3. Surviving pairs are verified on the whole sets. Each task returns its number of links by set, and of the links as many as
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waitlens.llm.graph import components
+from waitlens.llm.memory import tidy
 from waitlens.llm.text import Chunk, chunks, mix, signed, window_hashes
 from waitlens.llm.work import stored
 
@@ -39,6 +40,7 @@ PERCENT = 85
 GROUPS = 64
 FAN = 8
 BLOCK_SHINGLES = 500_000
+TOGETHER = 4  # blocks that a task gets at once, of each of its two sides
 _SLICE = 1 << 14
 _SPARE = 3  # groups that may be empty, besides one in 32
 
@@ -241,11 +243,20 @@ def _between(a: np.ndarray, b: np.ndarray, own: np.ndarray, one: int, two: int)
 
 
 def _verify(size: int, percent: int):
-    """Of each task's sets (near, one, two, own, set, copies, text), whose shingles take more room than their texts: rows (a, b, null) that span its links, and (a, null, links)."""
+    """Of each task's sets (near, one, two, own, set, copies, size, text), whose shingles take more room than their texts: rows
+    (a, b, null) that span its links, and (a, null, links)."""
+
+    def pairs(table: pa.Table) -> Iterator[tuple[int, int, pa.Table]]:
+        """The pairs of blocks in a task that may hold links, with their rows."""
+        own, sizes = table["own"].to_numpy(), table["size"].to_numpy()
+        part = {x: own // TOGETHER == table[x][0].as_py() for x in ("one", "two")}
+        for one in np.unique(own[part["one"]]).tolist():
+            for two in np.unique(own[part["two"]]).tolist():
+                if one <= two and 100 * sizes[own == one].max() >= percent * sizes[own == two].min():
+                    yield one, two, table.take(pa.array(np.flatnonzero((own == one) | (own == two))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, 3):
-            one, two = table["one"][0].as_py(), table["two"][0].as_py()
+        for one, two, table in (pair for group in _groups(batches, 3) for pair in pairs(group)):
             ids, where = np.unique(table["set"].to_numpy(), return_index=True)
             own, copies = table["own"].to_numpy()[where], table["copies"].to_numpy()[where]
             found = _bodies(pa.concat_arrays(table["text"].take(pa.array(where)).chunks), size)
@@ -288,7 +299,7 @@ def _verify(size: int, percent: int):
 
 def _neighbourhoods(bodies: DataFrame, size: int, percent: int) -> DataFrame:
     """set, near: for each set with a tile in common with another, the neighbourhood."""
-    tiles = bodies.mapInArrow(_tiles(size, percent), "tile long, set long")
+    tiles = bodies.mapInArrow(tidy(_tiles(size, percent)), "tile long, set long")
     first = tiles.select("set", F.min("set").over(Window.partitionBy("tile")).alias("first"))
     return components(first.where("set != first")).select(F.col("node").alias("set"), F.col("component").alias("near"))
 
@@ -302,7 +313,7 @@ def jaccard_components(
     lower case). component_id is the least id that links reach, the own id included; n_links counts linked documents.
     """
     bodies = docs.select(F.col(id_column).cast("long").alias("doc"), F.xxhash64(text).alias("body"), F.col(text).alias("text"))
-    measured = stored(bodies.mapInArrow(_measure(words), "doc long, body long, size long, set long"))
+    measured = stored(bodies.mapInArrow(tidy(_measure(words)), "doc long, body long, size long, set long"))
     near = _neighbourhoods(bodies.select("text"), words, percent)
 
     copies = measured.where("size > 0").groupBy("set").agg(F.count("*").alias("copies"), F.min(F.struct("body", "doc")).alias("at"), F.first("size").alias("size"))
@@ -312,18 +323,20 @@ def jaccard_components(
     blocks = F.least("sets", F.ceil(F.col("total") / BLOCK_SHINGLES))
     members = members.join(sums, "near").withColumns({"blocks": blocks, "own": F.floor((rank - 1) * blocks / F.col("sets"))})
     members = members.select("near", "set", "copies", "own", "at.*", "size")
-    # blocks are in order of size: two of them meet if the largest set of the lower one may link with the least of the upper
-    bounds = members.groupBy("near", "own").agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    upper = bounds.select("near", F.col("own").alias("two"), F.col("low").alias("least"))
-    meet = bounds.join(upper, "near").where((F.col("own") <= F.col("two")) & (100 * F.col("high") >= percent * F.col("least")))
-    both = meet.select("near", F.explode(F.array_distinct(F.array("own", "two"))).alias("own"), F.struct(F.col("own").alias("one"), "two").alias("task"))
-    tasks_of = both.groupBy("near", "own").agg(F.collect_list("task").alias("tasks"))
-    chosen = members.join(tasks_of, ["near", "own"]).hint("shuffle_merge")
+    # blocks are in order of size: two of them meet if the largest set of the lower one may link with the least of the upper;
+    # some neighbours go to a task together, so that a text is sent less often
+    members = members.withColumn("part", F.floor(F.col("own") / TOGETHER))
+    bounds = members.groupBy("near", "part").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+    upper = bounds.select("near", F.col("part").alias("two"), F.col("low").alias("least"))
+    meet = bounds.join(upper, "near").where((F.col("part") <= F.col("two")) & (100 * F.col("high") >= percent * F.col("least")))
+    both = meet.select("near", F.explode(F.array_distinct(F.array("part", "two"))).alias("part"), F.struct(F.col("part").alias("one"), "two").alias("task"))
+    tasks_of = both.groupBy("near", "part").agg(F.collect_list("task").alias("tasks"))
+    chosen = members.join(tasks_of, ["near", "part"]).hint("shuffle_merge")
     texts = bodies.join(chosen, (bodies["body"] == chosen["body"]) & bodies["doc"].eqNullSafe(chosen["doc"]))
-    paired = texts.select("near", F.explode("tasks").alias("task"), "own", "set", "copies", "text")
-    paired = paired.select("near", "task.one", "task.two", "own", "set", "copies", "text")
+    paired = texts.select("near", F.explode("tasks").alias("task"), "own", "set", "copies", "size", "text")
+    paired = paired.select("near", "task.one", "task.two", "own", "set", "copies", "size", "text")
     tasks = paired.repartition("near", "one", "two").sortWithinPartitions("near", "one", "two")
-    links = stored(tasks.mapInArrow(_verify(words, percent), "a long, b long, links long"))
+    links = stored(tasks.mapInArrow(tidy(_verify(words, percent)), "a long, b long, links long"))
 
     linked = components(links.where("b is not null").select("a", "b")).select(F.col("node").alias("set"), "component")
     counts = links.where("b is null").groupBy(F.col("a").alias("set")).agg(F.sum("links").alias("links"))
