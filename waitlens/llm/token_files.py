@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -48,17 +49,11 @@ SLICE = 1 << 20
 _JOINED = 64
 _PART_COST = 200  # bytes of a remembered part besides its own characters
 #: Letters in every version of Unicode that a tokenizer may know.
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ʯ]+")
-_MARKS = ".,;:!?"
-
-
-def _lettered(part: str) -> bool:
-    return part.isalpha() and (part.isascii() or _LETTERS.fullmatch(part) is not None)
-
-
-def _cost(part: str) -> int:
-    """Bytes that a part and its ids take, about."""
-    return 3 * len(part) + _PART_COST
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ʯ]+"
+_MARKS = r"[!-/:-@\[-`{-~]*"
+_WORD = re.compile(f"(?<![^ ]){_LETTERS}(?![^ ])")
+#: A word with marks, and after a line break another one. The library cuts at each of these groups.
+_MARKED = re.compile(f"({_LETTERS})({_MARKS})(?:(\n)({_LETTERS})({_MARKS}))?")
 
 
 _models: dict[str, tuple] = {}  # of a worker, for its next tasks
@@ -66,7 +61,8 @@ _encoders: dict[str, Encoder] = {}
 
 
 def _model(path: str) -> tuple:
-    """The tokenizer, whether texts may be cut, a pattern of its added tokens, and which ids begin with a space."""
+    """The tokenizer, whether texts may be cut, a pattern of its added tokens, which ids begin with a space, and which is a line
+    break."""
     if path not in _models:
         from tokenizers import Tokenizer
 
@@ -81,7 +77,7 @@ def _model(path: str) -> tuple:
         vocabulary = model.get_vocab(with_added_tokens=True)
         spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         spaced[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
-        _models[path] = (model, bool(cut), re.compile(f"({'|'.join(map(re.escape, spelled))})") if spelled else None, spaced)
+        _models[path] = (model, bool(cut), re.compile(f"({'|'.join(map(re.escape, spelled))})") if spelled else None, spaced, vocabulary.get("Ċ", -1))
     return _models[path]
 
 
@@ -90,7 +86,7 @@ class Encoder:
     the younger is full."""
 
     def __init__(self, path: str, memory: int = MEMORY):
-        self.model, self.cut, self.added, self.spaced = _model(path)
+        self.model, self.cut, self.added, self.spaced, self.line = _model(path)
         self.kind = np.dtype("<u2" if len(self.spaced) <= 1 << 16 else "<u4")
         self.memory, self.held = memory, 0
         self.known: dict[str, bytes | None] = {}  # by part, without the space before it
@@ -101,37 +97,57 @@ class Encoder:
         return [np.array(c.ids, self.kind) for c in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _head(self, text: str) -> bytes:
+        if not text:
+            return b""
         if text not in self.heads:
             self.heads[text] = self._ids([text])[0].tobytes()
-            self.held += _cost(text)
+            self.held += 3 * len(text) + _PART_COST
         return self.heads[text]
 
+    def _words(self, words: list[str], between: str, begins: np.ndarray) -> Iterator[tuple[str, bytes]]:
+        """Ids of words of letters, each behind `between`. They go to the library together and are told apart by the ids that begin
+        with it; where these are not as many as the words, one by one. A space is part of a word's ids, a line break is not."""
+        groups = [words[i : i + _JOINED] for i in range(0, len(words), _JOINED)]
+        size, spaced = self.kind.itemsize, between == " "
+        for group, ids in zip(groups, self._ids([between + between.join(g) for g in groups]), strict=True):
+            starts = np.flatnonzero(begins[ids]) * size
+            if len(starts) != len(group) or starts[0]:
+                yield from zip(group, [own.tobytes() for own in self._ids([between * spaced + w for w in group])], strict=True)
+                continue
+            raw, stops = ids.tobytes(), [*starts[1:].tolist(), len(ids) * size]
+            yield from zip(group, map(raw.__getitem__, map(slice, (starts + size * (not spaced)).tolist(), stops)), strict=True)
+
     def _learn(self, parts: set[str]) -> None:
-        """Parts of letters go to the library together, told apart by the ids that begin with a space; a part's marks at its end
-        are ids of their own. Empty parts, and those that begin with white space, are no parts by themselves: None."""
-        known, tails, alone, letters = self.known, [], [], []
-        for part in parts:
-            if _lettered(part):
-                letters.append(part)
-            elif not part or part[0].isspace():
+        """A part's words, marks and line break are ids of their own. Empty parts, and those that begin with white space, are no
+        parts by themselves: None."""
+        known, older, alone, marked = self.known, self.older, [], []
+        text = " ".join(parts)
+        words = set(_WORD.findall(text))
+        for part in parts.difference(words):
+            if not part or part[0].isspace():
                 known[part] = None
-            elif part[-1] in _MARKS and _lettered(core := part.rstrip(_MARKS)):
-                tails.append((part, core))
+            elif found := _MARKED.fullmatch(part):
+                marked.append((part, *found.groups()))
             else:
                 alone.append(part)
-        letters += {core for _, core in tails}.difference(known, parts)
-        groups = [letters[i : i + _JOINED] for i in range(0, len(letters), _JOINED)]
-        size = self.kind.itemsize
-        for group, ids in zip(groups, self._ids([" " + " ".join(g) for g in groups]), strict=True):
-            starts = (np.flatnonzero(self.spaced[ids]) * size).tolist()
-            if len(starts) != len(group) or starts[0]:
-                alone += group
-                continue
-            raw = ids.tobytes()
-            known.update(zip(group, map(raw.__getitem__, map(slice, starts, [*starts[1:], len(raw)])), strict=True))
+        cores = {x[1] for x in marked}.difference(known, words)
+        again = {core: older[core] for core in cores if core in older}
+        known.update(again)
+        words.update(cores.difference(again))
+        known.update(self._words(list(words), " ", self.spaced))
+        behind = {x[4] for x in marked if x[4]}.difference(self.heads)
+        line = np.zeros(len(self.spaced), bool)
+        line[self.line] = self.line >= 0
+        self.heads.update(self._words(list(behind), "\n", line))
         known.update(zip(alone, [ids.tobytes() for ids in self._ids([" " + p for p in alone])], strict=True))
-        known.update([(part, known[core] + self._head(part[len(core) :])) for part, core in tails])
-        self.held += sum(map(_cost, parts)) + _PART_COST * len(tails)
+        head, heads = self._head, self.heads
+        known.update(
+            [
+                (part, known[core] + (head(marks + broken) + heads[word] + head(last) if broken else head(marks)))
+                for part, core, marks, broken, word, last in marked
+            ]
+        )
+        self.held += 3 * len(text) + _PART_COST * (len(parts) + len(cores) + len(behind)) + 3 * sum(map(len, behind))
 
     def _known(self, wanted: set[str]) -> dict[str, bytes]:
         missing = wanted.difference(self.known)
@@ -141,7 +157,7 @@ class Encoder:
             older = self.older
             again = {part: older[part] for part in missing if part in older}
             self.known.update(again)
-            self.held += sum(map(_cost, again))
+            self.held += 3 * sum(map(len, again)) + _PART_COST * len(again)
             self._learn(missing.difference(again))
         return self.known
 
@@ -191,15 +207,52 @@ class Encoder:
                 for parts in self._cut(run):
                     yield from self._coded([parts])
 
+    def _together(self, texts: list[str]) -> list[bytes]:
+        """The ids of some texts that are not empty: each different part is looked up once, and their ids are laid side by side."""
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        firsts = split.offsets.to_numpy()
+        coded = split.values.dictionary_encode()
+        whole = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        parts = pc.binary_join(whole, pa.scalar(" ", pa.large_string()))[0].as_py().split(" ")  # none of them has a space
+        at = coded.indices.to_numpy()
+        own = list(map(self._known(set(parts)).__getitem__, parts))
+        gaps = np.zeros(len(own), bool)
+        if None in own:
+            gaps[:] = [ids is None for ids in own]
+            own = [ids or b"" for ids in own]
+        size = np.fromiter(map(len, own), np.int64, len(own)) // self.kind.itemsize
+        begins = np.cumsum(size) - size
+        sizes = size[at]
+        sizes[firsts[:-1]] = 0  # it has no space before it
+        stops = np.cumsum(sizes)
+        ids = np.frombuffer(b"".join(own), self.kind)[np.arange(stops[-1]) + np.repeat(begins[at] - (stops - sizes), sizes)].tobytes()
+        edges = (np.append(0, stops)[firsts] * self.kind.itemsize).tolist()
+        gaps = gaps[at]
+        gaps[firsts[:-1]] = False
+        odd = np.append(0, np.cumsum(gaps))[firsts]
+        odd = (odd[1:] > odd[:-1]).tolist()  # more than one space in a row, or a space at the end
+        heads = [parts[i] for i in at[firsts[:-1]].tolist()]
+        return [
+            next(self._coded([text.split(" ")])) if odd[i] else self._head(heads[i]) + ids[edges[i] : edges[i + 1]]
+            for i, text in enumerate(texts)
+        ]
+
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text. Short texts are looked up together, long ones a slice at a time."""
         if not self.cut:
             yield from (self._ids([text])[0].tobytes() for text in texts)
             return
-        together = [bool(t) and len(t) <= SLICE and not self._spelled(t) for t in texts]
-        codes = self._coded([next(self._cut(t)) for t, short in zip(texts, together, strict=True) if short])
-        for text, short in zip(texts, together, strict=True):
-            yield next(codes) if short else b"".join(self._one(text))
+        short = [bool(t) and len(t) <= SLICE and not self._spelled(t) for t in texts]
+        codes = iter(self._together([t for t, one in zip(texts, short, strict=True) if one]) if any(short) else [])
+        for text, one in zip(texts, short, strict=True):
+            yield next(codes) if one else b"".join(self._one(text))
+
+
+def _some(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that are looked up together: as many as are in a megabyte, one at least."""
+    held = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE
+    edges = [0, *(np.flatnonzero(np.diff(held)) + 1).tolist(), len(texts)]
+    return zip(edges[:-1], edges[1:], strict=True)
 
 
 class _Writer:
@@ -278,8 +331,8 @@ def _write(folder: str, tokenizer: str, end: int, length: int, sequences: int):
                 last = np.array([end], encode.kind).tobytes()
                 name = f"{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
                 writer = _Writer(folder, name, encode.kind, batch.schema.field(0).type, length, sequences)
-            for low in range(0, batch.num_rows, 64):
-                some = batch.slice(low, 64)
+            for low, high in _some(batch.column(1)):
+                some = batch.slice(low, high - low)
                 writer.add(some.column(0), [ids + last for ids in encode([t or "" for t in some.column(1).to_pylist()])])
         if writer is not None:
             yield pa.RecordBatch.from_pylist([{"part": task.partitionId()} | writer.close()], _PART_TYPE)
