@@ -107,7 +107,8 @@ def _firsts(*columns: np.ndarray) -> np.ndarray:
 
 def _planes(x: np.ndarray, width: int) -> bytes:
     """The lower bytes of each number, plane by plane: high planes are mostly zero and compress."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    own = x.astype("<u4" if width <= 4 else "<u8", copy=False)
+    return np.ascontiguousarray(own.view(np.uint8).reshape(-1, own.itemsize)[:, :width].T).tobytes()
 
 
 def _unplaned(data: bytes, n: int, width: int) -> np.ndarray:
@@ -147,14 +148,25 @@ def _deal(slices: int, frequent: np.ndarray):
     return run
 
 
-def _undealt(words: int, pairs: int, tokens: int, docs: int, blob: bytes):
-    """Of each token word, context and place of the document; the documents, and whether they are trained on."""
-    part = _cut(memoryview(blob), 8 * words, 4 * words, 8 * pairs, 4 * pairs, 4 * tokens, 8 * docs, docs)
-    names = np.repeat(np.frombuffer(part[0], _U), _unplaned(part[1], words, 4).astype(np.int64))
-    each = _unplaned(part[3], pairs, 4).astype(np.int64)
-    where = _unplaned(part[4], tokens, 4).astype(np.int32)
-    contexts = np.frombuffer(part[2], _U)
-    return np.repeat(names, each), np.repeat(contexts, each), where, np.frombuffer(part[5], np.int64), np.frombuffer(part[6], bool)
+class _Dealt(NamedTuple):
+    """What a chunk of texts has for a slice: words, of each how many pairs, of those the context and how many tokens, of each
+    token the place of its document; the documents, and whether they are trained on."""
+
+    words: np.ndarray
+    per_word: np.ndarray
+    contexts: np.ndarray
+    per_pair: np.ndarray
+    where: np.ndarray
+    docs: np.ndarray
+    trains: np.ndarray
+
+
+def _undealt(words: int, pairs: int, tokens: int, docs: int, blob: pa.BinaryScalar) -> _Dealt:
+    part = _cut(memoryview(blob.as_buffer()), 8 * words, 4 * words, 8 * pairs, 4 * pairs, 4 * tokens, 8 * docs, docs)
+    per_word, per_pair, where = (_narrow(_unplaned(part[k], n, 4)) for k, n in ((1, words), (3, pairs), (4, tokens)))
+    # copies, so that the bytes of a batch go with it
+    return _Dealt(np.frombuffer(part[0], _U).copy(), per_word, np.frombuffer(part[2], _U).copy(), per_pair, where,
+                  np.frombuffer(part[5], np.int64).copy(), np.frombuffer(part[6], bool).copy())
 
 
 _SLICE = {"slice": pa.int64(), "words": pa.int64(), "pairs": pa.int64(), "model": pa.binary(), "tokens": pa.int64(), "docs": pa.int64(), "places": pa.binary()}
@@ -163,36 +175,47 @@ _MODEL = list(_SLICE)[:4]  # what counts and sweeps read; the places of tokens,
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each slice, whose rows follow one another, one row: words, pairs of word and context, tokens by pair, documents."""
-    held: list[tuple] = []
+    held: list[_Dealt] = []
     last = None
 
+    def joined(column: str) -> np.ndarray:
+        return np.concatenate([getattr(x, column) for x in held])
+
     def row() -> pa.RecordBatch:
-        names, contexts, where, numbers, trains = zip(*held, strict=True)
-        held.clear()
-        docs, place = np.unique(np.concatenate(numbers), return_inverse=True)
+        docs, place = np.unique(joined("docs"), return_inverse=True)
         of_doc = np.zeros(len(docs), bool)
-        of_doc[place] = np.concatenate(trains)
-        firsts = np.cumsum([0, *map(len, numbers)])
-        where = place.astype(np.int32)[np.concatenate([x + np.int32(first) for x, first in zip(where, firsts, strict=False)])]
-        names, contexts = np.concatenate(names), np.concatenate(contexts)
+        of_doc[place] = joined("trains")
+        place, firsts = place.astype(np.int32), np.cumsum([0, *(len(x.docs) for x in held)])
+        where = np.concatenate([place[x.where + np.int32(first)] for x, first in zip(held, firsts, strict=False)])
+        per_pair = joined("per_pair")
+        names = np.repeat(np.repeat(joined("words"), joined("per_word")), per_pair)
+        contexts = np.repeat(joined("contexts"), per_pair)
+        held.clear()
+        del place, per_pair
         order = np.lexsort((where, contexts, names)).astype(np.int32)
-        names, contexts, where = names[order], contexts[order], where[order]
+        where = where[order]  # one after the other, so that no two of them are there twice
+        contexts = contexts[order]
+        names = names[order]
         del order
-        trains = of_doc[where]
         pairs = _firsts(names, contexts)
+        contexts = contexts[pairs]
         words, per_word = np.unique(names[pairs], return_counts=True)
-        trained = np.add.reduceat(trains.astype(np.int64), pairs)
-        model = [words.tobytes(), _planes(per_word, 4), contexts[pairs].tobytes(), _planes(np.diff(np.append(pairs, len(names))), 5), _planes(trained, 5)]
+        tokens = np.diff(np.append(pairs, len(names)))
+        del names
+        trained = np.add.reduceat(of_doc[where], pairs, dtype=np.int64)
+        model = [words.tobytes(), _planes(per_word, 4), contexts.tobytes(), _planes(tokens, 5), _planes(trained, 5)]
+        sizes = len(words), len(pairs)
+        del contexts, tokens, trained, pairs
         places = [_planes(where, 4), docs.tobytes()]
-        values = [last, len(words), len(pairs), b"".join(model), len(where), len(docs), b"".join(places)]
+        values = [last, *sizes, b"".join(model), len(where), len(docs), b"".join(places)]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, _SLICE.values(), strict=True)], list(_SLICE))
 
     for batch in batches:
-        for slice_, *blob in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+        for i, slice_ in enumerate(batch.column(0).to_pylist()):
             if held and slice_ != last:
                 yield row()
             last = slice_
-            held.append(_undealt(*blob))
+            held.append(_undealt(*(batch.column(c)[i].as_py() for c in range(1, 5)), batch.column(5)[i]))
     if held:
         yield row()
 
