@@ -127,6 +127,14 @@ def test_tree_loses_no_pair():
         assert ((i, j) in pairs) == (bound >= -(-85 * (sizes[i] + sizes[j]) // 185))
 
 
+def test_tree_of_two_sides():
+    rng = np.random.default_rng(2)
+    points = np.repeat(rng.integers(0, 6, (40, ngram_join.GROUPS)), 5, axis=0)
+    sizes, side = points.sum(axis=1), rng.integers(0, 2, 200).astype(np.int8)
+    every, apart = (Counter(tuple(sorted(p)) for a, b in ngram_join.candidate_pairs(points, sizes, 85, s) for p in zip(a.tolist(), b.tolist(), strict=True)) for s in (None, side))
+    assert apart == Counter({(i, j): n for (i, j), n in every.items() if side[i] != side[j]}) and apart
+
+
 def test_blocks_lose_no_link(docs, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 40)
     found = ngram_join.jaccard_components(docs).collect()
@@ -145,6 +153,24 @@ def test_blocks_that_go_to_a_task_together():
     assert links == Counter({i: 4 for i in range(8)}) and ngram_join.TOGETHER == 4  # those of the other four blocks
 
 
+def test_sets_are_verified_in_little_memory():
+    """Bytes for each shingle at the peak; 147 before, when all sets of two blocks were held, as Python's sets where points were near."""
+    rng = np.random.default_rng(5)
+    words = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 1000)) for _ in range(200)]
+    texts = [f"{w} end{i}" for w in words for i in range(2)]
+    n = len(texts)
+    columns = {"near": [1] * n, "one": [0] * n, "two": [0] * n, "own": [0] * n, "set": list(range(n)), "copies": [1] * n, "size": [998] * n}
+    rows = pa.record_batch([*(pa.array(c, pa.int64()) for c in columns.values()), pa.array(texts)], [*columns, "text"])
+    tracemalloc.start()
+    try:
+        found = [r for b in ngram_join._verify(4, 85)([rows]) for r in b.to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sorted((r["a"], r["links"]) for r in found if r["links"]) == [(i, 1) for i in range(n)]
+    assert peak < 60 * 998 * n
+
+
 def brute_removed(rows, size):
     first: dict[tuple, int] = {}
     for i, w in sorted((r[0], words(r[1])) for r in rows if r[0] is not None):

@@ -41,7 +41,8 @@ GROUPS = 64
 FAN = 8
 BLOCK_SHINGLES = 500_000
 TOGETHER = 4  # blocks that a task gets at once, of each of its two sides
-_SLICE = 1 << 14
+_SLICE = 1 << 12
+_CHUNK = 1 << 18  # bytes of text that are cut into shingles at once
 _SPARE = 3  # groups that may be empty, besides one in 32
 
 _U = np.uint64
@@ -125,7 +126,7 @@ def _tile_keys(rows: np.ndarray, found: np.ndarray, sizes: np.ndarray, classes:
 def _measure(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(2), lower=True):
+            for chunk in chunks(batch.column(2), lower=True, limit=_CHUNK):
                 rows, found = shingles(chunk, size)
                 n = chunk.stop - chunk.start
                 sizes, sets = np.bincount(rows, minlength=n), signed(_signatures(rows, found, n))
@@ -139,7 +140,7 @@ def _tiles(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, seen = _Classes(percent), set()  # copies in one task go out once
         for batch in batches:
-            for chunk in chunks(batch.column(0), lower=True):
+            for chunk in chunks(batch.column(0), lower=True, limit=_CHUNK):
                 rows, found = shingles(chunk, size)
                 n = chunk.stop - chunk.start
                 sets = _signatures(rows, found, n)
@@ -156,13 +157,24 @@ def _tiles(size: int, percent: int):
     return run
 
 
-def _bodies(texts: pa.Array, size: int) -> list[np.ndarray]:
+def _bodies(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
     """The shingles of each text, ascending."""
-    found: list[np.ndarray] = []
-    for chunk in chunks(texts, lower=True):
+    for chunk in chunks(texts, lower=True, limit=_CHUNK):
         rows, own = shingles(chunk, size)
-        found += np.split(own, np.searchsorted(rows, np.arange(1, chunk.stop - chunk.start)))
-    return found
+        yield from np.split(own, np.searchsorted(rows, np.arange(1, chunk.stop - chunk.start)))
+
+
+def _points(texts: pa.ChunkedArray, size: int) -> np.ndarray:
+    """Of each text the numbers of shingles by group, in floats as long as these are exact."""
+    found = [np.zeros((0, GROUPS), np.int32)]
+    for part in texts.chunks:
+        for chunk in chunks(part, lower=True, limit=_CHUNK):
+            rows, own = shingles(chunk, size)
+            cells = rows * GROUPS + (own >> _U(58)).astype(np.int64)
+            n = chunk.stop - chunk.start
+            found.append(np.bincount(cells, minlength=n * GROUPS).reshape(n, GROUPS).astype(np.int32))
+    points = np.concatenate(found)
+    return points.astype(np.float32) if points.sum(axis=1).max(initial=0) < 1 << 24 else points
 
 
 def _needed(sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -189,13 +201,19 @@ def _pack_order(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return order[np.lexsort((points[order, 0], points[order, : GROUPS // 2].sum(axis=1), slabs))]
 
 
-def candidate_pairs(points: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def candidate_pairs(points: np.ndarray, sizes: np.ndarray, percent: int, side: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of points whose bound on the overlap reaches what their sizes need, found by descending the tree.
 
-    Pairs of nodes are followed down a slice at a time, so that few are held at once.
+    Pairs of nodes are followed down a slice at a time, so that few are held at once. side: 0 or 1; if given, only pairs of both
+    sides are looked for.
     """
     order = _pack_order(points, sizes)
     levels = _packed(points[order], sizes[order])
+    ones = np.ones(GROUPS, points.dtype)
+    sides = [] if side is None else [side[order]]
+    for _, _, first in levels[1:] if sides else []:  # of a node that has both sides, 2
+        low, high = np.minimum.reduceat(sides[-1], first), np.maximum.reduceat(sides[-1], first)
+        sides.append(np.where(low == high, low, 2))
     kids = np.arange(FAN)
     waiting = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while waiting:
@@ -203,8 +221,11 @@ def candidate_pairs(points: np.ndarray, sizes: np.ndarray, percent: int) -> Iter
         if len(a) > _SLICE:
             waiting += [(depth, a[_SLICE:], b[_SLICE:]), (depth, a[:_SLICE], b[:_SLICE])]
             continue
+        if sides:
+            apart = (sides[depth][a] != sides[depth][b]) | (sides[depth][a] == 2)
+            a, b = a[apart], b[apart]
         top, least, _ = levels[depth]
-        keep = np.minimum(top[a], top[b]).sum(axis=1) >= _needed(least[a] + least[b], percent)
+        keep = np.minimum(top[a], top[b]) @ ones >= _needed(least[a] + least[b], percent)
         a, b = a[keep], b[keep]
         if not depth:
             apart = a != b
@@ -236,63 +257,66 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _between(a: np.ndarray, b: np.ndarray, own: np.ndarray, one: int, two: int) -> Iterator[tuple[int, int]]:
-    """The pairs of a set of one block and a set of the other."""
-    apart = (own[a] == one) & (own[b] == two) | (own[a] == two) & (own[b] == one)
-    return zip(a[apart].tolist(), b[apart].tolist(), strict=True)
+def _alike(one: np.ndarray, two: np.ndarray) -> int:
+    """How many shingles two sets have in common."""
+    both = np.concatenate([one, two])
+    both.sort()
+    return np.count_nonzero(both[1:] == both[:-1])
 
 
 def _verify(size: int, percent: int):
     """Of each task's sets (near, one, two, own, set, copies, size, text), whose shingles take more room than their texts: rows
-    (a, b, null) that span its links, and (a, null, links)."""
+    (a, b, null) that span its links, and (a, null, links). Points are held for the whole task; shingles are made again, for sets
+    whose points may link, a pair of blocks at a time."""
 
-    def pairs(table: pa.Table) -> Iterator[tuple[int, int, pa.Table]]:
-        """The pairs of blocks in a task that may hold links, with their rows."""
-        own, sizes = table["own"].to_numpy(), table["size"].to_numpy()
+    def pairs(table: pa.Table, own: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """The pairs of blocks in a task that may hold links, with the places of their sets."""
         part = {x: own // TOGETHER == table[x][0].as_py() for x in ("one", "two")}
         for one in np.unique(own[part["one"]]).tolist():
             for two in np.unique(own[part["two"]]).tolist():
                 if one <= two and 100 * sizes[own == one].max() >= percent * sizes[own == two].min():
-                    yield one, two, table.take(pa.array(np.flatnonzero((own == one) | (own == two))))
+                    yield one, two, np.flatnonzero((own == one) | (own == two))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for one, two, table in (pair for group in _groups(batches, 3) for pair in pairs(group)):
-            ids, where = np.unique(table["set"].to_numpy(), return_index=True)
-            own, copies = table["own"].to_numpy()[where], table["copies"].to_numpy()[where]
-            found = _bodies(pa.concat_arrays(table["text"].take(pa.array(where)).chunks), size)
-            sizes = np.array([len(x) for x in found])
-            rows = np.repeat(np.arange(len(ids)), sizes)
-            cells = rows * GROUPS + (np.concatenate(found) >> _U(58)).astype(np.int64)
-            points = np.bincount(cells, minlength=len(ids) * GROUPS).reshape(-1, GROUPS)
-            links, parent, spanning = np.zeros(len(ids), np.int64), list(range(len(ids))), []
-            sets: dict[int, frozenset] = {}
-            found_pairs = candidate_pairs(points.astype(np.int32), sizes, percent)
-            for x, y in (pair for a, b in found_pairs for pair in _between(a, b, own, one, two)):
-                for i in (x, y):
-                    if i not in sets:
-                        sets[i] = frozenset(found[i].tolist())
-                both = len(sets[x] & sets[y])
-                if 100 * both < percent * (sizes[x] + sizes[y] - both):
-                    continue
-                links[x] += copies[y]
-                links[y] += copies[x]
-                while parent[x] != x:
-                    parent[x] = x = parent[parent[x]]
-                while parent[y] != y:
-                    parent[y] = y = parent[parent[y]]
-                if x != y:
-                    spanning.append((ids[x], ids[y]))
-                    parent[x] = y
-            linked = np.flatnonzero(links)
-            ends = np.array(spanning, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([ends[:, 0], ids[linked]])),
-                    pa.array([*ends[:, 1].tolist(), *[None] * len(linked)], pa.int64()),
-                    pa.array([*[None] * len(ends), *links[linked].tolist()], pa.int64()),
-                ],
-                ["a", "b", "links"],
-            )
+        for table in _groups(batches, 3):
+            where = np.sort(np.unique(table["set"].to_numpy(), return_index=True)[1])
+            if len(where) < table.num_rows:
+                table = table.take(pa.array(where))
+            every, copies, block = (table[x].to_numpy() for x in ("set", "copies", "own"))
+            points = _points(table["text"], size)
+            lengths = points.sum(axis=1).astype(np.int64)
+            for one, two, at in pairs(table, block, lengths):
+                ids, own, sizes = every[at], block[at], lengths[at]
+                links, parent, spanning = np.zeros(len(ids), np.int64), list(range(len(ids))), []
+                found: dict[int, np.ndarray] = {}
+                for a, b in candidate_pairs(points[at], sizes, percent, (own == two).astype(np.int8) if one < two else None):
+                    new = [i for i in np.unique(np.concatenate([a, b])).tolist() if i not in found]
+                    if new:
+                        texts = table["text"].take(pa.array(at[new]))
+                        found.update(zip(new, (x for part in texts.chunks for x in _bodies(part, size)), strict=True))
+                    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                        both = _alike(found[x], found[y])
+                        if 100 * both < percent * (sizes[x] + sizes[y] - both):
+                            continue
+                        links[x] += copies[at[y]]
+                        links[y] += copies[at[x]]
+                        while parent[x] != x:
+                            parent[x] = x = parent[parent[x]]
+                        while parent[y] != y:
+                            parent[y] = y = parent[parent[y]]
+                        if x != y:
+                            spanning.append((ids[x], ids[y]))
+                            parent[x] = y
+                linked = np.flatnonzero(links)
+                ends = np.array(spanning, np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([ends[:, 0], ids[linked]])),
+                        pa.array([*ends[:, 1].tolist(), *[None] * len(linked)], pa.int64()),
+                        pa.array([*[None] * len(ends), *links[linked].tolist()], pa.int64()),
+                    ],
+                    ["a", "b", "links"],
+                )
 
     return run
 
