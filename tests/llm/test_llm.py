@@ -401,6 +401,15 @@ def test_slices_are_gathered_in_little_memory():
     assert peak < 43 * 400_100
 
 
+def test_a_slice_is_alone_in_its_task(spark, monkeypatch):
+    """Two slices in a task would be in one Arrow batch, in the JVM and the worker at once."""
+    monkeypatch.setattr(pitman_yor, "LEAST_SLICES", 16)
+    rows = [(i, i % 5 == 1, " ".join(f"w{k}" for k in range(i, i + 60))) for i in range(40)]
+    dealt, _ = pitman_yor._trained(spark.createDataFrame(rows, "number long, held_out boolean, text string"))
+    held = dealt.where("model is not null").groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("slices")).collect()
+    assert [r.slices for r in held] == [1] * 16
+
+
 def test_model_beats_unigrams(spark):
     held = pitman_yor.score(spark.read.parquet(f"{SF_DIR}/documents.parquet")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert held[0] > held[1]

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from waitlens.llm.memory import tidy
 from waitlens.llm.text import Chunk, chunks, mix, signed
-from waitlens.llm.work import stored
+from waitlens.llm.work import stored as _stored
 
 RESTAURANTS = 4096
 SLICE_TOKENS = 2_000_000
@@ -47,6 +47,10 @@ _START, _END = 0, mix(np.array([0xE5D]))[0]
 _U = np.uint64
 
 
+def stored(frame: DataFrame) -> DataFrame:
+    return _stored(frame, codec="zstd")  # for planes of small numbers
+
+
 class Totals(NamedTuple):
     """Of the whole model, but for the restaurants of whole words. customers, tables: by class."""
 
@@ -271,9 +275,13 @@ def _totals_of(replies: list[dict], n: int) -> tuple[np.ndarray, dict[int, np.nd
 
 
 def _slices(batches: Iterator[pa.RecordBatch], slices: int = 1) -> Iterator[_Slice]:
-    """One slice at a time, without a copy of the others' bytes."""
+    """One slice at a time, without a copy of the others' bytes. Rows of totals come before the slice that they are for."""
+    replies: list[dict] = []
     for batch in batches:
         for i in range(batch.num_rows):
+            if "totals" in batch.schema.names and batch.column("totals")[i].is_valid:
+                replies.append({name: batch.column(name)[i].as_py() for name in ("sweep", "totals")})
+                continue
             word = keys = counts = part = per_word = where = docs = below = None  # the last slice goes before the next is unpacked
             own = {name: batch.column(name)[i] for name in batch.schema.names}
             number, words, pairs = (own[c].as_py() for c in ("slice", "words", "pairs"))
@@ -289,7 +297,8 @@ def _slices(batches: Iterator[pa.RecordBatch], slices: int = 1) -> Iterator[_Sli
             order = np.argsort(bucket, kind="stable")
             rank = np.empty(len(order), np.int32)
             rank[order] = np.arange(len(order))
-            totals = _totals_of(own["totals"].as_py() or [], len(contexts)) if "totals" in own else (np.zeros(len(contexts), np.int64), {})
+            totals = _totals_of(replies, len(contexts)) if "totals" in own else (np.zeros(len(contexts), np.int64), {})
+            replies.clear()
             pair = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, pairs)))
             below = _Below(pair, rank[place], tokens, count, contexts[order], np.searchsorted(bucket[order], np.arange(slices + 1)), *totals)
             if "places" in own:
@@ -547,7 +556,7 @@ def _trained(numbered: DataFrame) -> tuple[DataFrame, list[Draw]]:
     dealt = numbered.select("number", ~F.col("held_out"), "text").mapInArrow(
         tidy(_deal(slices, frequent)), "slice long, words long, pairs long, tokens long, docs long, blob binary"
     )
-    gathered = dealt.repartition(slices, "slice").sortWithinPartitions("slice")
+    gathered = dealt.repartitionById(slices, F.col("slice").cast("int")).sortWithinPartitions("slice")  # a slice is a task's work, alone
     dealt = stored(gathered.mapInArrow(tidy(_gather), "slice long, words long, pairs long, model binary, tokens long, docs long, places binary"))
     model = dealt.select(_MODEL)
 
@@ -556,16 +565,15 @@ def _trained(numbered: DataFrame) -> tuple[DataFrame, list[Draw]]:
     def answered(sent: DataFrame, sweep: int) -> DataFrame:
         """Of the contexts' totals what each slice asked for."""
         asked = sent.where("bucket is not null").select("slice", "bucket", "keys", "sent")
-        met = asked.repartition(slices, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_met), "slice long, bucket long, totals binary")
+        met = asked.repartitionById(slices, F.col("bucket").cast("int")).sortWithinPartitions("bucket").mapInArrow(tidy(_met), "slice long, bucket long, totals binary")
         return stored(met.withColumn("sweep", F.lit(sweep)))
 
     def informed(rows: DataFrame, *answers: DataFrame) -> DataFrame:
-        """The slices with all that was answered them, by sweep and bucket."""
-        every = answers[0]
-        for more in answers[1:]:
-            every = every.unionByName(more)
-        by_slice = every.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("sweep", "bucket", "totals"))).alias("totals"))
-        return rows.withColumn("slices", F.lit(slices)).join(by_slice, "slice", "left")
+        """The slices, a partition each, each after all that was answered it, by sweep and bucket."""
+        every = rows.withColumn("slices", F.lit(slices))
+        for more in answers:
+            every = every.unionByName(more, allowMissingColumns=True)
+        return every.repartitionById(slices, F.col("slice").cast("int")).sortWithinPartitions("slice", F.col("sweep").asc_nulls_last(), "bucket")
 
     sent = stored(model.mapInArrow(tidy(_count(frequent, slices)), _SENT))
     answers = [answered(sent, 0)]

@@ -21,8 +21,8 @@ def work_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def stored(frame: DataFrame, *partition_by: str) -> DataFrame:
-    """The rows of `frame`, written as Parquet and read back."""
+def stored(frame: DataFrame, *partition_by: str, codec: str | None = None) -> DataFrame:
+    """The rows of `frame`, written as Parquet and read back. codec: of the files, if not the session's."""
     path = work_folder(frame.sparkSession)
-    frame.write.partitionBy(*partition_by).parquet(path)
+    frame.write.partitionBy(*partition_by).parquet(path, compression=codec)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
