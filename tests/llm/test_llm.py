@@ -153,6 +153,24 @@ def test_blocks_that_go_to_a_task_together():
     assert links == Counter({i: 4 for i in range(8)}) and ngram_join.TOGETHER == 4  # those of the other four blocks
 
 
+def test_texts_are_sent_of_near_points_alone(spark):
+    """Of the sets of a task those that may link with another, told by points alone; their texts, and of the others few."""
+    rng = np.random.default_rng(6)
+    points = rng.integers(0, 9, (40, ngram_join.GROUPS)).astype(np.int32)
+    points[1], points[5], points[7, 3], points[8] = points[0], points[4], 300, points[4] // 2
+    columns = {"near": [1] * 40, "one": [0] * 40, "two": [1] * 40, "own": [i % 2 * 4 for i in range(40)], "set": range(40), "copies": [1] * 40}
+    columns |= {"size": points.sum(axis=1), "body": [i * 0x9E3779B97F4A7C15 % (1 << 63) for i in range(40)], "doc": [None, *range(1, 40)]}
+    rows = pa.record_batch([*(pa.array(c, pa.int64()) for c in columns.values()), ngram_join._coded(points)], [*columns, "point"])
+    assert (ngram_join._decoded(pa.chunked_array([rows.column("point")])) == points).all()
+    kept = pa.Table.from_batches(ngram_join._near_points(80)(iter([rows])))
+    assert sorted(kept["set"].to_pylist()) == [0, 1, 4, 5] and kept.column_names == list(columns)
+
+    marks = ngram_join._marks(spark.createDataFrame(kept.to_pandas()))
+    texts = pa.record_batch([rows.column("doc"), rows.column("body"), pa.array([f"text {i}" for i in range(40)])], ["doc", "body", "text"])
+    sent = [x for b in ngram_join._marked(marks)(iter([texts])) for x in b.column("text").to_pylist()]
+    assert {"text 0", "text 1", "text 4", "text 5"} <= set(sent) and len(sent) < 12
+
+
 def test_sets_are_verified_in_little_memory():
     """Bytes for each shingle at the peak; 147 before, when all sets of two blocks were held, as Python's sets where points were near."""
     rng = np.random.default_rng(5)

@@ -11,6 +11,7 @@ their points.
 2. Trees. Each neighbourhood (a large one in blocks by size, pair by pair, some in a task) packs the points of its sets into
    an R-tree. Nodes hold the greatest coordinates and the least size; two nodes are followed down only while the sum of
    lesser coordinates reaches the overlap that their least sizes need.
+   This takes points alone, which are short; texts are sent only of sets that are in a surviving pair.
 3. Surviving pairs are verified on the whole sets. Each task returns its number of links by set, and of the links as many as
    span what it linked; components follow from these.
 
@@ -41,6 +42,7 @@ GROUPS = 64
 FAN = 8
 BLOCK_SHINGLES = 500_000
 TOGETHER = 4  # blocks that a task gets at once, of each of its two sides
+BITS = 1 << 26  # at most, of the table that tells texts which are sent from most others
 _SLICE = 1 << 12
 _CHUNK = 1 << 18  # bytes of text that are cut into shingles at once
 _SPARE = 3  # groups that may be empty, besides one in 32
@@ -131,7 +133,8 @@ def _measure(size: int):
                 n = chunk.stop - chunk.start
                 sizes, sets = np.bincount(rows, minlength=n), signed(_signatures(rows, found, n))
                 own = batch.slice(chunk.start, n)
-                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(sizes), pa.array(sets)], ["doc", "body", "size", "set"])
+                points = _coded(_counted(rows, found, n))
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(sizes), pa.array(sets), points], ["doc", "body", "size", "set", "point"])
 
     return run
 
@@ -164,17 +167,37 @@ def _bodies(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
         yield from np.split(own, np.searchsorted(rows, np.arange(1, chunk.stop - chunk.start)))
 
 
+def _counted(rows: np.ndarray, found: np.ndarray, n: int) -> np.ndarray:
+    """Of each of `n` rows the number of shingles by group."""
+    cells = rows * GROUPS + (found >> _U(58)).astype(np.int64)
+    return np.bincount(cells, minlength=n * GROUPS).reshape(n, GROUPS).astype(np.int32)
+
+
+def _coded(points: np.ndarray) -> pa.Array:
+    """Points in bytes: one for each number where none is above 255, else four."""
+    narrow = points.max(axis=1, initial=0) < 256
+    return pa.array([(p.astype(np.uint8) if small else p).tobytes() for p, small in zip(points, narrow.tolist(), strict=True)], pa.binary())
+
+
+def _decoded(column: pa.ChunkedArray) -> np.ndarray:
+    points = np.zeros((len(column), GROUPS), np.int32)
+    for i, code in enumerate(column.to_pylist()):
+        points[i] = np.frombuffer(code, np.uint8 if len(code) == GROUPS else np.int32)
+    return points
+
+
+def _exact(points: np.ndarray) -> np.ndarray:
+    """The points in floats as long as these are exact."""
+    return points.astype(np.float32) if points.sum(axis=1).max(initial=0) < 1 << 24 else points
+
+
 def _points(texts: pa.ChunkedArray, size: int) -> np.ndarray:
     """Of each text the numbers of shingles by group, in floats as long as these are exact."""
     found = [np.zeros((0, GROUPS), np.int32)]
     for part in texts.chunks:
         for chunk in chunks(part, lower=True, limit=_CHUNK):
-            rows, own = shingles(chunk, size)
-            cells = rows * GROUPS + (own >> _U(58)).astype(np.int64)
-            n = chunk.stop - chunk.start
-            found.append(np.bincount(cells, minlength=n * GROUPS).reshape(n, GROUPS).astype(np.int32))
-    points = np.concatenate(found)
-    return points.astype(np.float32) if points.sum(axis=1).max(initial=0) < 1 << 24 else points
+            found.append(_counted(*shingles(chunk, size), chunk.stop - chunk.start))
+    return _exact(np.concatenate(found))
 
 
 def _needed(sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -264,19 +287,63 @@ def _alike(one: np.ndarray, two: np.ndarray) -> int:
     return np.count_nonzero(both[1:] == both[:-1])
 
 
+def _block_pairs(table: pa.Table, own: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """The pairs of blocks in a task that may hold links, with the places of their sets."""
+    part = {x: own // TOGETHER == table[x][0].as_py() for x in ("one", "two")}
+    for one in np.unique(own[part["one"]]).tolist():
+        for two in np.unique(own[part["two"]]).tolist():
+            if one <= two and 100 * sizes[own == one].max() >= percent * sizes[own == two].min():
+                yield one, two, np.flatnonzero((own == one) | (own == two))
+
+
+def _near_points(percent: int):
+    """Of each task's sets (near, one, two, own, set, copies, size, body, doc, point) those whose points may link with another's in
+    the task, without the points."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, 3):
+            points, own = _exact(_decoded(table["point"])), table["own"].to_numpy()
+            lengths = points.sum(axis=1).astype(np.int64)
+            found = np.zeros(table.num_rows, bool)
+            for one, two, at in _block_pairs(table, own, lengths, percent):
+                side = (own[at] == two).astype(np.int8) if one < two else None
+                for a, b in candidate_pairs(points[at], lengths[at], percent, side):
+                    found[at[a]] = found[at[b]] = True
+            yield from table.drop_columns("point").filter(pa.array(found)).to_batches()
+
+    return run
+
+
+def _marks(chosen: DataFrame) -> np.ndarray:
+    """A bit for each hash of a text that is sent, in a table of at most BITS, which others meet by chance."""
+    bits = 1 << 10
+    while bits < min(16 * chosen.count(), BITS):
+        bits *= 2
+    place = F.pmod("body", F.lit(bits))
+    words = chosen.select(F.shiftright(place, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(body, {bits}L) % 64 as int))").alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    marks = np.zeros(bits >> 6, np.int64)
+    marks[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return marks.view(_U)
+
+
+def _marked(marks: np.ndarray):
+    """The rows of (doc, body, text) whose hash has its bit among `marks`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column(1).to_numpy().view(_U) & _U(64 * len(marks) - 1)
+            kept = marks[(place >> _U(6)).astype(np.int64)] >> (place & _U(63)) & _U(1)
+            yield batch.filter(pa.array(kept.astype(bool)))
+
+    return run
+
+
 def _verify(size: int, percent: int):
     """Of each task's sets (near, one, two, own, set, copies, size, text), whose shingles take more room than their texts: rows
     (a, b, null) that span its links, and (a, null, links). Points are held for the whole task; shingles are made again, for sets
     whose points may link, a pair of blocks at a time."""
 
-    def pairs(table: pa.Table, own: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-        """The pairs of blocks in a task that may hold links, with the places of their sets."""
-        part = {x: own // TOGETHER == table[x][0].as_py() for x in ("one", "two")}
-        for one in np.unique(own[part["one"]]).tolist():
-            for two in np.unique(own[part["two"]]).tolist():
-                if one <= two and 100 * sizes[own == one].max() >= percent * sizes[own == two].min():
-                    yield one, two, np.flatnonzero((own == one) | (own == two))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, 3):
             where = np.sort(np.unique(table["set"].to_numpy(), return_index=True)[1])
@@ -285,7 +352,7 @@ def _verify(size: int, percent: int):
             every, copies, block = (table[x].to_numpy() for x in ("set", "copies", "own"))
             points = _points(table["text"], size)
             lengths = points.sum(axis=1).astype(np.int64)
-            for one, two, at in pairs(table, block, lengths):
+            for one, two, at in _block_pairs(table, block, lengths, percent):
                 ids, own, sizes = every[at], block[at], lengths[at]
                 links, parent, spanning = np.zeros(len(ids), np.int64), list(range(len(ids))), []
                 found: dict[int, np.ndarray] = {}
@@ -337,29 +404,36 @@ def jaccard_components(
     lower case). component_id is the least id that links reach, the own id included; n_links counts linked documents.
     """
     bodies = docs.select(F.col(id_column).cast("long").alias("doc"), F.xxhash64(text).alias("body"), F.col(text).alias("text"))
-    measured = stored(bodies.mapInArrow(tidy(_measure(words)), "doc long, body long, size long, set long"))
+    measured = stored(bodies.mapInArrow(tidy(_measure(words)), "doc long, body long, size long, set long, point binary"))
     near = _neighbourhoods(bodies.select("text"), words, percent)
 
-    copies = measured.where("size > 0").groupBy("set").agg(F.count("*").alias("copies"), F.min(F.struct("body", "doc")).alias("at"), F.first("size").alias("size"))
+    copies = measured.where("size > 0").groupBy("set").agg(F.count("*").alias("copies"), F.min(F.struct("body", "doc")).alias("at"), F.first("size").alias("size"), F.first("point").alias("point"))
     members = near.join(copies, "set")
     sums = members.groupBy("near").agg(F.sum("size").alias("total"), F.count("*").alias("sets")).where("sets > 1")
     rank = F.row_number().over(Window.partitionBy("near").orderBy("size", "set"))
     blocks = F.least("sets", F.ceil(F.col("total") / BLOCK_SHINGLES))
     members = members.join(sums, "near").withColumns({"blocks": blocks, "own": F.floor((rank - 1) * blocks / F.col("sets"))})
-    members = members.select("near", "set", "copies", "own", "at.*", "size")
+    members = members.select("near", "set", "copies", "own", "at.*", "size", "point")
     # blocks are in order of size: two of them meet if the largest set of the lower one may link with the least of the upper;
-    # some neighbours go to a task together, so that a text is sent less often
+    # some neighbours go to a task together, so that a set is sent less often
     members = members.withColumn("part", F.floor(F.col("own") / TOGETHER))
     bounds = members.groupBy("near", "part").agg(F.min("size").alias("low"), F.max("size").alias("high"))
     upper = bounds.select("near", F.col("part").alias("two"), F.col("low").alias("least"))
     meet = bounds.join(upper, "near").where((F.col("part") <= F.col("two")) & (100 * F.col("high") >= percent * F.col("least")))
     both = meet.select("near", F.explode(F.array_distinct(F.array("part", "two"))).alias("part"), F.struct(F.col("part").alias("one"), "two").alias("task"))
     tasks_of = both.groupBy("near", "part").agg(F.collect_list("task").alias("tasks"))
-    chosen = members.join(tasks_of, ["near", "part"]).hint("shuffle_merge")
-    texts = bodies.join(chosen, (bodies["body"] == chosen["body"]) & bodies["doc"].eqNullSafe(chosen["doc"]))
-    paired = texts.select("near", F.explode("tasks").alias("task"), "own", "set", "copies", "size", "text")
-    paired = paired.select("near", "task.one", "task.two", "own", "set", "copies", "size", "text")
-    tasks = paired.repartition("near", "one", "two").sortWithinPartitions("near", "one", "two")
+    dealt = members.join(tasks_of, ["near", "part"]).withColumn("task", F.explode("tasks"))
+    every = dealt.select("near", "task.one", "task.two", "own", "set", "copies", "size", "body", "doc", "point")
+    at_once = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the rows are few bytes but much work
+
+    def tasks_of_pairs(rows: DataFrame) -> DataFrame:
+        return rows.repartition(at_once, "near", "one", "two").sortWithinPartitions("near", "one", "two")
+
+    kinds = "near long, one long, two long, own long, set long, copies long, size long, body long, doc long"
+    chosen = stored(tasks_of_pairs(every).mapInArrow(tidy(_near_points(percent)), kinds))
+    texts = bodies.mapInArrow(_marked(_marks(chosen)), "doc long, body long, text string")
+    texts = texts.join(chosen.hint("shuffle_merge"), (texts["body"] == chosen["body"]) & texts["doc"].eqNullSafe(chosen["doc"]))
+    tasks = tasks_of_pairs(texts.select("near", "one", "two", "own", "set", "copies", "size", "text"))
     links = stored(tasks.mapInArrow(tidy(_verify(words, percent)), "a long, b long, links long"))
 
     linked = components(links.where("b is not null").select("a", "b")).select(F.col("node").alias("set"), "component")
